@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ratingflow import schemas
 from ratingflow.functions.scalar import bounded_log2
-from ratingflow.operators.topk import nest, top_k
+from ratingflow.operators.topk import collect_sorted, nest, top_k
 
 
 def like_dislike(df: DataFrame, by: Sequence[str], like_above: float = 3.0,
@@ -102,9 +102,11 @@ def to_recs(latest: DataFrame, scored: DataFrame, k: int | None = None) -> DataF
     """(uid, recs array<struct<rid,r>>): one row per user of ``latest``,
     items by score desc, rid asc; an empty list when nothing scored."""
     s = scored.select("uid", "rid", F.col("score").alias("r"))
-    limit = k if k is not None else 1 << 30
-    ranked = top_k(s, ["uid"], [F.col("r").desc(), F.col("rid").asc()], limit)
-    nested = nest(ranked, ["uid"], "pos", ["rid", "r"])
+    if k is None:
+        nested = collect_sorted(s, ["uid"], [("r", True), ("rid", False)], ["rid", "r"])
+    else:
+        ranked = top_k(s, ["uid"], [F.col("r").desc(), F.col("rid").asc()], k)
+        nested = nest(ranked, ["uid"], "pos", ["rid", "r"])
     empty = F.array().cast(schemas.RECS)
     return latest.select("uid").distinct().join(nested, "uid", "left") \
         .select("uid", F.coalesce(F.col("recs"), empty).alias("recs"))

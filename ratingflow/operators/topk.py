@@ -37,3 +37,16 @@ def explode_recs(nested: DataFrame, by: Sequence[str], recs: str = "recs",
     """Inverse of ``nest``: one row per item with its 1-based position."""
     return nested.select(*by, F.posexplode(recs).alias("_p", "_item")).select(
         *by, (F.col("_p") + 1).cast("int").alias(pos), "_item.*")
+
+
+def collect_sorted(df: DataFrame, by: Sequence[str], keys: Sequence[tuple[str, bool]],
+                   fields: Sequence[str], out: str = "recs") -> DataFrame:
+    """Collect each group into ``out: array<struct<fields>>`` sorted by
+    ``keys`` = [(column, descending), ...] (numeric sort keys).
+
+    A plain aggregate (partial collect, final merge + sort), for lists that
+    are the output itself (e.g. every similar movie of a movie)."""
+    kcols = [(-F.col(c) if desc else F.col(c)).alias(f"_k{i}") for i, (c, desc) in enumerate(keys)]
+    items = F.array_sort(F.collect_list(F.struct(*kcols, *[F.col(f) for f in fields])))
+    return df.groupBy(*by).agg(
+        F.transform(items, lambda x: F.struct(*[x[f].alias(f) for f in fields])).alias(out))

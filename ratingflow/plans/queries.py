@@ -19,7 +19,7 @@ from ratingflow.functions.scalar import log_payload, parse_message_fields
 from ratingflow.operators import documents, evaluate, stats
 from ratingflow.operators.topk import top_k
 from ratingflow.plans.oracle import (
-    LOGLINES, MESSAGES, MOVIES, PAYLOADS, RATINGS, TAGS, with_,
+    LOGLINES, MESSAGES, MOVIES, PAYLOADS, RATINGS, TAGS, VECTORS, with_,
 )
 from ratingflow.sources import fixtures as fx
 from ratingflow.sources.lines import parse_movie_lines, parse_rating_lines, parse_tag_lines
@@ -197,3 +197,188 @@ def rmse_of_movie_mean(spark, sf):
 
 
 __all__ = ["QUERIES", "ORACLE", "FIXTURE_GENRES", "register", "top_k", "LOGLINES"]
+
+
+# ---------------------------------------------------------------- similarity
+
+SIM_T = 0.3      # item similarity threshold on the test vectors
+STREAM_T = 0.2   # similarity table + scoring threshold of the stream queries
+
+_EDGES = """edges AS (
+  SELECT a.mid, b.mid AS rid, list_cosine_similarity(a.features, b.features) AS r
+  FROM vectors a JOIN vectors b ON a.mid <> b.mid
+  WHERE list_cosine_similarity(a.features, b.features) > {t})"""
+
+
+def edges(spark, sf, t) -> DataFrame:
+    from ratingflow.operators.similarity import item_similarity
+    return item_similarity(fx.item_vectors(spark, sf), threshold=t)
+
+
+@register("item_similarity", with_(VECTORS, _EDGES.format(t=SIM_T)) + """
+SELECT mid, rid, round(r, 6) AS r FROM edges""")
+def item_similarity(spark, sf):
+    return edges(spark, sf, SIM_T).select("mid", "rid", F.round("r", 6).alias("r"))
+
+
+@register("similar_items_per_movie", with_(VECTORS, _EDGES.format(t=SIM_T)) + """
+SELECT mid, CAST(count(*) AS INTEGER) AS n_similar, first(rid ORDER BY r DESC, rid ASC) AS top_rid,
+       round(max(r), 6) AS max_r, round(min(r), 6) AS min_r
+FROM edges GROUP BY mid""")
+def similar_items_per_movie(spark, sf):
+    from ratingflow.operators.similarity import nest_edges
+    nested = nest_edges(edges(spark, sf, SIM_T))
+    n = F.size("recs")
+    return nested.select("mid", n.alias("n_similar"), F.col("recs")[0]["rid"].alias("top_rid"),
+                         F.round(F.col("recs")[0]["r"], 6).alias("max_r"),
+                         F.round(F.element_at("recs", -1)["r"], 6).alias("min_r"))
+
+
+# ---------------------------------------------------------------- factor top-k
+
+_PROFILE = """prof AS (
+  SELECT uid, list(x ORDER BY i) AS features FROM (
+    SELECT r.uid, d.i, sum(r.score * v.features[d.i]) AS x
+    FROM ratings r JOIN vectors v ON r.mid = v.mid,
+         (SELECT unnest(range(1, 65)) AS i) d
+    GROUP BY r.uid, d.i)
+  GROUP BY uid)"""
+
+
+@register("factor_user_topk", with_(RATINGS, VECTORS, _PROFILE) + """
+SELECT uid, pos, rid, round(r, 6) AS r FROM (
+  SELECT p.uid, v.mid AS rid, list_dot_product(p.features, v.features) AS r,
+         CAST(row_number() OVER (PARTITION BY p.uid
+              ORDER BY list_dot_product(p.features, v.features) DESC, v.mid ASC) AS INTEGER) AS pos
+  FROM prof p, vectors v)
+WHERE pos <= 20""")
+def factor_user_topk(spark, sf):
+    from ratingflow.operators.model import user_top_k
+    users = fx.profile_vectors(fx.ratings(spark, sf), fx.item_vectors(spark, sf))
+    items = fx.item_vectors(spark, sf)
+    out = user_top_k(users, items, k=20)
+    return out.select("uid", "pos", "rid", F.round("r", 6).alias("r"))
+
+
+# ---------------------------------------------------------------- stream scoring
+
+_BATCH = """batch AS (SELECT DISTINCT uid, mid FROM messages)"""
+_CANDS = """cands AS (
+  SELECT * FROM (
+    SELECT b.uid, b.mid, e.rid, e.r,
+           CAST(row_number() OVER (PARTITION BY b.uid, b.mid ORDER BY e.r DESC, e.rid ASC) AS INTEGER) AS pos
+    FROM {src} b JOIN edges e ON b.mid = e.mid
+    WHERE NOT EXISTS (SELECT 1 FROM ratings h WHERE h.uid = b.uid AND h.mid = e.rid))
+  WHERE pos <= 20)"""
+_RECENT = """recent AS (
+  SELECT uid, mid AS rmid, score FROM (
+    SELECT uid, mid, score,
+           row_number() OVER (PARTITION BY uid ORDER BY "timestamp" DESC, mid ASC, score ASC) AS pos
+    FROM ratings) WHERE pos <= 20)"""
+_SCORED = """scored AS (
+  SELECT c.uid, c.mid, c.rid,
+         avg(e.r * rc.score) + log2(greatest(count(*) FILTER (WHERE rc.score > 3), 1))
+                             - log2(greatest(count(*) FILTER (WHERE rc.score <= 3), 1)) AS score
+  FROM cands c JOIN recent rc ON c.uid = rc.uid
+       JOIN edges e ON e.mid = c.rid AND e.rid = rc.rmid
+  WHERE e.r > {t}
+  GROUP BY c.uid, c.mid, c.rid)"""
+
+
+def _stream_inputs(spark, sf):
+    return messages(spark, sf), fx.ratings(spark, sf), edges(spark, sf, STREAM_T)
+
+
+@register("stream_candidates", with_(RATINGS, MESSAGES, VECTORS,
+                                     _EDGES.format(t=STREAM_T), _BATCH, _CANDS.format(src="batch")) + """
+SELECT uid, mid, pos, rid, round(r, 6) AS r FROM cands""")
+def stream_candidates(spark, sf):
+    from ratingflow.operators.recommend import candidates
+    msgs, hist, e = _stream_inputs(spark, sf)
+    c = candidates(msgs, hist, e, k=20)
+    return c.select("uid", "mid", "pos", "rid", F.round("r", 6).alias("r"))
+
+
+@register("stream_scores", with_(RATINGS, MESSAGES, VECTORS, _EDGES.format(t=STREAM_T), _BATCH,
+                                 _CANDS.format(src="batch"), _RECENT, _SCORED.format(t=STREAM_T)) + """
+SELECT uid, mid, rid, round(score, 6) AS score FROM scored""")
+def stream_scores(spark, sf):
+    from ratingflow.operators.recommend import candidates, recent_ratings, scores
+    msgs, hist, e = _stream_inputs(spark, sf)
+    c = candidates(msgs, hist, e, k=20)
+    users = msgs.select("uid").distinct()
+    rec = recent_ratings(hist.join(users, "uid", "left_semi"), k=20)
+    s = scores(c, rec, e, threshold=STREAM_T, like_above=3.0)
+    return s.select("uid", "mid", "rid", F.round("score", 6).alias("score"))
+
+
+def recs_summary(recs: DataFrame) -> DataFrame:
+    """(uid, n_recs, best_rid, best_r) of a (uid, recs) table."""
+    return recs.select("uid", F.size("recs").alias("n_recs"),
+                       F.get("recs", 0)["rid"].alias("best_rid"),
+                       F.round(F.get("recs", 0)["r"], 6).alias("best_r"))
+
+
+_LATEST = """{name} AS (
+  SELECT uid, mid FROM (
+    SELECT uid, mid, row_number() OVER (PARTITION BY uid ORDER BY "timestamp" DESC, mid ASC) AS rn
+    FROM {src}) WHERE rn = 1)"""
+
+_RECS_OF = """SELECT l.uid, CAST(count(s.rid) AS INTEGER) AS n_recs,
+       first(s.rid ORDER BY s.score DESC, s.rid ASC) AS best_rid, round(max(s.score), 6) AS best_r
+FROM {latest} l LEFT JOIN {scored} s ON l.uid = s.uid GROUP BY l.uid"""
+
+
+@register("stream_recs", with_(RATINGS, MESSAGES, VECTORS, _EDGES.format(t=STREAM_T),
+                               _LATEST.format(name="latest", src="messages"),
+                               _CANDS.format(src="latest"), _RECENT, _SCORED.format(t=STREAM_T))
+          + _RECS_OF.format(latest="latest", scored="scored"))
+def stream_recs(spark, sf):
+    from ratingflow.operators.recommend import rescore
+    msgs, hist, e = _stream_inputs(spark, sf)
+    recs = rescore(msgs, hist, e, recent_k=20, cand_k=20, threshold=STREAM_T, like_above=3.0)
+    return recs_summary(recs)
+
+
+def _split_ts(msgs: DataFrame) -> int:
+    """Point at 90% of the message time range: splits the messages into two
+    consecutive micro-batches, the second touching only part of the users
+    (one scalar to the driver)."""
+    row = msgs.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
+    lo, hi = int(row["lo"]), int(row["hi"])
+    return lo + ((hi - lo) * 9) // 10
+
+
+def _two_batch_sql() -> str:
+    split = """split AS (SELECT CAST(min("timestamp") AS BIGINT)
+                 + ((CAST(max("timestamp") AS BIGINT) - min("timestamp")) * 9) // 10 AS s FROM messages),
+m0 AS (SELECT m.* FROM messages m, split WHERE m."timestamp" < split.s),
+m1 AS (SELECT m.* FROM messages m, split WHERE m."timestamp" >= split.s)"""
+    parts = [RATINGS, MESSAGES, VECTORS, _EDGES.format(t=STREAM_T), split, _RECENT]
+    for b in ("0", "1"):
+        parts += [
+            _LATEST.format(name=f"latest{b}", src=f"m{b}"),
+            _CANDS.format(src=f"latest{b}").replace("cands AS", f"cands{b} AS"),
+            _SCORED.format(t=STREAM_T).replace("scored AS", f"scored{b} AS")
+            .replace("FROM cands c", f"FROM cands{b} c"),
+            f"recs{b} AS ({_RECS_OF.format(latest=f'latest{b}', scored=f'scored{b}')})",
+        ]
+    return with_(*parts) + """
+SELECT uid, CAST(1 AS BIGINT) AS batch_id, n_recs, best_rid, best_r FROM recs1
+UNION ALL
+SELECT uid, CAST(0 AS BIGINT) AS batch_id, n_recs, best_rid, best_r FROM recs0
+WHERE uid NOT IN (SELECT uid FROM recs1)"""
+
+
+@register("keyed_replace", _two_batch_sql())
+def keyed_replace(spark, sf):
+    from ratingflow.operators.recommend import replace_by_key, rescore
+    msgs, hist, e = _stream_inputs(spark, sf)
+    split = _split_ts(msgs)
+    out = None
+    for b, part in enumerate((msgs.where(F.col("timestamp") < split),
+                              msgs.where(F.col("timestamp") >= split))):
+        recs = rescore(part, hist, e, recent_k=20, cand_k=20, threshold=STREAM_T, like_above=3.0)
+        rows = recs_summary(recs).withColumn("batch_id", F.lit(b).cast("long"))
+        out = rows if out is None else replace_by_key(out, rows, "uid")
+    return out.select("uid", "batch_id", "n_recs", "best_rid", "best_r")

@@ -88,3 +88,16 @@ def movie_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tag_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = tags(spark, sf_dir)
     return t.select(F.concat_ws(",", *[F.col(c).cast("string") for c in t.columns]).alias("value"))
+
+
+def profile_vectors(ratings_df: DataFrame, vectors_df: DataFrame) -> DataFrame:
+    """(uid, features): score-weighted sum of the vectors of the movies a
+    user rated - deterministic user factors for the factor top-k query.
+    Spark ML's Summarizer is a partial-aggregating vector sum."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    j = ratings_df.select("uid", "mid", "score").join(vectors_df, "mid")
+    s = j.groupBy("uid").agg(
+        Summarizer.sum(array_to_vector("features"), F.col("score")).alias("s"))
+    return s.select("uid", vector_to_array("s").alias("features"))
