@@ -70,6 +70,10 @@ class RescoreHandler:
             raw.unpersist()
 
 
+    def close(self) -> None:
+        self.edges.unpersist()
+
+
 def start_rescoring(spark: SparkSession, source: DataFrame, handler: RescoreHandler,
                     checkpoint: str, available_now: bool = False,
                     trigger_seconds: int = 2) -> StreamingQuery:
