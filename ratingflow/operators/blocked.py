@@ -172,8 +172,8 @@ def top_k_products_excluding(left: DataFrame, right: DataFrame, exclude: DataFra
     """
     ex = (exclude.select("uid", "rid").distinct()
           .join(right.select(F.col(right_id).alias("rid")), "rid", "left_semi"))
-    counts = ex.groupBy("uid").agg(F.count(F.lit(1)).alias("_extra"))
-    lx = left.join(counts, left[left_id] == counts["uid"], "left").drop("uid") \
+    counts = ex.groupBy(F.col("uid").alias("_cuid")).agg(F.count(F.lit(1)).alias("_extra"))
+    lx = left.join(counts, left[left_id] == counts["_cuid"], "left").drop("_cuid") \
         .fillna(0, subset=["_extra"])
     cand = top_k_candidates(lx, right, k, block_rows, left_id, right_id, vec_col, extra_k="_extra")
     kept = cand.join(ex, ["uid", "rid"], "left_anti")

@@ -1,0 +1,136 @@
+"""Blocked vector products against brute force, and ALS properties."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ratingflow.operators.blocked import cosine_edges, top_k_products, top_k_products_excluding
+from ratingflow.operators.similarity import nest_edges
+
+
+def _vectors(spark, n=97, d=6, seed=1, zero_ids=()):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, d))
+    for z in zero_ids:
+        x[z] = 0.0
+    rows = [(int(i) * 3 + 1, [float(v) for v in x[i]]) for i in range(n)]
+    return x, [r[0] for r in rows], spark.createDataFrame(rows, "mid int, features array<double>")
+
+
+@pytest.mark.parametrize("block_rows", [1000, 10, 7])
+def test_cosine_edges_match_brute_force(spark, block_rows):
+    x, ids, df = _vectors(spark, zero_ids=(5,))
+    got = {(r.mid, r.rid): r.r for r in cosine_edges(df, 0.3, block_rows=block_rows).collect()}
+    norms = np.linalg.norm(x, axis=1)
+    want = {}
+    for i in range(len(ids)):
+        for j in range(len(ids)):
+            if i != j and norms[i] > 0 and norms[j] > 0:
+                c = x[i] @ x[j] / (norms[i] * norms[j])
+                if c > 0.3:
+                    want[(ids[i], ids[j])] = c
+    assert set(got) == set(want)
+    assert all(abs(got[k] - want[k]) < 1e-12 for k in want)
+    # symmetric, no self pairs, zero vector absent
+    assert all((b, a) in got for a, b in got)
+    assert all(a != b for a, b in got)
+    assert not any(ids[5] in k for k in got)
+
+
+def test_nested_edges_sorted(spark):
+    _, _, df = _vectors(spark)
+    nested = nest_edges(cosine_edges(df, 0.2, block_rows=16)).collect()
+    for row in nested:
+        rs = [(-x.r, x.rid) for x in row.recs]
+        assert rs == sorted(rs)
+        assert len({x.rid for x in row.recs}) == len(row.recs)
+
+
+@pytest.mark.parametrize("block_rows", [1000, 9])
+def test_top_k_products_match_brute_force(spark, block_rows):
+    rng = np.random.default_rng(3)
+    u = rng.normal(size=(23, 4))
+    it = rng.normal(size=(41, 4))
+    it[7] = it[3]  # a tie: two items with equal scores for every user
+    users = spark.createDataFrame([(i, [float(v) for v in u[i]]) for i in range(23)],
+                                  "uid int, features array<double>")
+    items = spark.createDataFrame([(100 + j, [float(v) for v in it[j]]) for j in range(41)],
+                                  "mid int, features array<double>")
+    got = top_k_products(users, items, 5, block_rows, "uid", "mid").collect()
+    by_user = {}
+    for r in got:
+        by_user.setdefault(r.uid, []).append((r.pos, r.rid, r.r))
+    assert set(by_user) == set(range(23))
+    for i in range(23):
+        s = it @ u[i]
+        want = sorted(range(41), key=lambda j: (-s[j], 100 + j))[:5]
+        have = [rid for _, rid, _ in sorted(by_user[i])]
+        assert have == [100 + j for j in want]
+
+
+def test_top_k_excluding_matches_brute_force(spark):
+    rng = np.random.default_rng(4)
+    u = rng.normal(size=(11, 3))
+    it = rng.normal(size=(30, 3))
+    users = spark.createDataFrame([(i, [float(v) for v in u[i]]) for i in range(11)],
+                                  "uid int, features array<double>")
+    items = spark.createDataFrame([(j, [float(v) for v in it[j]]) for j in range(30)],
+                                  "mid int, features array<double>")
+    # each user excludes its own best 4 items plus an unknown id
+    ex = []
+    for i in range(11):
+        s = it @ u[i]
+        ex += [(i, int(j)) for j in np.argsort(-s)[:4]] + [(i, 999)]
+    exclude = spark.createDataFrame(ex, "uid int, rid int")
+    got = top_k_products_excluding(users, items, exclude, 5, block_rows=7,
+                                   left_id="uid", right_id="mid").collect()
+    for i in range(11):
+        s = it @ u[i]
+        banned = {j for (uu, j) in ex if uu == i}
+        want = [j for j in sorted(range(30), key=lambda j: (-s[j], j)) if j not in banned][:5]
+        have = [r.rid for r in sorted((r for r in got if r.uid == i), key=lambda r: r.pos)]
+        assert have == want
+
+
+def test_als_properties(spark):
+    from ratingflow.operators import model
+    from ratingflow.sources import fixtures as fx
+    sf = "/root/testdata/sf0.001"
+    r = fx.ratings(spark, sf)
+    m = model.fit(r, rank=8, max_iter=5, reg=0.1)
+    rmse = model.model_rmse(m, r).first()["rmse"]
+    mean = r.agg(F.avg("score")).first()[0]
+    base = r.agg(F.sqrt(F.avg((F.col("score") - mean) ** 2))).first()[0]
+    assert 0 <= rmse < base
+    top = model.model_user_top_k(m, fx.movies(spark, sf), k=20)
+    per_user = top.groupBy("uid").agg(F.count("*").alias("n"),
+                                      F.countDistinct("rid").alias("d")).collect()
+    assert per_user and all(p.n == 20 and p.d == 20 for p in per_user)
+    # descending scores within each user
+    rows = top.orderBy("uid", "pos").collect()
+    for a, b in zip(rows, rows[1:]):
+        if a.uid == b.uid:
+            assert a.r >= b.r
+
+
+def test_user_with_repeated_ratings_gets_distinct_recs(spark):
+    from ratingflow.operators import model
+    rows = [(1, m % 5, 4.0) for m in range(25)] + [(u, m, float(1 + (u * m) % 5))
+                                                    for u in range(2, 12) for m in range(30)]
+    r = spark.createDataFrame(rows, "uid int, mid int, score double")
+    movies = spark.createDataFrame([(m,) for m in range(30)], "mid int")
+    m = model.fit(r, rank=4, max_iter=5, reg=0.1)
+    top = model.model_user_top_k(m, movies, k=20).where("uid = 1").collect()
+    assert len(top) == 20 and len({t.rid for t in top}) == 20
+    top_ex = model.model_user_top_k(m, movies, k=20, ratings=r).where("uid = 1").collect()
+    assert not ({t.rid for t in top_ex} & {0, 1, 2, 3, 4})
+
+
+def test_grid_search_best_first(spark):
+    from ratingflow.operators import model
+    from ratingflow.sources import fixtures as fx
+    r = fx.ratings(spark, "/root/testdata/sf0.001")
+    grid = model.grid_search(spark, r, ranks=(2, 4), regs=(1.0, 0.01), max_iter=2)
+    rows = grid.collect()
+    assert len(rows) == 4 and rows[0].rmse == min(x.rmse for x in rows)
+    assert model.best_params(grid).first().rmse == rows[0].rmse
