@@ -76,19 +76,28 @@ def candidates(batch: DataFrame, history: DataFrame, edges: DataFrame, k: int =
     return ranked.select("uid", "mid", "pos", "rid", "r")
 
 
+def score_pairs(cands: DataFrame, recent: DataFrame) -> DataFrame:
+    """(uid, mid, rid, rmid, score): every candidate of a message with every
+    recent rating of its user (<= cand_k * recent_k rows per message)."""
+    c = cands.select("uid", "mid", "rid")
+    rc = recent.select("uid", F.col("mid").alias("rmid"), "score")
+    return c.join(rc, "uid")
+
+
 def scores(cands: DataFrame, recent: DataFrame, edges: DataFrame, threshold: float = 0.6,
-           like_above: float = 3.0) -> DataFrame:
+           like_above: float = 3.0, pairs: DataFrame | None = None) -> DataFrame:
     """(uid, mid, rid, score) for candidates with at least one recent rating
     whose similarity to the candidate is above ``threshold``.
 
-    Joins: candidates x recent on uid (<= cand_k * recent_k rows per
-    message), then the edge candidate -> recent movie on the pair key.
+    Joins: candidates x recent on uid, then the edge candidate -> recent
+    movie on the pair key.  ``pairs`` may carry a precomputed (possibly
+    broadcast-hinted) ``score_pairs`` result.
     """
-    c = cands.select("uid", "mid", "rid")
-    rc = recent.select("uid", F.col("mid").alias("rmid"), "score")
     e = edges.select(F.col("mid").alias("rid"), F.col("rid").alias("rmid"),
                      F.col("r").alias("sim")).where(F.col("sim") > threshold)
-    j = c.join(rc, "uid").join(e, ["rid", "rmid"])
+    if pairs is None:
+        pairs = score_pairs(cands, recent)
+    j = pairs.join(e, ["rid", "rmid"])
     s = F.col("score")
     agg = j.groupBy("uid", "mid", "rid").agg(
         F.avg(F.col("sim") * s).alias("base"),
@@ -119,11 +128,21 @@ def replace_by_key(old: DataFrame, new: DataFrame, key: str | Sequence[str] = "u
 
 
 def rescore(batch: DataFrame, history: DataFrame, edges: DataFrame, *, recent_k: int = 20,
-            cand_k: int = 20, threshold: float = 0.6, like_above: float = 3.0) -> DataFrame:
-    """Steps 1-4 for one batch of messages: (uid, recs)."""
+            cand_k: int = 20, threshold: float = 0.6, like_above: float = 3.0,
+            pairs_hook=None) -> DataFrame:
+    """Steps 1-4 for one batch of messages: (uid, recs).
+
+    ``pairs_hook(df) -> df`` may materialise / broadcast the per-batch
+    (candidate, recent) pair set before it meets the edge table.
+    """
     latest = latest_per_user(batch)
     users = latest.select("uid")
-    recent = recent_ratings(history.join(users, "uid", "left_semi"), recent_k)
-    cands = candidates(latest, history, edges, cand_k)
-    scored = scores(cands, recent, edges, threshold, like_above).select("uid", "rid", "score")
+    user_history = history.join(users, "uid", "left_semi")
+    recent = recent_ratings(user_history, recent_k)
+    cands = candidates(latest, user_history, edges, cand_k)
+    pairs = score_pairs(cands, recent)
+    if pairs_hook is not None:
+        pairs = pairs_hook(pairs)
+    scored = scores(cands, recent, edges, threshold, like_above, pairs=pairs) \
+        .select("uid", "rid", "score")
     return to_recs(latest, scored)

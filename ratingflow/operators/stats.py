@@ -47,9 +47,9 @@ def genre_candidates(spark: SparkSession, movies_avg: DataFrame, genres: Iterabl
     The genre list is a caller parameter of fixed size, so it is the
     broadcast side of a nested-loop join; the movie side streams.
     """
-    g = F.broadcast(genre_table(spark, genres))
-    return g.join(movies_avg, F.lower(movies_avg["genres"]).contains(F.lower(g["genre"]))) \
-        .select("genre", "mid", "avg")
+    g = F.broadcast(genre_table(spark, genres).select("genre", F.lower("genre").alias("_lg")))
+    m = movies_avg.select("mid", "avg", F.lower("genres").alias("_lm"))
+    return g.join(m, F.col("_lm").contains(F.col("_lg"))).select("genre", "mid", "avg")
 
 
 def genre_top_exploded(spark: SparkSession, movies_avg: DataFrame, genres: Iterable[str],

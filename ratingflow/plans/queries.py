@@ -286,7 +286,10 @@ _SCORED = """scored AS (
 
 
 def _stream_inputs(spark, sf):
-    return messages(spark, sf), fx.ratings(spark, sf), edges(spark, sf, STREAM_T)
+    """Messages, history and the similarity table.  The table is written
+    once (reliable checkpoint in the shared folder) and read by every
+    step, as the offline job's table is read by the stream."""
+    return messages(spark, sf), fx.ratings(spark, sf), edges(spark, sf, STREAM_T).checkpoint()
 
 
 @register("stream_candidates", with_(RATINGS, MESSAGES, VECTORS,

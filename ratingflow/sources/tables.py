@@ -27,8 +27,10 @@ def read_table(spark: SparkSession, path: str | None = None, schema: T.StructTyp
 
 def genre_table(spark: SparkSession, genres: Iterable[str]) -> DataFrame:
     """The genre list as a one-column DataFrame (size fixed by the caller's
-    parameter, so it is safe to broadcast)."""
-    return spark.createDataFrame([(g,) for g in genres], "genre string")
+    parameter, so it is safe to broadcast).  Built from literals, so it is
+    planned JVM-side (no Python round trip)."""
+    return spark.range(1).select(
+        F.explode(F.array(*[F.lit(str(g)) for g in genres])).alias("genre"))
 
 
 def to_edges(nested: DataFrame, key: str = "mid") -> DataFrame:

@@ -35,8 +35,10 @@ class RescoreHandler:
     """``foreachBatch`` function: re-score the users of each batch."""
 
     def __init__(self, history: DataFrame, edges: DataFrame, sink: KeyedLog,
-                 params: Params = Params(), with_string: bool = False):
+                 params: Params = Params(), with_string: bool = False,
+                 broadcast_rows: int = 2_000_000):
         self.history = history
+        self.broadcast_rows = broadcast_rows
         # the similarity table is static: keep it across batches (lineage
         # is a table scan, so a lost block is simply re-read)
         self.edges = edges.persist(StorageLevel.MEMORY_AND_DISK)
@@ -61,11 +63,31 @@ class RescoreHandler:
             history = self.history
             if p.append_history:
                 history = history.unionByName(msgs)
-            recs = rescore(msgs, history, self.edges, recent_k=p.recent_k, cand_k=p.cand_k,
-                           threshold=p.score_threshold, like_above=p.like_above)
-            if self.with_string:
-                recs = recs.withColumn("recs_string", recs_to_string("recs"))
-            self.sink.write_batch(recs, batch_id)
+            # the batch users' history is read once and reused for the
+            # recent lists and the rated-movie exclusion
+            users = msgs.select("uid").distinct()
+            user_history = history.join(users, "uid", "left_semi").persist(
+                StorageLevel.MEMORY_AND_DISK)
+            held = [user_history]
+
+            def pairs_hook(pairs: DataFrame) -> DataFrame:
+                # (candidate, recent) pairs are bounded by batch users x
+                # cand_k x recent_k; counted, and broadcast only under the
+                # bound, so the large edge table is scanned, not shuffled
+                pairs = pairs.persist(StorageLevel.MEMORY_AND_DISK)
+                held.append(pairs)
+                return F.broadcast(pairs) if pairs.count() <= self.broadcast_rows else pairs
+
+            try:
+                recs = rescore(msgs, user_history, self.edges, recent_k=p.recent_k,
+                               cand_k=p.cand_k, threshold=p.score_threshold,
+                               like_above=p.like_above, pairs_hook=pairs_hook)
+                if self.with_string:
+                    recs = recs.withColumn("recs_string", recs_to_string("recs"))
+                self.sink.write_batch(recs, batch_id)
+            finally:
+                for df in held:
+                    df.unpersist()
         finally:
             raw.unpersist()
 
