@@ -472,3 +472,34 @@ def als_grid_search(spark, sf):
     from ratingflow.operators.model import grid_search
     return grid_search(spark, fx.ratings(spark, sf), ranks=(4, 8), regs=(1.0, 0.1),
                        max_iter=3, seed=42)
+
+
+@register("stream_recent_state", with_(MESSAGES) + """
+SELECT uid, pos, mid, score, "timestamp" FROM (
+  SELECT uid, mid, score, "timestamp",
+         CAST(row_number() OVER (PARTITION BY uid ORDER BY "timestamp" DESC, mid ASC, score ASC)
+              AS INTEGER) AS pos
+  FROM messages) WHERE pos <= 20""")
+def stream_recent_state(spark, sf):
+    """Recent lists kept as stream state over two micro-batches of the
+    rating messages (restart from the checkpoint in between)."""
+    from ratingflow.session import scratch_path
+    from ratingflow.sinks.tables import KeyedLog
+    from ratingflow.streaming.recent_state import recent_lists
+    from ratingflow.streaming.recommender import parse_messages
+
+    base = scratch_path(spark, "recent-state")
+    msgs = messages(spark, sf)
+    split = _split_ts(msgs)
+    text = msgs.select(F.concat_ws("|", "uid", "mid", "score", "timestamp").alias("value"),
+                       "timestamp")
+    sink = KeyedLog(f"{base}/recent", key="uid")
+    for part in (F.col("timestamp") < split, F.col("timestamp") >= split):
+        text.where(part).select("value").write.mode("append").text(f"{base}/in")
+        stream = parse_messages(spark.readStream.format("text").load(f"{base}/in"))
+        q = (recent_lists(stream, k=20).writeStream.outputMode("update")
+             .foreachBatch(lambda df, bid: sink.write_batch(df, bid))
+             .option("checkpointLocation", f"{base}/checkpoint")
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+    return sink.current_rows(spark).select("uid", "pos", "mid", "score", "timestamp")

@@ -64,6 +64,13 @@ class KeyedLog:
         newest = F.max_by(F.struct(*value_cols), F.col("batch_id")).alias("_v")
         return log.groupBy(*self.keys).agg(newest).select(*self.keys, "_v.*")
 
+    def current_rows(self, spark: SparkSession) -> DataFrame:
+        """For keys stored as several rows per batch (e.g. a list
+        exploded): all rows of each key's newest batch."""
+        log = self.read_log(spark)
+        newest = log.groupBy(*self.keys).agg(F.max("batch_id").alias("batch_id"))
+        return log.join(newest, [*self.keys, "batch_id"], "left_semi")
+
     def compact(self, spark: SparkSession, snapshot_path: str) -> DataFrame:
         """Write the current state as a snapshot table and return it."""
         write_table(self.current(spark), snapshot_path, self.fmt)
