@@ -7,7 +7,7 @@ semantic decision says otherwise (see README, "Semantic decisions").
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 # --- fixed values (must equal the reference for equal results) -------------
 # Genre list of the statistics job, in the reference's order; the reference
@@ -62,8 +62,6 @@ class Params:
     # streaming
     trigger_seconds: int = 2
     append_history: bool = False
-    field_sep: str = ","
-    extra: dict = field(default_factory=dict)
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)

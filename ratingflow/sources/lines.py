@@ -8,7 +8,8 @@ Modes
 -----
 strict  (default) a short line or a bad number fails the job
 drop    such lines are dropped (``get`` + ``try_cast``)
-quoted  the CSV reader with quote handling (only via ``read_lines``)
+quoted  the CSV reader with quote handling (only via ``read_lines``);
+        extra fields ignored, incomplete rows dropped
 
 All parsers take a DataFrame with one string column ``value`` (what
 ``spark.read.text`` returns), so they work the same on files and on lines
@@ -83,6 +84,12 @@ def read_lines(spark: SparkSession, path: str, kind: str, sep: str = ",",
                mode: str = "strict") -> DataFrame:
     """Read a delimited file of ``kind`` in {'movie','rating','tag'}."""
     if mode == "quoted":
-        return (spark.read.schema(_SCHEMAS[kind]).option("sep", sep)
-                .option("quote", '"').option("mode", "DROPMALFORMED").csv(path))
+        # PERMISSIVE ignores extra fields (as the naive split does); rows
+        # with a missing or bad field come back with nulls and are dropped
+        schema = _SCHEMAS[kind]
+        df = (spark.read.schema(schema).option("sep", sep).option("quote", '"')
+              .option("mode", "PERMISSIVE").csv(path))
+        if kind == "movie":
+            df = df.select(*[F.trim(c).alias(c) if c != "mid" else F.col(c) for c in df.columns])
+        return df.dropna(subset=[f.name for f in schema.fields])
     return _PARSERS[kind](spark.read.text(path), sep=sep, mode=mode)

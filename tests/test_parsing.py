@@ -39,6 +39,13 @@ def test_comma_in_title_quoted(spark, tmp_path):
     assert row.name == "Father, Part II (1995)" and row.genres == "Comedy"
 
 
+def test_quoted_mode_extra_and_short_lines(spark, tmp_path):
+    p = tmp_path / "r.csv"
+    p.write_text('1,31,2.5,1260759144,x\n5,6\n"7",8,1.0,9\n')
+    rows = sorted(tuple(r) for r in read_lines(spark, str(p), "rating", mode="quoted").collect())
+    assert rows == [(1, 31, 2.5, 1260759144), (7, 8, 1.0, 9)]
+
+
 def test_short_line_strict_fails(spark):
     with pytest.raises(PySparkException):
         parse_movie_lines(lines(spark, "5,Heat")).collect()
