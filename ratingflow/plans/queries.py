@@ -439,10 +439,16 @@ def stream_rescoring(spark, sf):
 
 # ---------------------------------------------------------------- ALS
 # Factor values depend on the solver (partitioning, float order): no value
-# oracle, the driver checks rows only.  Small settings keep the check fast;
-# the jobs use Params (rank 50, 10 iterations, reg 0.01).
+# oracle, the driver checks rows only.  Settings are the jobs' defaults
+# (rank 50, 10 iterations, reg 0.01, seed 42; grid 5 ranks x 3 regs).
+
+def _als_params():
+    from ratingflow.params import Params
+    p = Params()
+    return dict(rank=p.rank, max_iter=p.max_iter, reg=p.reg, seed=p.seed)
 
-ALS_CHECK = dict(rank=10, max_iter=5, reg=0.1, seed=42)
+
+ALS_CHECK = _als_params()
 
 
 @register("als_user_topk")
@@ -470,8 +476,10 @@ def als_rmse(spark, sf):
 @register("als_grid_search")
 def als_grid_search(spark, sf):
     from ratingflow.operators.model import grid_search
-    return grid_search(spark, fx.ratings(spark, sf), ranks=(4, 8), regs=(1.0, 0.1),
-                       max_iter=3, seed=42)
+    from ratingflow.params import Params
+    p = Params()
+    return grid_search(spark, fx.ratings(spark, sf), ranks=p.grid_ranks, regs=p.grid_regs,
+                       max_iter=p.grid_iter, seed=p.seed, holdout=p.holdout)
 
 
 @register("stream_recent_state", with_(MESSAGES) + """
