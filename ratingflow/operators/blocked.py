@@ -36,10 +36,20 @@ from ratingflow.operators.topk import top_k
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def n_blocks(df: DataFrame, block_rows: int) -> int:
-    """Number of blocks so that each holds about ``block_rows`` rows."""
+MIN_BLOCK_ROWS = 64
+
+
+def n_blocks(df: DataFrame, block_rows: int, pairs_per_block: int = 2) -> int:
+    """Number of blocks so that each holds at most about ``block_rows``
+    rows.  Small inputs still get enough blocks for the cluster's task
+    slots (``nb^2 / pairs_per_block`` >= default parallelism) as long as a
+    block keeps at least MIN_BLOCK_ROWS rows; large inputs are sized by
+    ``block_rows`` alone."""
     n = df.count()
-    return max(1, math.ceil(n / max(1, block_rows)))
+    by_size = math.ceil(n / max(1, block_rows))
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    by_slots = min(math.ceil(math.sqrt(pairs_per_block * slots)), math.ceil(n / MIN_BLOCK_ROWS))
+    return max(1, by_size, by_slots)
 
 
 def block_of(id_col: str, nb: int) -> Column:
@@ -140,8 +150,8 @@ def top_k_candidates(left: DataFrame, right: DataFrame, k: int, block_rows: int
         lcols.append(F.col(extra_k))
     lv = left.select(*lcols)
     rv = right.select(F.col(right_id).alias("id_r"), F.col(vec_col).alias("v_r"))
-    nbl = n_blocks(lv, block_rows)
-    nbr = n_blocks(rv, block_rows)
+    nbl = n_blocks(lv, block_rows, pairs_per_block=1)
+    nbr = n_blocks(rv, block_rows, pairs_per_block=1)
     lb = lv.select(block_of("id", nbl).alias("bl"),
                    F.explode(F.sequence(F.lit(0), F.lit(nbr - 1))).alias("br"), "*")
     rb = rv.select(F.explode(F.sequence(F.lit(0), F.lit(nbl - 1))).alias("bl"),
