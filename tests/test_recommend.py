@@ -2,8 +2,6 @@
 
 import math
 
-import pytest
-from pyspark.sql import functions as F
 
 from ratingflow.operators import recommend as R
 
@@ -131,9 +129,7 @@ def test_recs_to_string(spark):
     assert df.select(recs_to_string("recs")).first()[0] == "22:4.5|45:3.8"
 
 
-@pytest.mark.parametrize("n", [0])
-def test_empty_batch_has_no_rows(spark, n):
+def test_empty_batch_has_no_rows(spark):
     hist, edges = _setup(spark)
     batch = spark.createDataFrame([], MSG)
-    assert R.rescore(batch, hist, edges).count() == n
-    assert F is not None
+    assert R.rescore(batch, hist, edges).count() == 0
