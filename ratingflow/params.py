@@ -56,12 +56,14 @@ class Params:
     grid_iter: int = 5
     holdout: float = 0.0        # 0 = in-sample RMSE as in the reference
     exclude_rated: bool = False  # drop already-rated movies from ALS top-k
+    als_blocks: int | None = None  # ALS user/item blocks (None: Spark's default)
     # blocked vector products: rows per block (memory of one block pair
     # is about block_rows^2 * 8 bytes)
     block_rows: int = 2048
     # streaming
     trigger_seconds: int = 2
     append_history: bool = False
+    history_buckets: int | None = None  # history partitioned by hash(uid) bucket
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)

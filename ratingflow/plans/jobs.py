@@ -110,7 +110,7 @@ def offline_job(spark: SparkSession, ratings: DataFrame, movies: DataFrame, stor
     table (cosine of item factors > threshold, every edge kept)."""
     r = ratings.select("uid", "mid", "score").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        m = model.fit(r, params.rank, params.max_iter, params.reg, params.seed)
+        m = model.fit(r, params.rank, params.max_iter, params.reg, params.seed, params.als_blocks)
         top = model.model_user_top_k(m, movies, params.user_k,
                                      ratings=r if params.exclude_rated else None,
                                      block_rows=params.block_rows)
@@ -141,9 +141,10 @@ def rescoring_job(spark: SparkSession, messages: DataFrame, history: DataFrame,
     """Structured Streaming job: ``messages`` is the streaming DataFrame
     of the rating topic (column ``value``), ``movie_recs`` the nested
     similarity table written by ``offline_job``."""
-    handler = RescoreHandler(history.select("uid", "mid", "score", "timestamp"),
-                             to_edges(movie_recs), KeyedLog(sink_path, "uid"), params,
-                             with_string=True)
+    keep = ["uid", "mid", "score", "timestamp"] + (["ub"] if params.history_buckets else [])
+    handler = RescoreHandler(history.select(*keep), to_edges(movie_recs),
+                             KeyedLog(sink_path, "uid"), params, with_string=True,
+                             history_buckets=params.history_buckets)
     return start_rescoring(spark, messages, handler, checkpoint, available_now,
                            params.trigger_seconds)
 

@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ratingflow.functions.scalar import parse_message_fields, recs_to_string
 from ratingflow.operators.recommend import rescore
 from ratingflow.params import Params
-from ratingflow.sinks.tables import KeyedLog
+from ratingflow.sinks.tables import KeyedLog, user_bucket
 
 
 def parse_messages(df: DataFrame, value_col: str = "value", strict: bool = False) -> DataFrame:
@@ -36,9 +36,13 @@ class RescoreHandler:
 
     def __init__(self, history: DataFrame, edges: DataFrame, sink: KeyedLog,
                  params: Params = Params(), with_string: bool = False,
-                 broadcast_rows: int = 2_000_000):
+                 broadcast_rows: int = 2_000_000, history_buckets: int | None = None):
+        """``history_buckets``: the history is partitioned by
+        ``ub = user_bucket(uid, history_buckets)`` (``write_bucketed_history``);
+        each batch then reads only its users' partitions."""
         self.history = history
         self.broadcast_rows = broadcast_rows
+        self.history_buckets = history_buckets
         # the similarity table is static: keep it across batches (lineage
         # is a table scan, so a lost block is simply re-read)
         self.edges = edges.persist(StorageLevel.MEMORY_AND_DISK)
@@ -60,7 +64,7 @@ class RescoreHandler:
             msgs = parsed.where(ok)
             if n_ok == 0:
                 return
-            history = self.history
+            history = self._history_for(msgs)
             if p.append_history:
                 history = history.unionByName(msgs)
             # the batch users' history is read once and reused for the
@@ -92,6 +96,16 @@ class RescoreHandler:
             raw.unpersist()
 
 
+    def _history_for(self, msgs: DataFrame) -> DataFrame:
+        cols = ["uid", "mid", "score", "timestamp"]
+        if not self.history_buckets:
+            return self.history.select(*cols)
+        # the set of buckets is bounded by history_buckets: a small list
+        # to the driver that becomes a partition filter at the scan
+        buckets = sorted(r[0] for r in msgs.select(
+            user_bucket("uid", self.history_buckets).alias("ub")).distinct().collect())
+        return self.history.where(F.col("ub").isin(buckets)).select(*cols)
+
     def close(self) -> None:
         self.edges.unpersist()
 

@@ -83,3 +83,25 @@ def test_log_cleaning_job_runs_and_stops(spark, tmp_path):
         q.stop()
     out = spark.read.parquet(str(tmp_path / "out")).collect()
     assert [(r.key, r.value) for r in out] == [("logProcessor", "1|2|3.0|4")]
+
+
+def test_bucketed_history_prunes_and_matches(spark, tmp_path):
+    from ratingflow.operators.similarity import item_similarity
+    from ratingflow.sinks.tables import write_bucketed_history
+    hist = fx.ratings(spark, SF)
+    write_bucketed_history(hist, str(tmp_path / "hist"), n_buckets=16)
+    bucketed = spark.read.parquet(str(tmp_path / "hist"))
+    edges = item_similarity(fx.item_vectors(spark, SF), 0.2)
+    msgs = spark.createDataFrame([("1|10|4.0|100",), ("2|11|3.0|100",)], "value string")
+    out = {}
+    for name, h, nb in (("plain", hist, None), ("bucketed", bucketed, 16)):
+        sink = KeyedLog(str(tmp_path / name), "uid")
+        handler = RescoreHandler(h, edges, sink, Params(score_threshold=0.2), history_buckets=nb)
+        if nb:
+            plan = handler._history_for(spark.createDataFrame([(1, 10, 4.0, 100)],
+                                                              "uid int, mid int, score double, timestamp int"))
+            assert "PartitionFilters: [isnotnull(ub" in plan._jdf.queryExecution().executedPlan().toString()
+        handler(msgs, 0)
+        handler.close()
+        out[name] = sorted(map(tuple, sink.current(spark).drop("batch_id").collect()))
+    assert out["plain"] == out["bucketed"] and len(out["plain"]) == 2
