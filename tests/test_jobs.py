@@ -101,3 +101,28 @@ def test_rescoring_job_stream(spark, store, tmp_path):
     assert set(out) == {5, 7}
     for row in out.values():
         assert row.recs_string == "|".join(f"{x.rid}:{x.r}" for x in row.recs)
+
+
+def test_command_line_jobs(spark, tmp_path):
+    from ratingflow.__main__ import main
+    text = tmp_path / "text"
+    fx.movie_lines(spark, SF).write.text(str(text / "m"))
+    fx.rating_lines(spark, SF).write.text(str(text / "r"))
+    fx.tag_lines(spark, SF).write.text(str(text / "t"))
+    db = str(tmp_path / "db")
+    assert main(["load", "--db", db, "--movies", str(text / "m"), "--ratings", str(text / "r"),
+                 "--tags", str(text / "t")]) == 0
+    assert main(["statistics", "--db", db, "--genres", "red,small"]) == 0
+    assert main(["offline", "--db", db, "--rank", "4", "--iter", "2", "--threshold", "0.9"]) == 0
+    top = spark.read.parquet(db + "/" + jobs.GENRE_TOP)
+    assert {r.genres for r in top.collect()} == {"red", "small"}
+    assert spark.read.parquet(db + "/" + jobs.USER_RECS).count() == \
+        fx.ratings(spark, SF).select("uid").distinct().count()
+    # stream re-scoring from a file source, once
+    src = tmp_path / "msgs"
+    spark.createDataFrame([("1|10|4.0|100",)], "value string").write.text(str(src))
+    assert main(["rescore", "--db", db, "--source-format", "text", "--source-option",
+                 f"path={src}", "--sink", str(tmp_path / "recs"), "--checkpoint",
+                 str(tmp_path / "ck"), "--threshold", "0.9", "--available-now"]) == 0
+    from ratingflow.sinks.tables import KeyedLog
+    assert [r.uid for r in KeyedLog(str(tmp_path / "recs")).current(spark).collect()] == [1]
