@@ -2,20 +2,23 @@
 
 Exact all-pairs work (cosine similarity above a threshold, best-k dot
 products per row) cannot be pruned for dense vectors, so it is spread over
-*block pairs*:
+*block pairs*, as in a 2-D partitioned matrix product:
 
-* each side is split into ``nb`` hash blocks of about ``block_rows`` rows
-  (``pmod(xxhash64(id), nb)``: even sizes whatever the id distribution);
+* each side is split into hash blocks (``pmod(xxhash64(id), nb)``: even
+  sizes whatever the id distribution);
 * each row is replicated once per partner block (``explode(sequence)``),
   keyed by the block pair, so a plain equi-shuffle on the pair key brings
   the two blocks of a pair together - no cartesian product is planned;
-* ``cogroup(...).applyInPandas`` multiplies the two blocks with numpy
-  (one BLAS call per pair) and emits only what passes: pairs above the
-  threshold, or the best k per row.
-
-Memory per group is bounded by two blocks (2 x block_rows vectors) plus a
-block_rows^2 score matrix, independent of the data size.  Replication is
-N x nb rows per side - the same traffic as a blocked matrix product.
+* ``cogroup(...).applyInPandas`` multiplies the two blocks with numpy in
+  row chunks (bounded score matrix) and emits only what passes: pairs
+  above the threshold, or the best k per row.
+
+Block counts (``plan_pair_blocks``/``plan_self_blocks``): with nl x nr
+block pairs the shuffle moves N_right*nl + N_left*nr rows, and there
+should be about TASKS_PER_SLOT groups per task slot.  The volume is least
+for nl = sqrt(P*N_left/N_right), nr = P/nl; a block never exceeds
+``max_rows`` (memory of a group) and, when the count comes from the
+parallelism target, never drops below MIN_BLOCK_ROWS rows.
 """
 
 from __future__ import annotations
@@ -35,21 +38,37 @@ from ratingflow.operators.topk import top_k
 # executors do not need this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-
+TASKS_PER_SLOT = 4
 MIN_BLOCK_ROWS = 64
+MAX_BLOCK_ROWS = 1 << 16     # rows of one side in a group (64 MB at 128 doubles)
+CHUNK_CELLS = 1 << 22        # score-matrix cells per GEMM chunk (32 MB of doubles)
+
+
+def _slots(df: DataFrame) -> int:
+    return max(1, df.sparkSession.sparkContext.defaultParallelism)
+
 
+def _cap(by_parallelism: int, n: int, max_rows: int) -> int:
+    small = min(by_parallelism, max(1, math.ceil(n / MIN_BLOCK_ROWS)))
+    return max(1, small, math.ceil(n / max(1, max_rows)))
 
-def n_blocks(df: DataFrame, block_rows: int, pairs_per_block: int = 2) -> int:
-    """Number of blocks so that each holds at most about ``block_rows``
-    rows.  Small inputs still get enough blocks for the cluster's task
-    slots (``nb^2 / pairs_per_block`` >= default parallelism) as long as a
-    block keeps at least MIN_BLOCK_ROWS rows; large inputs are sized by
-    ``block_rows`` alone."""
-    n = df.count()
-    by_size = math.ceil(n / max(1, block_rows))
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    by_slots = min(math.ceil(math.sqrt(pairs_per_block * slots)), math.ceil(n / MIN_BLOCK_ROWS))
-    return max(1, by_size, by_slots)
+
+def plan_pair_blocks(n_left: int, n_right: int, slots: int,
+                     max_rows: int = MAX_BLOCK_ROWS) -> tuple[int, int]:
+    """(nl, nr) block counts for a left x right product."""
+    if n_left == 0 or n_right == 0:
+        return 1, 1
+    target = TASKS_PER_SLOT * slots
+    nl = max(1, round(math.sqrt(target * n_left / n_right)))
+    nr = max(1, math.ceil(target / nl))
+    return _cap(nl, n_left, max_rows), _cap(nr, n_right, max_rows)
+
+
+def plan_self_blocks(n: int, slots: int, max_rows: int = MAX_BLOCK_ROWS) -> int:
+    """nb for a symmetric product (nb(nb+1)/2 block pairs)."""
+    target = TASKS_PER_SLOT * slots
+    nb = math.ceil((math.sqrt(8 * target + 1) - 1) / 2)
+    return _cap(nb, n, max_rows)
 
 
 def block_of(id_col: str, nb: int) -> Column:
@@ -72,33 +91,48 @@ def _matrix(col: pd.Series) -> np.ndarray:
     return np.vstack([np.asarray(x, dtype=np.float64) for x in col])
 
 
+def _chunks(n_left: int, n_right: int):
+    """Row ranges of the left block so a chunk's score matrix stays under
+    CHUNK_CELLS cells."""
+    step = max(1, CHUNK_CELLS // max(1, n_right))
+    for lo in range(0, n_left, step):
+        yield lo, min(n_left, lo + step)
+
+
 def _cosine_pairs_fn(threshold: float):
     def fn(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if len(left) == 0 or len(right) == 0:
-            return pd.DataFrame({"mid": [], "rid": [], "r": []})
-        bi, bj = int(key[0]), int(key[1])
-        lid = left["id"].to_numpy()
-        rid = right["id_r"].to_numpy()
-        s = _matrix(left["v"]) @ _matrix(right["v_r"]).T
-        keep = s > threshold
-        if bi == bj:  # one block against itself: each unordered pair once
-            keep &= lid[:, None] < rid[None, :]
-        li, ri = np.nonzero(keep)
-        a, b, r = lid[li], rid[ri], s[li, ri]
-        # both directions of each undirected edge
-        return pd.DataFrame({"mid": np.concatenate([a, b]).astype(np.int32),
-                             "rid": np.concatenate([b, a]).astype(np.int32),
-                             "r": np.concatenate([r, r])})
+        out = {"mid": [], "rid": [], "r": []}
+        if len(left) and len(right):
+            same_block = int(key[0]) == int(key[1])
+            lid = left["id"].to_numpy()
+            rid = right["id_r"].to_numpy()
+            lm, rm = _matrix(left["v"]), _matrix(right["v_r"])
+            for lo, hi in _chunks(len(lid), len(rid)):
+                s = lm[lo:hi] @ rm.T
+                keep = s > threshold
+                if same_block:  # a block against itself: each unordered pair once
+                    keep &= lid[lo:hi, None] < rid[None, :]
+                li, ri = np.nonzero(keep)
+                a, b, r = lid[lo:hi][li], rid[ri], s[li, ri]
+                # both directions of each undirected edge
+                out["mid"] += [a, b]
+                out["rid"] += [b, a]
+                out["r"] += [r, r]
+        return pd.DataFrame({
+            "mid": np.concatenate(out["mid"]).astype(np.int32) if out["mid"] else np.zeros(0, np.int32),
+            "rid": np.concatenate(out["rid"]).astype(np.int32) if out["rid"] else np.zeros(0, np.int32),
+            "r": np.concatenate(out["r"]) if out["r"] else np.zeros(0)})
     return fn
 
 
 def cosine_edges(vectors: DataFrame, threshold: float, id_col: str = "mid",
-                 vec_col: str = "features", block_rows: int = 2048,
+                 vec_col: str = "features", block_rows: int = MAX_BLOCK_ROWS,
                  nb: int | None = None) -> DataFrame:
     """(mid, rid, r): every ordered pair of distinct ids whose cosine
-    similarity is strictly above ``threshold`` (both directions)."""
+    similarity is strictly above ``threshold`` (both directions).
+    ``block_rows`` caps the rows of one block."""
     unit = unit_vectors(vectors, id_col, vec_col)
-    nb = nb or n_blocks(unit, block_rows)
+    nb = nb or plan_self_blocks(unit.count(), _slots(unit), block_rows)
     b = unit.withColumn("b", block_of("id", nb))
     # a row of block b is the left side of pairs (b, j>=b) and the right
     # side of pairs (i<=b, b)
@@ -114,29 +148,37 @@ def cosine_edges(vectors: DataFrame, threshold: float, id_col: str = "mid",
 
 def _topk_fn(k: int, extra_col: str | None):
     def fn(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if len(left) == 0 or len(right) == 0:
-            return pd.DataFrame({"uid": [], "rid": [], "r": []})
-        lid = left["id"].to_numpy()
-        rid = right["id_r"].to_numpy()
-        s = _matrix(left["v"]) @ _matrix(right["v_r"]).T
-        s = np.where(np.isnan(s), -np.inf, s)
-        n = s.shape[1]
-        if extra_col is None:
-            kk = min(k, n)
-            kth = np.partition(s, n - kk, axis=1)[:, n - kk]
-        else:
-            kk = np.minimum(k + left[extra_col].fillna(0).to_numpy().astype(np.int64), n)
-            srt = np.sort(s, axis=1)
-            kth = srt[np.arange(len(lid)), n - kk]
-        # keep everything >= the k-th best score of the row, so ties at the
-        # boundary survive for the exact final ranking
-        li, ri = np.nonzero(s >= kth[:, None])
-        return pd.DataFrame({"uid": lid[li].astype(np.int32), "rid": rid[ri].astype(np.int32),
-                             "r": s[li, ri]})
+        parts = []
+        if len(left) and len(right):
+            lid = left["id"].to_numpy()
+            rid = right["id_r"].to_numpy()
+            lm, rm = _matrix(left["v"]), _matrix(right["v_r"])
+            n = len(rid)
+            extra = (left[extra_col].fillna(0).to_numpy().astype(np.int64)
+                     if extra_col is not None else None)
+            for lo, hi in _chunks(len(lid), n):
+                s = lm[lo:hi] @ rm.T
+                s = np.where(np.isnan(s), -np.inf, s)
+                if extra is None:
+                    kk = min(k, n)
+                    kth = np.partition(s, n - kk, axis=1)[:, n - kk]
+                else:
+                    kk = np.minimum(k + extra[lo:hi], n)
+                    kth = np.sort(s, axis=1)[np.arange(hi - lo), n - kk]
+                # keep everything >= the row's k-th best score, so ties at
+                # the boundary survive for the exact final ranking
+                li, ri = np.nonzero(s >= kth[:, None])
+                parts.append((lid[lo:hi][li], rid[ri], s[li, ri]))
+        if not parts:
+            return pd.DataFrame({"uid": np.zeros(0, np.int32), "rid": np.zeros(0, np.int32),
+                                 "r": np.zeros(0)})
+        return pd.DataFrame({"uid": np.concatenate([p[0] for p in parts]).astype(np.int32),
+                             "rid": np.concatenate([p[1] for p in parts]).astype(np.int32),
+                             "r": np.concatenate([p[2] for p in parts])})
     return fn
 
 
-def top_k_candidates(left: DataFrame, right: DataFrame, k: int, block_rows: int = 2048,
+def top_k_candidates(left: DataFrame, right: DataFrame, k: int, block_rows: int = MAX_BLOCK_ROWS,
                      left_id: str = "id", right_id: str = "id", vec_col: str = "features",
                      extra_k: str | None = None) -> DataFrame:
     """(uid, rid, r): a superset of each left row's ``k`` best right rows by
@@ -150,8 +192,7 @@ def top_k_candidates(left: DataFrame, right: DataFrame, k: int, block_rows: int
         lcols.append(F.col(extra_k))
     lv = left.select(*lcols)
     rv = right.select(F.col(right_id).alias("id_r"), F.col(vec_col).alias("v_r"))
-    nbl = n_blocks(lv, block_rows, pairs_per_block=1)
-    nbr = n_blocks(rv, block_rows, pairs_per_block=1)
+    nbl, nbr = plan_pair_blocks(lv.count(), rv.count(), _slots(lv), block_rows)
     lb = lv.select(block_of("id", nbl).alias("bl"),
                    F.explode(F.sequence(F.lit(0), F.lit(nbr - 1))).alias("br"), "*")
     rb = rv.select(F.explode(F.sequence(F.lit(0), F.lit(nbl - 1))).alias("bl"),
@@ -160,18 +201,19 @@ def top_k_candidates(left: DataFrame, right: DataFrame, k: int, block_rows: int
             .applyInPandas(_topk_fn(k, extra_k), "uid int, rid int, r double"))
 
 
-def top_k_products(left: DataFrame, right: DataFrame, k: int, block_rows: int = 2048,
+def top_k_products(left: DataFrame, right: DataFrame, k: int, block_rows: int = MAX_BLOCK_ROWS,
                    left_id: str = "id", right_id: str = "id",
                    vec_col: str = "features") -> DataFrame:
     """(uid, rid, r, pos): for every left row the ``k`` right rows with the
-    largest dot product (r desc, rid asc).  At most nb_right * k
-    candidates per row reach the final ranking."""
+    largest dot product (r desc, rid asc).  At most nr * k candidates per
+    row reach the final ranking (none to merge when nr = 1)."""
     cand = top_k_candidates(left, right, k, block_rows, left_id, right_id, vec_col)
     return top_k(cand, ["uid"], [F.col("r").desc(), F.col("rid").asc()], k)
 
 
 def top_k_products_excluding(left: DataFrame, right: DataFrame, exclude: DataFrame, k: int,
-                             block_rows: int = 2048, left_id: str = "id", right_id: str = "id",
+                             block_rows: int = MAX_BLOCK_ROWS, left_id: str = "id",
+                             right_id: str = "id",
                              vec_col: str = "features") -> DataFrame:
     """As ``top_k_products`` but skipping (uid, rid) pairs in ``exclude``.
 

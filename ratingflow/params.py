@@ -59,7 +59,7 @@ class Params:
     als_blocks: int | None = None  # ALS user/item blocks (None: Spark's default)
     # blocked vector products: rows per block (memory of one block pair
     # is about block_rows^2 * 8 bytes)
-    block_rows: int = 2048
+    block_rows: int = 1 << 16
     # streaming
     trigger_seconds: int = 2
     append_history: bool = False

@@ -134,3 +134,36 @@ def test_grid_search_best_first(spark):
     rows = grid.collect()
     assert len(rows) == 4 and rows[0].rmse == min(x.rmse for x in rows)
     assert model.best_params(grid).first().rmse == rows[0].rmse
+
+
+def test_chunked_block_products(spark, monkeypatch):
+    """Tiny GEMM chunks (captured when the block functions are pickled)."""
+    from ratingflow.operators import blocked
+    monkeypatch.setattr(blocked, "CHUNK_CELLS", 50)
+    x, ids, df = _vectors(spark, n=60, d=5, seed=7)
+    got = {(r.mid, r.rid) for r in cosine_edges(df, 0.25, block_rows=25).collect()}
+    norms = np.linalg.norm(x, axis=1)
+    want = {(ids[i], ids[j]) for i in range(60) for j in range(60)
+            if i != j and x[i] @ x[j] / (norms[i] * norms[j]) > 0.25}
+    assert got == want
+    rows = top_k_products(df.withColumnRenamed("mid", "uid"), df, 3, block_rows=25,
+                          left_id="uid", right_id="mid").collect()
+    for i in range(60):
+        s = x @ x[i]
+        want_i = [ids[j] for j in sorted(range(60), key=lambda j: (-s[j], ids[j]))[:3]]
+        assert [r.rid for r in sorted((r for r in rows if r.uid == ids[i]), key=lambda r: r.pos)] == want_i
+
+
+def test_block_planning():
+    from ratingflow.operators.blocked import plan_pair_blocks, plan_self_blocks
+    # 100M users x 1M items on 8000 slots: volume-optimal split, items not
+    # split more than needed
+    nl, nr = plan_pair_blocks(10**8, 10**6, 8000)
+    assert (nl, nr) == (1789, 18)
+    # memory cap wins over the parallelism target
+    nl, nr = plan_pair_blocks(10**9, 10**7, 8, max_rows=65536)
+    assert nl == 15259 and nr == 153
+    # small inputs: no block below MIN_BLOCK_ROWS rows from the target
+    assert plan_pair_blocks(100, 50, 8) == (2, 1)
+    assert plan_self_blocks(2000, 8) == 8 and plan_self_blocks(100, 8) == 2
+    assert plan_self_blocks(10**6, 8000) == 253
