@@ -100,7 +100,12 @@ def test_bucketed_history_prunes_and_matches(spark, tmp_path):
         if nb:
             plan = handler._history_for(spark.createDataFrame([(1, 10, 4.0, 100)],
                                                               "uid int, mid int, score double, timestamp int"))
-            assert "PartitionFilters: [isnotnull(ub" in plan._jdf.queryExecution().executedPlan().toString()
+            import contextlib
+            import io
+            buf = io.StringIO()
+            with contextlib.redirect_stdout(buf):
+                plan.explain()
+            assert "PartitionFilters: [isnotnull(ub" in buf.getvalue()
         handler(msgs, 0)
         handler.close()
         out[name] = sorted(map(tuple, sink.current(spark).drop("batch_id").collect()))
