@@ -315,9 +315,9 @@ def stream_scores(spark, sf):
     return s.select("uid", "mid", "rid", F.round("score", 6).alias("score"))
 
 
-def recs_summary(recs: DataFrame) -> DataFrame:
-    """(uid, n_recs, best_rid, best_r) of a (uid, recs) table."""
-    return recs.select("uid", F.size("recs").alias("n_recs"),
+def recs_summary(recs: DataFrame, *keep: str) -> DataFrame:
+    """(uid, keep..., n_recs, best_rid, best_r) of a (uid, recs) table."""
+    return recs.select("uid", *keep, F.size("recs").alias("n_recs"),
                        F.get("recs", 0)["rid"].alias("best_rid"),
                        F.round(F.get("recs", 0)["r"], 6).alias("best_r"))
 
@@ -432,9 +432,7 @@ def stream_rescoring(spark, sf):
                             available_now=True).awaitTermination()
     finally:
         handler.close()
-    return recs_summary(sink.current(spark)).join(
-        sink.current(spark).select("uid", "batch_id"), "uid") \
-        .select("uid", "batch_id", "n_recs", "best_rid", "best_r")
+    return recs_summary(sink.current(spark), "batch_id")
 
 
 # ---------------------------------------------------------------- ALS
