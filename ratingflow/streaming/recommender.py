@@ -36,8 +36,11 @@ class RescoreHandler:
 
     def __init__(self, history: DataFrame, edges: DataFrame, sink: KeyedLog,
                  params: Params = Params(), with_string: bool = False,
-                 broadcast_rows: int = 2_000_000, history_buckets: int | None = None):
-        """``history_buckets``: the history is partitioned by
+                 broadcast_rows: int = 500_000, history_buckets: int | None = None):
+        """``broadcast_rows``: bound for broadcasting a batch's (candidate,
+        recent) pairs (~40 bytes a row, so ~20 MB); above it the pair set
+        meets the edge table in a shuffle join.
+        ``history_buckets``: the history is partitioned by
         ``ub = user_bucket(uid, history_buckets)`` (``write_bucketed_history``);
         each batch then reads only its users' partitions."""
         self.history = history
@@ -95,7 +98,6 @@ class RescoreHandler:
         finally:
             raw.unpersist()
 
-
     def _history_for(self, msgs: DataFrame) -> DataFrame:
         cols = ["uid", "mid", "score", "timestamp"]
         if not self.history_buckets:

@@ -2,7 +2,6 @@
 
 import math
 
-
 from ratingflow.operators import recommend as R
 
 HIST = "uid int, mid int, score double, timestamp int"
