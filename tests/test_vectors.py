@@ -167,3 +167,23 @@ def test_block_planning():
     assert plan_pair_blocks(100, 50, 8) == (2, 1)
     assert plan_self_blocks(2000, 8) == 8 and plan_self_blocks(100, 8) == 2
     assert plan_self_blocks(10**6, 8000) == 253
+
+
+def test_blocked_user_top_k_agrees_with_spark_ml(spark):
+    """Same model: our blocked top-k vs ALSModel.recommendForAllUsers
+    (float32 there, float64 here: scores equal to ~1e-4)."""
+    from ratingflow.operators import model
+    from ratingflow.sources import fixtures as fx
+    r = fx.ratings(spark, "/root/testdata/sf0.001")
+    m = model.fit(r, rank=8, max_iter=4, reg=0.1)
+    ours = {}
+    for row in model.user_top_k(model.user_factors(m), model.item_factors(m), 10,
+                                block_rows=37).collect():
+        ours.setdefault(row.uid, []).append((row.pos, row.r))
+    ml = {row.uid: [x.rating for x in row.recommendations]
+          for row in m.recommendForAllUsers(10).collect()}
+    assert set(ours) == set(ml)
+    for uid, recs in ours.items():
+        got = [s for _, s in sorted(recs)]
+        assert len(got) == len(ml[uid]) == 10
+        assert max(abs(a - b) for a, b in zip(got, ml[uid])) < 1e-4
