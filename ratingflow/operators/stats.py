@@ -35,6 +35,24 @@ def average_score_by_movie(ratings: DataFrame) -> DataFrame:
     return ratings.groupBy("mid").agg(F.avg("score").alias("avg"))
 
 
+def movie_month_rollup(ratings: DataFrame) -> DataFrame:
+    """(yearmonth, mid, count, score_sum, score_n): one partial-aggregating
+    pass over the raw ratings from which every per-movie statistic rolls
+    up exactly (``per_movie_from_rollup``)."""
+    return (ratings.select("mid", "score", year_month("timestamp").alias("yearmonth"))
+            .groupBy("yearmonth", "mid")
+            .agg(F.count("mid").alias("count"), F.sum("score").alias("score_sum"),
+                 F.count("score").alias("score_n")))
+
+
+def per_movie_from_rollup(rollup: DataFrame) -> DataFrame:
+    """(mid, count, avg) from ``movie_month_rollup`` - the small table, not
+    the raw ratings, is aggregated again."""
+    return rollup.groupBy("mid").agg(
+        F.sum("count").alias("count"),
+        (F.sum("score_sum") / F.sum("score_n")).alias("avg"))
+
+
 def movies_with_average(movies: DataFrame, averages: DataFrame) -> DataFrame:
     """(mid, name, genres, avg): movies that have at least one rating."""
     return movies.join(averages, "mid", "inner")

@@ -84,24 +84,28 @@ def load_job(spark: SparkSession, movie_path: str, rating_path: str, tag_path: s
 
 def statistics_job(spark: SparkSession, ratings: DataFrame, movies: DataFrame, store: Store,
                    params: Params = Params()) -> None:
-    """Four statistics tables.  Ratings are read once (persisted) for the
-    four results; the per-movie average feeds both its table and the genre
-    ranking."""
+    """Four statistics tables from ONE pass over the raw ratings.
+
+    The (month, movie) rollup is the only aggregate of the raw table; the
+    per-movie counts and averages roll up from it (it has at most
+    movies x months rows), and the genre ranking reuses those averages.
+    Only the small rollup is persisted, never the raw ratings.
+    """
     set_time_zone(spark, params.time_zone)
-    r = ratings.select("uid", "mid", "score", "timestamp").persist(StorageLevel.MEMORY_AND_DISK)
+    r = ratings.select("uid", "mid", "score", "timestamp")
+    stats.register_views(spark, r)
+    rollup = stats.movie_month_rollup(r).persist(StorageLevel.MEMORY_AND_DISK)
+    per_movie = stats.per_movie_from_rollup(rollup).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        stats.register_views(spark, r)
-        store.write(stats.rating_count_by_movie(r), RATE_COUNT)
-        store.write(stats.rating_count_by_month(r), RATE_COUNT_MONTH)
-        avg = stats.average_score_by_movie(r).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            store.write(avg, AVG_SCORE)
-            mwa = stats.movies_with_average(movies.select("mid", "name", "genres"), avg)
-            store.write(stats.genre_top_movies(spark, mwa, params.genres, params.genre_k), GENRE_TOP)
-        finally:
-            avg.unpersist()
+        store.write(rollup.select("mid", "count", "yearmonth"), RATE_COUNT_MONTH)
+        store.write(per_movie.select("mid", "count"), RATE_COUNT)
+        avg = per_movie.select("mid", "avg")
+        store.write(avg, AVG_SCORE)
+        mwa = stats.movies_with_average(movies.select("mid", "name", "genres"), avg)
+        store.write(stats.genre_top_movies(spark, mwa, params.genres, params.genre_k), GENRE_TOP)
     finally:
-        r.unpersist()
+        per_movie.unpersist()
+        rollup.unpersist()
 
 
 def offline_job(spark: SparkSession, ratings: DataFrame, movies: DataFrame, store: Store,

@@ -86,3 +86,18 @@ def test_genre_top_brute_force(spark, movies, k):
         if hits:
             want[g] = [(i + 1, t[0]) for i, t in enumerate(hits)]
     assert {g: sorted(v) for g, v in got.items()} == want
+
+
+@SETTINGS
+@given(rows=ratings_st)
+def test_rollup_equals_direct_statistics(spark, rows):
+    rows = [(u, m, s, 1260759179 + t * 86400 * 40) for u, m, s, t in rows]  # several months
+    df = spark.createDataFrame(rows, HIST)
+    rollup = stats.movie_month_rollup(df)
+    monthly = sorted(map(tuple, rollup.select("mid", "count", "yearmonth").collect()))
+    assert monthly == sorted(map(tuple, stats.rating_count_by_month(df).collect()))
+    per_movie = {r.mid: (r["count"], r.avg) for r in stats.per_movie_from_rollup(rollup).collect()}
+    direct_n = {r.mid: r["count"] for r in stats.rating_count_by_movie(df).collect()}
+    direct_avg = {r.mid: r.avg for r in stats.average_score_by_movie(df).collect()}
+    assert {m: v[0] for m, v in per_movie.items()} == direct_n
+    assert {m: v[1] for m, v in per_movie.items()} == direct_avg   # half-star sums are exact
