@@ -111,18 +111,19 @@ def statistics_job(spark: SparkSession, ratings: DataFrame, movies: DataFrame, s
 def offline_job(spark: SparkSession, ratings: DataFrame, movies: DataFrame, store: Store,
                 params: Params = Params()) -> None:
     """ALS fit, per-user top-k over the catalogue, and the item similarity
-    table (cosine of item factors > threshold, every edge kept)."""
-    r = ratings.select("uid", "mid", "score").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        m = model.fit(r, params.rank, params.max_iter, params.reg, params.seed, params.als_blocks)
-        top = model.model_user_top_k(m, movies, params.user_k,
-                                     ratings=r if params.exclude_rated else None,
-                                     block_rows=params.block_rows)
-        store.write(nest(top, ["uid"], "pos", ["rid", "r"]), USER_RECS)
-        edges = model.model_item_similarity(m, params.sim_threshold, params.block_rows)
-        store.write(similarity.nest_edges(edges), MOVIE_RECS)
-    finally:
-        r.unpersist()
+    table (cosine of item factors > threshold, every edge kept).
+
+    The raw ratings are not cached here: ALS keeps its own blocked copy,
+    and the factors it returns are cached by the model for both uses.
+    """
+    r = ratings.select("uid", "mid", "score")
+    m = model.fit(r, params.rank, params.max_iter, params.reg, params.seed, params.als_blocks)
+    top = model.model_user_top_k(m, movies, params.user_k,
+                                 ratings=r if params.exclude_rated else None,
+                                 block_rows=params.block_rows)
+    store.write(nest(top, ["uid"], "pos", ["rid", "r"]), USER_RECS)
+    edges = model.model_item_similarity(m, params.sim_threshold, params.block_rows)
+    store.write(similarity.nest_edges(edges), MOVIE_RECS)
 
 
 def tuning_job(spark: SparkSession, ratings: DataFrame, params: Params = Params()) -> DataFrame:
