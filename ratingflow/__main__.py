@@ -48,6 +48,8 @@ def _parser() -> argparse.ArgumentParser:
         sp.add_argument(f"--{name}", required=True)
     sp.add_argument("--sep", default=",")
     sp.add_argument("--mode", default="strict", choices=["strict", "drop", "quoted"])
+    sp.add_argument("--history-buckets", type=int,
+                    help="partition Rating by hash(uid) bucket for the stream")
 
     sp = sub.add_parser("statistics")
     store_args(sp)
@@ -94,7 +96,8 @@ def main(argv=None) -> int:
     store = jobs.Store(args.db, args.format, _kv(args.option)) if hasattr(args, "db") else None
 
     if args.job == "load":
-        jobs.load_job(spark, args.movies, args.ratings, args.tags, store, sep=args.sep, mode=args.mode)
+        jobs.load_job(spark, args.movies, args.ratings, args.tags, store, sep=args.sep,
+                      mode=args.mode, history_buckets=args.history_buckets)
     elif args.job == "statistics":
         params = Params(time_zone=args.time_zone)
         if args.genres:

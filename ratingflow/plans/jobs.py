@@ -26,7 +26,9 @@ from ratingflow.operators import documents, model, similarity, stats
 from ratingflow.operators.topk import nest
 from ratingflow.params import Params
 from ratingflow.session import set_time_zone
-from ratingflow.sinks.tables import KeyedLog, write_search_documents, write_table
+from ratingflow.sinks.tables import (
+    KeyedLog, write_bucketed_history, write_search_documents, write_table,
+)
 from ratingflow.sources.lines import read_lines
 from ratingflow.sources.tables import read_table, to_edges
 from ratingflow.streaming.log_cleaner import start_log_cleaner
@@ -65,14 +67,19 @@ USER_RECS, MOVIE_RECS, STREAM_RECS = "UserRecommandation", "MovieRecommandation"
 
 def load_job(spark: SparkSession, movie_path: str, rating_path: str, tag_path: str,
              store: Store, docs: Store | None = None, sep: str = ",",
-             mode: str = "strict") -> None:
+             mode: str = "strict", history_buckets: int | None = None) -> None:
     """Parse the three text files, overwrite the three tables, and build
-    the search documents (movies with their '|'-joined distinct tags)."""
+    the search documents (movies with their '|'-joined distinct tags).
+    With ``history_buckets`` the Rating table is partitioned by user bucket
+    (``write_bucketed_history``) for the stream's per-batch pruning."""
     movies = read_lines(spark, movie_path, "movie", sep, mode)
     ratings = read_lines(spark, rating_path, "rating", sep, mode)
     tags = read_lines(spark, tag_path, "tag", sep, mode)
     store.write(movies, MOVIE)
-    store.write(ratings, RATING)
+    if history_buckets and store.path(RATING):
+        write_bucketed_history(ratings, store.path(RATING), history_buckets, store.fmt)
+    else:
+        store.write(ratings, RATING)
     store.write(tags, TAG)
     # documents from the written tables: the text is parsed once
     m = store.read(spark, MOVIE, schemas.MOVIE)

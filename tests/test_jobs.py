@@ -111,7 +111,8 @@ def test_command_line_jobs(spark, tmp_path):
     fx.tag_lines(spark, SF).write.text(str(text / "t"))
     db = str(tmp_path / "db")
     assert main(["load", "--db", db, "--movies", str(text / "m"), "--ratings", str(text / "r"),
-                 "--tags", str(text / "t")]) == 0
+                 "--tags", str(text / "t"), "--history-buckets", "8"]) == 0
+    assert "ub" in spark.read.parquet(db + "/" + jobs.RATING).columns
     assert main(["statistics", "--db", db, "--genres", "red,small"]) == 0
     assert main(["offline", "--db", db, "--rank", "4", "--iter", "2", "--threshold", "0.9"]) == 0
     top = spark.read.parquet(db + "/" + jobs.GENRE_TOP)
@@ -123,6 +124,7 @@ def test_command_line_jobs(spark, tmp_path):
     spark.createDataFrame([("1|10|4.0|100",)], "value string").write.text(str(src))
     assert main(["rescore", "--db", db, "--source-format", "text", "--source-option",
                  f"path={src}", "--sink", str(tmp_path / "recs"), "--checkpoint",
-                 str(tmp_path / "ck"), "--threshold", "0.9", "--available-now"]) == 0
+                 str(tmp_path / "ck"), "--threshold", "0.9", "--available-now",
+                 "--history-buckets", "8"]) == 0
     from ratingflow.sinks.tables import KeyedLog
     assert [r.uid for r in KeyedLog(str(tmp_path / "recs")).current(spark).collect()] == [1]
