@@ -101,3 +101,57 @@ def test_rollup_equals_direct_statistics(spark, rows):
     direct_avg = {r.mid: r.avg for r in stats.average_score_by_movie(df).collect()}
     assert {m: v[0] for m, v in per_movie.items()} == direct_n
     assert {m: v[1] for m, v in per_movie.items()} == direct_avg   # half-star sums are exact
+
+
+def _brute_rescore(history, edges, batch, k_recent, k_cand, t, like_above=3.0):
+    """The re-scoring rules of SURVEY §7 in plain Python."""
+    out = {}
+    for uid in {b[0] for b in batch}:
+        latest = max((b for b in batch if b[0] == uid), key=lambda b: (b[3], -b[1]))
+        mine = [h for h in history if h[0] == uid]
+        recent = sorted(mine, key=lambda h: (-h[3], h[1], h[2]))[:k_recent]
+        rated = {h[1] for h in mine}
+        sims = edges.get(latest[1], {})
+        cands = sorted(((r, c) for c, r in sims.items() if c not in rated), key=lambda x: (-x[0], x[1]))
+        scored = []
+        for _, c in cands[:k_cand]:
+            terms = [(edges.get(c, {}).get(m, 0.0), s) for _, m, s, _ in recent]
+            terms = [(sim, s) for sim, s in terms if sim > t]
+            if terms:
+                likes = sum(s > like_above for _, s in terms)
+                score = (sum(sim * s for sim, s in terms) / len(terms)
+                         + math.log2(max(likes, 1)) - math.log2(max(len(terms) - likes, 1)))
+                scored.append((c, score))
+        out[uid] = sorted(scored, key=lambda x: (-x[1], x[0]))
+    return out
+
+
+edge_st = st.dictionaries(st.tuples(st.integers(0, 9), st.integers(0, 9)),
+                          st.sampled_from([0.1, 0.35, 0.5, 0.61, 0.7, 0.85, 0.99]), max_size=50)
+
+
+@SETTINGS
+@given(history=st.lists(st.tuples(st.integers(0, 3), st.integers(0, 9),
+                                  st.sampled_from([1.0, 2.0, 3.0, 3.5, 4.5, 5.0]), st.integers(0, 9)),
+                        max_size=40),
+       edge_map=edge_st,
+       batch=st.lists(st.tuples(st.integers(0, 3), st.integers(0, 9), st.just(4.0), st.integers(0, 5)),
+                      min_size=1, max_size=6),
+       k_recent=st.integers(1, 6), k_cand=st.integers(1, 5))
+def test_rescore_brute_force(spark, history, edge_map, batch, k_recent, k_cand):
+    edges = {}
+    for (a, b), r in edge_map.items():
+        if a != b:
+            edges.setdefault(a, {})[b] = r
+    erows = [(a, b, r) for a, d in edges.items() for b, r in d.items()]
+    h = spark.createDataFrame(history, HIST)
+    e = spark.createDataFrame(erows, "mid int, rid int, r double")
+    b = spark.createDataFrame(batch, HIST)
+    got = {row.uid: [(x.rid, x.r) for x in row.recs]
+           for row in R.rescore(b, h, e, recent_k=k_recent, cand_k=k_cand, threshold=0.6).collect()}
+    want = _brute_rescore(history, edges, batch, k_recent, k_cand, 0.6)
+    assert set(got) == set(want)
+    for uid in want:
+        assert [c for c, _ in got[uid]] == [c for c, _ in want[uid]]
+        assert all(math.isclose(a, b, rel_tol=1e-12, abs_tol=1e-12)
+                   for (_, a), (_, b) in zip(got[uid], want[uid]))
