@@ -128,3 +128,14 @@ def test_command_line_jobs(spark, tmp_path):
                  "--history-buckets", "8"]) == 0
     from ratingflow.sinks.tables import KeyedLog
     assert [r.uid for r in KeyedLog(str(tmp_path / "recs")).current(spark).collect()] == [1]
+
+
+def test_store_with_per_table_options(spark, tmp_path):
+    """Connector-style store: no root path, each table named by options
+    (as a document-store connector takes a collection name)."""
+    st = jobs.Store(root=None, fmt="parquet",
+                    table_options={jobs.MOVIE: {"path": str(tmp_path / "coll_movie")}})
+    m = fx.movies(spark, SF)
+    st.write(m, jobs.MOVIE)
+    back = st.read(spark, jobs.MOVIE, schemas.MOVIE)
+    assert _same(back, m)
