@@ -51,11 +51,11 @@ class Store:
 
     def write(self, df: DataFrame, name: str) -> None:
         opts = {**self.options, **self.table_options.get(name, {})}
-        write_table(df, self.path(name), self.fmt, **opts)
+        write_table(df, self.path(name), self.fmt, options=opts)
 
     def read(self, spark: SparkSession, name: str, schema=None) -> DataFrame:
         opts = {**self.options, **self.table_options.get(name, {})}
-        return read_table(spark, self.path(name), schema, self.fmt, **opts)
+        return read_table(spark, self.path(name), schema, self.fmt, options=opts)
 
 
 # table names of the reference's store
@@ -86,7 +86,7 @@ def load_job(spark: SparkSession, movie_path: str, rating_path: str, tag_path: s
     t = store.read(spark, TAG, schemas.TAG)
     target = docs or Store(store.root and f"{store.root.rstrip('/')}/search", store.fmt)
     write_search_documents(documents.search_documents(m, t), target.path("Movie"), target.fmt,
-                           **target.options)
+                           target.options)
 
 
 def statistics_job(spark: SparkSession, ratings: DataFrame, movies: DataFrame, store: Store,

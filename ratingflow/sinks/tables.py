@@ -20,8 +20,11 @@ from pyspark.sql import functions as F
 
 
 def write_table(df: DataFrame, path: str | None = None, fmt: str = "parquet",
-                mode: str = "overwrite", partition_by: Sequence[str] = (), **options) -> None:
-    w = df.write.format(fmt).mode(mode).options(**options)
+                mode: str = "overwrite", partition_by: Sequence[str] = (),
+                options: dict | None = None, **more) -> None:
+    """Overwrite a table; ``options`` go to the data source (a connector
+    may name the table by option instead of ``path``)."""
+    w = df.write.format(fmt).mode(mode).options(**{**(options or {}), **more})
     if partition_by:
         w = w.partitionBy(*partition_by)
     if path is None:
@@ -31,12 +34,12 @@ def write_table(df: DataFrame, path: str | None = None, fmt: str = "parquet",
 
 
 def write_search_documents(docs: DataFrame, path: str | None = None, fmt: str = "parquet",
-                           **options) -> None:
+                           options: dict | None = None) -> None:
     """Search documents keyed by ``mid``: a repeated id keeps one row (the
     smallest name, then genres), so the index holds one document per id."""
     one = docs.groupBy("mid").agg(F.min(F.struct("name", "genres", "tags")).alias("d")) \
         .select("mid", "d.name", "d.genres", "d.tags")
-    write_table(one, path, fmt, **options)
+    write_table(one, path, fmt, options=options)
 
 
 def user_bucket(uid_col: str, n_buckets: int):

@@ -16,9 +16,10 @@ from pyspark.sql import types as T
 
 
 def read_table(spark: SparkSession, path: str | None = None, schema: T.StructType | None = None,
-               fmt: str = "parquet", **options) -> DataFrame:
-    """Scan a table and project/cast it to ``schema`` (if given)."""
-    reader = spark.read.format(fmt).options(**options)
+               fmt: str = "parquet", options: dict | None = None, **more) -> DataFrame:
+    """Scan a table and project/cast it to ``schema`` (if given);
+    ``options`` go to the data source."""
+    reader = spark.read.format(fmt).options(**{**(options or {}), **more})
     df = reader.load(path) if path is not None else reader.load()
     if schema is not None:
         df = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
