@@ -377,6 +377,7 @@ WHERE uid NOT IN (SELECT uid FROM recs1)"""
 def keyed_replace(spark, sf):
     from ratingflow.operators.recommend import replace_by_key, rescore
     msgs, hist, e = _stream_inputs(spark, sf)
+    msgs = msgs.checkpoint()  # read by the split and by both batches
     split = _split_ts(msgs)
     out = None
     for b, part in enumerate((msgs.where(F.col("timestamp") < split),
