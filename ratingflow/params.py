@@ -64,6 +64,7 @@ class Params:
     trigger_seconds: int = 2
     append_history: bool = False
     history_buckets: int | None = None  # history partitioned by hash(uid) bucket
+    compact_every: int | None = None    # snapshot the stream recs every N batches
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)

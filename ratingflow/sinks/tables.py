@@ -7,14 +7,16 @@
                   (overwrite of that partition only, so a replayed batch
                   is idempotent), and readers see the newest row per key
                   (merge on read).  ``compact`` folds the log into a
-                  snapshot.  The state is never rewritten per batch, so a
-                  batch costs its own size, not the table's.
+                  snapshot that later reads start from.  The state is
+                  never rewritten per batch, so a batch costs its own
+                  size, not the table's.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,10 +62,17 @@ def write_bucketed_history(history: DataFrame, path: str, n_buckets: int = 1024,
 
 
 class KeyedLog:
-    """Append-only keyed table: newest ``batch_id`` wins per key."""
+    """Append-only keyed table: newest ``batch_id`` wins per key.
+
+    Layout: ``{path}/batch_id=N/`` per micro-batch, and optional snapshots
+    ``{path}_snapshots/upto=N/`` written by ``compact``.  Readers take the
+    newest snapshot plus only the batch partitions after it (partition
+    pruning), so read cost stays bounded as the stream ages.
+    """
 
     def __init__(self, path: str, key: str | Sequence[str] = "uid", fmt: str = "parquet"):
         self.path = path.rstrip("/")
+        self.snapshots = self.path + "_snapshots"
         self.keys = [key] if isinstance(key, str) else list(key)
         self.fmt = fmt
 
@@ -76,22 +85,52 @@ class KeyedLog:
     def read_log(self, spark: SparkSession) -> DataFrame:
         return spark.read.format(self.fmt).load(self.path)
 
+    def _snapshot(self, spark: SparkSession):
+        """(upto, rows) of the newest snapshot, or (None, None)."""
+        try:
+            snaps = spark.read.format(self.fmt).load(self.snapshots)
+        except AnalysisException:
+            return None, None
+        upto = snaps.agg(F.max("upto")).first()[0]
+        if upto is None:
+            return None, None
+        rows = snaps.where(F.col("upto") == upto).drop("upto")
+        return int(upto), rows
+
+    def _live_rows(self, spark: SparkSession) -> DataFrame:
+        """Snapshot rows (carrying their own batch_id) + newer batches."""
+        upto, snap = self._snapshot(spark)
+        log = self.read_log(spark)
+        if upto is None:
+            return log
+        return snap.unionByName(log.where(F.col("batch_id") > upto))
+
     def current(self, spark: SparkSession) -> DataFrame:
         """Newest row per key, with the ``batch_id`` that wrote it.  A
         max_by aggregate: partial per task, so hot keys combine early."""
-        log = self.read_log(spark)
-        value_cols = [c for c in log.columns if c not in self.keys]
+        rows = self._live_rows(spark)
+        value_cols = [c for c in rows.columns if c not in self.keys]
         newest = F.max_by(F.struct(*value_cols), F.col("batch_id")).alias("_v")
-        return log.groupBy(*self.keys).agg(newest).select(*self.keys, "_v.*")
+        return rows.groupBy(*self.keys).agg(newest).select(*self.keys, "_v.*")
 
     def current_rows(self, spark: SparkSession) -> DataFrame:
         """For keys stored as several rows per batch (e.g. a list
         exploded): all rows of each key's newest batch."""
-        log = self.read_log(spark)
-        newest = log.groupBy(*self.keys).agg(F.max("batch_id").alias("batch_id"))
-        return log.join(newest, [*self.keys, "batch_id"], "left_semi")
-
-    def compact(self, spark: SparkSession, snapshot_path: str) -> DataFrame:
-        """Write the current state as a snapshot table and return it."""
-        write_table(self.current(spark), snapshot_path, self.fmt)
-        return spark.read.format(self.fmt).load(snapshot_path)
+        rows = self._live_rows(spark)
+        newest = rows.groupBy(*self.keys).agg(F.max("batch_id").alias("batch_id"))
+        return rows.join(newest, [*self.keys, "batch_id"], "left_semi")
+
+    def compact(self, spark: SparkSession) -> int | None:
+        """Fold the log into a snapshot tagged with the last folded batch id
+        and return that id.  Idempotent: re-running writes the same
+        snapshot.  Old batch partitions are no longer read and can be
+        expired by the storage's retention rules."""
+        upto = self.read_log(spark).agg(F.max("batch_id")).first()[0]
+        if upto is None:
+            return None
+        state = self.current(spark).where(F.col("batch_id") <= upto)
+        (state.withColumn("upto", F.lit(int(upto)).cast("long"))
+         .write.format(self.fmt).mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic")
+         .partitionBy("upto").save(self.snapshots))
+        return int(upto)

@@ -92,6 +92,8 @@ class RescoreHandler:
                 if self.with_string:
                     recs = recs.withColumn("recs_string", recs_to_string("recs"))
                 self.sink.write_batch(recs, batch_id)
+                if p.compact_every and batch_id > 0 and batch_id % p.compact_every == 0:
+                    self.sink.compact(recs.sparkSession)
             finally:
                 for df in held:
                     df.unpersist()

@@ -40,7 +40,7 @@ def _run(spark, tmp_path, handler_cls):
     hist = fx.ratings(spark, SF)
     edges = item_similarity(fx.item_vectors(spark, SF), 0.2)
     sink = KeyedLog(str(tmp_path / "recs"), "uid")
-    handler = handler_cls(hist, edges, sink, Params(score_threshold=0.2))
+    handler = handler_cls(hist, edges, sink, Params(score_threshold=0.2, compact_every=1))
     src = tmp_path / "in"
     batches = [["1|10|4.0|100", "2|11|3.0|100"], ["1|12|5.0|200", "3|13|1.0|200"]]
     for i, msgs in enumerate(batches):
