@@ -45,7 +45,12 @@ CHUNK_CELLS = 1 << 22        # score-matrix cells per GEMM chunk (32 MB of doubl
 
 
 def _slots(df: DataFrame) -> int:
-    return max(1, df.sparkSession.sparkContext.defaultParallelism)
+    """Task slots of the cluster (default parallelism)."""
+    spark = df.sparkSession
+    try:
+        return max(1, spark.sparkContext.defaultParallelism)
+    except Exception:  # e.g. a Spark Connect session has no SparkContext
+        return max(1, int(spark.conf.get("spark.default.parallelism", "8")))
 
 
 def _cap(by_parallelism: int, n: int, max_rows: int) -> int:

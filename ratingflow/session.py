@@ -42,7 +42,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not path:
         path = tempfile.mkdtemp(prefix="ratingflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server side owns the context
+        return path
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
