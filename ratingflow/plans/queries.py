@@ -73,6 +73,14 @@ def average_score_by_movie(spark, sf):
     return stats.average_score_by_movie(fx.ratings(spark, sf))
 
 
+@register("movie_stats_rollup", with_(RATINGS) + """
+SELECT mid, count(mid) AS count, avg(score) AS avg FROM ratings GROUP BY mid""")
+def movie_stats_rollup(spark, sf):
+    """The statistics job's path: per-movie count and average rolled up
+    from the single (month, movie) aggregate of the raw ratings."""
+    return stats.per_movie_from_rollup(stats.movie_month_rollup(fx.ratings(spark, sf)))
+
+
 _MWA = """mwa AS (
   SELECT m.mid, m.name, m.genres, a.avg
   FROM movies m JOIN (SELECT mid, avg(score) AS avg FROM ratings GROUP BY mid) a ON m.mid = a.mid)"""
