@@ -148,3 +148,16 @@ def test_keyed_log_compaction(spark, tmp_path):
     # a replayed old batch after compaction does not resurrect old values
     log.write_batch(spark.createDataFrame([(2, "c")], schema), 1)
     assert sorted((r.uid, r.v) for r in log.current(spark).collect()) == [(1, "d"), (2, "c"), (3, "e")]
+
+
+def test_tag_documents_semantics(spark):
+    from ratingflow.operators.documents import search_documents
+    movies = spark.createDataFrame([(260, "Star Wars", "Sci-Fi"), (64957, "Button", "Drama"),
+                                    (1, "Toy Story", "Animation")], "mid int, name string, genres string")
+    tags = spark.createDataFrame([
+        (15, 260, "Science Fiction", 1), (20, 260, "Science Fiction", 2),
+        (21, 260, "science fiction", 3), (15, 64957, "original plot", 4),
+        (16, 64957, "original plot", 5), (16, 64957, "Brad Pitt", 6)],
+        "uid int, mid int, tag string, timestamp int")
+    docs = {r.mid: r.tags for r in search_documents(movies, tags).collect()}
+    assert docs == {260: "Science Fiction|science fiction", 64957: "Brad Pitt|original plot", 1: None}
