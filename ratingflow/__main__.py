@@ -65,6 +65,7 @@ def _parser() -> argparse.ArgumentParser:
         sp.add_argument("--threshold", type=float, default=Params.sim_threshold)
         sp.add_argument("--als-blocks", type=int)
         sp.add_argument("--holdout", type=float, default=0.0)
+        sp.add_argument("--grid-parallelism", type=int, default=1)
 
     sp = sub.add_parser("clean-log")
     for side in ("source", "sink"):
@@ -107,7 +108,7 @@ def main(argv=None) -> int:
     elif args.job in ("offline", "tune"):
         params = Params(rank=args.rank, max_iter=args.iter, reg=args.reg,
                         sim_threshold=args.threshold, als_blocks=args.als_blocks,
-                        holdout=args.holdout)
+                        holdout=args.holdout, grid_parallelism=args.grid_parallelism)
         ratings = store.read(spark, jobs.RATING, schemas.RATING)
         if args.job == "offline":
             jobs.offline_job(spark, ratings, store.read(spark, jobs.MOVIE, schemas.MOVIE), store, params)

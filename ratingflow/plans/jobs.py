@@ -137,7 +137,8 @@ def tuning_job(spark: SparkSession, ratings: DataFrame, params: Params = Params(
     """(rank, reg, rmse) of the grid, best first; ``model.best_params``
     picks the winning row."""
     return model.grid_search(spark, ratings, params.grid_ranks, params.grid_regs,
-                             params.grid_iter, params.seed, params.holdout)
+                             params.grid_iter, params.seed, params.holdout,
+                             params.grid_parallelism)
 
 
 def log_cleaning_job(spark: SparkSession, source_format: str, source_options: dict,

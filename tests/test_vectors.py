@@ -134,6 +134,10 @@ def test_grid_search_best_first(spark):
     rows = grid.collect()
     assert len(rows) == 4 and rows[0].rmse == min(x.rmse for x in rows)
     assert model.best_params(grid).first().rmse == rows[0].rmse
+    # fits submitted from a thread pool give the same grid
+    par = model.grid_search(spark, r, ranks=(2, 4), regs=(1.0, 0.01), max_iter=2, parallelism=3)
+    assert [(x.rank, x.reg, round(x.rmse, 9)) for x in par.collect()] == \
+        [(x.rank, x.reg, round(x.rmse, 9)) for x in rows]
 
 
 def test_chunked_block_products(spark, monkeypatch):
