@@ -17,9 +17,8 @@ from pyspark.sql import functions as F
 
 from ratingflow.functions.scalar import log_payload, parse_message_fields
 from ratingflow.operators import documents, evaluate, stats
-from ratingflow.operators.topk import top_k
 from ratingflow.plans.oracle import (
-    LOGLINES, MESSAGES, MOVIES, PAYLOADS, RATINGS, TAGS, VECTORS, with_,
+    MESSAGES, MOVIES, PAYLOADS, RATINGS, TAGS, VECTORS, with_,
 )
 from ratingflow.sources import fixtures as fx
 from ratingflow.sources.lines import parse_movie_lines, parse_rating_lines, parse_tag_lines
@@ -204,7 +203,6 @@ def rmse_of_movie_mean(spark, sf):
     return out.select("n", F.round("rmse", 6).alias("rmse"))
 
 
-__all__ = ["QUERIES", "ORACLE", "FIXTURE_GENRES", "register", "top_k", "LOGLINES"]
 
 
 # ---------------------------------------------------------------- similarity
