@@ -7,6 +7,13 @@ and reads it for scoring.  Here the list can be kept by the stream itself:
 the new rows of a user are merged chunk by chunk, so a user flooding one
 micro-batch never materialises more than one Arrow batch plus k rows.
 Each updated user emits its whole list (update mode).
+
+Salting (``salts`` > 1): state is kept per (uid, salt) with the salt a
+stable hash of the rating, so a user flooding a micro-batch is spread over
+``salts`` groups and tasks.  Each salt holds its own newest k; the newest
+k of a user is always within the union of those lists, so
+``merge_salted`` (a per-user top-k, partial before its shuffle) restores
+the exact list when reading.
 """
 
 from __future__ import annotations
@@ -16,6 +23,7 @@ import sys
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -29,7 +37,7 @@ def _newest(df: pd.DataFrame, k: int) -> pd.DataFrame:
     return df.sort_values(_ORDER[0], ascending=_ORDER[1], kind="mergesort").head(k)
 
 
-def _merge_fn(k: int):
+def _merge_fn(k: int, salted: bool = False):
     def fn(key, chunks, state):
         if state.exists:
             mids, scores, ts = state.get
@@ -42,16 +50,37 @@ def _merge_fn(k: int):
         state.update((cur["mid"].astype(int).tolist(), cur["score"].astype(float).tolist(),
                       cur["timestamp"].astype(int).tolist()))
         n = len(cur)
-        yield pd.DataFrame({"uid": [int(key[0])] * n, "pos": list(range(1, n + 1)),
-                            "mid": cur["mid"].astype("int32").to_numpy(),
-                            "score": cur["score"].astype("float64").to_numpy(),
-                            "timestamp": cur["timestamp"].astype("int32").to_numpy()})
+        out = {"uid": [int(key[0])] * n}
+        if salted:
+            out["salt"] = [int(key[1])] * n
+        out.update({"pos": list(range(1, n + 1)),
+                    "mid": cur["mid"].astype("int32").to_numpy(),
+                    "score": cur["score"].astype("float64").to_numpy(),
+                    "timestamp": cur["timestamp"].astype("int32").to_numpy()})
+        yield pd.DataFrame(out)
     return fn
 
 
-def recent_lists(messages: DataFrame, k: int = 20) -> DataFrame:
+def recent_lists(messages: DataFrame, k: int = 20, salts: int = 1) -> DataFrame:
     """Streaming (uid, pos, mid, score, timestamp) in update mode: the
-    current newest-k list of every user that received ratings."""
-    return (messages.select("uid", "mid", "score", "timestamp").groupBy("uid")
-            .applyInPandasWithState(_merge_fn(k), OUTPUT_SCHEMA, STATE_SCHEMA, "update",
-                                    GroupStateTimeout.NoTimeout))
+    current newest-k list of every user that received ratings.  With
+    ``salts`` > 1 the rows are (uid, salt, pos, ...) per salt; read them
+    back through ``merge_salted``."""
+    df = messages.select("uid", "mid", "score", "timestamp")
+    if salts <= 1:
+        return df.groupBy("uid").applyInPandasWithState(
+            _merge_fn(k), OUTPUT_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
+    df = df.withColumn("salt", F.pmod(F.xxhash64("mid", "timestamp", "score"),
+                                      F.lit(int(salts))).cast("int"))
+    schema = OUTPUT_SCHEMA.replace("uid int, ", "uid int, salt int, ")
+    return df.groupBy("uid", "salt").applyInPandasWithState(
+        _merge_fn(k, salted=True), schema, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
+
+
+def merge_salted(rows: DataFrame, k: int = 20) -> DataFrame:
+    """(uid, pos, mid, score, timestamp): the exact newest k per user from
+    the per-salt lists."""
+    from ratingflow.operators.topk import top_k
+    ranked = top_k(rows.select("uid", "mid", "score", "timestamp"), ["uid"],
+                   [F.col("timestamp").desc(), F.col("mid").asc(), F.col("score").asc()], k)
+    return ranked.select("uid", "pos", "mid", "score", "timestamp")

@@ -1,5 +1,6 @@
 """Streaming: SQL surface, crash + replay of a micro-batch, log cleaner job."""
 
+import pytest
 from pyspark.errors import PySparkException
 
 from ratingflow.operators import stats
@@ -110,3 +111,30 @@ def test_bucketed_history_prunes_and_matches(spark, tmp_path):
         handler.close()
         out[name] = sorted(map(tuple, sink.current(spark).drop("batch_id").collect()))
     assert out["plain"] == out["bucketed"] and len(out["plain"]) == 2
+
+
+@pytest.mark.parametrize("salts", [1, 8])
+def test_recent_state_flooding_user(spark, tmp_path, salts):
+    from ratingflow.streaming.recent_state import merge_salted, recent_lists
+    from ratingflow.streaming.recommender import parse_messages
+    rows = [(7, m, float(1 + m % 5), 1000 + (m * 37) % 50) for m in range(300)]  # one hot user
+    rows += [(8, 1, 2.0, 5), (8, 2, 3.0, 5)]
+    src = tmp_path / "in"
+    spark.createDataFrame([("|".join(map(str, r)),) for r in rows], "value string") \
+        .write.text(str(src))
+    sink = KeyedLog(str(tmp_path / "state"), key=["uid", "salt"] if salts > 1 else "uid")
+    q = (recent_lists(parse_messages(spark.readStream.format("text").load(str(src))), k=20,
+                      salts=salts)
+         .writeStream.outputMode("update").foreachBatch(lambda df, b: sink.write_batch(df, b))
+         .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    got_rows = sink.current_rows(spark)
+    if salts > 1:
+        assert got_rows.select("salt").distinct().count() > 1   # the hot user was spread
+        got_rows = merge_salted(got_rows, k=20)
+    got = sorted((r.uid, r.pos, r.mid) for r in got_rows.collect())
+    want = []
+    for u in (7, 8):
+        mine = sorted((r for r in rows if r[0] == u), key=lambda t: (-t[3], t[1], t[2]))[:20]
+        want += [(u, i + 1, t[1]) for i, t in enumerate(mine)]
+    assert got == sorted(want)
