@@ -80,11 +80,19 @@ def block_of(id_col: str, nb: int) -> Column:
     return F.pmod(F.xxhash64(F.col(id_col)), F.lit(nb)).cast("int")
 
 
+def one_per_id(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
+    """One vector per id (a deterministic pick among copies).  Blocks are
+    hashed by id, so copies of one id would all land in one block; a
+    partial-aggregating ``min_by`` collapses them before blocking."""
+    return df.groupBy(id_col).agg(
+        F.min_by(F.col(vec_col), F.xxhash64(F.col(vec_col))).alias(vec_col))
+
+
 def unit_vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(id, features / |features|); zero, null or NaN vectors are dropped
-    (their cosine is undefined, so they have no similar items)."""
+    """(id, features / |features|), one per id; zero, null or NaN vectors
+    are dropped (their cosine is undefined, so they have no similar items)."""
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda acc, x: acc + x * x))
-    return (df.select(F.col(id_col).alias("id"), F.col(vec_col).alias("v"))
+    return (one_per_id(df.select(F.col(id_col).alias("id"), F.col(vec_col).alias("v")), "id", "v")
             .withColumn("norm", norm)
             .where(F.col("norm").isNotNull() & ~F.isnan("norm") & (F.col("norm") > 0))
             .select("id", F.transform("v", lambda x: x / F.col("norm")).alias("v")))
@@ -192,11 +200,12 @@ def top_k_candidates(left: DataFrame, right: DataFrame, k: int, block_rows: int
     ``extra_k`` names an optional left column holding a per-row number of
     additional rows to keep (exact over-fetch before an exclusion).
     """
-    lcols = [F.col(left_id).alias("id"), F.col(vec_col).alias("v")]
-    if extra_k:
-        lcols.append(F.col(extra_k))
-    lv = left.select(*lcols)
-    rv = right.select(F.col(right_id).alias("id_r"), F.col(vec_col).alias("v_r"))
+    lv = one_per_id(left.select(F.col(left_id).alias("id"), F.col(vec_col).alias("v")), "id", "v")
+    if extra_k:  # the per-row extra count is a function of the id
+        extra = left.groupBy(F.col(left_id).alias("id")).agg(F.max(extra_k).alias(extra_k))
+        lv = lv.join(extra, "id")
+    rv = one_per_id(right.select(F.col(right_id).alias("id_r"), F.col(vec_col).alias("v_r")),
+                    "id_r", "v_r")
     nbl, nbr = plan_pair_blocks(lv.count(), rv.count(), _slots(lv), block_rows)
     lb = lv.select(block_of("id", nbl).alias("bl"),
                    F.explode(F.sequence(F.lit(0), F.lit(nbr - 1))).alias("br"), "*")

@@ -191,3 +191,18 @@ def test_blocked_user_top_k_agrees_with_spark_ml(spark):
         got = [s for _, s in sorted(recs)]
         assert len(got) == len(ml[uid]) == 10
         assert max(abs(a - b) for a, b in zip(got, ml[uid])) < 1e-4
+
+
+def test_copies_of_one_id_collapse(spark):
+    """A third of the rows are copies of one id: one vector per id, no
+    self pairs, same result as without the copies."""
+    x, ids, df = _vectors(spark, n=40, d=4, seed=11)
+    hot = df.where(f"mid = {ids[3]}")
+    copies = hot.select("mid", "features", F.explode(F.sequence(F.lit(1), F.lit(20))).alias("c"))
+    flooded = df.unionByName(copies.drop("c"))
+    base = sorted(map(tuple, cosine_edges(df, 0.3, block_rows=16).collect()))
+    got = sorted(map(tuple, cosine_edges(flooded, 0.3, block_rows=16).collect()))
+    assert got == base and all(a != b for a, b, _ in got)
+    u = top_k_products(flooded.withColumnRenamed("mid", "uid"), flooded, 3, block_rows=16,
+                       left_id="uid", right_id="mid")
+    assert u.groupBy("uid").count().where("count != 3").count() == 0
