@@ -46,9 +46,11 @@ class RescoreHandler:
         self.history = history
         self.broadcast_rows = broadcast_rows
         self.history_buckets = history_buckets
-        # the similarity table is static: keep it across batches (lineage
-        # is a table scan, so a lost block is simply re-read)
-        self.edges = edges.persist(StorageLevel.MEMORY_AND_DISK)
+        # the similarity table is a lookup (one value per movie pair, copies
+        # collapse) and static: keep it across batches (lineage is a table
+        # scan, so a lost block is simply re-read)
+        one_per_pair = edges.groupBy("mid", "rid").agg(F.max("r").alias("r"))
+        self.edges = one_per_pair.persist(StorageLevel.MEMORY_AND_DISK)
         self.sink = sink
         self.params = params
         self.with_string = with_string
