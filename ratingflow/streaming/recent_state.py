@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import sys
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -30,33 +31,34 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 OUTPUT_SCHEMA = "uid int, pos int, mid int, score double, timestamp int"
 STATE_SCHEMA = "mids array<int>, scores array<double>, ts array<int>"
-_ORDER = (["timestamp", "mid", "score"], [False, True, True])
-
-
-def _newest(df: pd.DataFrame, k: int) -> pd.DataFrame:
-    return df.sort_values(_ORDER[0], ascending=_ORDER[1], kind="mergesort").head(k)
+def _newest(mid: np.ndarray, score: np.ndarray, ts: np.ndarray, k: int):
+    """Indices of the newest k rows: timestamp desc, mid asc, score asc."""
+    order = np.lexsort((score, mid, -ts.astype(np.int64)))
+    return order[:k]
 
 
 def _merge_fn(k: int, salted: bool = False):
     def fn(key, chunks, state):
         if state.exists:
-            mids, scores, ts = state.get
-            cur = pd.DataFrame({"mid": list(mids), "score": list(scores), "timestamp": list(ts)})
+            mids, scores, tss = state.get
+            mid = np.asarray(mids, dtype=np.int64)
+            score = np.asarray(scores, dtype=np.float64)
+            ts = np.asarray(tss, dtype=np.int64)
         else:
-            cur = pd.DataFrame({"mid": pd.Series(dtype="int32"), "score": pd.Series(dtype="float64"),
-                                "timestamp": pd.Series(dtype="int32")})
+            mid, score, ts = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
         for chunk in chunks:
-            cur = _newest(pd.concat([cur, chunk[["mid", "score", "timestamp"]]], ignore_index=True), k)
-        state.update((cur["mid"].astype(int).tolist(), cur["score"].astype(float).tolist(),
-                      cur["timestamp"].astype(int).tolist()))
-        n = len(cur)
-        out = {"uid": [int(key[0])] * n}
+            mid = np.concatenate([mid, chunk["mid"].to_numpy(dtype=np.int64)])
+            score = np.concatenate([score, chunk["score"].to_numpy(dtype=np.float64)])
+            ts = np.concatenate([ts, chunk["timestamp"].to_numpy(dtype=np.int64)])
+            keep = _newest(mid, score, ts, k)
+            mid, score, ts = mid[keep], score[keep], ts[keep]
+        state.update((mid.tolist(), score.tolist(), ts.tolist()))
+        n = len(mid)
+        out = {"uid": np.full(n, int(key[0]), dtype=np.int32)}
         if salted:
-            out["salt"] = [int(key[1])] * n
-        out.update({"pos": list(range(1, n + 1)),
-                    "mid": cur["mid"].astype("int32").to_numpy(),
-                    "score": cur["score"].astype("float64").to_numpy(),
-                    "timestamp": cur["timestamp"].astype("int32").to_numpy()})
+            out["salt"] = np.full(n, int(key[1]), dtype=np.int32)
+        out.update({"pos": np.arange(1, n + 1, dtype=np.int32), "mid": mid.astype(np.int32),
+                    "score": score, "timestamp": ts.astype(np.int32)})
         yield pd.DataFrame(out)
     return fn
 
