@@ -139,3 +139,12 @@ def test_store_with_per_table_options(spark, tmp_path):
     st.write(m, jobs.MOVIE)
     back = st.read(spark, jobs.MOVIE, schemas.MOVIE)
     assert _same(back, m)
+
+
+def test_search_documents_one_per_movie(spark, tmp_path):
+    from ratingflow.sinks.tables import write_search_documents
+    docs = spark.createDataFrame([(1, "b", "x", None), (1, "a", "y", "t1"), (2, "c", "z", "t2")],
+                                 "mid int, name string, genres string, tags string")
+    write_search_documents(docs, str(tmp_path / "docs"))
+    out = sorted(map(tuple, spark.read.parquet(str(tmp_path / "docs")).collect()))
+    assert out == [(1, "a", "y", "t1"), (2, "c", "z", "t2")]
