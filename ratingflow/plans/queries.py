@@ -291,11 +291,12 @@ _SCORED = """scored AS (
   GROUP BY c.uid, c.mid, c.rid)"""
 
 
-def _stream_inputs(spark, sf):
-    """Messages, history and the similarity table.  The table is written
-    once (reliable checkpoint in the shared folder) and read by every
-    step, as the offline job's table is read by the stream."""
-    return messages(spark, sf), fx.ratings(spark, sf), edges(spark, sf, STREAM_T).checkpoint()
+def _stream_inputs(spark, sf, reuse_edges: bool = True):
+    """Messages, history and the similarity table.  When several steps read
+    the table it is written once (reliable checkpoint in the shared
+    folder), as the offline job's table is read by the stream."""
+    e = edges(spark, sf, STREAM_T)
+    return messages(spark, sf), fx.ratings(spark, sf), (e.checkpoint() if reuse_edges else e)
 
 
 @register("stream_candidates", with_(RATINGS, MESSAGES, VECTORS,
@@ -303,7 +304,7 @@ def _stream_inputs(spark, sf):
 SELECT uid, mid, pos, rid, round(r, 6) AS r FROM cands""")
 def stream_candidates(spark, sf):
     from ratingflow.operators.recommend import candidates
-    msgs, hist, e = _stream_inputs(spark, sf)
+    msgs, hist, e = _stream_inputs(spark, sf, reuse_edges=False)  # the table is read once
     c = candidates(msgs, hist, e, k=20)
     return c.select("uid", "mid", "pos", "rid", F.round("r", 6).alias("r"))
 
