@@ -71,10 +71,12 @@ def parse_message_fields(msg: Column | str, strict: bool = True,
     out = []
     for i, (t, n) in enumerate(zip(types, names)):
         if strict:
-            field = F.when(F.size(parts) > i, parts[i]).otherwise(
-                F.raise_error(F.concat(F.lit("malformed rating message: "),
-                                       F.coalesce(_c(msg), F.lit("null")))))
-            out.append(field.cast(t).alias(n))
+            err = F.raise_error(F.concat(F.lit("malformed rating message: "),
+                                         F.coalesce(_c(msg), F.lit("null"))))
+            field = F.when(F.size(parts) > i, parts[i]).otherwise(err)
+            # fail on a bad number whatever the session's ANSI setting
+            out.append(F.when(field.try_cast(t).isNull(), err)
+                       .otherwise(field.try_cast(t)).alias(n))
         else:
             out.append(F.get(parts, i).try_cast(t).alias(n))
     return out

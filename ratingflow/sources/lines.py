@@ -51,7 +51,10 @@ def _parse(lines: DataFrame, kind: str, sep: str, mode: str) -> DataFrame:
         if typ == "string":
             val = raw
         elif mode == "strict":
-            val = raw.cast(typ)           # ANSI cast: raises on bad input
+            # fail on a bad number whatever the session's ANSI setting
+            val = F.when(raw.isNotNull() & raw.try_cast(typ).isNull(), F.raise_error(
+                F.concat(F.lit(f"bad {name} in {kind} line: "), F.col("value")))
+            ).otherwise(raw.try_cast(typ))
         else:
             val = raw.try_cast(typ)
         cols.append(val.alias(name))

@@ -123,3 +123,17 @@ def test_genre_top_k_ties_by_mid(spark):
     mwa = spark.createDataFrame(rows, "mid int, name string, genres string, avg double")
     nested = stats.genre_top_movies(spark, mwa, ["red"], k=10).first()
     assert [x.rid for x in nested.recs] == list(range(1, 11))
+
+
+def test_strict_mode_fails_without_ansi(spark):
+    from ratingflow.functions.scalar import parse_message_fields
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(PySparkException):
+            parse_rating_lines(lines(spark, "1,x,2.5,1260759144")).collect()
+        with pytest.raises(PySparkException):
+            lines(spark, "1|2|abc|4").select(*parse_message_fields("value", strict=True)).collect()
+        assert parse_rating_lines(lines(spark, "1,31,2.5,1260759144")).count() == 1
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
