@@ -47,10 +47,11 @@ def movie_month_rollup(ratings: DataFrame) -> DataFrame:
 
 def per_movie_from_rollup(rollup: DataFrame) -> DataFrame:
     """(mid, count, avg) from ``movie_month_rollup`` - the small table, not
-    the raw ratings, is aggregated again."""
+    the raw ratings, is aggregated again.  A movie whose scores are all
+    null gets a null average (as ``avg`` does), not a division error."""
     return rollup.groupBy("mid").agg(
         F.sum("count").alias("count"),
-        (F.sum("score_sum") / F.sum("score_n")).alias("avg"))
+        (F.sum("score_sum") / F.nullif(F.sum("score_n"), F.lit(0))).alias("avg"))
 
 
 def movies_with_average(movies: DataFrame, averages: DataFrame) -> DataFrame:

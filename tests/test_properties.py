@@ -155,3 +155,10 @@ def test_rescore_brute_force(spark, history, edge_map, batch, k_recent, k_cand):
         assert [c for c, _ in got[uid]] == [c for c, _ in want[uid]]
         assert all(math.isclose(a, b, rel_tol=1e-12, abs_tol=1e-12)
                    for (_, a), (_, b) in zip(got[uid], want[uid]))
+
+
+def test_rollup_all_null_scores(spark):
+    df = spark.createDataFrame([(1, 5, None, 1260759179), (1, 6, 4.0, 1260759179)], HIST)
+    got = {r.mid: (r["count"], r.avg) for r in stats.per_movie_from_rollup(stats.movie_month_rollup(df)).collect()}
+    want = {r.mid: r.avg for r in stats.average_score_by_movie(df).collect()}
+    assert got == {5: (1, None), 6: (1, 4.0)} and want == {5: None, 6: 4.0}
