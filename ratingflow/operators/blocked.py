@@ -41,6 +41,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 TASKS_PER_SLOT = 4
 MIN_BLOCK_ROWS = 64
 MAX_BLOCK_ROWS = 1 << 16     # rows of one side in a group (64 MB at 128 doubles)
+# The cosine output of a group grows with block^2 x edge density (a group
+# returns its output as one frame), so self-similarity blocks are capped
+# lower: 16384^2 x 1.5% x 2 directions ~ 8M rows ~ 128 MB.
+MAX_SELF_BLOCK_ROWS = 1 << 14
 CHUNK_CELLS = 1 << 22        # score-matrix cells per GEMM chunk (32 MB of doubles)
 
 
@@ -143,9 +147,10 @@ def cosine_edges(vectors: DataFrame, threshold: float, id_col: str = "mid",
                  nb: int | None = None) -> DataFrame:
     """(mid, rid, r): every ordered pair of distinct ids whose cosine
     similarity is strictly above ``threshold`` (both directions).
-    ``block_rows`` caps the rows of one block."""
+    ``block_rows`` caps the rows of one block (never above
+    MAX_SELF_BLOCK_ROWS)."""
     unit = unit_vectors(vectors, id_col, vec_col)
-    nb = nb or plan_self_blocks(unit.count(), _slots(unit), block_rows)
+    nb = nb or plan_self_blocks(unit.count(), _slots(unit), min(block_rows, MAX_SELF_BLOCK_ROWS))
     b = unit.withColumn("b", block_of("id", nb))
     # a row of block b is the left side of pairs (b, j>=b) and the right
     # side of pairs (i<=b, b)
