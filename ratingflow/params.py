@@ -67,5 +67,21 @@ class Params:
     history_buckets: int | None = None  # history partitioned by hash(uid) bucket
     compact_every: int | None = None    # snapshot the stream recs every N batches
 
+    def __post_init__(self) -> None:
+        for name in ("recent_k", "cand_k", "user_k", "genre_k", "rank", "max_iter",
+                     "grid_iter", "block_rows", "trigger_seconds", "grid_parallelism"):
+            if int(getattr(self, name)) < 1:
+                raise ValueError(f"Params.{name} must be >= 1")
+        for name in ("sim_threshold", "score_threshold", "like_above", "reg"):
+            v = float(getattr(self, name))
+            if v != v or v in (float("inf"), float("-inf")):
+                raise ValueError(f"Params.{name} must be finite")
+        if not 0.0 <= self.holdout < 1.0:
+            raise ValueError("Params.holdout must be in [0, 1)")
+        for name in ("als_blocks", "history_buckets", "compact_every"):
+            v = getattr(self, name)
+            if v is not None and int(v) < 1:
+                raise ValueError(f"Params.{name} must be >= 1 or None")
+
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)

@@ -137,3 +137,12 @@ def test_strict_mode_fails_without_ansi(spark):
         assert parse_rating_lines(lines(spark, "1,31,2.5,1260759144")).count() == 1
     finally:
         spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+def test_params_validation():
+    from ratingflow.params import Params
+    assert Params().with_(recent_k=5).recent_k == 5
+    for bad in (dict(recent_k=0), dict(sim_threshold=float("nan")), dict(holdout=1.0),
+                dict(history_buckets=0)):
+        with pytest.raises(ValueError):
+            Params(**bad)
