@@ -92,11 +92,14 @@ def one_per_id(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
         F.min_by(F.col(vec_col), F.xxhash64(F.col(vec_col))).alias(vec_col))
 
 
-def unit_vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
+def unit_vectors(df: DataFrame, id_col: str, vec_col: str, unique_ids: bool = False) -> DataFrame:
     """(id, features / |features|), one per id; zero, null or NaN vectors
-    are dropped (their cosine is undefined, so they have no similar items)."""
+    are dropped (their cosine is undefined, so they have no similar items).
+    ``unique_ids``: the caller guarantees one row per id (e.g. ALS factors),
+    so the collapsing shuffle is skipped."""
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda acc, x: acc + x * x))
-    return (one_per_id(df.select(F.col(id_col).alias("id"), F.col(vec_col).alias("v")), "id", "v")
+    v = df.select(F.col(id_col).alias("id"), F.col(vec_col).alias("v"))
+    return ((v if unique_ids else one_per_id(v, "id", "v"))
             .withColumn("norm", norm)
             .where(F.col("norm").isNotNull() & ~F.isnan("norm") & (F.col("norm") > 0))
             .select("id", F.transform("v", lambda x: x / F.col("norm")).alias("v")))
@@ -144,12 +147,12 @@ def _cosine_pairs_fn(threshold: float):
 
 def cosine_edges(vectors: DataFrame, threshold: float, id_col: str = "mid",
                  vec_col: str = "features", block_rows: int = MAX_BLOCK_ROWS,
-                 nb: int | None = None) -> DataFrame:
+                 nb: int | None = None, unique_ids: bool = False) -> DataFrame:
     """(mid, rid, r): every ordered pair of distinct ids whose cosine
     similarity is strictly above ``threshold`` (both directions).
     ``block_rows`` caps the rows of one block (never above
     MAX_SELF_BLOCK_ROWS)."""
-    unit = unit_vectors(vectors, id_col, vec_col)
+    unit = unit_vectors(vectors, id_col, vec_col, unique_ids)
     nb = nb or plan_self_blocks(unit.count(), _slots(unit), min(block_rows, MAX_SELF_BLOCK_ROWS))
     b = unit.withColumn("b", block_of("id", nb))
     # a row of block b is the left side of pairs (b, j>=b) and the right
@@ -198,19 +201,20 @@ def _topk_fn(k: int, extra_col: str | None):
 
 def top_k_candidates(left: DataFrame, right: DataFrame, k: int, block_rows: int = MAX_BLOCK_ROWS,
                      left_id: str = "id", right_id: str = "id", vec_col: str = "features",
-                     extra_k: str | None = None) -> DataFrame:
+                     extra_k: str | None = None, unique_ids: bool = False) -> DataFrame:
     """(uid, rid, r): a superset of each left row's ``k`` best right rows by
     dot product - the best k (plus ties) of every block pair.
 
     ``extra_k`` names an optional left column holding a per-row number of
     additional rows to keep (exact over-fetch before an exclusion).
     """
-    lv = one_per_id(left.select(F.col(left_id).alias("id"), F.col(vec_col).alias("v")), "id", "v")
+    lv = left.select(F.col(left_id).alias("id"), F.col(vec_col).alias("v"))
+    rv = right.select(F.col(right_id).alias("id_r"), F.col(vec_col).alias("v_r"))
+    if not unique_ids:
+        lv, rv = one_per_id(lv, "id", "v"), one_per_id(rv, "id_r", "v_r")
     if extra_k:  # the per-row extra count is a function of the id
         extra = left.groupBy(F.col(left_id).alias("id")).agg(F.max(extra_k).alias(extra_k))
         lv = lv.join(extra, "id")
-    rv = one_per_id(right.select(F.col(right_id).alias("id_r"), F.col(vec_col).alias("v_r")),
-                    "id_r", "v_r")
     nbl, nbr = plan_pair_blocks(lv.count(), rv.count(), _slots(lv), block_rows)
     lb = lv.select(block_of("id", nbl).alias("bl"),
                    F.explode(F.sequence(F.lit(0), F.lit(nbr - 1))).alias("br"), "*")
@@ -222,18 +226,19 @@ def top_k_candidates(left: DataFrame, right: DataFrame, k: int, block_rows: int
 
 def top_k_products(left: DataFrame, right: DataFrame, k: int, block_rows: int = MAX_BLOCK_ROWS,
                    left_id: str = "id", right_id: str = "id",
-                   vec_col: str = "features") -> DataFrame:
+                   vec_col: str = "features", unique_ids: bool = False) -> DataFrame:
     """(uid, rid, r, pos): for every left row the ``k`` right rows with the
     largest dot product (r desc, rid asc).  At most nr * k candidates per
     row reach the final ranking (none to merge when nr = 1)."""
-    cand = top_k_candidates(left, right, k, block_rows, left_id, right_id, vec_col)
+    cand = top_k_candidates(left, right, k, block_rows, left_id, right_id, vec_col,
+                            unique_ids=unique_ids)
     return top_k(cand, ["uid"], [F.col("r").desc(), F.col("rid").asc()], k)
 
 
 def top_k_products_excluding(left: DataFrame, right: DataFrame, exclude: DataFrame, k: int,
                              block_rows: int = MAX_BLOCK_ROWS, left_id: str = "id",
-                             right_id: str = "id",
-                             vec_col: str = "features") -> DataFrame:
+                             right_id: str = "id", vec_col: str = "features",
+                             unique_ids: bool = False) -> DataFrame:
     """As ``top_k_products`` but skipping (uid, rid) pairs in ``exclude``.
 
     Exact: a row with c excluded partners keeps its best k + c per block
@@ -246,6 +251,7 @@ def top_k_products_excluding(left: DataFrame, right: DataFrame, exclude: DataFra
     counts = ex.groupBy(F.col("uid").alias("_cuid")).agg(F.count(F.lit(1)).alias("_extra"))
     lx = left.join(counts, left[left_id] == counts["_cuid"], "left").drop("_cuid") \
         .fillna(0, subset=["_extra"])
-    cand = top_k_candidates(lx, right, k, block_rows, left_id, right_id, vec_col, extra_k="_extra")
+    cand = top_k_candidates(lx, right, k, block_rows, left_id, right_id, vec_col, extra_k="_extra",
+                            unique_ids=unique_ids)
     kept = cand.join(ex, ["uid", "rid"], "left_anti")
     return top_k(kept, ["uid"], [F.col("r").desc(), F.col("rid").asc()], k)
