@@ -54,7 +54,7 @@ class Params:
     grid_ranks: tuple[int, ...] = GRID_RANKS
     grid_regs: tuple[float, ...] = GRID_REGS
     grid_iter: int = 5
-    grid_parallelism: int = 1   # grid points fitted at once
+    grid_parallelism: int = 1   # grid points fitted at once (each caches its own blocks)
     holdout: float = 0.0        # 0 = in-sample RMSE as in the reference
     exclude_rated: bool = False  # drop already-rated movies from ALS top-k
     als_blocks: int | None = None  # ALS user/item blocks (None: Spark's default)

@@ -484,8 +484,10 @@ def als_grid_search(spark, sf):
     from ratingflow.operators.model import grid_search
     from ratingflow.params import Params
     p = Params()
+    # the job default fits one point at a time (each fit caches its blocks);
+    # here the fits are small, so three run at once - same grid, same result
     return grid_search(spark, fx.ratings(spark, sf), ranks=p.grid_ranks, regs=p.grid_regs,
-                       max_iter=p.grid_iter, seed=p.seed, holdout=p.holdout)
+                       max_iter=p.grid_iter, seed=p.seed, holdout=p.holdout, parallelism=3)
 
 
 @register("stream_recent_state", with_(MESSAGES) + """
