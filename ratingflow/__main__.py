@@ -66,6 +66,9 @@ def _parser() -> argparse.ArgumentParser:
         sp.add_argument("--als-blocks", type=int)
         sp.add_argument("--holdout", type=float, default=0.0)
         sp.add_argument("--grid-parallelism", type=int, default=1)
+        sp.add_argument("--grid-ranks", help="comma separated ranks (tune)")
+        sp.add_argument("--grid-regs", help="comma separated regularisations (tune)")
+        sp.add_argument("--grid-iter", type=int, default=Params.grid_iter)
 
     sp = sub.add_parser("clean-log")
     for side in ("source", "sink"):
@@ -108,7 +111,12 @@ def main(argv=None) -> int:
     elif args.job in ("offline", "tune"):
         params = Params(rank=args.rank, max_iter=args.iter, reg=args.reg,
                         sim_threshold=args.threshold, als_blocks=args.als_blocks,
-                        holdout=args.holdout, grid_parallelism=args.grid_parallelism)
+                        holdout=args.holdout, grid_parallelism=args.grid_parallelism,
+                        grid_iter=args.grid_iter)
+        if args.grid_ranks:
+            params = params.with_(grid_ranks=tuple(int(x) for x in args.grid_ranks.split(",")))
+        if args.grid_regs:
+            params = params.with_(grid_regs=tuple(float(x) for x in args.grid_regs.split(",")))
         ratings = store.read(spark, jobs.RATING, schemas.RATING)
         if args.job == "offline":
             jobs.offline_job(spark, ratings, store.read(spark, jobs.MOVIE, schemas.MOVIE), store, params)

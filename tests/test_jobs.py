@@ -148,3 +148,14 @@ def test_search_documents_one_per_movie(spark, tmp_path):
     write_search_documents(docs, str(tmp_path / "docs"))
     out = sorted(map(tuple, spark.read.parquet(str(tmp_path / "docs")).collect()))
     assert out == [(1, "a", "y", "t1"), (2, "c", "z", "t2")]
+
+
+def test_command_line_tune(spark, tmp_path, capsys):
+    from ratingflow.__main__ import main
+    db = str(tmp_path / "db")
+    st = jobs.Store(db)
+    st.write(fx.ratings(spark, SF), jobs.RATING)
+    assert main(["tune", "--db", db, "--grid-ranks", "2,3", "--grid-regs", "0.1",
+                 "--grid-iter", "2", "--grid-parallelism", "2"]) == 0
+    out = capsys.readouterr().out
+    assert "rank" in out and "rmse" in out
