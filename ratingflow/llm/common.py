@@ -96,10 +96,36 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_out: int,
+                    per_class: int) -> DataFrame:
+    """(doc_id, text, label) of at most ``per_class`` documents of each class.
+
+    Rows whose fold is ``held_out`` are never taken, nor documents whose
+    labels are null or contradict each other; among the others the hash of
+    the id decides, so that a sample doesn't depend on row order."""
+    known = (labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & (fold(modulus) != held_out))
+             .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+             .agg(F.min(label).cast("int").alias("label"), F.max(label).cast("int").alias("most"))
+             .where("label = most").drop("most"))
+    order = F.xxhash64("doc_id")
+    pick = known.where("label = 0").orderBy(order).limit(per_class).union(
+        known.where("label = 1").orderBy(order).limit(per_class))
+    # at most 2 * per_class ids: small whatever the input
+    return id_text(docs).join(F.broadcast(pick), "doc_id").dropDuplicates(["doc_id"])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer file on the driver; the operators take paths
+    and send the contents along, executors need no such file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def small_rows(df: DataFrame, limit: int, what: str) -> list:
     """Rows of a side table that must stay small; raises beyond ``limit``."""
     rows = df.limit(limit + 1).collect()

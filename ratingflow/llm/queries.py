@@ -12,8 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingflow.llm import simhash, substring_dedup, suffix_dedup
-from ratingflow.llm.common import table
+from ratingflow.llm import packing, quality, simhash, substring_dedup, suffix_dedup, toxicity
+from ratingflow.llm.common import table, vocabulary
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +22,16 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of all documents."""
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.5)
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of all documents."""
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.7)
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Removal of 200-byte strings that occur elsewhere, over all documents."""
     done = suffix_dedup.dedup(table(spark, sf_dir, "documents"), length=200)
@@ -35,10 +45,18 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 2048 tokens."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), size=2048)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op3_quality": op3_quality,
+    "op4_toxicity": op4_toxicity,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_substring_dedup": op7_substring_dedup,
+    "op10_packing": op10_packing,
 }
 
 ORACLE: dict[str, str] = {

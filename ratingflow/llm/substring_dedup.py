@@ -39,10 +39,8 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_symbols(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit rank for each word of the texts, and the word offsets."""
-    data, offsets = text_bytes(column)
-    starts, ends, words = word_bounds(data, offsets)
+def word_ranks(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit rank for each word."""
     ranks = np.zeros(len(starts), np.uint64)
     step = 1 << 20
     at = 0
@@ -54,7 +52,14 @@ def word_symbols(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         s, e = starts[at:stop] - base, ends[at:stop] - base
         ranks[at:stop] = mix(r.of(r.prefix(_BYTE[part]), s, e) + (e - s).astype(np.uint64))
         at = stop
-    return ranks, words
+    return ranks
+
+
+def word_symbols(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The ranks of the texts' words end to end, and the word offsets."""
+    data, offsets = text_bytes(column)
+    starts, ends, words = word_bounds(data, offsets)
+    return word_ranks(data, starts, ends), words
 
 
 def repeated_words(docs: DataFrame, length: int = 20) -> DataFrame:
