@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingflow.llm import packing, quality, simhash, substring_dedup, suffix_dedup, toxicity
+from ratingflow.llm import langid, packing, phrases, quality, simhash, substring_dedup, suffix_dedup, toxicity
 from ratingflow.llm.common import table, vocabulary
 
 
@@ -45,6 +45,16 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents."""
+    return langid.identify(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return phrases.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), size=2048)
@@ -56,6 +66,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_substring_dedup": op7_substring_dedup,
+    "op8_langid": op8_langid,
+    "op9_fingerprints": op9_fingerprints,
     "op10_packing": op10_packing,
 }
 
