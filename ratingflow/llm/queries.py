@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingflow.llm import langid, packing, phrases, quality, simhash, substring_dedup, suffix_dedup, toxicity
+from ratingflow.llm import decontaminate, langid, packing, phrases, quality, simhash, substring_dedup, suffix_dedup, toxicity
 from ratingflow.llm.common import table, vocabulary
 
 
@@ -32,6 +32,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.7)
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in all documents: one row for each occurrence."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Removal of 200-byte strings that occur elsewhere, over all documents."""
     done = suffix_dedup.dedup(table(spark, sf_dir, "documents"), length=200)
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op3_quality": op3_quality,
     "op4_toxicity": op4_toxicity,
+    "op5_decontaminate": op5_decontaminate,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_langid": op8_langid,
