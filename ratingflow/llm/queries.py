@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingflow.llm import decontaminate, langid, packing, phrases, quality, simhash, substring_dedup, suffix_dedup, toxicity
+from ratingflow.llm import decontaminate, langid, packing, phrases, quality, simhash, substring_dedup, suffix_dedup, toxicity, urls
 from ratingflow.llm.common import table, vocabulary
 
 
@@ -22,6 +22,15 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+#: Rules of the URL query: hosts with a path, and the verdict.
+URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+
+
+def op2_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on the URLs of all pages."""
+    return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of all documents."""
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.5)
@@ -67,6 +76,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_urls": op2_urls,
     "op3_quality": op3_quality,
     "op4_toxicity": op4_toxicity,
     "op5_decontaminate": op5_decontaminate,
