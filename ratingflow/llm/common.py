@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -22,9 +23,25 @@ def saved(df: DataFrame, name: str) -> DataFrame:
 
     This cuts the lineage: a lost executor only repeats the current step, and
     a table that several steps read is made once."""
-    path = scratch_path(df.sparkSession, name)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    # Spark drops the shuffle files of a finished step once the driver's
+    # collector has seen that nothing refers to them; large steps follow each
+    # other here, so don't wait until it happens to run
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    out = spark.read.schema(df.schema).parquet(path)
+    out._saved_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete ``saved`` tables that no later step reads."""
+    for table_ in tables:
+        context = table_.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(table_._saved_at)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def id_text(docs: DataFrame) -> DataFrame:
@@ -46,6 +63,16 @@ def one_row_per_id(docs: DataFrame) -> DataFrame:
     return rows.groupBy("doc_id").agg(F.min("text").alias("text"))
 
 
+def one_whole_row_per_id(docs: DataFrame) -> DataFrame:
+    """``docs`` with every doc_id once: of rows that repeat an id (null counts
+    as one) the one with the smallest text, then the smallest other columns."""
+    if docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        return docs
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    least = F.min(F.struct(F.coalesce("text", F.lit("")).alias("__t"), "text", *rest))
+    return docs.groupBy("doc_id").agg(least.alias("__row")).select("doc_id", "__row.*").select(*docs.columns)
+
+
 def fold(modulus: int, key: str = "doc_id") -> Column:
     """crc32 of the id written as text, modulo ``modulus``."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % F.lit(modulus)

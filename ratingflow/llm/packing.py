@@ -143,15 +143,15 @@ def pack(rows: DataFrame, size: int = 2048, group_rows: int = 1 << 16, rounds: i
     whole = rows.where(F.col("length") >= size).select(
         "*", (F.monotonically_increasing_id() + F.lit(1 << 61)).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    schema += ", _fill long, sequence_id long, offset long"
+    schema += ", __fill long, sequence_id long, offset long"
 
     def group_packer(turn: int):
         def run(part: pd.DataFrame) -> pd.DataFrame:
             part = part.sort_values("length", ascending=False, kind="stable")
             seq, offset = place(part["length"].to_numpy(), size)
             fill = np.bincount(seq, weights=part["length"].to_numpy()).astype(np.int64)
-            first = (turn << 56) | (int(part["_group"].iloc[0]) << 24)
-            return part.drop(columns="_group").assign(_fill=fill[seq], sequence_id=first + seq, offset=offset)
+            first = (turn << 56) | (int(part["__group"].iloc[0]) << 24)
+            return part.drop(columns="__group").assign(__fill=fill[seq], sequence_id=first + seq, offset=offset)
         return run
 
     todo, done, before = rows.where(F.col("length") < size), whole, None
@@ -160,11 +160,11 @@ def pack(rows: DataFrame, size: int = 2048, group_rows: int = 1 << 16, rounds: i
         if not n:
             break
         groups = -(-n // group_rows)
-        dealt = todo.withColumn("_group", F.pmod(F.monotonically_increasing_id(), F.lit(groups)))
-        packed = saved(dealt.groupBy("_group").applyInPandas(group_packer(turn), schema), "packed")
+        dealt = todo.withColumn("__group", F.pmod(F.monotonically_increasing_id(), F.lit(groups)))
+        packed = saved(dealt.groupBy("__group").applyInPandas(group_packer(turn), schema), "packed")
         last = groups == 1 or turn == rounds - 1 or (before is not None and n > before // 2)
-        good = F.lit(True) if last else F.col("_fill") >= size - size // 8
-        done = done.unionByName(packed.where(good).drop("_fill"))
+        good = F.lit(True) if last else F.col("__fill") >= size - size // 8
+        done = done.unionByName(packed.where(good).drop("__fill"))
         if last:
             break
         todo, before = packed.where(~good).select(keep), n

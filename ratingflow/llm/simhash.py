@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratingflow.llm.common import id_text, map_blocks, saved
+from ratingflow.llm.common import discard, id_text, map_blocks, one_whole_row_per_id, saved
 
 SEED = 42
 BITS = 64
@@ -208,8 +208,9 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
                  .select(F.col("m").alias("a"), "b").where("a < b").distinct())
         down = large.groupBy("b").agg(F.min("a").alias("m"))
         small = large.join(down, "b").select("m", "a", "b")
-        edges = saved(small.select(F.col("m").alias("a"), F.explode(F.array("a", "b")).alias("b"))
-                      .where("a < b").distinct(), "links")
+        before, edges = edges, saved(small.select(F.col("m").alias("a"), F.explode(F.array("a", "b")).alias("b"))
+                                     .where("a < b").distinct(), "links")
+        discard(before)
         now = measure(edges)
         if now == seen:
             break
@@ -230,3 +231,13 @@ def near_duplicates(docs: DataFrame, words: int = 4, bits: int = 4, bucket_rows:
     least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     ids = named.join(least, "root").select("fp", "component_id")
     return marked.join(ids, "fp").select("doc_id", "fp", "component_id")
+
+
+def representatives(docs: DataFrame, words: int = 4, bits: int = 4) -> DataFrame:
+    """The rows of ``docs``, unchanged, that stand for their near-duplicate
+    group: the one with the smallest doc_id, once."""
+    docs = one_whole_row_per_id(docs)
+    groups = near_duplicates(docs, words, bits)
+    drop = (groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+            .select(F.col("doc_id").alias("__drop")).distinct())
+    return docs.join(drop, F.col("doc_id").cast("long").eqNullSafe(F.col("__drop")), "left_anti")

@@ -18,10 +18,9 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ratingflow.llm.common import map_blocks, mix, one_row_per_id, text_bytes
-from ratingflow.llm.windows import Ranks, covered_mask, repeated, span_arrays, with_stretches
+from ratingflow.llm.common import id_text, map_blocks, mix, one_row_per_id, one_whole_row_per_id, text_bytes
+from ratingflow.llm.windows import SPANS, Ranks, covered_mask, repeated, span_arrays, with_stretches
 
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
 _SPACE = np.zeros(256, bool)
@@ -75,7 +74,7 @@ def dedup(docs: DataFrame, length: int = 20) -> DataFrame:
     def block(batch: pa.RecordBatch) -> pa.RecordBatch:
         kept, n_words, n_removed = [], [], []
         texts = batch.column("text")
-        for i, spans in enumerate(span_arrays(batch.column("spans"))):
+        for i, spans in enumerate(span_arrays(batch.column(SPANS))):
             words = texts[i].as_py().encode().split()
             n_words.append(len(words))
             if spans is not None:
@@ -94,13 +93,30 @@ def dedup(docs: DataFrame, length: int = 20) -> DataFrame:
 
 
 def rewrite(docs: DataFrame, length: int = 20) -> DataFrame:
-    """``docs`` with the repeated words taken out of their texts: a text that
-    loses none stays as it is, spacing included, and one that loses all goes."""
-    done = dedup(docs, length).select(F.col("doc_id").alias("_id"), "kept", "n_words", "n_removed")
-    rows = docs.join(done, F.col("doc_id").eqNullSafe(F.col("_id")))
-    rows = rows.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words")))
-    text = F.when(F.col("n_removed") == 0, F.col("text")).otherwise(F.col("kept"))
-    new = {"text": text}
-    if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(F.col("n_removed") == 0, F.col("n_chars")).otherwise(F.length("kept").cast("long"))
-    return rows.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
+    """``docs`` with the repeated words taken out of their texts, and ``n_chars``
+    made to fit if there is such a column.  A text that loses no word stays as
+    it is, spacing included; a document that loses all its words goes.  Rows
+    that repeat a doc_id count as one, the one with the smallest text."""
+    docs = one_whole_row_per_id(docs)
+    columns = docs.columns
+    rows = with_stretches(docs, repeated_words(id_text(docs), length))
+
+    def block(batch: pa.RecordBatch) -> pa.RecordBatch:
+        text = batch.column("text").to_pylist()
+        chars = batch.column("n_chars").to_pylist() if "n_chars" in columns else None
+        keep = np.ones(batch.num_rows, bool)
+        for i, spans in enumerate(span_arrays(batch.column(SPANS))):
+            if spans is None:
+                continue
+            words = text[i].encode().split()
+            gone = covered_mask(len(words), spans).tolist()
+            keep[i] = not all(gone)
+            text[i] = b" ".join(w for w, g in zip(words, gone) if not g).decode()
+            if chars:
+                chars[i] = len(text[i])
+        new = {"text": text, "n_chars": chars}
+        out = [pa.array(new[c], batch.column(c).type) if new.get(c) is not None else batch.column(c) for c in columns]
+        return pa.RecordBatch.from_arrays(out, columns).filter(pa.array(keep))
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    return map_blocks(rows, block, schema)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from ratingflow.llm.common import map_blocks, mix, one_row_per_id, text_bytes
-from ratingflow.llm.windows import covered_mask, repeated, span_arrays, with_stretches
+from ratingflow.llm.windows import SPANS, covered_mask, repeated, span_arrays, with_stretches
 
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
 
@@ -43,7 +43,7 @@ def dedup(docs: DataFrame, length: int = 200, gram: int = 64) -> DataFrame:
     def block(batch: pa.RecordBatch) -> pa.RecordBatch:
         data, offsets = text_bytes(batch.column("text"))
         kept, n_bytes, n_removed, n_spans = [], [], [], []
-        for i, spans in enumerate(span_arrays(batch.column("spans"))):
+        for i, spans in enumerate(span_arrays(batch.column(SPANS))):
             own = data[offsets[i]:offsets[i + 1]]
             n_bytes.append(len(own))
             if spans is None:

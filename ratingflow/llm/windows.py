@@ -13,10 +13,13 @@ a run, and a run is one row.  Then, each step on what the last one left:
    windows that end too soon; sides whose pair of ranks is unique are done.
 3. Runs whose whole span has an equal elsewhere are repeated as a whole, and
    one of them stands for all.
-4. ``length``: the windows of the spans that are left are ranked one by one.
+4. The spans that are left are cut into cells of neighbouring windows, and
+   the same is done with these: cells whose shared core is unique are done,
+   those with an equal elsewhere are repeated as a whole.
+5. ``length``: the windows of the cells that are left are ranked one by one.
 
-Ranks are 64-bit polynomial hashes over a random byte table; steps 3 and 4
-compare an anchor's rank and a window's rank together, 128 bits.  Work is
+Ranks are 64-bit polynomial hashes over a random byte table; steps 3 to 5
+compare the anchor's rank (later half of it) and the stretch's together.  Work is
 spread by rank; groups are counted by partial aggregates, so a passage found
 in a third of all documents costs one row a task.
 """
@@ -27,10 +30,10 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratingflow.llm.common import map_blocks, mix, saved
+from ratingflow.llm.common import discard, map_blocks, mix, saved
 
 #: Symbols of one document handled at once; longer documents go in slices
 #: that overlap by a window.
@@ -118,8 +121,9 @@ def runs(data: np.ndarray, begins: np.ndarray, length: int, gram: int, ranks: Ra
     after = (shallow <= length - 2 * gram)
     before = (deep > length - 2 * gram)
     n = len(data)
-    right = ranks.of(prefix, a, np.minimum(a + 2 * gram, n))
-    left = ranks.of(prefix, np.maximum(a - gram, 0), a + gram)
+    # with the anchor's own rank, the rank beside it ranks twice the length
+    right = g[np.minimum(a + gram, n - gram)]
+    left = g[np.maximum(a - gram, 0)]
     span = ranks.of(prefix, first, first + count + length - 1)
     span = mix(span ^ (deep * 2048 + count).astype(np.uint64) * np.uint64(_BASE))
     half = np.uint64(32)
@@ -184,6 +188,8 @@ def repeated(docs: DataFrame, symbols: Callable[[pa.Array], tuple[np.ndarray, np
     same document further left) count; otherwise all that start elsewhere
     too.  ``docs`` has one row per doc_id; stretches may overlap."""
     found = windows_of(docs, symbols, length, gram)
+    keys = found.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    found = saved(found.join(keys, "key", "left_semi"), "anchors")
     spans = found.groupBy("key", "span").agg(
         F.count(F.lit(1)).alias("copies"), F.first("ext").alias("ext"),
         F.min(F.struct("doc_id", "loc")).alias("own"))
@@ -191,8 +197,6 @@ def repeated(docs: DataFrame, symbols: Callable[[pa.Array], tuple[np.ndarray, np
     left = F.col("ext").bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))
     by = Window.partitionBy
     levels = (spans
-              .withColumn("n", F.sum("copies").over(by("key")))
-              .where("n > 1")
               .withColumn("kinds", F.count(F.lit(1)).over(by("key")))
               .withColumn("single", F.min("copies").over(by("key")))
               .withColumn("right", right).withColumn("left", left)
@@ -204,70 +208,120 @@ def repeated(docs: DataFrame, symbols: Callable[[pa.Array], tuple[np.ndarray, np
     levels = saved(levels, "runs")
 
     # whole runs
-    whole = levels.where("copies > 1").select("key", "span", "own")
-    runs_all = found.join(whole, ["key", "span"])
-    if later:
-        runs_all = runs_all.where(~F.struct("doc_id", "loc").eqNullSafe(F.col("own")))
-    covered = runs_all.select("doc_id", first_window().alias("a"), (last_window() + length).alias("b"))
+    own = F.struct("doc_id", "loc")
+    covered = _covered(found.join(levels.where("copies > 1").select("key", "span", "own"), ["key", "span"]), own, later,
+                       first_window(), last_window() + length)
 
-    # single windows of the spans that are left, one span for all its copies
+    # cells of the spans that are left, one span for all its copies
     open_ = levels.where((F.col("kinds") > 1) & (F.col("go_right") | F.col("go_left")))
     if not later:
         open_ = open_.where("single = 1")
-    lists = (open_.select("own.doc_id", F.struct("key", "own.loc", "go_right", "go_left", "copies").alias("run"))
-             .groupBy("doc_id").agg(F.collect_list("run").alias("runs")))
-    joined = docs.join(lists.withColumnRenamed("doc_id", "run_doc"),
-                       F.col("doc_id").eqNullSafe(F.col("run_doc")))
-    wins = saved(_windows(joined.select("doc_id", "text", "runs"), symbols, length, gram), "windows")
-    ranks = wins.groupBy("key", "win").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "at")).alias("first"))
-    again = wins.join(ranks.where("n > 1"), ["key", "win"])
+    lists = (open_.select("own.doc_id", F.struct("key", "own.loc", "go_right", "go_left").alias("run"))
+             .groupBy(F.col("doc_id").alias("run_doc")).agg(F.collect_list("run").alias("runs")))
+    joined = docs.select("doc_id", "text").join(lists, F.col("doc_id").eqNullSafe(F.col("run_doc")))
+    cells = saved(_cells(joined.select("doc_id", "text", "runs"), symbols, length, gram), "cells")
+    whole = saved(covered, "whole-runs")
+    discard(found, levels)
+
+    kinds = cells.groupBy("tag", "core", "span").agg(
+        F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "at")).alias("own"))
+    kinds = saved(kinds.withColumn("n", F.sum("copies").over(by("tag", "core"))).where("n > 1")
+                  .withColumn("kinds", F.count(F.lit(1)).over(by("tag", "core")))
+                  .withColumn("single", F.min("copies").over(by("tag", "core"))).drop("n"), "cell-kinds")
+    at = F.struct("doc_id", "at")
+    covered = _covered(cells.drop("ranks").join(kinds.where("copies > 1"), ["tag", "core", "span"]), at, later,
+                       F.col("at"), F.col("at") + F.col("count") - 1 + length)
+    open_ = kinds.where("kinds > 1" if later else "kinds > 1 and single = 1")
+    open_ = cells.join(open_, ["tag", "core", "span"]).where(at.eqNullSafe(F.col("own")))
+    wins = open_.select("tag", "doc_id", F.posexplode("ranks").alias("step", "win"), "at")
+    wins = saved(wins.select("tag", "win", "doc_id", (F.col("at") + F.col("step")).alias("at")), "windows")
+    cells_whole = saved(covered, "whole-cells")
+    discard(cells, kinds)
+
+    # single windows
+    found_twice = [F.count(F.lit(1)).alias("n")]
+    if later:
+        found_twice.append(F.min(at).alias("own"))
+    again = wins.join(wins.groupBy("win", "tag").agg(*found_twice).where("n > 1").drop("n"), ["win", "tag"])
+    singles = saved(_covered(again, at, later, F.col("at"), F.col("at") + length), "whole-windows")
+    discard(wins)
+    return whole.union(cells_whole).union(singles)
+
+
+def _covered(rows: DataFrame, place: Column, later: bool, a: Column, b: Column) -> DataFrame:
+    """Stretches of the repeated rows; if ``later``, not of the first of each."""
     if later:
-        again = again.where(~F.struct("doc_id", "at").eqNullSafe(F.col("first")))
-    singles = again.select("doc_id", F.col("at").alias("a"), (F.col("at") + length).alias("b"))
-    return covered.union(singles)
+        rows = rows.where(~place.eqNullSafe(F.col("own")))
+    return rows.select("doc_id", a.alias("a"), b.alias("b"))
 
 
-def _windows(joined: DataFrame, symbols: Callable, length: int, gram: int) -> DataFrame:
-    """(key, win, doc_id, at) of the windows of the listed runs."""
+def cell_width(length: int, gram: int) -> int:
+    return max(4, -(-(length - gram + 1) // 8))
+
+
+def _cells(joined: DataFrame, symbols: Callable, length: int, gram: int) -> DataFrame:
+    """The listed runs cut into cells, whose windows' offsets to the anchor
+    divided by ``cell_width`` are the same: (tag, core, span, doc_id, at,
+    count, ranks).  ``tag`` is half of the anchor's rank; ``core`` ranks what
+    all windows of such a cell share; ``span`` ranks the whole cell; ``ranks``
+    has those of its windows."""
     ranks_for = _ranks_cache()
+    wide = cell_width(length, gram)
 
     def block(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         data, offsets = symbols(batch.column("text"))
         lists = batch.column("runs")
         values = lists.flatten()
         owner = np.repeat(np.arange(batch.num_rows), np.asarray(lists.value_lengths().fill_null(0)))
-        field = lambda name: values.field(name).to_numpy(zero_copy_only=False)
-        key, loc, go_right, go_left = field("key"), field("loc"), field("go_right"), field("go_left")
+        key, loc, go_right, go_left = (values.field(f).to_numpy(zero_copy_only=False)
+                                       for f in ("key", "loc", "go_right", "go_left"))
         at, count, deep = loc >> _STEP, (loc >> 10) & 1023, loc & 1023
-        order = np.lexsort((at, owner))
-        key, owner, at, count, deep, go_right, go_left = (x[order] for x in (key, owner, at, count, deep, go_right, go_left))
+        # a run's cells: offsets fall from deep to deep - count + 1
+        top, low = deep // wide, (deep - count + 1) // wide
+        n = top - low + 1
+        ends = np.cumsum(n)
+        cell = np.repeat(top, n) - (np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - n, n))
+        run = np.repeat(np.arange(len(n)), n)
+        upper = np.minimum(deep[run], (cell + 1) * wide - 1)
+        lower = np.maximum((deep - count + 1)[run], cell * wide)
+        border = length - 2 * gram          # offsets up to here have the gram after the anchor
+        go = (go_right[run] & (lower <= border)) | (go_left[run] & (upper > border))
+        run, cell, upper, lower = run[go], cell[go], upper[go], lower[go]
+        first = at[run] + deep[run] - upper
+        order = np.lexsort((first, owner[run]))
+        run, cell, upper, lower, first = (x[order] for x in (run, cell, upper, lower, first))
+        doc = owner[run]
         out = []
         for group in slices(offsets, length):
             part, begins = stretch(data, offsets, group)
             ranks = ranks_for(len(part))
             prefix = ranks.prefix(part)
-            for (doc, shift, size), begin in zip(group, begins):
-                lo, hi = np.searchsorted(owner, [doc, doc + 1])
-                lo, hi = lo + np.searchsorted(at[lo:hi], [shift, shift + SLICE])
+            for (own, shift, _), begin in zip(group, begins):
+                lo, hi = np.searchsorted(doc, [own, own + 1])
+                lo, hi = lo + np.searchsorted(first[lo:hi], [shift, shift + SLICE])
                 if lo == hi:
                     continue
-                n = count[lo:hi]
-                ends = np.cumsum(n)
-                step = np.arange(ends[-1]) - np.repeat(ends - n, n)
-                offset = np.repeat(deep[lo:hi], n) - step
-                side = np.where(offset <= length - 2 * gram, np.repeat(go_right[lo:hi], n), np.repeat(go_left[lo:hi], n))
-                start = (np.repeat(at[lo:hi], n) + step)[side]
-                pos = start - shift + begin
-                out.append((np.repeat(key[lo:hi], n)[side], ranks.of(prefix, pos, pos + length).view(np.int64),
-                            np.full(len(start), doc), start))
+                c = slice(lo, hi)
+                pos = first[c] - shift + begin
+                size = upper[c] - lower[c] + 1
+                anchor = pos + upper[c]
+                core = ranks.of(prefix, anchor - cell[c] * wide,
+                                anchor + length - np.minimum((cell[c] + 1) * wide - 1, length - gram))
+                span = ranks.of(prefix, pos, pos + size + length - 1)
+                span = mix(span ^ (upper[c] * 2048 + size).astype(np.uint64) * np.uint64(_BASE))
+                ends = np.cumsum(size)
+                each = np.repeat(pos - (ends - size), size) + np.arange(ends[-1])
+                out.append(((key[run[c]] >> 32).astype(np.int32), mix(core + cell[c].astype(np.uint64)).view(np.int64),
+                            span.view(np.int64), doc[c], first[c], size, ranks.of(prefix, each, each + length).view(np.int64)))
         if not out:
             return None
-        k, w, d, s = (np.concatenate(x) for x in zip(*out))
+        tag, core, span, who, start, size, each = (np.concatenate(x) for x in zip(*out))
         return pa.RecordBatch.from_arrays(
-            [pa.array(k), pa.array(w), batch.column("doc_id").take(pa.array(d)), pa.array(s)],
-            ["key", "win", "doc_id", "at"])
+            [pa.array(tag), pa.array(core), pa.array(span), batch.column("doc_id").take(pa.array(who)), pa.array(start),
+             pa.array(size), pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)).astype(np.int32)), pa.array(each))],
+            ["tag", "core", "span", "doc_id", "at", "count", "ranks"])
 
-    return map_blocks(joined, block, "key long, win long, doc_id long, at long")
+    return map_blocks(joined, block, "tag int, core long, span long, doc_id long, at long, count long, ranks array<long>")
 
 
 def covered_mask(size: int, spans: list | None) -> np.ndarray:
@@ -280,16 +334,18 @@ def covered_mask(size: int, spans: list | None) -> np.ndarray:
     return np.cumsum(mask[:-1]) > 0
 
 
+SPANS = "__spans"       # a name that no input column has
+
+
 def with_stretches(docs: DataFrame, stretches: DataFrame) -> DataFrame:
-    """docs with their stretches as column ``spans`` (null: none)."""
-    lists = (stretches.groupBy("doc_id").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
-             .withColumnRenamed("doc_id", "span_doc"))
-    return (docs.join(lists, F.col("doc_id").eqNullSafe(F.col("span_doc")), "left")
-            .select("doc_id", "text", "spans"))
+    """docs with their stretches as column ``SPANS`` (null: none)."""
+    lists = (stretches.groupBy(F.col("doc_id").alias("__doc"))
+             .agg(F.collect_set(F.struct("a", "b")).alias(SPANS)))
+    return docs.join(lists, F.col("doc_id").eqNullSafe(F.col("__doc")), "left").drop("__doc")
 
 
 def span_arrays(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
-    """For each row of a ``spans`` column its a and b, or None."""
+    """For each row of a ``SPANS`` column its a and b, or None."""
     values = column.flatten()
     a, b = (values.field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
     sizes = np.asarray(column.value_lengths().fill_null(0))
