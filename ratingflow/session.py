@@ -3,6 +3,7 @@ shared checkpoint folder read from the session."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -33,34 +34,58 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared folder for checkpoints and derived tables.
 
-    On a cluster this must be a shared file system path set by the
-    deployment; only when it is unset (local tests) we pick a fresh folder.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="ratingflow-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+    A directory already set on the context counts first, then the setting
+    ``spark.checkpoint.dir``.  With neither, a fresh local folder is picked
+    for a local master only: on a cluster executors would not share it."""
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: the server side owns the context
+        path = spark.conf.get("spark.checkpoint.dir", None)
+        if not path:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share") from None
         return path
+    held = _CHOSEN.get(sc.applicationId)
+    if held and held[1] == sc.getCheckpointDir():
+        return held[0]
+    path = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        master = sc.master
+        if not (master == "local" or re.match(r"local\[", master)):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        path = tempfile.mkdtemp(prefix="ratingflow-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", path)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
+    _CHOSEN[sc.applicationId] = (path, sc.getCheckpointDir())
     return path
 
 
+#: per application: the folder chosen, and the context's directory then (the
+#: context appends a folder of its own to what it is given)
+_CHOSEN: dict[str, tuple[str, str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint dir for derived tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/ratingflow/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a folder made by ``scratch_path`` once nothing reads it."""
+    if f"{ensure_checkpoint_dir(spark).rstrip('/')}/ratingflow/" not in path:
+        raise ValueError(f"not a scratch folder: {path}")
+    sc = spark.sparkContext
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def set_time_zone(spark: SparkSession, tz: str) -> None:
     if spark.conf.get("spark.sql.session.timeZone") != tz:
         spark.conf.set("spark.sql.session.timeZone", tz)
 
 
-__all__ = ["local_session", "ensure_checkpoint_dir", "scratch_path",
+__all__ = ["local_session", "ensure_checkpoint_dir", "remove_scratch", "scratch_path",
            "set_time_zone"]

@@ -113,22 +113,27 @@ class KeyedLog:
         newest = F.max_by(F.struct(*value_cols), F.col("batch_id")).alias("_v")
         return rows.groupBy(*self.keys).agg(newest).select(*self.keys, "_v.*")
 
-    def current_rows(self, spark: SparkSession) -> DataFrame:
+    def current_rows(self, spark: SparkSession, before: int | None = None) -> DataFrame:
         """For keys stored as several rows per batch (e.g. a list
-        exploded): all rows of each key's newest batch."""
+        exploded): all rows of each key's newest batch, of the batches
+        earlier than ``before`` if given."""
         rows = self._live_rows(spark)
+        if before is not None:
+            rows = rows.where(F.col("batch_id") < before)
         newest = rows.groupBy(*self.keys).agg(F.max("batch_id").alias("batch_id"))
         return rows.join(newest, [*self.keys, "batch_id"], "left_semi")
 
     def compact(self, spark: SparkSession) -> int | None:
         """Fold the log into a snapshot tagged with the last folded batch id
-        and return that id.  Idempotent: re-running writes the same
-        snapshot.  Old batch partitions are no longer read and can be
-        expired by the storage's retention rules."""
+        and return that id.  The snapshot keeps every row of each key's
+        newest batch, so keys of several rows read back the same.
+        Idempotent: re-running writes the same snapshot.  Old batch
+        partitions are no longer read and can be expired by the storage's
+        retention rules."""
         upto = self.read_log(spark).agg(F.max("batch_id")).first()[0]
         if upto is None:
             return None
-        state = self.current(spark).where(F.col("batch_id") <= upto)
+        state = self.current_rows(spark).where(F.col("batch_id") <= upto)
         (state.withColumn("upto", F.lit(int(upto)).cast("long"))
          .write.format(self.fmt).mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")

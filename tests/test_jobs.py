@@ -159,3 +159,70 @@ def test_command_line_tune(spark, tmp_path, capsys):
                  "--grid-iter", "2", "--grid-parallelism", "2"]) == 0
     out = capsys.readouterr().out
     assert "rank" in out and "rmse" in out
+
+
+def test_compact_keeps_all_rows_of_a_key(spark, tmp_path):
+    from ratingflow.sinks.tables import KeyedLog
+    log = KeyedLog(str(tmp_path / "lists"), key=["uid", "salt"])
+    log.write_batch(spark.createDataFrame([(1, 0, i) for i in range(5)], "uid int, salt int, mid int"), 0)
+    log.write_batch(spark.createDataFrame([(2, 0, i) for i in range(3)], "uid int, salt int, mid int"), 1)
+    before = sorted(map(tuple, log.current_rows(spark).collect()))
+    assert log.compact(spark) == 1 and len(before) == 8
+    assert sorted(map(tuple, log.current_rows(spark).collect())) == before
+
+
+class _Context:
+    """Stands in for a cluster's context."""
+
+    def __init__(self, master, held=None):
+        self.master, self.applicationId, self.held = master, f"app-{id(self)}", held
+
+    def getCheckpointDir(self):
+        return self.held
+
+    def setCheckpointDir(self, path):
+        self.held = f"{path}/own"
+
+
+class _Session:
+    def __init__(self, context, **conf):
+        self.sparkContext, values = context, dict(conf)
+
+        class Conf:
+            get = staticmethod(lambda k, d=None: values.get(k, d))
+            set = staticmethod(values.__setitem__)
+        self.conf = Conf
+
+
+def test_checkpoint_folder_must_be_shared_on_a_cluster():
+    import pytest
+
+    from ratingflow.session import ensure_checkpoint_dir
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]", "k8s://https://host"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            ensure_checkpoint_dir(_Session(_Context(master)))
+    assert ensure_checkpoint_dir(_Session(_Context("yarn"), **{"spark.checkpoint.dir": "hdfs:///x"})) == "hdfs:///x"
+
+
+def test_the_contexts_checkpoint_folder_counts_first():
+    from ratingflow.session import ensure_checkpoint_dir
+    session = _Session(_Context("yarn", "hdfs:///mine/1"), **{"spark.checkpoint.dir": "hdfs:///other"})
+    assert ensure_checkpoint_dir(session) == "hdfs:///mine/1" == ensure_checkpoint_dir(session)
+    fresh = _Session(_Context("yarn"), **{"spark.checkpoint.dir": "hdfs:///x"})
+    assert ensure_checkpoint_dir(fresh) == ensure_checkpoint_dir(fresh) == "hdfs:///x"
+
+
+def test_scratch_folders_can_be_removed(spark):
+    import os
+
+    import pytest
+
+    from ratingflow.session import remove_scratch, scratch_path
+    path = scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    local = path.removeprefix("file:")
+    assert os.path.isdir(local)
+    remove_scratch(spark, path)
+    assert not os.path.isdir(local)
+    with pytest.raises(ValueError):
+        remove_scratch(spark, "/tmp/elsewhere")
