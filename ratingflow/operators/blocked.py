@@ -9,9 +9,9 @@ products per row) cannot be pruned for dense vectors, so it is spread over
 * each row is replicated once per partner block (``explode(sequence)``),
   keyed by the block pair, so a plain equi-shuffle on the pair key brings
   the two blocks of a pair together - no cartesian product is planned;
-* ``cogroup(...).applyInPandas`` multiplies the two blocks with numpy in
-  row chunks (bounded score matrix) and emits only what passes: pairs
-  above the threshold, or the best k per row.
+* ``applyInPandas`` multiplies the two blocks with numpy in row chunks
+  (bounded score matrix) and emits only what passes: pairs above the
+  threshold, a frame per chunk, or exactly the best k per row.
 
 Block counts (``plan_pair_blocks``/``plan_self_blocks``): with nl x nr
 block pairs the shuffle moves N_right*nl + N_left*nr rows, and there
@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import math
 import sys
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -33,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratingflow.operators.topk import top_k
+from ratingflow.session import ensure_checkpoint_dir
 
 # The block functions run in Python workers; ship them by value so the
 # executors do not need this package installed.
@@ -41,9 +43,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 TASKS_PER_SLOT = 4
 MIN_BLOCK_ROWS = 64
 MAX_BLOCK_ROWS = 1 << 16     # rows of one side in a group (64 MB at 128 doubles)
-# The cosine output of a group grows with block^2 x edge density (a group
-# returns its output as one frame), so self-similarity blocks are capped
-# lower: 16384^2 x 1.5% x 2 directions ~ 8M rows ~ 128 MB.
+# Both sides of a self product are held by one task, hence the lower cap.
 MAX_SELF_BLOCK_ROWS = 1 << 14
 CHUNK_CELLS = 1 << 22        # score-matrix cells per GEMM chunk (32 MB of doubles)
 
@@ -85,11 +85,17 @@ def block_of(id_col: str, nb: int) -> Column:
 
 
 def one_per_id(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """One vector per id (a deterministic pick among copies).  Blocks are
-    hashed by id, so copies of one id would all land in one block; a
-    partial-aggregating ``min_by`` collapses them before blocking."""
-    return df.groupBy(id_col).agg(
-        F.min_by(F.col(vec_col), F.xxhash64(F.col(vec_col))).alias(vec_col))
+    """One vector per id.  Null vectors and those holding a null or NaN don't
+    count; copies collapse before blocking (blocks are hashed by id, so all
+    copies of one would land in one block); an id with different vectors
+    fails the job, as no choice among them would be right."""
+    vec, tag = F.col(vec_col), F.xxhash64(F.col(vec_col))
+    valid = F.coalesce(F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x)), F.lit(False))
+    one = df.where(valid).groupBy(id_col).agg(
+        F.min_by(vec, tag).alias(vec_col), F.min(tag).alias("_lo"), F.max(tag).alias("_hi"))
+    clash = F.raise_error(F.concat(F.lit("different vectors for id "), F.col(id_col).cast("string")))
+    return one.select(id_col, F.when(F.col("_lo") != F.col("_hi"), clash.cast("array<double>"))
+                      .otherwise(F.col(vec_col)).alias(vec_col))
 
 
 def unit_vectors(df: DataFrame, id_col: str, vec_col: str, unique_ids: bool = False) -> DataFrame:
@@ -99,9 +105,9 @@ def unit_vectors(df: DataFrame, id_col: str, vec_col: str, unique_ids: bool = Fa
     so the collapsing shuffle is skipped."""
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda acc, x: acc + x * x))
     v = df.select(F.col(id_col).alias("id"), F.col(vec_col).alias("v"))
-    return ((v if unique_ids else one_per_id(v, "id", "v"))
+    v = v.withColumn("norm", norm).where(F.col("norm").isNotNull() & ~F.isnan("norm") & (F.col("norm") > 0))
+    return ((v.select("id", "v") if unique_ids else one_per_id(v.select("id", "v"), "id", "v"))
             .withColumn("norm", norm)
-            .where(F.col("norm").isNotNull() & ~F.isnan("norm") & (F.col("norm") > 0))
             .select("id", F.transform("v", lambda x: x / F.col("norm")).alias("v")))
 
 
@@ -119,32 +125,53 @@ def _chunks(n_left: int, n_right: int):
         yield lo, min(n_left, lo + step)
 
 
+def _sides(frames: Iterator[pd.DataFrame]) -> tuple:
+    """Ids and vectors of a group's left and right rows, ids ascending."""
+    ids, vectors = ([], []), ([], [])
+    for frame in frames:
+        for side in (0, 1):
+            own = frame[frame["side"] == side]
+            ids[side].append(own["id"].to_numpy())
+            vectors[side].append(_matrix(own["v"]))
+    out = []
+    for side in (0, 1):
+        i = np.concatenate(ids[side]) if ids[side] else np.zeros(0, np.int64)
+        some = [m for m in vectors[side] if len(m)]
+        order = np.argsort(i, kind="stable")
+        out.append((i[order], np.vstack(some)[order] if some else np.zeros((0, 0)), order))
+    return out
+
+
 def _cosine_pairs_fn(threshold: float):
-    def fn(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = {"mid": [], "rid": [], "r": []}
-        if len(left) and len(right):
+    def fn(key, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        (lid, lm, _), (rid, rm, _) = _sides(frames)
+        if len(lid) and len(rid):
             same_block = int(key[0]) == int(key[1])
-            lid = left["id"].to_numpy()
-            rid = right["id_r"].to_numpy()
-            lm, rm = _matrix(left["v"]), _matrix(right["v_r"])
+            # one frame a chunk: a group's output is never held whole
             for lo, hi in _chunks(len(lid), len(rid)):
                 s = lm[lo:hi] @ rm.T
                 keep = s > threshold
                 if same_block:  # a block against itself: each unordered pair once
                     keep &= lid[lo:hi, None] < rid[None, :]
                 li, ri = np.nonzero(keep)
-                a, b, r = lid[lo:hi][li], rid[ri], s[li, ri]
-                # both directions of each undirected edge
-                out["mid"] += [a, b]
-                out["rid"] += [b, a]
-                out["r"] += [r, r]
-        return pd.DataFrame({
-            "mid": np.concatenate(out["mid"]).astype(np.int32) if out["mid"] else np.zeros(0, np.int32),
-            "rid": np.concatenate(out["rid"]).astype(np.int32) if out["rid"] else np.zeros(0, np.int32),
-            "r": np.concatenate(out["r"]) if out["r"] else np.zeros(0)})
+                if len(li):
+                    a, b, r = lid[lo:hi][li], rid[ri], s[li, ri]
+                    # both directions of each undirected edge
+                    yield pd.DataFrame({"mid": np.concatenate([a, b]).astype(np.int32),
+                                        "rid": np.concatenate([b, a]).astype(np.int32),
+                                        "r": np.concatenate([r, r])})
+    # Spark reads the hints of the function to tell the iterator form
+    fn.__annotations__ = {"key": tuple, "frames": Iterator[pd.DataFrame], "return": Iterator[pd.DataFrame]}
     return fn
 
 
+def _settled(df: DataFrame) -> DataFrame:
+    """The vectors written once to the shared checkpoint folder: they are
+    counted, to size the blocks, and read by both sides of the product."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def cosine_edges(vectors: DataFrame, threshold: float, id_col: str = "mid",
                  vec_col: str = "features", block_rows: int = MAX_BLOCK_ROWS,
                  nb: int | None = None, unique_ids: bool = False) -> DataFrame:
@@ -152,43 +179,49 @@ def cosine_edges(vectors: DataFrame, threshold: float, id_col: str = "mid",
     similarity is strictly above ``threshold`` (both directions).
     ``block_rows`` caps the rows of one block (never above
     MAX_SELF_BLOCK_ROWS)."""
-    unit = unit_vectors(vectors, id_col, vec_col, unique_ids)
+    unit = _settled(unit_vectors(vectors, id_col, vec_col, unique_ids))
     nb = nb or plan_self_blocks(unit.count(), _slots(unit), min(block_rows, MAX_SELF_BLOCK_ROWS))
     b = unit.withColumn("b", block_of("id", nb))
     # a row of block b is the left side of pairs (b, j>=b) and the right
     # side of pairs (i<=b, b)
-    left = b.select(F.col("b").alias("bi"),
-                    F.explode(F.sequence(F.col("b"), F.lit(nb - 1))).alias("bj"), "id", "v")
-    # distinct column names per side: a cogroup of two projections of one
-    # plan must not share attribute names (the right values get pruned)
-    right = b.select(F.explode(F.sequence(F.lit(0), F.col("b"))).alias("bi"),
-                     F.col("b").alias("bj"), F.col("id").alias("id_r"), F.col("v").alias("v_r"))
-    return (left.groupBy("bi", "bj").cogroup(right.groupBy("bi", "bj"))
-            .applyInPandas(_cosine_pairs_fn(threshold), "mid int, rid int, r double"))
+    left = F.transform(F.sequence(F.col("b"), F.lit(nb - 1)), lambda j: F.struct(
+        F.col("b").alias("bi"), j.alias("bj"), F.lit(0).alias("side")))
+    right = F.transform(F.sequence(F.lit(0), F.col("b")), lambda i: F.struct(
+        i.alias("bi"), F.col("b").alias("bj"), F.lit(1).alias("side")))
+    rows = b.select(F.explode(F.concat(left, right)).alias("p"), "id", "v").select("p.*", "id", "v")
+    return rows.groupBy("bi", "bj").applyInPandas(_cosine_pairs_fn(threshold), "mid int, rid int, r double")
+
+
+def _best_of_rows(s: np.ndarray, kk: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of each row's ``kk`` largest scores, the leftmost of
+    equal ones; -inf never counts."""
+    n = s.shape[1]
+    kk = np.minimum(kk, n)
+    most = int(kk.max(initial=0))
+    if most == 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    top = -np.sort(-np.partition(s, n - most, axis=1)[:, n - most:], axis=1)
+    kth = np.where(kk > 0, top[np.arange(len(s)), np.maximum(kk, 1) - 1], np.inf)[:, None]
+    above, ties = s > kth, s == kth
+    room = kk - above.sum(axis=1)
+    keep = above | (ties & (np.cumsum(ties, axis=1) <= room[:, None]))
+    return np.nonzero(keep & (s > -np.inf))
 
 
 def _topk_fn(k: int, extra_col: str | None):
     def fn(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         parts = []
         if len(left) and len(right):
+            right = right.sort_values("id_r", kind="stable")   # equal scores: the smallest id first
             lid = left["id"].to_numpy()
             rid = right["id_r"].to_numpy()
             lm, rm = _matrix(left["v"]), _matrix(right["v_r"])
-            n = len(rid)
-            extra = (left[extra_col].fillna(0).to_numpy().astype(np.int64)
-                     if extra_col is not None else None)
-            for lo, hi in _chunks(len(lid), n):
+            more = (left[extra_col].fillna(0).to_numpy().astype(np.int64)
+                    if extra_col is not None else np.zeros(len(lid), np.int64))
+            for lo, hi in _chunks(len(lid), len(rid)):
                 s = lm[lo:hi] @ rm.T
                 s = np.where(np.isnan(s), -np.inf, s)
-                if extra is None:
-                    kk = min(k, n)
-                    kth = np.partition(s, n - kk, axis=1)[:, n - kk]
-                else:
-                    kk = np.minimum(k + extra[lo:hi], n)
-                    kth = np.sort(s, axis=1)[np.arange(hi - lo), n - kk]
-                # keep everything >= the row's k-th best score, so ties at
-                # the boundary survive for the exact final ranking
-                li, ri = np.nonzero(s >= kth[:, None])
+                li, ri = _best_of_rows(s, k + more[lo:hi])
                 parts.append((lid[lo:hi][li], rid[ri], s[li, ri]))
         if not parts:
             return pd.DataFrame({"uid": np.zeros(0, np.int32), "rid": np.zeros(0, np.int32),
@@ -203,7 +236,8 @@ def top_k_candidates(left: DataFrame, right: DataFrame, k: int, block_rows: int
                      left_id: str = "id", right_id: str = "id", vec_col: str = "features",
                      extra_k: str | None = None, unique_ids: bool = False) -> DataFrame:
     """(uid, rid, r): a superset of each left row's ``k`` best right rows by
-    dot product - the best k (plus ties) of every block pair.
+    dot product - exactly the best k of every block pair (r desc, rid asc),
+    so at most k rows per left row and right block.
 
     ``extra_k`` names an optional left column holding a per-row number of
     additional rows to keep (exact over-fetch before an exclusion).
@@ -215,6 +249,7 @@ def top_k_candidates(left: DataFrame, right: DataFrame, k: int, block_rows: int
     if extra_k:  # the per-row extra count is a function of the id
         extra = left.groupBy(F.col(left_id).alias("id")).agg(F.max(extra_k).alias(extra_k))
         lv = lv.join(extra, "id")
+    lv, rv = _settled(lv), _settled(rv)
     nbl, nbr = plan_pair_blocks(lv.count(), rv.count(), _slots(lv), block_rows)
     lb = lv.select(block_of("id", nbl).alias("bl"),
                    F.explode(F.sequence(F.lit(0), F.lit(nbr - 1))).alias("br"), "*")
