@@ -23,6 +23,15 @@ def split_on(col: Column | str, sep: str) -> Column:
     return F.split(_c(col), re.escape(sep))
 
 
+def split_fields(col: Column | str, sep: str) -> Column:
+    """Split on a literal separator, without the empty fields at the end."""
+    parts = split_on(col, sep)
+    # one past the last field that isn't empty
+    last = F.aggregate(F.sequence(F.lit(1), F.size(parts)), F.lit(0),
+                       lambda acc, i: F.when(F.element_at(parts, i) != "", i).otherwise(acc))
+    return F.slice(parts, 1, last)
+
+
 _CONTROL_AND_SPACE = "".join(chr(i) for i in range(0x21))
 
 
@@ -82,6 +91,14 @@ def parse_message_fields(msg: Column | str, strict: bool = True,
     return out
 
 
+def parse_list_item(item: Column | str, sep: str = ":") -> list[Column]:
+    """One item ``mid<sep>score`` of a stored list -> [mid INT, score DOUBLE];
+    both fields are trimmed; a short or bad item gives nulls."""
+    parts = split_on(item, sep)
+    return [java_trim(F.get(parts, 0)).try_cast("int").alias("mid"),
+            java_trim(F.get(parts, 1)).try_cast("double").alias("score")]
+
+
 def recs_to_string(recs: Column | str) -> Column:
     """array<struct<rid,r>> -> 'rid:r|rid:r' (stream rec string form)."""
     return F.array_join(

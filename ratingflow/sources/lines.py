@@ -7,9 +7,14 @@ is cut, exactly like a naive split; use ``mode='quoted'`` for CSV quoting.
 Modes
 -----
 strict  (default) a short line or a bad number fails the job
-drop    such lines are dropped (``get`` + ``try_cast``)
+drop    such lines are dropped (``get`` + ``try_cast``); ``line_counts``
+        tells how many
 quoted  the CSV reader with quote handling (only via ``read_lines``);
-        extra fields ignored, incomplete rows dropped
+        extra fields ignored, incomplete rows dropped; ``quoted_strict``
+        fails on them instead
+
+Empty fields at the end of a line don't count, so a line whose last field is
+empty is short.
 
 All parsers take a DataFrame with one string column ``value`` (what
 ``spark.read.text`` returns), so they work the same on files and on lines
@@ -22,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratingflow import schemas
-from ratingflow.functions.scalar import split_on
+from ratingflow.functions.scalar import java_trim, split_fields
 
 _SPECS = {
     # kind: ((name, type, trim), ...)
@@ -36,7 +41,7 @@ _SPECS = {
 
 def _parse(lines: DataFrame, kind: str, sep: str, mode: str) -> DataFrame:
     spec = _SPECS[kind]
-    parts = split_on(F.col("value"), sep)
+    parts = split_fields(F.col("value"), sep)
     cols: list[Column] = []
     for i, (name, typ, trim) in enumerate(spec):
         if mode == "strict":
@@ -47,7 +52,7 @@ def _parse(lines: DataFrame, kind: str, sep: str, mode: str) -> DataFrame:
         else:
             raise ValueError(f"unknown mode {mode!r}")
         if trim:
-            raw = F.trim(raw)
+            raw = java_trim(raw)
         if typ == "string":
             val = raw
         elif mode == "strict":
@@ -79,6 +84,24 @@ def parse_tag_lines(lines: DataFrame, sep: str = ",", mode: str = "strict") -> D
     return _parse(lines, "tag", sep, mode)
 
 
+def line_counts(lines: DataFrame, kind: str, sep: str = ",") -> DataFrame:
+    """(kind, n_lines, n_dropped): one row, how many lines ``mode='drop'``
+    leaves out."""
+    parsed = _mark_bad(lines, kind, sep)
+    return parsed.agg(F.count(F.lit(1)).alias("n_lines"), F.count_if("bad").alias("n_dropped")) \
+        .select(F.lit(kind).alias("kind"), "n_lines", "n_dropped")
+
+
+def _mark_bad(lines: DataFrame, kind: str, sep: str) -> DataFrame:
+    parts = split_fields(F.col("value"), sep)
+    bad = F.lit(False)
+    for i, (_, typ, trim) in enumerate(_SPECS[kind]):
+        raw = F.get(parts, i)
+        raw = java_trim(raw) if trim else raw
+        bad = bad | (raw if typ == "string" else raw.try_cast(typ)).isNull()
+    return lines.select(bad.alias("bad"))
+
+
 _PARSERS = {"movie": parse_movie_lines, "rating": parse_rating_lines, "tag": parse_tag_lines}
 _SCHEMAS = {"movie": schemas.MOVIE, "rating": schemas.RATING, "tag": schemas.TAG}
 
@@ -86,13 +109,24 @@ _SCHEMAS = {"movie": schemas.MOVIE, "rating": schemas.RATING, "tag": schemas.TAG
 def read_lines(spark: SparkSession, path: str, kind: str, sep: str = ",",
                mode: str = "strict") -> DataFrame:
     """Read a delimited file of ``kind`` in {'movie','rating','tag'}."""
-    if mode == "quoted":
-        # PERMISSIVE ignores extra fields (as the naive split does); rows
-        # with a missing or bad field come back with nulls and are dropped
+    if mode in ("quoted", "quoted_strict"):
+        # extra fields are ignored (as the naive split does); a missing or
+        # bad field comes back null.  All fields are read as text first, so
+        # that a bad number is told from a missing one and trims apply
         schema = _SCHEMAS[kind]
-        df = (spark.read.schema(schema).option("sep", sep).option("quote", '"')
+        text = ", ".join(f"`{f.name}` string" for f in schema.fields)
+        df = (spark.read.schema(text).option("sep", sep).option("quote", '"')
               .option("mode", "PERMISSIVE").csv(path))
-        if kind == "movie":
-            df = df.select(*[F.trim(c).alias(c) if c != "mid" else F.col(c) for c in df.columns])
-        return df.dropna(subset=[f.name for f in schema.fields])
+        strict = mode == "quoted_strict"
+        cols = []
+        for name, typ, trim in _SPECS[kind]:
+            raw = java_trim(F.col(name)) if trim else F.col(name)
+            val = raw if typ == "string" else raw.try_cast(typ)
+            if strict:
+                val = F.when(val.isNull(), F.raise_error(
+                    F.concat(F.lit(f"bad or missing {name} in {kind} line: "),
+                             F.concat_ws(sep, *df.columns)))).otherwise(val)
+            cols.append(val.alias(name))
+        out = df.select(*cols)
+        return out if strict else out.dropna(subset=[f.name for f in schema.fields])
     return _PARSERS[kind](spark.read.text(path), sep=sep, mode=mode)

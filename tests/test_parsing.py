@@ -113,7 +113,7 @@ def test_genres_substring_case_insensitive(spark):
     from ratingflow.operators import stats
     mwa = spark.createDataFrame([(1, "a", "SMALL|ring", 4.0), (2, "b", "large|smallish", 3.0),
                                  (3, "c", "bolt", 5.0)], "mid int, name string, genres string, avg double")
-    out = stats.genre_top_exploded(spark, mwa, ["small", "Ring"], k=10).orderBy("genres", "pos").collect()
+    out = stats.genre_top_exploded(mwa, ["small", "Ring"], k=10).orderBy("genres", "pos").collect()
     assert [(r.genres, r.rid) for r in out] == [("Ring", 1), ("small", 1), ("small", 2)]
 
 
@@ -121,7 +121,7 @@ def test_genre_top_k_ties_by_mid(spark):
     from ratingflow.operators import stats
     rows = [(i, "n", "red", 3.0) for i in range(15, 0, -1)]
     mwa = spark.createDataFrame(rows, "mid int, name string, genres string, avg double")
-    nested = stats.genre_top_movies(spark, mwa, ["red"], k=10).first()
+    nested = stats.genre_top_movies(mwa, ["red"], k=10).first()
     assert [x.rid for x in nested.recs] == list(range(1, 11))
 
 
@@ -146,3 +146,40 @@ def test_params_validation():
                 dict(history_buckets=0)):
         with pytest.raises(ValueError):
             Params(**bad)
+
+
+def test_movie_lines_trim_like_java_and_short_lines_fail(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+
+    lines = spark.createDataFrame([("5,\tHeat\t,\x01Action ",)], "value string")
+    assert tuple(parse_movie_lines(lines).first()) == (5, "Heat", "Action")
+    for bad in ("5,Heat,", "5,Heat", "x,Heat,Action"):
+        with pytest.raises(PySparkException):
+            parse_movie_lines(spark.createDataFrame([(bad,)], "value string")).collect()
+        assert parse_movie_lines(spark.createDataFrame([(bad,)], "value string"), mode="drop").collect() == []
+
+
+def test_quoted_strict_fails_on_bad_rows(spark, tmp_path):
+    import pytest
+    from pyspark.errors import PySparkException
+
+    from ratingflow.sources.lines import line_counts, read_lines
+    path = tmp_path / "movies.csv"
+    path.write_text('1,"Heat, the film",Action\n2,Empty,\nx,Bad,Drama\n')
+    assert [tuple(r) for r in read_lines(spark, str(path), "movie", mode="quoted").collect()] == \
+        [(1, "Heat, the film", "Action")]
+    with pytest.raises(PySparkException):
+        read_lines(spark, str(path), "movie", mode="quoted_strict").collect()
+    counts = line_counts(spark.read.text(str(path)), "movie").first()
+    assert (counts.n_lines, counts.n_dropped) == (3, 2)     # a plain split takes the quoted one, cut
+
+
+def test_different_vectors_of_one_id_fail(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+
+    from ratingflow.operators.similarity import item_similarity
+    rows = spark.createDataFrame([(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 1.0])], "mid int, features array<double>")
+    with pytest.raises(PySparkException, match="different vectors"):
+        item_similarity(rows, 0.1).collect()
