@@ -84,6 +84,11 @@ def _parser() -> argparse.ArgumentParser:
     sp.add_argument("--checkpoint", required=True)
     sp.add_argument("--threshold", type=float, default=Params.score_threshold)
     sp.add_argument("--history-buckets", type=int)
+    sp.add_argument("--compact-every", type=int, help="snapshot the recs every N batches")
+    sp.add_argument("--recent-k", type=int, default=Params.recent_k)
+    sp.add_argument("--cand-k", type=int, default=Params.cand_k)
+    sp.add_argument("--append-history", action="store_true", help="the stream's messages join the history")
+    sp.add_argument("--trigger-seconds", type=int, default=Params.trigger_seconds)
     sp.add_argument("--available-now", action="store_true")
     return p
 
@@ -128,11 +133,13 @@ def main(argv=None) -> int:
                                   args.sink_format, _kv(args.sink_option), args.checkpoint)
         q.awaitTermination()
     elif args.job == "rescore":
-        params = Params(score_threshold=args.threshold, history_buckets=args.history_buckets)
+        params = Params(score_threshold=args.threshold, history_buckets=args.history_buckets,
+                        compact_every=args.compact_every, recent_k=args.recent_k, cand_k=args.cand_k,
+                        append_history=args.append_history, trigger_seconds=args.trigger_seconds)
         source = spark.readStream.format(args.source_format).options(**_kv(args.source_option)).load()
         if "value" in source.columns:
             source = source.selectExpr("CAST(value AS STRING) AS value")
-        q = jobs.rescoring_job(spark, source, store.read(spark, jobs.RATING),
+        q = jobs.rescoring_job(spark, source, lambda: store.read(spark, jobs.RATING),
                                store.read(spark, jobs.MOVIE_RECS), args.sink, args.checkpoint,
                                params, available_now=args.available_now)
         q.awaitTermination()

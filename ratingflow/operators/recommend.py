@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratingflow import schemas
@@ -61,17 +61,41 @@ def rated_pairs(history: DataFrame, users: DataFrame) -> DataFrame:
     The semi join first cuts history to the batch's users (the batch side
     is small; Spark broadcasts it when its size estimate allows), so the
     following anti join shuffles only those users' ratings."""
-    return (history.select("uid", F.col("mid").alias("rid"))
-            .join(users.select("uid").distinct(), "uid", "left_semi"))
+    return rated_by(history.join(users.select("uid").distinct(), "uid", "left_semi"))
 
 
-def candidates(batch: DataFrame, history: DataFrame, edges: DataFrame, k: int = 20) -> DataFrame:
+def rated_by(user_history: DataFrame) -> DataFrame:
+    """(uid, rid), each pair once, of a history already cut to its users."""
+    return user_history.select("uid", F.col("mid").alias("rid")).distinct()
+
+
+def ranked_edges(edges: DataFrame) -> DataFrame:
+    """(mid, rid, r, pos): one edge a pair (the largest ``r`` of copies), with
+    its place among the movie's edges (r desc, rid asc)."""
+    one = edges.groupBy("mid", "rid").agg(F.max("r").alias("r"))
+    w = Window.partitionBy("mid").orderBy(F.col("r").desc(), F.col("rid").asc())
+    return one.withColumn("pos", F.row_number().over(w))
+
+
+def candidates(batch: DataFrame, history: DataFrame | None, edges: DataFrame, k: int = 20,
+               rated: DataFrame | None = None) -> DataFrame:
     """(uid, mid, pos, rid, r): for each (uid, mid) of ``batch``, the ``k``
     most similar movies to ``mid`` not rated by ``uid`` (r desc, rid asc).
-    A movie without edges yields no candidates."""
+    A movie without edges yields no candidates.
+
+    ``rated`` is ``rated_pairs`` if the caller has it; ``edges`` may come
+    ranked (``ranked_edges``), else the batch's movies' edges are ranked here.
+    A user with c rated movies needs a movie's best k + c edges at most, so
+    no more than that meet the anti join."""
     src = batch.select("uid", "mid").distinct()
-    pairs = src.join(edges.select("mid", "rid", "r"), "mid")
-    unseen = pairs.join(rated_pairs(history, src), ["uid", "rid"], "left_anti")
+    if rated is None:
+        rated = rated_pairs(history, src)
+    if "pos" not in edges.columns:
+        edges = ranked_edges(edges.join(src.select("mid").distinct(), "mid", "left_semi"))
+    need = src.join(rated.groupBy("uid").agg(F.count(F.lit(1)).alias("_c")), "uid", "left")
+    pairs = (need.join(edges.select("mid", "rid", "r", F.col("pos").alias("_place")), "mid")
+             .where(F.col("_place") <= F.lit(k) + F.coalesce("_c", F.lit(0))).drop("_c", "_place"))
+    unseen = pairs.join(rated, ["uid", "rid"], "left_anti")
     ranked = top_k(unseen, ["uid", "mid"], [F.col("r").desc(), F.col("rid").asc()], k)
     return ranked.select("uid", "mid", "pos", "rid", "r")
 
@@ -85,19 +109,19 @@ def score_pairs(cands: DataFrame, recent: DataFrame) -> DataFrame:
 
 
 def scores(cands: DataFrame, recent: DataFrame, edges: DataFrame, threshold: float = 0.6,
-           like_above: float = 3.0, pairs: DataFrame | None = None) -> DataFrame:
+           like_above: float = 3.0) -> DataFrame:
     """(uid, mid, rid, score) for candidates with at least one recent rating
     whose similarity to the candidate is above ``threshold``.
 
     Joins: candidates x recent on uid, then the edge candidate -> recent
-    movie on the pair key.  ``pairs`` may carry a precomputed (possibly
-    broadcast-hinted) ``score_pairs`` result.
+    movie on the pair key (``edges`` has one row a pair).  A missing pair
+    counts as similarity 0, which no threshold of 0 or more lets pass.
     """
+    if threshold < 0:
+        raise ValueError("threshold must be >= 0")
     e = edges.select(F.col("mid").alias("rid"), F.col("rid").alias("rmid"),
                      F.col("r").alias("sim")).where(F.col("sim") > threshold)
-    if pairs is None:
-        pairs = score_pairs(cands, recent)
-    j = pairs.join(e, ["rid", "rmid"])
+    j = score_pairs(cands, recent).join(e, ["rid", "rmid"])
     s = F.col("score")
     agg = j.groupBy("uid", "mid", "rid").agg(
         F.avg(F.col("sim") * s).alias("base"),
@@ -129,20 +153,18 @@ def replace_by_key(old: DataFrame, new: DataFrame, key: str | Sequence[str] = "u
 
 def rescore(batch: DataFrame, history: DataFrame, edges: DataFrame, *, recent_k: int = 20,
             cand_k: int = 20, threshold: float = 0.6, like_above: float = 3.0,
-            pairs_hook=None) -> DataFrame:
+            own_history: bool = False) -> DataFrame:
     """Steps 1-4 for one batch of messages: (uid, recs).
 
-    ``pairs_hook(df) -> df`` may materialise / broadcast the per-batch
-    (candidate, recent) pair set before it meets the edge table.
+    ``own_history``: the caller has cut ``history`` to the batch's users
+    already; otherwise one semi join does.  ``edges`` may come ranked.
     """
     latest = latest_per_user(batch)
-    users = latest.select("uid")
-    user_history = history.join(users, "uid", "left_semi")
-    recent = recent_ratings(user_history, recent_k)
-    cands = candidates(latest, user_history, edges, cand_k)
-    pairs = score_pairs(cands, recent)
-    if pairs_hook is not None:
-        pairs = pairs_hook(pairs)
-    scored = scores(cands, recent, edges, threshold, like_above, pairs=pairs) \
-        .select("uid", "rid", "score")
+    if not own_history:
+        history = history.join(latest.select("uid"), "uid", "left_semi")
+    if "pos" not in edges.columns:
+        edges = ranked_edges(edges)
+    recent = recent_ratings(history, recent_k)
+    cands = candidates(latest, None, edges, cand_k, rated=rated_by(history))
+    scored = scores(cands, recent, edges, threshold, like_above).select("uid", "rid", "score")
     return to_recs(latest, scored)

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from ratingflow.functions.scalar import year_month
 from ratingflow.operators.topk import nest, top_k
-from ratingflow.sources.tables import genre_table
 
 
 def rating_count_by_movie(ratings: DataFrame) -> DataFrame:
@@ -59,32 +58,30 @@ def movies_with_average(movies: DataFrame, averages: DataFrame) -> DataFrame:
     return movies.join(averages, "mid", "inner")
 
 
-def genre_candidates(spark: SparkSession, movies_avg: DataFrame, genres: Iterable[str]) -> DataFrame:
+def genre_candidates(movies_avg: DataFrame, genres: Iterable[str]) -> DataFrame:
     """(genre, mid, avg) for every genre whose name is a case-insensitive
     substring of the movie's genre string.
 
-    The genre list is a caller parameter of fixed size, so it is the
-    broadcast side of a nested-loop join; the movie side streams.
-    """
-    g = F.broadcast(genre_table(spark, genres).select("genre", F.lower("genre").alias("_lg")))
+    The genre list is a literal of the plan: each movie keeps the genres it
+    contains and is exploded by them, so there is no join."""
+    names = F.array(*[F.struct(F.lit(g).alias("genre"), F.lit(g.lower()).alias("low")) for g in genres])
+    own = F.filter(names, lambda g: F.contains(F.col("_lm"), g["low"]))
     m = movies_avg.select("mid", "avg", F.lower("genres").alias("_lm"))
-    return g.join(m, F.col("_lm").contains(F.col("_lg"))).select("genre", "mid", "avg")
+    return m.select(F.explode(own).alias("g"), "mid", "avg").select("g.genre", "mid", "avg")
 
 
-def genre_top_exploded(spark: SparkSession, movies_avg: DataFrame, genres: Iterable[str],
-                       k: int = 10) -> DataFrame:
+def genre_top_exploded(movies_avg: DataFrame, genres: Iterable[str], k: int = 10) -> DataFrame:
     """(genres, pos, rid, r): top ``k`` movies per genre by average score,
     ties broken by mid ascending."""
-    cand = genre_candidates(spark, movies_avg, genres)
+    cand = genre_candidates(movies_avg, genres)
     ranked = top_k(cand, ["genre"], [F.col("avg").desc(), F.col("mid").asc()], k)
     return ranked.select(F.col("genre").alias("genres"), "pos",
                          F.col("mid").alias("rid"), F.col("avg").alias("r"))
 
 
-def genre_top_movies(spark: SparkSession, movies_avg: DataFrame, genres: Iterable[str],
-                     k: int = 10) -> DataFrame:
+def genre_top_movies(movies_avg: DataFrame, genres: Iterable[str], k: int = 10) -> DataFrame:
     """(genres, recs array<struct<rid,r>>): the keyed genre table."""
-    return nest(genre_top_exploded(spark, movies_avg, genres, k), ["genres"], "pos", ["rid", "r"])
+    return nest(genre_top_exploded(movies_avg, genres, k), ["genres"], "pos", ["rid", "r"])
 
 
 def register_views(spark: SparkSession, ratings: DataFrame) -> None:

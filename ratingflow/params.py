@@ -76,6 +76,8 @@ class Params:
             v = float(getattr(self, name))
             if v != v or v in (float("inf"), float("-inf")):
                 raise ValueError(f"Params.{name} must be finite")
+        if self.score_threshold < 0:
+            raise ValueError("Params.score_threshold must be >= 0: a missing pair counts as 0")
         if not 0.0 <= self.holdout < 1.0:
             raise ValueError("Params.holdout must be in [0, 1)")
         for name in ("als_blocks", "history_buckets", "compact_every"):

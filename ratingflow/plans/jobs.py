@@ -15,6 +15,8 @@ production.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -109,7 +111,7 @@ def statistics_job(spark: SparkSession, ratings: DataFrame, movies: DataFrame, s
         avg = per_movie.select("mid", "avg")
         store.write(avg, AVG_SCORE)
         mwa = stats.movies_with_average(movies.select("mid", "name", "genres"), avg)
-        store.write(stats.genre_top_movies(spark, mwa, params.genres, params.genre_k), GENRE_TOP)
+        store.write(stats.genre_top_movies(mwa, params.genres, params.genre_k), GENRE_TOP)
     finally:
         per_movie.unpersist()
         rollup.unpersist()
@@ -148,14 +150,16 @@ def log_cleaning_job(spark: SparkSession, source_format: str, source_options: di
                              checkpoint, trigger_seconds=params.trigger_seconds)
 
 
-def rescoring_job(spark: SparkSession, messages: DataFrame, history: DataFrame,
+def rescoring_job(spark: SparkSession, messages: DataFrame, history: DataFrame | Callable[[], DataFrame],
                   movie_recs: DataFrame, sink_path: str, checkpoint: str,
                   params: Params = Params(), available_now: bool = False) -> StreamingQuery:
     """Structured Streaming job: ``messages`` is the streaming DataFrame
     of the rating topic (column ``value``), ``movie_recs`` the nested
-    similarity table written by ``offline_job``."""
+    similarity table written by ``offline_job``; ``history`` as a function
+    is read anew for each batch."""
     keep = ["uid", "mid", "score", "timestamp"] + (["ub"] if params.history_buckets else [])
-    handler = RescoreHandler(history.select(*keep), to_edges(movie_recs),
+    read = (lambda: history().select(*keep)) if callable(history) else history.select(*keep)
+    handler = RescoreHandler(read, to_edges(movie_recs),
                              KeyedLog(sink_path, "uid"), params, with_string=True,
                              history_buckets=params.history_buckets)
     return start_rescoring(spark, messages, handler, checkpoint, available_now,

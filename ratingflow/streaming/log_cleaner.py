@@ -17,13 +17,16 @@ from ratingflow.params import LOG_KEY, RATING_PREFIX
 
 
 def clean_log(df: DataFrame, value_col: str = "value", prefix: str = RATING_PREFIX,
-              key: str = LOG_KEY) -> DataFrame:
+              key: str = LOG_KEY, binary: bool = False) -> DataFrame:
     """(other columns..., key, value): cleaned messages.  ``value`` may be
-    STRING or BINARY (Kafka)."""
+    STRING or BINARY (Kafka); ``binary`` gives key and value back as bytes."""
     payload = log_payload(F.col(value_col).cast("string"), prefix)
     keep = [c for c in df.columns if c not in (value_col, "key")]
     out = df.select(*keep, F.lit(key).alias("key"), payload.alias("value"))
-    return out.where(F.col("value").isNotNull() & (F.col("value") != ""))
+    out = out.where(F.col("value").isNotNull() & (F.col("value") != ""))
+    if binary:
+        out = out.withColumns({c: F.col(c).cast("binary") for c in ("key", "value")})
+    return out
 
 
 def start_log_cleaner(spark: SparkSession, source_format: str, source_options: dict,
@@ -38,7 +41,7 @@ def start_log_cleaner(spark: SparkSession, source_format: str, source_options: d
     if schema is not None:
         reader = reader.schema(schema)
     raw = reader.load(source_path) if source_path else reader.load()
-    out = clean_log(raw)
+    out = clean_log(raw, binary=sink_format == "kafka")
     if sink_format == "kafka":
         out = out.select("key", "value")
     writer = (out.writeStream.format(sink_format).options(**sink_options)

@@ -1,88 +1,52 @@
-"""Recent-ratings list as keyed stream state.
+"""Recent ratings kept by the stream: each user's newest ``k`` messages.
 
-The reference keeps a per-user list of the newest ratings outside Spark
-and reads it for scoring.  Here the list can be kept by the stream itself:
-``applyInPandasWithState`` holds, per user, the newest ``k`` ratings
-(timestamp desc, mid asc, score asc).  State per user is bounded by k, and
-the new rows of a user are merged chunk by chunk, so a user flooding one
-micro-batch never materialises more than one Arrow batch plus k rows.
-Each updated user emits its whole list (update mode).
-
-Salting (``salts`` > 1): state is kept per (uid, salt) with the salt a
-stable hash of the rating, so a user flooding a micro-batch is spread over
-``salts`` groups and tasks.  Each salt holds its own newest k; the newest
-k of a user is always within the union of those lists, so
-``merge_salted`` (a per-user top-k, partial before its shuffle) restores
-the exact list when reading.
+A ``foreachBatch`` function: the stored lists of the batch's users and the
+batch's messages go through one ``top_k`` (at most k rows of a user leave each
+map task, so a flooding user is cut before the shuffle), and the users' lists
+are replaced in a ``KeyedLog``.  A replayed batch reads only what earlier
+batches wrote and overwrites its own partition, so it is idempotent.
 """
 
 from __future__ import annotations
 
-import sys
-
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
-
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-OUTPUT_SCHEMA = "uid int, pos int, mid int, score double, timestamp int"
-STATE_SCHEMA = "mids array<int>, scores array<double>, ts array<int>"
-def _newest(mid: np.ndarray, score: np.ndarray, ts: np.ndarray, k: int):
-    """Indices of the newest k rows: timestamp desc, mid asc, score asc."""
-    order = np.lexsort((score, mid, -ts.astype(np.int64)))
-    return order[:k]
 
+from ratingflow.operators.topk import top_k
+from ratingflow.sinks.tables import KeyedLog
 
-def _merge_fn(k: int, salted: bool = False):
-    def fn(key, chunks, state):
-        if state.exists:
-            mids, scores, tss = state.get
-            mid = np.asarray(mids, dtype=np.int64)
-            score = np.asarray(scores, dtype=np.float64)
-            ts = np.asarray(tss, dtype=np.int64)
-        else:
-            mid, score, ts = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
-        for chunk in chunks:
-            mid = np.concatenate([mid, chunk["mid"].to_numpy(dtype=np.int64)])
-            score = np.concatenate([score, chunk["score"].to_numpy(dtype=np.float64)])
-            ts = np.concatenate([ts, chunk["timestamp"].to_numpy(dtype=np.int64)])
-            keep = _newest(mid, score, ts, k)
-            mid, score, ts = mid[keep], score[keep], ts[keep]
-        state.update((mid.tolist(), score.tolist(), ts.tolist()))
-        n = len(mid)
-        out = {"uid": np.full(n, int(key[0]), dtype=np.int32)}
-        if salted:
-            out["salt"] = np.full(n, int(key[1]), dtype=np.int32)
-        out.update({"pos": np.arange(1, n + 1, dtype=np.int32), "mid": mid.astype(np.int32),
-                    "score": score, "timestamp": ts.astype(np.int32)})
-        yield pd.DataFrame(out)
-    return fn
+COLUMNS = ("uid", "mid", "score", "timestamp")
 
 
-def recent_lists(messages: DataFrame, k: int = 20, salts: int = 1) -> DataFrame:
-    """Streaming (uid, pos, mid, score, timestamp) in update mode: the
-    current newest-k list of every user that received ratings.  With
-    ``salts`` > 1 the rows are (uid, salt, pos, ...) per salt; read them
-    back through ``merge_salted``."""
-    df = messages.select("uid", "mid", "score", "timestamp")
-    if salts <= 1:
-        return df.groupBy("uid").applyInPandasWithState(
-            _merge_fn(k), OUTPUT_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
-    df = df.withColumn("salt", F.pmod(F.xxhash64("mid", "timestamp", "score"),
-                                      F.lit(int(salts))).cast("int"))
-    schema = OUTPUT_SCHEMA.replace("uid int, ", "uid int, salt int, ")
-    return df.groupBy("uid", "salt").applyInPandasWithState(
-        _merge_fn(k, salted=True), schema, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
-
-
-def merge_salted(rows: DataFrame, k: int = 20) -> DataFrame:
-    """(uid, pos, mid, score, timestamp): the exact newest k per user from
-    the per-salt lists."""
-    from ratingflow.operators.topk import top_k
-    ranked = top_k(rows.select("uid", "mid", "score", "timestamp"), ["uid"],
+def newest(rows: DataFrame, k: int) -> DataFrame:
+    """(uid, pos, mid, score, timestamp): newest ``k`` per user, order
+    timestamp desc, mid asc, score asc."""
+    ranked = top_k(rows.select(*COLUMNS), ["uid"],
                    [F.col("timestamp").desc(), F.col("mid").asc(), F.col("score").asc()], k)
     return ranked.select("uid", "pos", "mid", "score", "timestamp")
+
+
+class RecentLists:
+    """``foreachBatch`` function over parsed messages; ``sink`` is keyed by uid."""
+
+    def __init__(self, sink: KeyedLog, k: int = 20, compact_every: int | None = None):
+        self.sink, self.k, self.compact_every = sink, k, compact_every
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = batch.select(*COLUMNS)
+        try:
+            stored = self.sink.current_rows(spark, before=batch_id)
+        except AnalysisException:      # nothing written yet
+            stored = None
+        if stored is not None:
+            users = rows.select("uid").distinct()
+            rows = rows.unionByName(stored.join(users, "uid", "left_semi").select(*COLUMNS))
+        self.sink.write_batch(newest(rows, self.k), batch_id)
+        if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
+            self.sink.compact(spark)
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """(uid, pos, mid, score, timestamp) of all users."""
+        return self.sink.current_rows(spark).select("uid", "pos", "mid", "score", "timestamp")

@@ -3,23 +3,32 @@
 Every micro-batch of ``UID|MID|SCORE|TIMESTAMP`` messages goes through
 ``operators.recommend.rescore`` (latest message per user, recent ratings,
 unseen similar candidates, scores) inside ``foreachBatch``, and the users'
-rec rows are replaced in a ``KeyedLog``.  Bad messages are dropped and
-counted (``RescoreHandler.bad_messages``).
+rec rows are replaced in a ``KeyedLog``.
+
+History: read anew for each batch if it is given as a function, so ratings
+written meanwhile count.  With ``Params.append_history`` the stream's own
+messages join it: each batch is appended to a log under its ``batch_id``, and
+a batch sees the log up to itself.
+
+Bad messages are dropped and counted in a table beside the sink, by batch
+(``RescoreHandler.message_counts``).
 
 Recovery: the streaming checkpoint records offsets; a replayed batch
 recomputes the same rows and overwrites only its own ``batch_id``
-partition, so the sink is idempotent.
+partitions, so sink, history log and counts are idempotent.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ratingflow.functions.scalar import parse_message_fields, recs_to_string
-from ratingflow.operators.recommend import rescore
+from ratingflow.operators.recommend import ranked_edges, rescore
 from ratingflow.params import Params
 from ratingflow.sinks.tables import KeyedLog, user_bucket
 
@@ -34,27 +43,26 @@ def parse_messages(df: DataFrame, value_col: str = "value", strict: bool = False
 class RescoreHandler:
     """``foreachBatch`` function: re-score the users of each batch."""
 
-    def __init__(self, history: DataFrame, edges: DataFrame, sink: KeyedLog,
+    COLUMNS = ("uid", "mid", "score", "timestamp")
+
+    def __init__(self, history: DataFrame | Callable[[], DataFrame], edges: DataFrame, sink: KeyedLog,
                  params: Params = Params(), with_string: bool = False,
-                 broadcast_rows: int = 500_000, history_buckets: int | None = None):
-        """``broadcast_rows``: bound for broadcasting a batch's (candidate,
-        recent) pairs (~40 bytes a row, so ~20 MB); above it the pair set
-        meets the edge table in a shuffle join.
+                 history_buckets: int | None = None):
+        """``history``: a table, or a function that reads it anew per batch.
         ``history_buckets``: the history is partitioned by
         ``ub = user_bucket(uid, history_buckets)`` (``write_bucketed_history``);
         each batch then reads only its users' partitions."""
         self.history = history
-        self.broadcast_rows = broadcast_rows
         self.history_buckets = history_buckets
         # the similarity table is a lookup (one value per movie pair, copies
-        # collapse) and static: keep it across batches (lineage is a table
-        # scan, so a lost block is simply re-read)
-        one_per_pair = edges.groupBy("mid", "rid").agg(F.max("r").alias("r"))
-        self.edges = one_per_pair.persist(StorageLevel.MEMORY_AND_DISK)
+        # collapse), ranked per movie and static: keep it across batches
+        # (lineage is a table scan, so a lost block is simply re-read)
+        self.edges = ranked_edges(edges).persist(StorageLevel.MEMORY_AND_DISK)
         self.sink = sink
+        self.own = KeyedLog(f"{sink.path}_history", key="uid", fmt=sink.fmt)
+        self.counts = KeyedLog(f"{sink.path}_counts", key="n", fmt=sink.fmt)
         self.params = params
         self.with_string = with_string
-        self.bad_messages = 0
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         p = self.params
@@ -63,54 +71,49 @@ class RescoreHandler:
             parsed = raw.select(*parse_message_fields(F.col("value").cast("string"), strict=False))
             ok = F.col("uid").isNotNull() & F.col("mid").isNotNull() & \
                 F.col("score").isNotNull() & F.col("timestamp").isNotNull()
-            c = parsed.agg(F.count(F.lit(1)).alias("n"), F.count_if(ok).alias("ok")).first()
-            n_ok = int(c["ok"])
-            self.bad_messages += int(c["n"]) - n_ok
+            self.counts.write_batch(parsed.agg(F.count(F.lit(1)).alias("n"),
+                                               (F.count(F.lit(1)) - F.count_if(ok)).alias("n_bad")), batch_id)
             msgs = parsed.where(ok)
-            if n_ok == 0:
+            if msgs.isEmpty():
                 return
-            history = self._history_for(msgs)
             if p.append_history:
-                history = history.unionByName(msgs)
+                self.own.write_batch(msgs, batch_id)
             # the batch users' history is read once and reused for the
             # recent lists and the rated-movie exclusion
             users = msgs.select("uid").distinct()
-            user_history = history.join(users, "uid", "left_semi").persist(
+            mine = self._history_for(msgs, batch_id).join(users, "uid", "left_semi").persist(
                 StorageLevel.MEMORY_AND_DISK)
-            held = [user_history]
-
-            def pairs_hook(pairs: DataFrame) -> DataFrame:
-                # (candidate, recent) pairs are bounded by batch users x
-                # cand_k x recent_k; counted, and broadcast only under the
-                # bound, so the large edge table is scanned, not shuffled
-                pairs = pairs.persist(StorageLevel.MEMORY_AND_DISK)
-                held.append(pairs)
-                return F.broadcast(pairs) if pairs.count() <= self.broadcast_rows else pairs
-
             try:
-                recs = rescore(msgs, user_history, self.edges, recent_k=p.recent_k,
+                recs = rescore(msgs, mine, self.edges, recent_k=p.recent_k,
                                cand_k=p.cand_k, threshold=p.score_threshold,
-                               like_above=p.like_above, pairs_hook=pairs_hook)
+                               like_above=p.like_above, own_history=True)
                 if self.with_string:
                     recs = recs.withColumn("recs_string", recs_to_string("recs"))
                 self.sink.write_batch(recs, batch_id)
                 if p.compact_every and batch_id > 0 and batch_id % p.compact_every == 0:
                     self.sink.compact(recs.sparkSession)
             finally:
-                for df in held:
-                    df.unpersist()
+                mine.unpersist()
         finally:
             raw.unpersist()
 
-    def _history_for(self, msgs: DataFrame) -> DataFrame:
-        cols = ["uid", "mid", "score", "timestamp"]
-        if not self.history_buckets:
-            return self.history.select(*cols)
-        # the set of buckets is bounded by history_buckets: a small list
-        # to the driver that becomes a partition filter at the scan
-        buckets = sorted(r[0] for r in msgs.select(
-            user_bucket("uid", self.history_buckets).alias("ub")).distinct().collect())
-        return self.history.where(F.col("ub").isin(buckets)).select(*cols)
+    def _history_for(self, msgs: DataFrame, batch_id: int | None = None) -> DataFrame:
+        base = self.history() if callable(self.history) else self.history
+        if self.history_buckets:
+            # the set of buckets is bounded by history_buckets: a small list
+            # to the driver that becomes a partition filter at the scan
+            buckets = sorted(r[0] for r in msgs.select(
+                user_bucket("uid", self.history_buckets).alias("ub")).distinct().collect())
+            base = base.where(F.col("ub").isin(buckets))
+        base = base.select(*self.COLUMNS)
+        if self.params.append_history and batch_id is not None:
+            grown = self.own.read_log(msgs.sparkSession).where(F.col("batch_id") <= batch_id)
+            base = base.unionByName(grown.select(*self.COLUMNS))
+        return base
+
+    def message_counts(self, spark: SparkSession) -> DataFrame:
+        """(batch_id, n, n_bad) of the batches that ran, restarts included."""
+        return self.counts.read_log(spark).select("batch_id", "n", "n_bad")
 
     def close(self) -> None:
         self.edges.unpersist()

@@ -6,9 +6,10 @@ import io
 import pytest
 
 import __spark_entry__ as entry
+from ratingflow.plans.queries import QUERIES as RATING_QUERIES
 
 SF = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
+QUERIES = {name: fn for name, fn in entry.queries().items() if name in RATING_QUERIES}
 
 
 def plan(df) -> str:
@@ -29,8 +30,18 @@ def test_no_cartesian_product_anywhere(plans):
     assert not [n for n, p in plans.items() if "CartesianProduct" in p]
 
 
-def test_nested_loop_join_only_for_the_bounded_genre_list(plans):
-    assert {n for n, p in plans.items() if "BroadcastNestedLoopJoin" in p} == {"genre_top_movies"}
+def test_no_nested_loop_join_anywhere(plans):
+    assert not [n for n, p in plans.items() if "BroadcastNestedLoopJoin" in p]
+
+
+def test_recent_lists_run_without_python(plans):
+    assert not any(x in plans["stream_recent_state"] for x in ("Python", "Pandas", "Arrow"))
+
+
+@pytest.mark.parametrize("name", ["stream_candidates", "stream_recs"])
+def test_candidates_are_cut_before_the_anti_join(plans, name):
+    tree = plans[name]
+    assert "(_place" in tree and "LeftAnti" in tree      # the filter on the movie's own ranking
 
 
 @pytest.mark.parametrize("name", ["genre_top_movies", "recent_ratings", "stream_candidates"])

@@ -78,7 +78,7 @@ def test_genre_top_brute_force(spark, movies, k):
     mwa = spark.createDataFrame(rows, "mid int, name string, genres string, avg double")
     genres = ["red", "Small", "gear", "none"]
     got = {}
-    for r in stats.genre_top_exploded(spark, mwa, genres, k).collect():
+    for r in stats.genre_top_exploded(mwa, genres, k).collect():
         got.setdefault(r.genres, []).append((r.pos, r.rid))
     want = {}
     for g in genres:

@@ -113,28 +113,39 @@ def test_bucketed_history_prunes_and_matches(spark, tmp_path):
     assert out["plain"] == out["bucketed"] and len(out["plain"]) == 2
 
 
-@pytest.mark.parametrize("salts", [1, 8])
-def test_recent_state_flooding_user(spark, tmp_path, salts):
-    from ratingflow.streaming.recent_state import merge_salted, recent_lists
-    from ratingflow.streaming.recommender import parse_messages
+def test_recent_lists_flooding_user_and_replay(spark, tmp_path):
+    from ratingflow.streaming.recent_state import RecentLists
     rows = [(7, m, float(1 + m % 5), 1000 + (m * 37) % 50) for m in range(300)]  # one hot user
     rows += [(8, 1, 2.0, 5), (8, 2, 3.0, 5)]
-    src = tmp_path / "in"
-    spark.createDataFrame([("|".join(map(str, r)),) for r in rows], "value string") \
-        .write.text(str(src))
-    sink = KeyedLog(str(tmp_path / "state"), key=["uid", "salt"] if salts > 1 else "uid")
-    q = (recent_lists(parse_messages(spark.readStream.format("text").load(str(src))), k=20,
-                      salts=salts)
-         .writeStream.outputMode("update").foreachBatch(lambda df, b: sink.write_batch(df, b))
-         .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
-    q.awaitTermination()
-    got_rows = sink.current_rows(spark)
-    if salts > 1:
-        assert got_rows.select("salt").distinct().count() > 1   # the hot user was spread
-        got_rows = merge_salted(got_rows, k=20)
-    got = sorted((r.uid, r.pos, r.mid) for r in got_rows.collect())
+    lists = RecentLists(KeyedLog(str(tmp_path / "state"), key="uid"), k=20, compact_every=2)
+    schema = "uid int, mid int, score double, timestamp int"
+    for batch_id, part in enumerate((rows[:100], rows[100:250], rows[250:])):
+        lists(spark.createDataFrame(part, schema), batch_id)
+        lists(spark.createDataFrame(part, schema), batch_id)        # a replay changes nothing
     want = []
     for u in (7, 8):
         mine = sorted((r for r in rows if r[0] == u), key=lambda t: (-t[3], t[1], t[2]))[:20]
         want += [(u, i + 1, t[1]) for i, t in enumerate(mine)]
-    assert got == sorted(want)
+    assert sorted((r.uid, r.pos, r.mid) for r in lists.read(spark).collect()) == sorted(want)
+
+
+def test_appended_history_is_seen_by_the_next_batch(spark, tmp_path):
+    """User 1 rates movie 20 in batch 0: batch 1 must not recommend it."""
+    edges = spark.createDataFrame([(30, 20, 0.9), (20, 30, 0.9), (30, 40, 0.8), (40, 30, 0.8), (20, 40, 0.7),
+                                   (40, 20, 0.7), (10, 20, 0.9), (20, 10, 0.9)], "mid int, rid int, r double")
+    history = spark.createDataFrame([(1, 10, 4.0, 1)], "uid int, mid int, score double, timestamp int")
+    sink = KeyedLog(str(tmp_path / "recs"), "uid")
+    reads = []
+
+    def read():
+        reads.append(1)
+        return history
+    handler = RescoreHandler(read, edges, sink, Params(append_history=True))
+    handler(spark.createDataFrame([("1|20|5.0|100",), ("broken",)], "value string"), 0)
+    handler(spark.createDataFrame([("1|30|5.0|200",)], "value string"), 1)
+    handler.close()
+    recs = sink.current(spark).first()
+    assert recs.batch_id == 1 and [r.rid for r in recs.recs] == [40]
+    assert len(reads) == 2      # read anew for each batch
+    counts = sorted((r.batch_id, r.n, r.n_bad) for r in handler.message_counts(spark).collect())
+    assert counts == [(0, 2, 1), (1, 1, 0)]
