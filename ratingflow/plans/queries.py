@@ -101,7 +101,7 @@ WHERE pos <= 10""")
 def genre_top_movies(spark, sf):
     r = fx.ratings(spark, sf)
     mwa = stats.movies_with_average(fx.movies(spark, sf), stats.average_score_by_movie(r))
-    return stats.genre_top_exploded(spark, mwa, FIXTURE_GENRES, k=10)
+    return stats.genre_top_exploded(mwa, FIXTURE_GENRES, k=10)
 
 
 # ---------------------------------------------------------------- documents
@@ -444,9 +444,10 @@ def stream_rescoring(spark, sf):
 
 
 # ---------------------------------------------------------------- ALS
-# Factor values depend on the solver (partitioning, float order): no value
-# oracle, the driver checks rows only.  Settings are the jobs' defaults
-# (rank 50, 10 iterations, reg 0.01, seed 42; grid 5 ranks x 3 regs).
+# Factor values depend on the solver (partitioning, float order), so the
+# queries return facts that hold for any solver and that SQL can derive from
+# the ratings.  Settings are the jobs' defaults (rank 50, 10 iterations, reg
+# 0.01, seed 42; grid 5 ranks x 3 regs).
 
 def _als_params():
     from ratingflow.params import Params
@@ -457,37 +458,78 @@ def _als_params():
 ALS_CHECK = _als_params()
 
 
-@register("als_user_topk")
+@register("als_user_topk", with_(RATINGS) + """
+SELECT DISTINCT uid, CAST(20 AS BIGINT) AS n_recs, CAST(20 AS BIGINT) AS n_distinct,
+       CAST(20 AS BIGINT) AS n_known, true AS descending FROM ratings""")
 def als_user_topk(spark, sf):
+    """Per user: 20 distinct movies of the catalogue, best first."""
     from ratingflow.operators.model import fit, model_user_top_k
-    r = fx.ratings(spark, sf)
-    model = fit(r, **ALS_CHECK)
-    return model_user_top_k(model, fx.movies(spark, sf), k=20)
-
-
-@register("als_item_similarity")
+    r, movies = fx.ratings(spark, sf), fx.movies(spark, sf)
+    top = model_user_top_k(fit(r, **ALS_CHECK), movies, k=20)
+    known = movies.select(F.col("mid").alias("rid"), F.lit(1).alias("known"))
+    scores_in_order = F.transform(F.array_sort(F.collect_list(F.struct("pos", "r"))), lambda x: x["r"])
+    facts = top.join(known, "rid", "left").groupBy("uid").agg(
+        F.count(F.lit(1)).alias("n_recs"), F.countDistinct("rid").alias("n_distinct"),
+        F.count("known").alias("n_known"), scores_in_order.alias("_r"))
+    return facts.select("uid", "n_recs", "n_distinct", "n_known",
+                        (F.col("_r") == F.reverse(F.array_sort("_r"))).alias("descending"))
+
+
+@register("als_item_similarity", """
+SELECT CAST(0 AS BIGINT) AS one_way, CAST(0 AS BIGINT) AS below, CAST(0 AS BIGINT) AS self_edges,
+       CAST(0 AS BIGINT) AS unknown, true AS some""")
 def als_item_similarity(spark, sf):
+    """The learned edges: both ways with one value, above the threshold, no
+    self edges, rated movies only."""
     from ratingflow.operators.model import fit, model_item_similarity
-    model = fit(fx.ratings(spark, sf), **ALS_CHECK)
-    return model_item_similarity(model, threshold=0.6)
-
-
-@register("als_rmse")
+    r = fx.ratings(spark, sf)
+    e = model_item_similarity(fit(r, **ALS_CHECK), threshold=0.6).checkpoint()
+    back = e.select(F.col("rid").alias("mid"), F.col("mid").alias("rid"), F.round("r", 9).alias("back"))
+    one_way = e.withColumn("r", F.round("r", 9)).join(back, ["mid", "rid"], "left") \
+        .agg(F.count_if(F.col("back").isNull() | (F.abs(F.col("back") - F.col("r")) > 1e-6)).alias("one_way"))
+    rest = e.agg(F.count_if(F.col("r") <= 0.6).alias("below"), F.count_if(F.col("mid") == F.col("rid")).alias("self_edges"),
+                 (F.count(F.lit(1)) > 0).alias("some"))
+    unknown = e.join(r.select("mid").distinct(), "mid", "left_anti").agg(F.count(F.lit(1)).alias("unknown"))
+    one = lambda df: df.withColumn("_1", F.lit(1))
+    return one(one_way).join(one(rest), "_1").join(one(unknown), "_1") \
+        .select("one_way", "below", "self_edges", "unknown", "some")
+
+
+@register("als_rmse", with_(RATINGS) + """
+SELECT count(*) AS n, true AS below_mean_rmse FROM ratings""")
 def als_rmse(spark, sf):
+    """Every rating predicted once, better than by the mean score."""
     from ratingflow.operators.model import fit, model_rmse
     r = fx.ratings(spark, sf)
-    return model_rmse(fit(r, **ALS_CHECK), r)
+    mean = r.agg(F.stddev_pop("score").alias("mean_rmse"), F.lit(1).alias("_1"))
+    own = model_rmse(fit(r, **ALS_CHECK), r).withColumn("_1", F.lit(1))
+    return own.join(mean, "_1").select("n", (F.col("rmse") < F.col("mean_rmse")).alias("below_mean_rmse"))
 
 
-@register("als_grid_search")
+@register("als_grid_search", """
+SELECT CAST(k AS INTEGER) AS "rank", CAST(g AS DOUBLE) AS reg, true AS has_rmse, true AS in_order,
+       true AS best_is_first
+FROM (VALUES (30), (40), (50), (60), (70)) a(k), (VALUES (1.0), (0.1), (0.001)) b(g)""")
 def als_grid_search(spark, sf):
-    from ratingflow.operators.model import grid_search
+    """All grid points, least RMSE first, and the winner is the first."""
+    from pyspark.sql import Window
+
+    from ratingflow.operators.model import best_params, grid_search
     from ratingflow.params import Params
     p = Params()
     # the job default fits one point at a time (each fit caches its blocks);
     # here the fits are small, so three run at once - same grid, same result
-    return grid_search(spark, fx.ratings(spark, sf), ranks=p.grid_ranks, regs=p.grid_regs,
+    grid = grid_search(spark, fx.ratings(spark, sf), ranks=p.grid_ranks, regs=p.grid_regs,
                        max_iter=p.grid_iter, seed=p.seed, holdout=p.holdout, parallelism=3)
+    # 15 rows: places as they come, by the grid's size alone
+    placed = grid.coalesce(1).withColumn("_place", F.monotonically_increasing_id())
+    best = best_params(grid).select(F.col("rank").alias("_rank"), F.col("reg").alias("_reg"), F.lit(1).alias("_1"))
+    w = Window.partitionBy(F.lit(1)).orderBy("_place")
+    out = placed.withColumn("_1", F.lit(1)).join(best, "_1")
+    first = (F.first("rank").over(w) == F.col("_rank")) & (F.first("reg").over(w) == F.col("_reg"))
+    return out.select("rank", "reg", F.col("rmse").isNotNull().alias("has_rmse"),
+                      (F.col("rmse") >= F.coalesce(F.lag("rmse").over(w), F.col("rmse"))).alias("in_order"),
+                      first.alias("best_is_first"))
 
 
 @register("stream_recent_state", with_(MESSAGES) + """
@@ -497,12 +539,11 @@ SELECT uid, pos, mid, score, "timestamp" FROM (
               AS INTEGER) AS pos
   FROM messages) WHERE pos <= 20""")
 def stream_recent_state(spark, sf):
-    """Recent lists kept as stream state over two micro-batches of the
-    rating messages (restart from the checkpoint in between); the state is
-    salted 4 ways per user and merged exactly on read."""
+    """Recent lists kept by the stream over two micro-batches of the rating
+    messages (restart from the checkpoint in between)."""
     from ratingflow.session import scratch_path
     from ratingflow.sinks.tables import KeyedLog
-    from ratingflow.streaming.recent_state import merge_salted, recent_lists
+    from ratingflow.streaming.recent_state import RecentLists
     from ratingflow.streaming.recommender import parse_messages
 
     base = scratch_path(spark, "recent-state")
@@ -510,13 +551,217 @@ def stream_recent_state(spark, sf):
     split = _split_ts(msgs)
     text = msgs.select(F.concat_ws("|", "uid", "mid", "score", "timestamp").alias("value"),
                        "timestamp")
-    sink = KeyedLog(f"{base}/recent", key=["uid", "salt"])
+    lists = RecentLists(KeyedLog(f"{base}/recent", key="uid"), k=20)
     for part in (F.col("timestamp") < split, F.col("timestamp") >= split):
         text.where(part).select("value").write.mode("append").text(f"{base}/in")
         stream = parse_messages(spark.readStream.format("text").load(f"{base}/in"))
-        q = (recent_lists(stream, k=20, salts=4).writeStream.outputMode("update")
-             .foreachBatch(lambda df, bid: sink.write_batch(df, bid))
+        q = (stream.writeStream.foreachBatch(lists)
              .option("checkpointLocation", f"{base}/checkpoint")
              .trigger(availableNow=True).start())
         q.awaitTermination()
-    return merge_salted(sink.current_rows(spark), k=20)
+    return lists.read(spark)
+
+
+# ---------------------------------------------------------------- tables kept in order
+
+_SPLIT = """split AS (SELECT CAST(min("timestamp") AS BIGINT)
+                 + ((CAST(max("timestamp") AS BIGINT) - min("timestamp")) * 9) // 10 AS s FROM messages),
+m0 AS (SELECT m.* FROM messages m, split WHERE m."timestamp" < split.s),
+m1 AS (SELECT m.* FROM messages m, split WHERE m."timestamp" >= split.s)"""
+
+
+@register("keyed_log_compacted", with_(MESSAGES, _SPLIT) + """
+SELECT uid, mid, score, "timestamp", CAST(1 AS BIGINT) AS batch_id FROM m1
+UNION ALL
+SELECT uid, mid, score, "timestamp", CAST(0 AS BIGINT) AS batch_id FROM m0
+WHERE uid NOT IN (SELECT uid FROM m1)""")
+def keyed_log_compacted(spark, sf):
+    """Keys of several rows through a log that is compacted after each batch."""
+    from ratingflow.session import scratch_path
+    from ratingflow.sinks.tables import KeyedLog
+    base = scratch_path(spark, "compacted")
+    msgs = messages(spark, sf).select("uid", "mid", "score", "timestamp").checkpoint()
+    split = _split_ts(msgs)
+    log = KeyedLog(f"{base}/log", key="uid")
+    for b, part in enumerate((F.col("timestamp") < split, F.col("timestamp") >= split)):
+        log.write_batch(msgs.where(part), b)
+        log.compact(spark)
+    return log.current_rows(spark).select("uid", "mid", "score", "timestamp", "batch_id")
+
+
+@register("line_reject_counts", with_(RATINGS, MOVIES) + """
+SELECT 'rating' AS kind, count(*) AS n_lines, count(*) FILTER (WHERE mid % 10 = 0) AS n_dropped FROM ratings
+UNION ALL
+SELECT 'movie' AS kind, count(*) AS n_lines, count(*) FILTER (WHERE mid % 4 = 0) AS n_dropped FROM movies""")
+def line_reject_counts(spark, sf):
+    """Lines that the dropping parser leaves out: bad scores, empty genres."""
+    from ratingflow.sources.lines import line_counts
+    r = fx.ratings(spark, sf)
+    score = F.when(F.col("mid") % 10 == 0, "x").otherwise(F.col("score").cast("string"))
+    ratings = r.select(F.concat_ws(",", "uid", "mid", score, "timestamp").alias("value"))
+    m = fx.movies(spark, sf)
+    genres = F.when(F.col("mid") % 4 == 0, "").otherwise(F.col("genres"))
+    movies = m.select(F.concat_ws(",", F.col("mid").cast("string"), "name", genres).alias("value"))
+    return line_counts(ratings, "rating").union(line_counts(movies, "movie"))
+
+
+@register("recent_item_parse", with_(RATINGS) + """
+SELECT uid, mid, score FROM ratings""")
+def recent_item_parse(spark, sf):
+    """List items ``mid:score`` with blanks around both fields."""
+    from ratingflow.functions.scalar import parse_list_item
+    r = fx.ratings(spark, sf)
+    item = F.concat(F.lit(" "), "mid", F.lit(" :\t"), "score", F.lit("\n"))
+    return r.select("uid", item.alias("item")).select("uid", *parse_list_item("item"))
+
+
+@register("rating_month_sql", with_(RATINGS) + """
+SELECT mid, count(mid) AS count,
+       CAST(strftime(to_timestamp("timestamp") AT TIME ZONE 'UTC', '%Y%m') AS INTEGER) AS yearmonth
+FROM ratings GROUP BY ALL""")
+def rating_month_sql(spark, sf):
+    """The SQL surface: views, the changeDate function and statements."""
+    stats.register_views(spark, fx.ratings(spark, sf))
+    return spark.sql("SELECT mid, count(mid) AS count, yearmonth FROM ratingCountByMonth GROUP BY yearmonth, mid")
+
+
+@register("store_round_trip", with_(RATINGS, MOVIES, TAGS) + """
+SELECT 'Rating' AS name, count(*) AS n, CAST(sum(mid) AS BIGINT) AS checksum FROM ratings
+UNION ALL SELECT 'Movie', count(*), CAST(sum(mid + length(name) + length(genres)) AS BIGINT) FROM movies
+UNION ALL SELECT 'Tag', count(*), CAST(sum(mid + length(tag)) AS BIGINT) FROM tags
+UNION ALL SELECT 'documents', count(*), CAST(sum(m.mid + coalesce(length(t.tags), 0)) AS BIGINT)
+FROM movies m LEFT JOIN (
+  SELECT mid, string_agg(DISTINCT tag, '|' ORDER BY tag) AS tags
+  FROM tags WHERE tag IS NOT NULL GROUP BY mid) t ON m.mid = t.mid""")
+def store_round_trip(spark, sf):
+    """The loader's tables and search documents, overwritten twice, read
+    back through the typed scans."""
+    from ratingflow import schemas
+    from ratingflow.session import scratch_path
+    from ratingflow.sinks.tables import write_search_documents, write_table
+    from ratingflow.sources.tables import read_table
+    base = scratch_path(spark, "store")
+    movies, tags = fx.movies(spark, sf), fx.tags(spark, sf)
+    docs = documents.search_documents(movies, tags)
+    for _ in range(2):
+        write_table(fx.ratings(spark, sf), f"{base}/Rating")
+        write_table(movies, f"{base}/Movie")
+        write_table(tags, f"{base}/Tag")
+        write_search_documents(docs.union(docs), f"{base}/documents")
+    sums = {
+        "Rating": (schemas.RATING, F.col("mid")),
+        "Movie": (schemas.MOVIE, F.col("mid") + F.length("name") + F.length("genres")),
+        "Tag": (schemas.TAG, F.col("mid") + F.length("tag")),
+        "documents": (None, F.col("mid") + F.coalesce(F.length("tags"), F.lit(0))),
+    }
+    out = None
+    for name, (schema, value) in sums.items():
+        rows = read_table(spark, f"{base}/{name}", schema)
+        one = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(value).cast("long").alias("checksum")) \
+            .select(F.lit(name).alias("name"), "n", "checksum")
+        out = one if out is None else out.union(one)
+    return out
+
+
+@register("edges_round_trip", with_(VECTORS, _EDGES.format(t=SIM_T)) + """
+SELECT mid, rid, round(r, 6) AS r FROM edges""")
+def edges_round_trip(spark, sf):
+    """Similar movies nested per movie, and read back as edges."""
+    from ratingflow.operators.similarity import nest_edges
+    from ratingflow.sources.tables import to_edges
+    return to_edges(nest_edges(edges(spark, sf, SIM_T))).select("mid", "rid", F.round("r", 6).alias("r"))
+
+
+@register("item_similarity_dirty", with_(VECTORS, _EDGES.format(t=SIM_T)) + """
+SELECT mid, rid, round(r, 6) AS r FROM edges""")
+def item_similarity_dirty(spark, sf):
+    """Repeated, null, zero and NaN vectors beside the good ones of the same ids."""
+    from ratingflow.operators.similarity import item_similarity
+    v = fx.item_vectors(spark, sf)
+    zero = F.transform("features", lambda x: x * 0.0)
+    nan = F.transform("features", lambda x: F.lit(float("nan")))
+    dirty = (v.union(v.where("mid % 3 = 0"))
+             .union(v.where("mid % 2 = 0").select("mid", F.lit(None).cast("array<double>")))
+             .union(v.where("mid % 5 = 0").select("mid", zero)).union(v.where("mid % 7 = 0").select("mid", nan)))
+    return item_similarity(dirty, threshold=SIM_T).select("mid", "rid", F.round("r", 6).alias("r"))
+
+
+@register("factor_topk_ties", with_(RATINGS, VECTORS, """ranked AS (
+  SELECT mid, CAST(row_number() OVER (ORDER BY mid) AS INTEGER) AS pos FROM vectors)""") + """
+SELECT u.uid, r.pos, r.mid AS rid, CAST(0 AS DOUBLE) AS r
+FROM (SELECT DISTINCT uid FROM ratings) u, ranked r WHERE r.pos <= 20""")
+def factor_topk_ties(spark, sf):
+    """Users whose scores are all equal: exactly k items, the smallest ids."""
+    from ratingflow.operators.model import user_top_k
+    items = fx.item_vectors(spark, sf)
+    users = fx.ratings(spark, sf).select("uid").distinct().select(
+        "uid", F.array_repeat(F.lit(0.0), 64).alias("features"))
+    return user_top_k(users, items, k=20)
+
+
+@register("recs_string", with_(RATINGS, _RECENT.replace("score FROM", "score, pos FROM")) + """
+SELECT uid, string_agg(CAST(rmid AS VARCHAR) || ':' || CAST(score AS VARCHAR), '|' ORDER BY pos) AS recs_string
+FROM recent GROUP BY uid""")
+def recs_string(spark, sf):
+    from ratingflow.functions.scalar import recs_to_string
+    from ratingflow.operators.recommend import recent_ratings as recent
+    from ratingflow.operators.topk import nest
+    r = recent(fx.ratings(spark, sf), k=20).select("uid", "pos", F.col("mid").alias("rid"), F.col("score").alias("r"))
+    return nest(r, ["uid"], "pos", ["rid", "r"]).select("uid", recs_to_string("recs").alias("recs_string"))
+
+
+@register("log_clean_binary", with_(PAYLOADS) + """
+SELECT event_id, hex(encode('logProcessor')) AS key_hex, hex(encode(payload)) AS value_hex FROM payloads""")
+def log_clean_binary(spark, sf):
+    """Bytes in, bytes out, as a broker's records are."""
+    from ratingflow.streaming.log_cleaner import clean_log
+    raw = fx.log_lines(spark, sf).select("event_id", F.col("line").cast("binary").alias("value"))
+    out = clean_log(raw, binary=True)
+    return out.select("event_id", F.hex("key").alias("key_hex"), F.hex("value").alias("value_hex"))
+
+
+def _live_sql() -> str:
+    """Two batches; batch b sees the table and all messages up to its own."""
+    parts = [RATINGS, MESSAGES, VECTORS, _EDGES.format(t=STREAM_T), _SPLIT,
+             """hist0 AS (SELECT * FROM ratings UNION ALL SELECT uid, mid, score, "timestamp" FROM m0)""",
+             """hist1 AS (SELECT * FROM hist0 UNION ALL SELECT uid, mid, score, "timestamp" FROM m1)"""]
+    for b in ("0", "1"):
+        parts += [
+            _LATEST.format(name=f"latest{b}", src=f"m{b}"),
+            _RECENT.replace("recent AS", f"recent{b} AS").replace("FROM ratings", f"FROM hist{b}"),
+            _CANDS.format(src=f"latest{b}").replace("cands AS", f"cands{b} AS").replace("FROM ratings h", f"FROM hist{b} h"),
+            _SCORED.format(t=STREAM_T).replace("scored AS", f"scored{b} AS")
+            .replace("FROM cands c", f"FROM cands{b} c").replace("JOIN recent rc", f"JOIN recent{b} rc"),
+            f"recs{b} AS ({_RECS_OF.format(latest=f'latest{b}', scored=f'scored{b}')})",
+        ]
+    return with_(*parts) + """
+SELECT uid, CAST(1 AS BIGINT) AS batch_id, n_recs, best_rid, best_r FROM recs1
+UNION ALL
+SELECT uid, CAST(0 AS BIGINT) AS batch_id, n_recs, best_rid, best_r FROM recs0
+WHERE uid NOT IN (SELECT uid FROM recs1)"""
+
+
+@register("stream_rescoring_live", _live_sql())
+def stream_rescoring_live(spark, sf):
+    """The rating stream whose messages join the history: each batch's recents
+    and exclusion hold its own and the earlier batches' ratings."""
+    from ratingflow.params import Params
+    from ratingflow.session import scratch_path
+    from ratingflow.sinks.tables import KeyedLog
+    from ratingflow.streaming.recommender import RescoreHandler, start_rescoring
+
+    base = scratch_path(spark, "rescoring-live")
+    msgs = messages(spark, sf)
+    split = _split_ts(msgs)
+    text = msgs.select(F.concat_ws("|", "uid", "mid", "score", "timestamp").alias("value"), "timestamp")
+    sink = KeyedLog(f"{base}/recs", key="uid")
+    params = Params(recent_k=20, cand_k=20, score_threshold=STREAM_T, like_above=3.0, append_history=True)
+    handler = RescoreHandler(lambda: fx.ratings(spark, sf), edges(spark, sf, STREAM_T), sink, params)
+    try:
+        for part in (F.col("timestamp") < split, F.col("timestamp") >= split):
+            text.where(part).select("value").write.mode("append").text(f"{base}/in")
+            source = spark.readStream.format("text").load(f"{base}/in")
+            start_rescoring(spark, source, handler, f"{base}/checkpoint", available_now=True).awaitTermination()
+    finally:
+        handler.close()
+    return recs_summary(sink.current(spark), "batch_id")
