@@ -1,0 +1,92 @@
+import random
+
+import numpy as np
+
+from ratingflow.llm import decontaminate as dc
+from ratingflow.llm import queries
+from tests.llm.helpers import SF, frame, texts
+
+
+def edits(pattern, text):
+    """Least edits of the pattern against any part of the text."""
+    before = np.zeros(len(text) + 1, np.int64)
+    chars = np.array(list(text))
+    for i, c in enumerate(pattern):
+        now = np.empty_like(before)
+        now[0] = i + 1
+        now[1:] = np.minimum(before[:-1] + (chars != c), before[1:] + 1)
+        step = np.arange(len(now))
+        before = np.minimum.accumulate(now - step) + step
+    return int(before.min())
+
+
+def items(spark):
+    return [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+
+
+def test_query_finds_all_exact_passages(spark):
+    rows = queries.op5_decontaminate(spark, SF).collect()
+    docs, bench = dict(texts(spark)), dict(items(spark))
+    exact = {(i, j) for i, t in docs.items() for j, b in bench.items() if dc.normal(b) in dc.normal(t)}
+    assert exact and exact <= {(r.doc_id, r.item_id) for r in rows}
+    for r in rows:      # a row's own place holds the item within its edits
+        part = docs[r.doc_id][r.start:r.end]
+        assert edits(dc.normal(bench[r.item_id]), dc.normal(part)) == r.edits <= len(bench[r.item_id]) // 10
+
+
+def test_edited_passages_equal_brute_force(spark):
+    rng = random.Random(3)
+    bench, docs = items(spark), texts(spark, 300)
+    found = 0
+    for _ in range(120):
+        item = rng.choice(bench)
+        index = dc.Index.of([item])
+        own = list(dc.normal(item[1]))
+        for _ in range(rng.randrange(0, int(index.budget[0] * 1.6) + 1)):
+            at, what = rng.randrange(len(own)), rng.random()
+            if what < 0.4:
+                own[at] = rng.choice("abcde ")
+            elif what < 0.7:
+                own.insert(at, rng.choice("abcde"))
+            else:
+                del own[at]
+        text = rng.choice(docs)[1][:150] + " " + "".join(own) + " " + rng.choice(docs)[1][:150]
+        least = edits(dc.normal(item[1]), dc.normal(text))
+        got = min((h[2] for h in dc.occurrences(["zz", text, ""], index)), default=None)
+        assert got == (least if least <= index.budget[0] else None)
+        found += got is not None
+    assert found > 40
+
+
+def test_clean_documents_stay_and_leaks_go(spark):
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet")
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    bad = {r.doc_id for r in dc.leaks(docs, bench).collect()}
+    kept = {r.doc_id for r in dc.clean(docs, bench).collect()}
+    assert kept == {i for i, _ in texts(spark)} - bad and 0 < len(bad) < 100
+
+
+def test_chunks_of_items_give_the_same(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 300")
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet")
+    whole = sorted(map(tuple, dc.leaks(docs, bench).collect()))
+    assert whole == sorted(map(tuple, dc.leaks(docs, bench, chunk_chars=2500).collect()))
+
+
+def test_awkward_rows(spark):
+    passage = "The quick brown fox jumps over the lazy dog and runs home again."
+    rows = [(1, None), (2, ""), (3, passage.upper().replace(" ", " \n\t")), (3, "clean"), (None, "x " + passage),
+            (4, "İ " + passage + " " + passage), (5, passage[:30]), (6, "the the " * 40_000 + passage)]
+    docs = frame(spark, rows)
+    bench = spark.createDataFrame([(1, passage, 5), (2, None, 5), (3, "", 5), (4, "short", 5), (None, passage, 5),
+                                   (1, passage, 6)], "item_id long, text string, doc_id long")
+    got = [(r.doc_id, r.item_id, r.edits) for r in dc.leaks(docs, bench).collect()]
+    once = [(i, j, 0) for i in (3, None, 6) for j in (1, 1, None)]
+    assert sorted(map(str, got)) == sorted(map(str, once + [(4, j, 0) for j in (1, 1, None)] * 2))
+    span = [r for r in dc.leaks(docs, bench).collect() if r.doc_id == 3 and r.item_id == 1][0]
+    assert (span.start, span.end) == (0, len(rows[2][1]))
+    kept = dc.clean(docs, bench)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 2, 3, 5]
+    assert dc.leaks(frame(spark, []), bench).collect() == []
+    assert dc.leaks(docs, bench.where("item_id < 0")).collect() == []
+    assert dc.clean(docs, bench.where("item_id < 0")).count() == len(rows)

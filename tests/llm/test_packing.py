@@ -1,0 +1,122 @@
+import json
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from ratingflow.llm import packing, queries
+from tests.llm.helpers import SF, frame, texts
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(PATH)
+
+
+def check_places(rows, size):
+    by = {}
+    for r in rows:
+        by.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for places in by.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= size
+    return len(by)
+
+
+def test_query_equals_the_tokenizer(spark, tokenizer):
+    rows = queries.op10_packing(spark, SF).collect()
+    n = check_places(rows, 2048)
+    total = sum(r.length for r in rows)
+    assert n <= -(-total // 2048) * 1.01
+    got = {}
+    for r in sorted(rows, key=lambda r: (r.doc_id, r.piece)):
+        got.setdefault(r.doc_id, []).append(r)
+    for i, text in texts(spark):
+        ids = np.array(tokenizer.encode(text, add_special_tokens=False).ids + [0], "<u4")
+        at = 0
+        for k, r in enumerate(got[i]):
+            assert (r.piece, r.start, r.ids_crc32) == (k, at, zlib.crc32(ids[at:at + r.length].tobytes()))
+            assert r.length == 2048 or k == 0
+            at += r.length
+        assert at == len(ids)
+
+
+@pytest.mark.parametrize("text", ["", " ", "a" * 100_000, " " * 100_000, "<|endoftext|> x<|endoftext|>", "\x00\x1c\u0085",
+                                  "don't I'LL 'S ½ ١٢٣ 日本語 👩‍👩‍👧", "word \n\n\n  \r\n" * 50])
+def test_ids_equal_the_tokenizers(tokenizer, text):
+    with open(PATH, encoding="utf-8") as f:
+        own = packing.ByteTokenizer(f.read())
+    assert own.ids(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_byte_letters_are_the_vocabularys():
+    with open(PATH, encoding="utf-8") as f:
+        vocab = json.load(f)["model"]["vocab"]
+    assert len(packing.byte_letters()) == 256 and set(packing.byte_letters()) <= set(vocab)
+
+
+def slow_place(lengths, size):
+    """Every open sequence tried, the sum of squares counted anew."""
+    gaps, out = [], []
+    for n in lengths:
+        best = None
+        for g in sorted({x for x in gaps if x >= n}):
+            trial = gaps.copy()
+            trial.remove(g)
+            if g > n:
+                trial.append(g - n)
+            cost = sum(trial.count(x) ** 2 for x in set(trial) if x)
+            if best is None or cost < best[0]:
+                best = (cost, g)
+        gap = best[1] if best else size
+        if best:
+            gaps.remove(gap)
+        if gap > n:
+            gaps.append(gap - n)
+        out.append(gap)
+    return out
+
+
+def test_places_minimise_the_sum_of_squares():
+    rng = np.random.default_rng(4)
+    lengths = np.sort(rng.integers(1, 40, 120))[::-1]
+    _, offset = packing.place(lengths, 40)
+    assert (40 - offset).tolist() == slow_place(lengths.tolist(), 40)
+
+
+def test_groups_and_rounds(spark):
+    rng = np.random.default_rng(5)
+    rows = spark.createDataFrame([(int(i), int(n), "x") for i, n in enumerate(rng.integers(1, 101, 3000))],
+                                 "doc_id long, length long, sequence_count string")
+    packed = packing.pack(rows, size=100, group_rows=200).collect()
+    assert sorted(r.doc_id for r in packed) == list(range(3000))
+    n = check_places(packed, 100)
+    assert n <= sum(r.length for r in packed) / 100 * 1.05
+    # lengths that never share a sequence end the rounds too
+    alone = spark.createDataFrame([(i, 60) for i in range(500)], "doc_id long, length long")
+    assert check_places(packing.pack(alone, size=100, group_rows=50).collect(), 100) == 500
+
+
+def test_sequences_carry_the_ids(spark, tokenizer):
+    rows = [(1, "one two three " * 30), (2, "four"), (3, None)]
+    placed = packing.pack_documents(frame(spark, rows), PATH, size=32, with_ids=True)
+    found = [r.ids for r in packing.sequences(placed).collect()]
+    flat = sorted(sum(found, []))
+    want = sorted(sum((tokenizer.encode(t or "").ids + [0] for _, t in rows), []))
+    assert flat == want and all(len(s) <= 32 for s in found)
+
+
+def test_awkward_rows(spark):
+    rows = [(None, "a"), (1, None), (1, ""), (1, ""), (2, "b " * 50_000)]
+    got = packing.pack_documents(frame(spark, rows), PATH, size=128).collect()
+    check_places(got, 128)
+    assert sum(r.doc_id == 1 for r in got) == 3 and sum(r.doc_id is None for r in got) == 1
+    assert all(r.length == 1 for r in got if r.doc_id == 1)
+    assert packing.pack_documents(frame(spark, []), PATH).collect() == []

@@ -1,0 +1,47 @@
+import corpus_pipeline as cp
+from ratingflow.llm import decontaminate, packing, quality, simhash
+from tests.llm import test_simhash, test_windows
+from tests.llm.helpers import SF, frame, labels
+
+
+def test_stages_in_order():
+    assert [n for n, _ in cp.STAGES] == ["quality", "near_duplicates", "substring_dedup", "decontamination", "packing"]
+
+
+def test_pipeline_equals_its_stages_done_plainly(spark):
+    """The later stages by brute force over what the classifier accepts."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = quality.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    rows = sorted((r.doc_id, r.text) for r in quality.accepted(docs, model).select("doc_id", "text").collect())
+    groups = test_simhash.reference_groups({i: test_simhash.reference_fp(t) for i, t in rows}, 4)
+    rows = [(i, t) for i, t in rows if groups[i] == i]
+    left = test_windows.reference_words(rows, 20)
+    rows = [(i, left[i][0] if left[i][2] else t) for i, t in rows if not left[i][1] or left[i][2] < left[i][1]]
+    bench = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    index = decontaminate.Index.of(bench)
+    rows = [(i, t) for i, t in rows if not decontaminate.occurrences([t], index)]
+    want = packing.pieces(frame(spark, rows), cp.vocabulary("byte_bpe_50k.json"))
+    got = cp.run(spark, SF).collect()
+    key = lambda r: (r.doc_id, r.piece, r.start, r.length, r.ids_crc32)
+    assert sorted(map(key, got)) == sorted(map(key, want.collect()))
+    by = {}
+    for r in got:
+        by[r.sequence_id] = by.get(r.sequence_id, 0) + r.length
+    assert max(by.values()) <= 2048 and len(by) <= sum(by.values()) / 2048 * 1.02 + 1
+
+
+def test_all_stages_take_an_empty_table(spark, tmp_path):
+    docs = frame(spark, [])
+    labels(spark, []).write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name, stage in cp.STAGES[:-1]:
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns == frame(spark, []).columns and docs.count() == 0, name
+    assert cp.STAGES[-1][1](spark, docs, str(tmp_path)).count() == 0
+
+
+def test_near_duplicate_stage_keeps_one_of_each_group(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    kept = {r.doc_id for r in cp.without_near_duplicates(spark, docs, SF).select("doc_id").collect()}
+    groups = simhash.near_duplicates(docs, 4, 4).collect()
+    assert kept == {r.component_id for r in groups}
