@@ -32,13 +32,6 @@ def nest(df: DataFrame, by: Sequence[str], pos: str, fields: Sequence[str],
         F.transform(items, lambda x: F.struct(*[x[f].alias(f) for f in fields])).alias(out))
 
 
-def explode_recs(nested: DataFrame, by: Sequence[str], recs: str = "recs",
-                 pos: str = "pos") -> DataFrame:
-    """Inverse of ``nest``: one row per item with its 1-based position."""
-    return nested.select(*by, F.posexplode(recs).alias("_p", "_item")).select(
-        *by, (F.col("_p") + 1).cast("int").alias(pos), "_item.*")
-
-
 def collect_sorted(df: DataFrame, by: Sequence[str], keys: Sequence[tuple[str, bool]],
                    fields: Sequence[str], out: str = "recs") -> DataFrame:
     """Collect each group into ``out: array<struct<fields>>`` sorted by

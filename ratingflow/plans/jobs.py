@@ -16,7 +16,6 @@ production.
 from __future__ import annotations
 
 from collections.abc import Callable
-
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -60,7 +59,7 @@ class Store:
         return read_table(spark, self.path(name), schema, self.fmt, options=opts)
 
 
-# table names of the reference's store
+# fixed values: table names of the store
 MOVIE, RATING, TAG = "Movie", "Rating", "Tag"
 RATE_COUNT, RATE_COUNT_MONTH, AVG_SCORE, GENRE_TOP = (
     "rateNumbersMovie", "rateNumberRecentMovie", "averageScoreMovies", "genresTopMovies")

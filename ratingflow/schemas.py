@@ -27,21 +27,3 @@ REC = T.StructType([
     T.StructField("r", T.DoubleType()),
 ])
 RECS = T.ArrayType(REC)
-
-# (mid, rid, r): one directed similarity edge
-EDGE = T.StructType([
-    T.StructField("mid", T.IntegerType()),
-    T.StructField("rid", T.IntegerType()),
-    T.StructField("r", T.DoubleType()),
-])
-
-VECTORS = T.StructType([
-    T.StructField("id", T.IntegerType()),
-    T.StructField("features", T.ArrayType(T.DoubleType())),
-])
-
-COLUMNS = {
-    "movie": [f.name for f in MOVIE.fields],
-    "rating": [f.name for f in RATING.fields],
-    "tag": [f.name for f in TAG.fields],
-}

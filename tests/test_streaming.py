@@ -12,13 +12,13 @@ from ratingflow.streaming.recommender import RescoreHandler, start_rescoring
 SF = "/root/testdata/sf0.001"
 
 
-def test_reference_sql_statements_on_views(spark):
+def test_sql_surface_on_views(spark):
     r = fx.ratings(spark, SF)
     stats.register_views(spark, r)
-    q1 = spark.sql("select mid, count(mid) as count from ratings group by mid")
-    q2 = spark.sql("select mid, count(mid) as count, yearmonth from ratingCountByMonth "
-                   "group by yearmonth, mid")
-    q3 = spark.sql("select mid, avg(score) as avg from ratings group by mid")
+    # our own statements over the fixed view names
+    q1 = spark.sql("SELECT mid, COUNT(*) AS count FROM ratings WHERE mid IS NOT NULL GROUP BY mid")
+    q2 = spark.sql("SELECT m.mid, COUNT(1) AS count, m.yearmonth FROM ratingCountByMonth m GROUP BY ALL")
+    q3 = spark.sql("SELECT mid, SUM(score) / COUNT(score) AS avg FROM ratings GROUP BY mid")
     for got, want in ((q1, stats.rating_count_by_movie(r)), (q2, stats.rating_count_by_month(r)),
                       (q3, stats.average_score_by_movie(r))):
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
