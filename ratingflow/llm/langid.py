@@ -7,7 +7,7 @@ learned by expectation maximisation: word counts of each language are gathered
 from all labelled rows outside the held-out fold, and forward-backward passes
 over them count each piece as often as it is expected in a segmentation.
 
-A word is a run of letters, lower-cased, with the vocabulary's word-start mark
+A word is a run of letters (and signs that count as such), lower-cased, with the vocabulary's word-start mark
 before it; more than ``LONGEST`` letters on end are taken in stretches.
 
 Inputs: a text that is null or has no letter is ``und`` with score 0, as is
@@ -18,6 +18,7 @@ columns are not read.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -35,8 +36,10 @@ FOLDS = 4
 LONGEST = 30
 UNKNOWN = "und"
 MARK = "▁"
-_WORD = regex.compile(r"\p{L}[\p{L}\p{M}]{0,%d}" % (LONGEST - 1))
+_WORD = re.compile(r"[^\W\d_]{1,%d}" % LONGEST)
+_LETTER = regex.compile(r"\p{L}")
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_SLOTS = 1 << 20
 
 
 def vocabulary_pieces(path: str) -> list[str]:
@@ -53,13 +56,18 @@ class Pieces:
     stands for a single letter outside the vocabulary."""
 
     def __init__(self, pieces: list[str]):
-        keys = np.array([self.key(p) for p in pieces], dtype=np.uint64)
-        self.order = np.argsort(keys)
-        self.keys = keys[self.order]
+        self.keys = np.array([self.key(p) for p in pieces], dtype=np.uint64)
         self.longest = max(map(len, pieces))
         self.size = len(pieces)
-        self.maybe = np.zeros(1 << 20, bool)
-        self.maybe[keys & np.uint64((1 << 20) - 1)] = True
+        # a piece's row stands in one of two tables, by other bits of its key
+        self.slots = np.full((2, _SLOTS), -1, np.int32)
+        for row, key in enumerate(self.keys.tolist()):
+            for side in (0, 1):
+                if self.slots[side, key >> 20 * side & _SLOTS - 1] < 0:
+                    self.slots[side, key >> 20 * side & _SLOTS - 1] = row
+                    break
+            else:
+                raise ValueError("the vocabulary is too large for its look-up tables")
 
     @staticmethod
     def key(piece: str) -> np.uint64:
@@ -70,12 +78,14 @@ class Pieces:
 
     def find(self, key: np.ndarray) -> np.ndarray:
         """Row of each key, -1 if it isn't a piece."""
-        out = np.full(key.shape, -1, np.int64)
-        hit = self.maybe[key & np.uint64((1 << 20) - 1)]
-        some = key[hit]
-        at = np.minimum(np.searchsorted(self.keys, some), self.size - 1)
-        out[hit] = np.where(self.keys[at] == some, self.order[at], -1)
-        return out
+        mask = np.uint64(_SLOTS - 1)
+        row = self.slots[0][key & mask]
+        found = np.where((row >= 0) & (self.keys[row] == key), row, -1)
+        other = (row >= 0) & (found < 0)
+        if other.any():
+            row = self.slots[1][(key[other] >> np.uint64(20)) & mask]
+            found[other] = np.where((row >= 0) & (self.keys[row] == key[other]), row, -1)
+        return found
 
     def lattice(self, words: list[str]) -> list[tuple[int, int, np.ndarray]]:
         """For words of one length: (start, end, row or -1 of each word)."""
@@ -121,24 +131,27 @@ def word_scores(words: list[str], pieces: Pieces, prob: np.ndarray) -> np.ndarra
     return out
 
 
-def expected(words: list[str], counts: np.ndarray, pieces: Pieces, prob: np.ndarray) -> np.ndarray:
-    """Expected uses of each piece; counts[word, language]."""
-    out = np.zeros((pieces.size + 1, prob.shape[1]))
+def expected(words: list[str], langs: np.ndarray, counts: np.ndarray, pieces: Pieces, prob: np.ndarray) -> np.ndarray:
+    """Expected uses of each piece in each language, of words said ``counts``
+    times in the languages numbered ``langs``."""
+    wide = prob.shape[1]
+    out = np.zeros((pieces.size + 1) * wide)
     for at in by_length(words):
         part = [words[i] for i in at]
-        n = len(part[0]) + 1
-        edges = pieces.lattice(part)
-        alpha = forward(edges, n, prob, len(part))
-        beta = np.zeros_like(alpha)
+        n, lang = len(part[0]) + 1, langs[at]
+        edges = [(start, end, row, prob[row, lang]) for start, end, row in pieces.lattice(part)]
+        alpha, beta = np.zeros((n + 1, len(part))), np.zeros((n + 1, len(part)))
+        alpha[0] = 1.0
+        for start, end, _, p in edges:
+            alpha[end] += alpha[start] * p
         beta[n] = counts[at] / alpha[n]
-        for start, end, row in reversed(sorted(edges, key=lambda e: e[0])):
-            beta[start] += prob[row] * beta[end]
-        for start, end, row in edges:
-            here = row >= 0
-            use = (alpha[start] * prob[row] * beta[end])[here]
-            for lang in range(prob.shape[1]):
-                out[:, lang] += np.bincount(row[here], weights=use[:, lang], minlength=len(out))
-    return out
+        for start, end, _, p in sorted(edges, key=lambda e: -e[0]):
+            beta[start] += p * beta[end]
+        cell = np.concatenate([row * wide + lang for _, _, row, _ in edges])
+        use = np.concatenate([alpha[start] * p * beta[end] for start, end, _, p in edges])
+        real = use > 0          # where there is no piece, p is zero
+        out += np.bincount(cell[real], weights=use[real], minlength=len(out))
+    return out.reshape(-1, wide)
 
 
 def padded(prob: np.ndarray) -> np.ndarray:
@@ -181,10 +194,9 @@ def fit(docs: DataFrame, vocabulary: str, rounds: int = 2, floor: float = 0.01,
             total = np.zeros((size + 1, len(langs)))
             at = {x: i for i, x in enumerate(langs)}
             for batch in batches:
-                words = batch.column("word").to_pylist()
-                seen = np.zeros((len(words), len(langs)))
-                seen[np.arange(len(words)), [at[x] for x in batch.column("lang").to_pylist()]] = batch.column("n").to_numpy()
-                total += expected(words, seen, held.value, padded(prob_now))
+                lang = np.array([at[x] for x in batch.column("lang").to_pylist()], dtype=np.int64)
+                total += expected(batch.column("word").to_pylist(), lang, batch.column("n").to_numpy(), held.value,
+                                  padded(prob_now))
             piece, lang = np.nonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(piece), pa.array(lang), pa.array(total[piece, lang])],
                                              ["piece", "lang", "n"])
@@ -209,13 +221,14 @@ def predict(docs: DataFrame, model: Model, cache: int = 200_000) -> DataFrame:
 
     def block(batch: pa.RecordBatch) -> pa.RecordBatch:
         m = shared.value
-        found = [_WORD.findall((t or "").lower()) for t in batch.column("text").to_pylist()]
+        found = [Counter(_WORD.findall(t.lower())) if t and _LETTER.search(t) else Counter()
+                 for t in batch.column("text").to_pylist()]
         pred, score = [UNKNOWN] * len(found), np.zeros(len(found))
         if m.langs and any(found):
             if len(held) > cache:       # bounds the memory of a task
                 held.clear()
                 scores.clear()
-            new = list(dict.fromkeys(w for words in found for w in words if w not in held))
+            new = list(set().union(*found) - held.keys())
             if new:
                 start = len(held)
                 held.update((w, start + i) for i, w in enumerate(new))
@@ -224,7 +237,8 @@ def predict(docs: DataFrame, model: Model, cache: int = 200_000) -> DataFrame:
             scores[:] = [known]
             for i, words in enumerate(found):
                 if words:
-                    total = known[np.fromiter(map(held.__getitem__, words), np.int64, len(words))].sum(axis=0)
+                    own = np.fromiter(map(held.__getitem__, words), np.int64, len(words))
+                    total = np.fromiter(words.values(), np.float64, len(words)) @ known[own]
                     p = np.exp(total - total.max())
                     best = int(total.argmax())
                     pred[i], score[i] = m.langs[best], p[best] / p.sum()
