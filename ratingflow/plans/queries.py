@@ -490,9 +490,8 @@ def als_item_similarity(spark, sf):
     rest = e.agg(F.count_if(F.col("r") <= 0.6).alias("below"), F.count_if(F.col("mid") == F.col("rid")).alias("self_edges"),
                  (F.count(F.lit(1)) > 0).alias("some"))
     unknown = e.join(r.select("mid").distinct(), "mid", "left_anti").agg(F.count(F.lit(1)).alias("unknown"))
-    one = lambda df: df.withColumn("_1", F.lit(1))
-    return one(one_way).join(one(rest), "_1").join(one(unknown), "_1") \
-        .select("one_way", "below", "self_edges", "unknown", "some")
+    parts = one_way.unionByName(rest, allowMissingColumns=True).unionByName(unknown, allowMissingColumns=True)
+    return parts.agg(*[F.max(c).alias(c) for c in ("one_way", "below", "self_edges", "unknown", "some")])
 
 
 @register("als_rmse", with_(RATINGS) + """
@@ -501,9 +500,9 @@ def als_rmse(spark, sf):
     """Every rating predicted once, better than by the mean score."""
     from ratingflow.operators.model import fit, model_rmse
     r = fx.ratings(spark, sf)
-    mean = r.agg(F.stddev_pop("score").alias("mean_rmse"), F.lit(1).alias("_1"))
-    own = model_rmse(fit(r, **ALS_CHECK), r).withColumn("_1", F.lit(1))
-    return own.join(mean, "_1").select("n", (F.col("rmse") < F.col("mean_rmse")).alias("below_mean_rmse"))
+    mean = r.agg(F.stddev_pop("score").alias("mean_rmse"))
+    both = model_rmse(fit(r, **ALS_CHECK), r).unionByName(mean, allowMissingColumns=True)
+    return both.agg(F.max("n").alias("n"), (F.max("rmse") < F.max("mean_rmse")).alias("below_mean_rmse"))
 
 
 @register("als_grid_search", """
@@ -523,13 +522,12 @@ def als_grid_search(spark, sf):
                        max_iter=p.grid_iter, seed=p.seed, holdout=p.holdout, parallelism=3)
     # 15 rows: places as they come, by the grid's size alone
     placed = grid.coalesce(1).withColumn("_place", F.monotonically_increasing_id())
-    best = best_params(grid).select(F.col("rank").alias("_rank"), F.col("reg").alias("_reg"), F.lit(1).alias("_1"))
+    best = best_params(grid).first()
     w = Window.partitionBy(F.lit(1)).orderBy("_place")
-    out = placed.withColumn("_1", F.lit(1)).join(best, "_1")
-    first = (F.first("rank").over(w) == F.col("_rank")) & (F.first("reg").over(w) == F.col("_reg"))
-    return out.select("rank", "reg", F.col("rmse").isNotNull().alias("has_rmse"),
-                      (F.col("rmse") >= F.coalesce(F.lag("rmse").over(w), F.col("rmse"))).alias("in_order"),
-                      first.alias("best_is_first"))
+    first = (F.first("rank").over(w) == F.lit(best["rank"])) & (F.first("reg").over(w) == F.lit(best["reg"]))
+    return placed.select("rank", "reg", F.col("rmse").isNotNull().alias("has_rmse"),
+                         (F.col("rmse") >= F.coalesce(F.lag("rmse").over(w), F.col("rmse"))).alias("in_order"),
+                         first.alias("best_is_first"))
 
 
 @register("stream_recent_state", with_(MESSAGES) + """
