@@ -15,7 +15,7 @@ from ratingflow.session import scratch_path
 
 #: Text bytes that one call of a block function sees at most (one document
 #: may exceed it; the functions cut such a document into slices themselves).
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:

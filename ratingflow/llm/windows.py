@@ -37,7 +37,7 @@ from ratingflow.llm.common import discard, map_blocks, mix, saved
 
 #: Symbols of one document handled at once; longer documents go in slices
 #: that overlap by a window.
-SLICE = 1 << 20
+SLICE = 1 << 19
 _BASE = 0x9E3779B97F4A7C15 | 1
 _STEP = 20          # bits of a packed field
 
@@ -188,8 +188,11 @@ def repeated(docs: DataFrame, symbols: Callable[[pa.Array], tuple[np.ndarray, np
     same document further left) count; otherwise all that start elsewhere
     too.  ``docs`` has one row per doc_id; stretches may overlap."""
     found = windows_of(docs, symbols, length, gram)
-    keys = found.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    # written on its own, so that both sides of the join are plain exchanges
+    # and Spark can split a key's runs over tasks, however many they are
+    keys = saved(found.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "anchor-keys")
     found = saved(found.join(keys, "key", "left_semi"), "anchors")
+    discard(keys)
     spans = found.groupBy("key", "span").agg(
         F.count(F.lit(1)).alias("copies"), F.first("ext").alias("ext"),
         F.min(F.struct("doc_id", "loc")).alias("own"))
@@ -242,9 +245,10 @@ def repeated(docs: DataFrame, symbols: Callable[[pa.Array], tuple[np.ndarray, np
     found_twice = [F.count(F.lit(1)).alias("n")]
     if later:
         found_twice.append(F.min(at).alias("own"))
-    again = wins.join(wins.groupBy("win", "tag").agg(*found_twice).where("n > 1").drop("n"), ["win", "tag"])
-    singles = saved(_covered(again, at, later, F.col("at"), F.col("at") + length), "whole-windows")
-    discard(wins)
+    twice = saved(wins.groupBy("win", "tag").agg(*found_twice).where("n > 1").drop("n"), "window-kinds")
+    singles = saved(_covered(wins.join(twice, ["win", "tag"]), at, later, F.col("at"), F.col("at") + length),
+                    "whole-windows")
+    discard(wins, twice)
     return whole.union(cells_whole).union(singles)
 
 
