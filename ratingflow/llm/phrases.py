@@ -144,11 +144,10 @@ def with_next_document(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     spark = docs.sparkSession
     ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = id_text(docs)
-    points = [i / ranges for i in range(1, ranges)]
-    bounds = rows.select(F.col("doc_id").cast("double").alias("x")).approxQuantile("x", points, 0.2 / ranges)
-    bounds = sorted(set(bounds))
-    here = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= F.col("doc_id").cast("double"))) \
-        if bounds else F.lit(0)
+    points = [i / ranges for i in range(1, ranges)] or [0.5]
+    bounds = rows.agg(F.percentile_approx("doc_id", points, max(10_000, 20 * ranges)).alias("b")).first().b
+    bounds = sorted(set(bounds or []))
+    here = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= F.col("doc_id"))) if bounds else F.lit(0)
     rows = rows.withColumn("target", F.when(F.col("doc_id").isNull(), 0).otherwise(here))
     # one row a range: its number and its first id
     first = sorted((r.target, r.first.doc_id) for r in
