@@ -19,7 +19,6 @@ are judged one by one; other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,6 +34,8 @@ LEAST = 3
 CALIBRATION_FOLDS = 5
 _LETTERS = 256                   # characters that any may follow: the uniform base
 _BIN = 0.002
+#: Bytes of URLs handled at once.
+BLOCK = 1 << 18
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -105,18 +106,17 @@ class Model:
 
 def count(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The models' counts over all rows of (text, side)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            side = batch.column("side").to_numpy(zero_copy_only=False)
-            text, _, cells = contexts(batch.column("text").to_pylist())
-            own = side[text].astype(np.int64)
-            code = np.concatenate([(own * CELLS + context) * CELLS + pair for context, pair in cells])
-            code, n = np.unique(code, return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((code // CELLS // CELLS).astype(np.int32)), pa.array((code // CELLS % CELLS).astype(np.int32)),
-                 pa.array((code % CELLS).astype(np.int32)), pa.array(n)], ["side", "context", "pair", "n"])
-
-    rows = (labelled.mapInArrow(run, "side int, context int, pair int, n long")
+    def block(batch: pa.RecordBatch) -> pa.RecordBatch:
+        side = batch.column("side").to_numpy(zero_copy_only=False)
+        text, _, cells = contexts(batch.column("text").to_pylist())
+        own = side[text].astype(np.int64)
+        code = np.concatenate([(own * CELLS + context) * CELLS + pair for context, pair in cells])
+        code, n = np.unique(code, return_counts=True)
+        return pa.RecordBatch.from_arrays(
+            [pa.array((code // CELLS // CELLS).astype(np.int32)), pa.array((code // CELLS % CELLS).astype(np.int32)),
+             pa.array((code % CELLS).astype(np.int32)), pa.array(n)], ["side", "context", "pair", "n"])
+
+    rows = (map_blocks(labelled, block, "side int, context int, pair int, n long", block_bytes=2 * BLOCK)
             .groupBy("side", "context", "pair").agg(F.sum("n").alias("n")))
     by_context = rows.groupBy("side", "context").agg(F.sum("n").alias("seen"), F.count(F.lit(1)).alias("kinds"))
     by_pair = rows.groupBy("side", "pair").agg(F.sum("n").alias("n"))
@@ -174,7 +174,7 @@ def score(rows: DataFrame, model: Model, keep: list[str]) -> DataFrame:
 
     kinds = dict(rows.dtypes)
     return map_blocks(rows.select("text", *keep), block, ", ".join(f"{c} {kinds[c]}" for c in keep) + ", score double",
-                      block_bytes=1 << 18)
+                      block_bytes=BLOCK)
 
 
 def judge(pages: DataFrame, rules: dict[str, str]) -> DataFrame:
