@@ -158,7 +158,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], dim: int = 8, epochs:
     return Model((scale * (table @ (soft[:, 1] - soft[:, 0]))).astype(np.float32), float(bias[1] - bias[0]))
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2000, **options) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1200, **options) -> Model:
     """A model from at most ``per_class`` labelled documents of each class,
     none of them from the held-out fold."""
     def block(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -188,7 +188,7 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
     return map_blocks(id_text(docs), block, "doc_id long, score double")
 
 
-def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, per_class: int = 2000) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, per_class: int = 1200) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row."""
     found = scores(docs, fit(docs, labels, per_class))
     return found.select("doc_id", (fold(FOLDS) == HELD_OUT).alias("held_out"), "score",
