@@ -30,7 +30,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratingflow.llm.common import discard, map_blocks, mix, saved
@@ -193,53 +193,44 @@ def repeated(docs: DataFrame, symbols: Callable[[pa.Array], tuple[np.ndarray, np
     keys = saved(found.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "anchor-keys")
     found = saved(found.join(keys, "key", "left_semi"), "anchors")
     discard(keys)
-    spans = found.groupBy("key", "span").agg(
+    # so are the other tables that joins read below
+    spans = kept = saved(found.groupBy("key", "span").agg(
         F.count(F.lit(1)).alias("copies"), F.first("ext").alias("ext"),
-        F.min(F.struct("doc_id", "loc")).alias("own"))
-    right = F.shiftrightunsigned("ext", 32)
-    left = F.col("ext").bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))
-    by = Window.partitionBy
-    levels = (spans
-              .withColumn("kinds", F.count(F.lit(1)).over(by("key")))
-              .withColumn("single", F.min("copies").over(by("key")))
-              .withColumn("right", right).withColumn("left", left)
-              .withColumn("n_right", F.sum("copies").over(by("key", "right")))
-              .withColumn("n_left", F.sum("copies").over(by("key", "left")))
-              .select("key", "span", "copies", "own", "kinds", "single",
-                      ((F.col("right") != 0) & (F.col("n_right") > 1)).alias("go_right"),
-                      ((F.col("left") != 0) & (F.col("n_left") > 1)).alias("go_left")))
-    levels = saved(levels, "runs")
+        F.min(F.struct("doc_id", "loc")).alias("own")), "spans")
+    spans = spans.withColumn("right", F.shiftrightunsigned("ext", 32)) \
+        .withColumn("left", F.col("ext").bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))).drop("ext")
+    levels = _several(spans, ["key"], later, "several-spans")
+    beside = [saved(levels.where(F.col(side) != 0).groupBy("key", side).agg(F.sum("copies").alias("n"))
+                    .where("n > 1").select("key", side, F.lit(True).alias(f"go_{side}")), f"beside-{side}")
+              for side in ("right", "left")]
 
     # whole runs
     own = F.struct("doc_id", "loc")
-    covered = _covered(found.join(levels.where("copies > 1").select("key", "span", "own"), ["key", "span"]), own, later,
+    covered = _covered(found.join(spans.where("copies > 1").select("key", "span", "own"), ["key", "span"]), own, later,
                        first_window(), last_window() + length)
 
     # cells of the spans that are left, one span for all its copies
-    open_ = levels.where((F.col("kinds") > 1) & (F.col("go_right") | F.col("go_left")))
-    if not later:
-        open_ = open_.where("single = 1")
+    open_ = levels.join(beside[0], ["key", "right"], "left").join(beside[1], ["key", "left"], "left").select(
+        "key", "own", *(F.coalesce(f"go_{side}", F.lit(False)).alias(f"go_{side}") for side in ("right", "left")))
+    open_ = open_.where("go_right or go_left")
     lists = (open_.select("own.doc_id", F.struct("key", "own.loc", "go_right", "go_left").alias("run"))
              .groupBy(F.col("doc_id").alias("run_doc")).agg(F.collect_list("run").alias("runs")))
     joined = docs.select("doc_id", "text").join(lists, F.col("doc_id").eqNullSafe(F.col("run_doc")))
     cells = saved(_cells(joined.select("doc_id", "text", "runs"), symbols, length, gram), "cells")
     whole = saved(covered, "whole-runs")
-    discard(found, levels)
+    discard(found, kept, levels, *beside)
 
-    kinds = cells.groupBy("tag", "core", "span").agg(
-        F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "at")).alias("own"))
-    kinds = saved(kinds.withColumn("n", F.sum("copies").over(by("tag", "core"))).where("n > 1")
-                  .withColumn("kinds", F.count(F.lit(1)).over(by("tag", "core")))
-                  .withColumn("single", F.min("copies").over(by("tag", "core"))).drop("n"), "cell-kinds")
+    kinds = saved(cells.groupBy("tag", "core", "span").agg(
+        F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "at")).alias("own")), "cell-kinds")
     at = F.struct("doc_id", "at")
     covered = _covered(cells.drop("ranks").join(kinds.where("copies > 1"), ["tag", "core", "span"]), at, later,
                        F.col("at"), F.col("at") + F.col("count") - 1 + length)
-    open_ = kinds.where("kinds > 1" if later else "kinds > 1 and single = 1")
-    open_ = cells.join(open_, ["tag", "core", "span"]).where(at.eqNullSafe(F.col("own")))
+    several = _several(kinds, ["tag", "core"], later, "several-cells")
+    open_ = cells.join(several, ["tag", "core", "span"]).where(at.eqNullSafe(F.col("own")))
     wins = open_.select("tag", "doc_id", F.posexplode("ranks").alias("step", "win"), "at")
     wins = saved(wins.select("tag", "win", "doc_id", (F.col("at") + F.col("step")).alias("at")), "windows")
     cells_whole = saved(covered, "whole-cells")
-    discard(cells, kinds)
+    discard(cells, kinds, several)
 
     # single windows
     found_twice = [F.count(F.lit(1)).alias("n")]
@@ -252,6 +243,17 @@ def repeated(docs: DataFrame, symbols: Callable[[pa.Array], tuple[np.ndarray, np
     return whole.union(cells_whole).union(singles)
 
 
+def _several(kinds: DataFrame, by: list[str], later: bool, name: str) -> DataFrame:
+    """The rows, one for each kind of stretch, whose key ``by`` has several
+    kinds; unless ``later``, only if one of them has no copy, as all are known
+    to be repeated otherwise."""
+    counts = kinds.groupBy(*by).agg(F.count(F.lit(1)).alias("kinds"), F.min("copies").alias("single"))
+    counts = saved(counts.where("kinds > 1" if later else "kinds > 1 and single = 1").select(*by), f"{name}-keys")
+    out = saved(kinds.join(counts, by, "left_semi"), name)
+    discard(counts)
+    return out
+
+
 def _covered(rows: DataFrame, place: Column, later: bool, a: Column, b: Column) -> DataFrame:
     """Stretches of the repeated rows; if ``later``, not of the first of each."""
     if later:
