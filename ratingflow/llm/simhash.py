@@ -84,19 +84,29 @@ def segments(bits: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
 
 
-def variants(fps: DataFrame, bits: int) -> DataFrame:
-    """(tag, part, side, fp): the exact and one-wildcard forms of each segment.
-
-    ``side`` is the wildcard's bit: only pairs from both sides are new there,
-    as equal segments meet in the exact form already."""
-    forms = []
+def forms(bits: int) -> list[tuple[int, int]]:
+    """(mask, wildcard) of each form of a fingerprint: a segment as it stands
+    (wildcard 0), or but for one of its bits."""
+    out = []
     for first, width in segments(bits):
-        for wild in [-1, *range(first, first + width)]:
-            mask = (1 << width) - 1 if wild < 0 else ((1 << width) - 1) & ~(1 << (wild - first))
-            part = F.shiftrightunsigned("fp", first).bitwiseAND(F.lit(mask).cast("long"))
-            side = F.lit(0) if wild < 0 else F.shiftrightunsigned("fp", wild).bitwiseAND(F.lit(1).cast("long"))
-            forms.append(F.struct(F.lit(len(forms)).alias("tag"), part.alias("part"), side.cast("int").alias("side")))
-    return fps.select("fp", F.explode(F.array(*forms)).alias("v")).select("v.*", "fp")
+        whole = ((1 << width) - 1) << first
+        out += [(whole, 0)] + [(whole & ~(1 << b), 1 << b) for b in range(first, first + width)]
+    return out
+
+
+def variants(fps: DataFrame, bits: int) -> DataFrame:
+    """(tag, part, side, fp): the forms of each fingerprint, ``tag`` their
+    numbers.  ``side`` is the wildcard's bit: only pairs from both sides are
+    new there, as equal segments meet in the exact form already."""
+    signed = [[v - (1 << 64) if v >> 63 else v for v in column] for column in zip(*forms(bits))]
+    mask, wild = (F.array(*[F.lit(v).cast("long") for v in column]) for column in signed)
+    # each fingerprint becomes some dozens of rows: spread them first, as few
+    # bytes would else be few tasks
+    tasks = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = fps.repartition(tasks).select(
+        "fp", F.explode(F.sequence(F.lit(0), F.lit(len(signed[0]) - 1))).alias("tag"))
+    own = lambda column: F.col("fp").bitwiseAND(F.element_at(column, F.col("tag") + 1))
+    return rows.select("tag", own(mask).alias("part"), (own(wild) != 0).cast("int").alias("side"), "fp")
 
 
 def forest(fps: np.ndarray, bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -122,10 +132,7 @@ def links(fps: DataFrame, bits: int = 4, bucket_rows: int = 1 << 15, pair_rows:
     """(a, b): links of at most ``bits`` differing bits between the distinct
     fingerprints of column ``fp``, enough of them to connect every group."""
     index = variants(fps.select("fp").distinct(), bits)
-    exact = [0]
-    for _, width in segments(bits):
-        exact.append(exact[-1] + width + 1)
-    exact = set(exact[:-1])
+    exact = [tag for tag, (_, wild) in enumerate(forms(bits)) if not wild]
 
     # buckets that are too large for one task become pairs of blocks
     sizes = (index.groupBy("tag", "part").agg(F.count(F.lit(1)).alias("n"))
@@ -166,7 +173,7 @@ def links(fps: DataFrame, bits: int = 4, bucket_rows: int = 1 << 15, pair_rows:
         ends = np.concatenate((new, [len(fp)]))
         size = ends - starts
         ones = np.add.reduceat(side.astype(np.int64), starts)
-        live = (size > 1) & (np.isin(tag[starts], list(exact)) | ((ones > 0) & (ones < size)))
+        live = (size > 1) & (np.isin(tag[starts], exact) | ((ones > 0) & (ones < size)))
         found = []
         small = live & (size <= pair_rows)
         pick = np.repeat(small, size)
@@ -217,7 +224,9 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         seen = now
     else:
         raise RuntimeError("the groups did not settle; raise rounds")
-    return edges.select(F.col("b").alias("node"), F.col("a").alias("root"))
+    own = edges.select("a").distinct()
+    return edges.select(F.col("b").alias("node"), F.col("a").alias("root")).union(
+        own.select(F.col("a").alias("node"), F.col("a").alias("root")))
 
 
 def near_duplicates(docs: DataFrame, words: int = 4, bits: int = 4, bucket_rows: int = 1 << 15) -> DataFrame:
@@ -228,8 +237,12 @@ def near_duplicates(docs: DataFrame, words: int = 4, bits: int = 4, bucket_rows:
     roots = components(links(first, bits, bucket_rows))
     named = (first.join(roots, F.col("fp") == F.col("node"), "left")
              .select("fp", F.coalesce("root", "fp").alias("root"), "first_id"))
-    least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    ids = named.join(least, "root").select("fp", "component_id")
+    # written tables, so that both sides of the joins are plain exchanges and
+    # Spark can split a group's rows over tasks, however many they are
+    named = saved(named, "fingerprint-roots")
+    least = saved(named.groupBy("root").agg(F.min("first_id").alias("component_id")), "groups")
+    ids = saved(named.join(least, "root").select("fp", "component_id"), "fingerprint-groups")
+    discard(named, least)
     return marked.join(ids, "fp").select("doc_id", "fp", "component_id")
 
 
