@@ -24,12 +24,12 @@ def split_on(col: Column | str, sep: str) -> Column:
 
 
 def split_fields(col: Column | str, sep: str) -> Column:
-    """Split on a literal separator, without the empty fields at the end."""
-    parts = split_on(col, sep)
-    # one past the last field that isn't empty
-    last = F.aggregate(F.sequence(F.lit(1), F.size(parts)), F.lit(0),
-                       lambda acc, i: F.when(F.element_at(parts, i) != "", i).otherwise(acc))
-    return F.slice(parts, 1, last)
+    """Split on a literal separator, without the empty fields at the end:
+    the separators that end the text are cut first."""
+    text = _c(col)
+    if len(sep) == 1:
+        return split_on(F.rtrim(text, F.lit(sep)), sep)
+    return split_on(F.regexp_replace(text, f"(?:{re.escape(sep)})+$", ""), sep)
 
 
 _CONTROL_AND_SPACE = "".join(chr(i) for i in range(0x21))
