@@ -8,8 +8,10 @@ difference of its log-likelihoods by its length; the threshold is the one that
 tells allowed from blocked URLs best, both weighing the same, among a fifth of
 the rule-decided URLs that the models have not seen.
 
-Counts are kept by hash in tables of ``CELLS`` cells, so that a model's size
-is bounded; what the tables count grows with the input.
+A model is a Spark table with one row for each context and for each context
+with a character, named by 64-bit hashes; it grows with the input.  URLs are
+scored in blocks: the distinct names of each block are joined with the table,
+and what is found comes back to the block.
 
 Inputs: a null URL, or one without ``://``, has an empty host and path, no
 rule, and the verdict of the models (a null URL as an empty one); without
@@ -23,12 +25,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratingflow.llm.common import map_blocks, mix
+from ratingflow.llm.common import discard, map_blocks, mix, saved
 
-CELLS = 1 << 20
 ORDER = 6
 LEAST = 3
 CALIBRATION_FOLDS = 5
@@ -59,75 +61,113 @@ def rule_of(host: Column, path: Column, rules: dict[str, str]) -> Column:
     return found
 
 
-def contexts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
-    """Text and position of every character (the end counts as one), and for
-    each order the cells of its context and of context and character."""
+def contexts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """Text of every character (the end counts as one), the texts' sizes, the
+    number of every character's gram, which is itself and ``ORDER`` characters
+    before it, and for each order the names of the distinct grams' contexts and
+    of these with the character."""
     points = np.frombuffer("".join("\2" * ORDER + t.lower() + "\3" for t in texts).encode("utf-32-le", "surrogatepass"),
                            np.uint32).astype(np.uint64)
     size = np.array([len(t.lower()) + 1 for t in texts], dtype=np.int64)
     text = np.repeat(np.arange(len(texts)), size)
     at = np.arange(len(text)) + ORDER * (text + 1)
+    context = np.zeros(len(at), np.uint64)
+    for order in range(1, ORDER + 1):
+        context = further(context, points, at, order)
+    _, first, gram = np.unique(named(context, points[at], ORDER)[1], return_index=True, return_inverse=True)
+    at = at[first]
     out = []
-    mask = np.uint64(CELLS - 1)
     context = np.zeros(len(at), np.uint64)
     for order in range(ORDER + 1):
-        if order:       # one character further back
-            context = context + (points[at - order] + np.uint64(1)) * np.uint64(pow(int(_STEP), order, 1 << 64))
-        name = mix(context + np.uint64(order))
-        out.append(((name & mask).astype(np.int64), (mix(name + points[at] * _STEP) & mask).astype(np.int64)))
-    return text, size, out
+        if order:
+            context = further(context, points, at, order)
+        out.append(named(context, points[at], order))
+    return text, size, gram, out
+
+
+def further(context: np.ndarray, points: np.ndarray, at: np.ndarray, order: int) -> np.ndarray:
+    """The contexts with one character more, ``order`` places back."""
+    return context + (points[at - order] + np.uint64(1)) * np.uint64(pow(int(_STEP), order, 1 << 64))
+
+
+def named(context: np.ndarray, char: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    name = mix(context + np.uint64(order))
+    return name, mix(name + char * _STEP)
+
+
+def names(texts: list[str]) -> np.ndarray:
+    """All names that the scores of these texts need, once."""
+    return np.unique(np.concatenate([x for both in contexts(texts)[3] for x in both]))
+
+
+def scores_of(texts: list[str], found: pa.Table) -> np.ndarray:
+    """Scores of the texts; ``found`` has the rows of the model's table that
+    ``names`` of them asks for, any number of times."""
+    key = found.column("key").to_numpy().view(np.uint64)
+    key, first = np.unique(key, return_index=True)
+    value = {c: np.append(found.column(c).to_numpy()[first], 0).astype(np.float64) for c in ("n0", "n1", "kinds0", "kinds1")}
+
+    def rows(name: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(key, name)
+        return np.where(np.append(key, np.uint64(0))[at] == name, at, len(key)) if len(key) else at
+
+    text, size, gram, cells = contexts(texts)
+    cells = [(rows(context), rows(pair)) for context, pair in cells]
+    ratio = np.zeros(len(cells[0][0]))
+    for side, sign in ((1, 1.0), (0, -1.0)):
+        p = np.full(len(ratio), 1 / _LETTERS)
+        live = np.ones(len(ratio), bool)
+        for order, (context, pair) in enumerate(cells):
+            seen, kinds = value[f"n{side}"][context], value[f"kinds{side}"][context]
+            # a longer context than one that is too rare is rarer still
+            live &= seen >= (LEAST if order else 1)
+            p = np.where(live, (value[f"n{side}"][pair] + kinds * p) / np.maximum(seen + kinds, 1), p)
+        ratio += sign * np.log(p)
+    return np.bincount(text, weights=ratio[gram], minlength=len(texts)) / size
 
 
 @dataclass
 class Model:
-    """Counts by class (0 blocked, 1 allowed): of contexts, of the distinct
-    characters after them, and of contexts with a character."""
+    """``counts`` has by ``key`` the classes' numbers (0 blocked, 1 allowed)
+    ``n0`` and ``n1`` of a context or of a context with a character, and of
+    contexts ``kinds0`` and ``kinds1``, the distinct characters after them."""
 
-    seen: np.ndarray
-    kinds: np.ndarray
-    pairs: np.ndarray
+    counts: DataFrame
     threshold: float
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        text, size, cells = contexts(texts)
-        total = np.zeros(len(texts))
-        for side, sign in ((1, 1.0), (0, -1.0)):
-            p = np.full(len(text), 1 / _LETTERS)
-            live = np.ones(len(text), bool)
-            for order, (context, pair) in enumerate(cells):
-                seen, kinds = self.seen[side][context], self.kinds[side][context]
-                # a longer context than one that is too rare is rarer still
-                live &= seen >= (LEAST if order else 1)
-                n = np.minimum(self.pairs[side][pair], seen)
-                p = np.where(live, (n + kinds * p) / np.maximum(seen + kinds, 1), p)
-            total += sign * np.bincount(text, weights=np.log(p), minlength=len(texts))
-        return total / size
-
-
-def count(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The models' counts over all rows of (text, side)."""
+        """The scores of a few texts."""
+        asked = self.counts.sparkSession.createDataFrame([(k,) for k in names(texts).view(np.int64).tolist()], "key long")
+        return scores_of(texts, self.counts.join(asked, "key").toArrow())
+
+
+def pair_counts(labelled: DataFrame) -> DataFrame:
+    """(context, pair, n0, n1) over all rows of (text, side)."""
     def block(batch: pa.RecordBatch) -> pa.RecordBatch:
         side = batch.column("side").to_numpy(zero_copy_only=False)
-        text, _, cells = contexts(batch.column("text").to_pylist())
-        own = side[text].astype(np.int64)
-        code = np.concatenate([(own * CELLS + context) * CELLS + pair for context, pair in cells])
-        code, n = np.unique(code, return_counts=True)
-        return pa.RecordBatch.from_arrays(
-            [pa.array((code // CELLS // CELLS).astype(np.int32)), pa.array((code // CELLS % CELLS).astype(np.int32)),
-             pa.array((code % CELLS).astype(np.int32)), pa.array(n)], ["side", "context", "pair", "n"])
-
-    rows = (map_blocks(labelled, block, "side int, context int, pair int, n long", block_bytes=2 * BLOCK)
-            .groupBy("side", "context", "pair").agg(F.sum("n").alias("n")))
-    by_context = rows.groupBy("side", "context").agg(F.sum("n").alias("seen"), F.count(F.lit(1)).alias("kinds"))
-    by_pair = rows.groupBy("side", "pair").agg(F.sum("n").alias("n"))
-    seen, kinds, pairs = (np.zeros((2, CELLS), np.float32) for _ in range(3))
-    # at most 2 * CELLS rows each, whatever the input
-    found = by_context.toPandas()
-    seen[found["side"], found["context"]] = found["seen"]
-    kinds[found["side"], found["context"]] = found["kinds"]
-    found = by_pair.toPandas()
-    pairs[found["side"], found["pair"]] = found["n"]
-    return seen, kinds, pairs
+        text, _, gram, cells = contexts(batch.column("text").to_pylist())
+        own = side[text]
+        context, pair = (np.concatenate(x) for x in zip(*cells))
+        pair, first, which = np.unique(pair, return_index=True, return_inverse=True)
+        n = [np.bincount(which, np.tile(np.bincount(gram, own == s), ORDER + 1)).astype(np.int64) for s in (0, 1)]
+        return pa.RecordBatch.from_arrays([pa.array(context[first].view(np.int64)), pa.array(pair.view(np.int64)),
+                                           *map(pa.array, n)], ["context", "pair", "n0", "n1"])
+
+    return (map_blocks(labelled, block, "context long, pair long, n0 long, n1 long", block_bytes=2 * BLOCK)
+            .groupBy("context", "pair").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
+
+
+def count(labelled: DataFrame) -> tuple[DataFrame]:
+    """The models' counts over all rows of (text, side)."""
+    pairs = saved(pair_counts(labelled), "url-pairs")
+    by_context = pairs.groupBy(F.col("context").alias("key")).agg(
+        F.sum("n0").alias("n0"), F.sum("n1").alias("n1"),
+        F.count_if(F.col("n0") > 0).alias("kinds0"), F.count_if(F.col("n1") > 0).alias("kinds1"))
+    none = F.lit(0).cast("long")
+    by_pair = pairs.select(F.col("pair").alias("key"), "n0", "n1", none.alias("kinds0"), none.alias("kinds1"))
+    counts = saved(by_context.union(by_pair), "url-counts")
+    discard(pairs)
+    return (counts,)
 
 
 def best_threshold(histogram: list[tuple[int, int, int]]) -> float:
@@ -166,15 +206,33 @@ def fit(labelled: DataFrame) -> Model | None:
 
 def score(rows: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     """Columns ``keep`` and ``score`` of rows that have a column ``text``."""
-    held = rows.sparkSession.sparkContext.broadcast(model)
+    kinds = dict(rows.dtypes)
+    columns = ", ".join(f"{c} {kinds[c]}" for c in keep)
+    made = [0]
 
-    def block(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = held.value.scores(batch.column("text").to_pylist())
-        return pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(found)], [*keep, "score"])
+    def tag(batch: pa.RecordBatch) -> pa.RecordBatch:
+        made[0] += 1
+        own = np.full(batch.num_rows, (TaskContext.get().partitionId() << 32) + made[0])
+        return pa.RecordBatch.from_arrays([pa.array(own), *batch.columns], ["block", *batch.schema.names])
 
-    kinds = dict(rows.dtypes)
-    return map_blocks(rows.select("text", *keep), block, ", ".join(f"{c} {kinds[c]}" for c in keep) + ", score double",
-                      block_bytes=BLOCK)
+    def ask(batch: pa.RecordBatch) -> pa.RecordBatch:
+        own, text = batch.column("block").to_numpy(), batch.column("text")
+        keys = [(b, names(text.filter(pa.array(own == b)).to_pylist())) for b in np.unique(own)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.repeat([b for b, _ in keys], [len(k) for _, k in keys])),
+             pa.array(np.concatenate([k for _, k in keys]).view(np.int64))], ["block", "key"])
+
+    def answer(batch: pa.Table, found: pa.Table) -> pa.Table:
+        out = scores_of(batch.column("text").to_pylist(), found)
+        return pa.table([*(batch.column(c) for c in keep), pa.array(out)], [*keep, "score"])
+
+    # written, as a row must be in the same block whenever it is read
+    blocks = saved(map_blocks(rows.select("text", *keep), tag, f"block long, text string, {columns}", block_bytes=BLOCK),
+                   "url-blocks")
+    asked = map_blocks(blocks.select("block", "text"), ask, "block long, key long", block_bytes=BLOCK)
+    found = asked.join(model.counts, "key")
+    return (blocks.groupBy("block").cogroup(found.groupBy("block"))
+            .applyInArrow(answer, columns + ", score double"))
 
 
 def judge(pages: DataFrame, rules: dict[str, str]) -> DataFrame:

@@ -66,6 +66,19 @@ def test_scores_equal_plain_counting(spark):
     assert np.allclose(model.scores(some), [slow_score(sides, t) for t in some], atol=1e-4)
 
 
+def test_no_context_lends_its_counts_to_another(spark):
+    few = [("http://a.org/fr/12", 1), ("http://b.org/fr/3", 1), ("http://x.net/de/9", 0)] * 3
+    many = few + [(f"{i * 7919 % 10 ** 6:06d}", 1) for i in range(0, 10 ** 6, 50)]
+    rows = spark.createDataFrame(many, "text string, side int")
+    model = urls.Model(*urls.count(rows), 0.0)
+    blocked, allowed = ([t for t, own in many if own == s] for s in (0, 1))
+    some = ["http://c.org/fr/12", "http://q.net/de/9", "000004", "qwerty", "987123"]
+    want = [slow_score({0: blocked, 1: allowed}, t) for t in some]
+    assert np.allclose(model.scores(some), want, atol=1e-6)
+    found = urls.score(spark.createDataFrame(list(enumerate(some)), "i int, text string"), model, ["i"])
+    assert np.allclose([r.score for r in sorted(found.collect())], want, atol=1e-6)
+
+
 def test_threshold_parts_the_sides():
     assert 10 * urls._BIN <= urls.best_threshold([(-5, 0, 3), (9, 0, 1), (30, 1, 4)]) <= 30 * urls._BIN
     assert urls.best_threshold([(0, 0, 1), (1, 1, 1)]) == urls._BIN
