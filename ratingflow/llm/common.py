@@ -50,27 +50,27 @@ def id_text(docs: DataFrame) -> DataFrame:
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
-def one_row_per_id(docs: DataFrame) -> DataFrame:
-    """(doc_id, text) with every doc_id once.
-
-    Rows that repeat a doc_id count as one document, whose text is the
-    smallest of theirs; a null doc_id is an id like any other.  The texts are
-    only regrouped if some id does repeat."""
-    rows = id_text(docs)
-    ids = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+#: The column that tells rows apart, a name that no input column has.
+ROW = "__row"
+
+
+def with_row_keys(docs: DataFrame, null_last: bool = False) -> DataFrame:
+    """``docs`` with a column ``ROW``, a long that no two rows share and that
+    grows with doc_id (null the smallest, or the largest), then text.
+
+    It is the doc_id itself unless some id, or null, repeats."""
+    own = F.col("doc_id").cast("long")
+    ids = docs.groupBy(own.alias("doc_id")).agg(F.count(F.lit(1)).alias("n"))
     if ids.where("n > 1").isEmpty():
-        return rows
-    return rows.groupBy("doc_id").agg(F.min("text").alias("text"))
-
-
-def one_whole_row_per_id(docs: DataFrame) -> DataFrame:
-    """``docs`` with every doc_id once: of rows that repeat an id (null counts
-    as one) the one with the smallest text, then the smallest other columns."""
-    if docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
-        return docs
-    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    least = F.min(F.struct(F.coalesce("text", F.lit("")).alias("__t"), "text", *rest))
-    return docs.groupBy("doc_id").agg(least.alias("__row")).select("doc_id", "__row.*").select(*docs.columns)
+        return docs.withColumn(ROW, own)
+    # a row number spreads the rows of one id and text over the ranges; the
+    # written table then keeps each row's place in the order
+    order = [own.asc_nulls_last() if null_last else own.asc_nulls_first(),
+             F.coalesce(F.col("text").cast("string"), F.lit("")), F.col(ROW)]
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = docs.withColumn(ROW, F.monotonically_increasing_id())
+    rows = rows.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+    return saved(rows.withColumn(ROW, F.monotonically_increasing_id()), "keyed-rows")
 
 
 def fold(modulus: int, key: str = "doc_id") -> Column:

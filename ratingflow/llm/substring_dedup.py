@@ -2,15 +2,15 @@
 
 A window is ``length`` consecutive words.  Windows repeated at a quarter of
 that length are extended to half, those repeated there to the whole, and each
-word covered by a window that also starts earlier (smaller doc_id, or further
-left in the same document) goes.  ``windows.py`` says how the first level is
+word covered by a window that also starts earlier (smaller doc_id, of equal
+ids the smaller text, or further left in the same document) goes.  ``windows.py`` says how the first level is
 thinned without loss.
 
 Inputs: words are runs of bytes other than space and tab to carriage return;
 a null or empty text has none; documents shorter than a window lose nothing;
-windows are judged on the input; rows that repeat a doc_id count as one
-document (see ``one_row_per_id``); a null doc_id is the smallest id; other
-columns are not read.
+windows are judged on the input; rows that repeat a doc_id, or have none, are
+documents of their own; a null doc_id is the smallest id; other columns are
+not read.
 """
 
 from __future__ import annotations
@@ -18,8 +18,9 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ratingflow.llm.common import id_text, map_blocks, mix, one_row_per_id, one_whole_row_per_id, text_bytes
+from ratingflow.llm.common import ROW, id_text, map_blocks, mix, text_bytes, with_row_keys
 from ratingflow.llm.windows import SPANS, Ranks, covered_mask, repeated, span_arrays, with_stretches
 
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
@@ -62,14 +63,15 @@ def word_symbols(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def repeated_words(docs: DataFrame, length: int = 20) -> DataFrame:
-    """(doc_id, a, b): word stretches covered by windows that start earlier."""
+    """(doc_id, a, b): word stretches covered by windows that start earlier; no
+    two rows of ``docs`` share a doc_id."""
     return repeated(docs, word_symbols, length, max(1, length // 4), later=True)
 
 
 def dedup(docs: DataFrame, length: int = 20) -> DataFrame:
-    """(doc_id, kept string, n_words, n_removed) of every document; ``kept``
+    """(doc_id, kept string, n_words, n_removed) of every row; ``kept``
     has the remaining words joined by one space."""
-    docs = one_row_per_id(docs)
+    docs = with_row_keys(id_text(docs))
 
     def block(batch: pa.RecordBatch) -> pa.RecordBatch:
         kept, n_words, n_removed = [], [], []
@@ -88,18 +90,17 @@ def dedup(docs: DataFrame, length: int = 20) -> DataFrame:
             [batch.column("doc_id"), pa.array(kept, pa.string()), pa.array(n_words, pa.int64()),
              pa.array(n_removed, pa.int64())], ["doc_id", "kept", "n_words", "n_removed"])
 
-    return map_blocks(with_stretches(docs, repeated_words(docs, length)), block,
+    return map_blocks(with_stretches(docs, repeated_words(docs.select(F.col(ROW).alias("doc_id"), "text"), length)), block,
                       "doc_id long, kept string, n_words long, n_removed long")
 
 
 def rewrite(docs: DataFrame, length: int = 20) -> DataFrame:
     """``docs`` with the repeated words taken out of their texts, and ``n_chars``
     made to fit if there is such a column.  A text that loses no word stays as
-    it is, spacing included; a document that loses all its words goes.  Rows
-    that repeat a doc_id count as one, the one with the smallest text."""
-    docs = one_whole_row_per_id(docs)
+    it is, spacing included; a document that loses all its words goes."""
     columns = docs.columns
-    rows = with_stretches(docs, repeated_words(id_text(docs), length))
+    keyed = with_row_keys(docs)
+    rows = with_stretches(keyed, repeated_words(id_text(keyed.withColumn("doc_id", F.col(ROW))), length))
 
     def block(batch: pa.RecordBatch) -> pa.RecordBatch:
         text = batch.column("text").to_pylist()

@@ -9,8 +9,8 @@ so that the ranks that Spark sorts are a few hundredths of the bytes.
 
 Inputs: a null text is empty; texts shorter than ``length`` lose nothing;
 strings are judged on the input and may overlap each other and themselves;
-rows that repeat a doc_id count as one document (see ``one_row_per_id``); a
-null doc_id is an id like any other; other columns are not read.
+rows that repeat a doc_id, or have none, are documents of their own; other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -18,8 +18,9 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ratingflow.llm.common import map_blocks, mix, one_row_per_id, text_bytes
+from ratingflow.llm.common import ROW, id_text, map_blocks, mix, text_bytes, with_row_keys
 from ratingflow.llm.windows import SPANS, covered_mask, repeated, span_arrays, with_stretches
 
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
@@ -31,14 +32,15 @@ def byte_symbols(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def repeated_bytes(docs: DataFrame, length: int = 200, gram: int = 64) -> DataFrame:
-    """(doc_id, a, b): byte stretches covered by strings found elsewhere."""
+    """(doc_id, a, b): byte stretches covered by strings found elsewhere; no two
+    rows of ``docs`` share a doc_id."""
     return repeated(docs, byte_symbols, length, gram, later=False)
 
 
 def dedup(docs: DataFrame, length: int = 200, gram: int = 64) -> DataFrame:
-    """(doc_id, kept binary, n_bytes, n_removed, n_spans) of every document;
+    """(doc_id, kept binary, n_bytes, n_removed, n_spans) of every row;
     ``kept`` are the remaining bytes in their order."""
-    docs = one_row_per_id(docs)
+    docs = with_row_keys(id_text(docs))
 
     def block(batch: pa.RecordBatch) -> pa.RecordBatch:
         data, offsets = text_bytes(batch.column("text"))
@@ -60,7 +62,7 @@ def dedup(docs: DataFrame, length: int = 200, gram: int = 64) -> DataFrame:
              pa.array(n_removed, pa.int64()), pa.array(n_spans, pa.int64())],
             ["doc_id", "kept", "n_bytes", "n_removed", "n_spans"])
 
-    return map_blocks(with_stretches(docs, repeated_bytes(docs, length, gram)), block,
+    return map_blocks(with_stretches(docs, repeated_bytes(docs.select(F.col(ROW).alias("doc_id"), "text"), length, gram)), block,
                       "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long")
 
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratingflow.llm.common import discard, map_blocks, mix, saved
+from ratingflow.llm.common import ROW, discard, map_blocks, mix, saved
 
 #: Symbols of one document handled at once; longer documents go in slices
 #: that overlap by a window.
@@ -186,7 +186,7 @@ def repeated(docs: DataFrame, symbols: Callable[[pa.Array], tuple[np.ndarray, np
 
     ``later``: only windows that also start earlier (smaller doc_id, or the
     same document further left) count; otherwise all that start elsewhere
-    too.  ``docs`` has one row per doc_id; stretches may overlap."""
+    too.  No two rows of ``docs`` share a doc_id; stretches may overlap."""
     found = windows_of(docs, symbols, length, gram)
     # written on its own, so that both sides of the join are plain exchanges
     # and Spark can split a key's runs over tasks, however many they are
@@ -344,10 +344,10 @@ SPANS = "__spans"       # a name that no input column has
 
 
 def with_stretches(docs: DataFrame, stretches: DataFrame) -> DataFrame:
-    """docs with their stretches as column ``SPANS`` (null: none)."""
+    """docs with the stretches of their ``ROW`` as column ``SPANS`` (null: none)."""
     lists = (stretches.groupBy(F.col("doc_id").alias("__doc"))
              .agg(F.collect_set(F.struct("a", "b")).alias(SPANS)))
-    return docs.join(lists, F.col("doc_id").eqNullSafe(F.col("__doc")), "left").drop("__doc")
+    return docs.join(lists, F.col(ROW).eqNullSafe(F.col("__doc")), "left").drop("__doc")
 
 
 def span_arrays(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:

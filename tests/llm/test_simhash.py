@@ -113,6 +113,16 @@ def test_awkward_rows(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 4, 6, 8]
 
 
+def test_only_near_copies_go_of_rows_that_share_an_id(spark):
+    lone = [(i, f"a text of its own {n} " + " ".join(f"w{n}x{k}" for k in range(40)))
+            for n, i in enumerate([None, None, None, 5, 5, 6])]
+    docs = frame(spark, lone + [(5, lone[0][1]), (None, lone[5][1]), (6, lone[5][1])])
+    kept = simhash.representatives(docs)
+    assert kept.columns == docs.columns
+    want = [(5, lone[0][1]), *lone[1:]]
+    assert sorted(map(str, ((r.doc_id, r.text) for r in kept.collect()))) == sorted(map(str, want))
+
+
 def test_empty_table(spark):
     assert simhash.near_duplicates(frame(spark, [])).collect() == []
     assert simhash.representatives(frame(spark, [])).collect() == []

@@ -123,6 +123,25 @@ def test_awkward_rows(spark):
     assert found[3][0] == b"" and found[6][0] == b"" and found[6][3] == 1
 
 
+def test_rows_that_share_an_id_are_documents_of_their_own(spark):
+    rows = [(i % 3 or None, t) for i, t in copied(9, "abc ", (0, 300), 60)]
+    rows += [(None, rows[0][1]), (None, None), (7, "one row")]
+    rows.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    docs = frame(spark, rows)
+    numbered = [(n, t) for n, (_, t) in enumerate(rows)]
+    full = lambda found: sorted(map(str, found))
+    want = reference_bytes(numbered, 40)
+    assert full((r.doc_id, bytes(r.kept), r.n_removed, r.n_spans) for r in suffix_dedup.dedup(docs, length=40, gram=10)
+                .collect()) == full((i, *want[n]) for n, (i, _) in enumerate(rows))
+    want = reference_words(numbered, 8)
+    assert full((r.doc_id, r.kept, r.n_words, r.n_removed) for r in substring_dedup.dedup(docs, length=8).collect()) \
+        == full((i, *want[n]) for n, (i, _) in enumerate(rows))
+    kept = substring_dedup.rewrite(docs, length=8)
+    assert kept.columns == docs.columns
+    assert full((r.doc_id, r.text) for r in kept.collect()) == full(
+        (i, want[n][0] if want[n][2] else t) for n, (i, t) in enumerate(rows) if not want[n][1] or want[n][2] < want[n][1])
+
+
 def test_empty_table(spark):
     assert suffix_dedup.dedup(frame(spark, [])).collect() == []
     assert substring_dedup.dedup(frame(spark, [])).collect() == []
