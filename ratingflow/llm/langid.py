@@ -40,6 +40,8 @@ _WORD = re.compile(r"[^\W\d_]{1,%d}" % LONGEST)
 _LETTER = regex.compile(r"\p{L}")
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SLOTS = 1 << 20
+#: Sums over segmentations below this are done again with logarithms.
+_TINY = 1e-250
 
 
 def vocabulary_pieces(path: str) -> list[str]:
@@ -121,13 +123,33 @@ def forward(edges: list, n: int, prob: np.ndarray, count: int) -> np.ndarray:
     return alpha
 
 
+def log_forward(edges: list, n: int, logs: np.ndarray, count: int) -> np.ndarray:
+    """The logarithms of ``forward``, from those of the probabilities; slower,
+    but no product is too small for it."""
+    alpha = np.full((n + 1, count, logs.shape[1]), -np.inf)
+    alpha[0] = 0.0
+    for start, end, row in edges:
+        alpha[end] = np.logaddexp(alpha[end], alpha[start] + logs[row])
+    return alpha
+
+
+def logs_of(prob: np.ndarray) -> np.ndarray:
+    with np.errstate(divide="ignore"):
+        return np.log(prob)
+
+
 def word_scores(words: list[str], pieces: Pieces, prob: np.ndarray) -> np.ndarray:
     """Log-probability of each word in each language."""
     out = np.zeros((len(words), prob.shape[1]))
     for at in by_length(words):
         part = [words[i] for i in at]
         n = len(part[0]) + 1
-        out[at] = np.log(forward(pieces.lattice(part), n, prob, len(part))[n])
+        total = forward(pieces.lattice(part), n, prob, len(part))[n]
+        tiny = (total < _TINY).any(axis=1)
+        out[at[~tiny]] = np.log(total[~tiny])
+        if tiny.any():
+            part = [words[i] for i in at[tiny]]
+            out[at[tiny]] = log_forward(pieces.lattice(part), n, logs_of(prob), len(part))[n]
     return out
 
 
@@ -144,16 +166,34 @@ def expected(words: list[str], langs: np.ndarray, counts: np.ndarray, pieces: Pi
         alpha[0] = 1.0
         for start, end, _, p in edges:
             alpha[end] += alpha[start] * p
-        beta[n] = counts[at] / alpha[n]
+        tiny = alpha[n] < _TINY
+        beta[n] = np.where(tiny, 0.0, counts[at] / np.where(tiny, 1.0, alpha[n]))
         for start, end, _, p in sorted(edges, key=lambda e: -e[0]):
             beta[start] += p * beta[end]
         cell = np.concatenate([row * wide + lang for _, _, row, _ in edges])
         use = np.concatenate([alpha[start] * p * beta[end] for start, end, _, p in edges])
+        if tiny.any():
+            edges = [(start, end, row[tiny], p[tiny]) for start, end, row, p in edges]
+            cell = np.concatenate([cell, *(row * wide + lang[tiny] for _, _, row, _ in edges)])
+            use = np.concatenate([use, log_uses(edges, n, counts[at][tiny])])
         real = use > 0          # where there is no piece, p is zero
         out += np.bincount(cell[real], weights=use[real], minlength=len(out))
     return out.reshape(-1, wide)
 
 
+def log_uses(edges: list, n: int, counts: np.ndarray) -> np.ndarray:
+    """Expected uses of the edges one after the other, by logarithms."""
+    edges = [(start, end, row, logs_of(p)) for start, end, row, p in edges]
+    alpha, beta = (np.full((n + 1, len(counts)), -np.inf) for _ in range(2))
+    alpha[0] = 0.0
+    for start, end, _, p in edges:
+        alpha[end] = np.logaddexp(alpha[end], alpha[start] + p)
+    beta[n] = np.log(counts) - alpha[n]
+    for start, end, _, p in sorted(edges, key=lambda e: -e[0]):
+        beta[start] = np.logaddexp(beta[start], p + beta[end])
+    return np.concatenate([np.exp(alpha[start] + p + beta[end]) for start, end, _, p in edges])
+
+
 def padded(prob: np.ndarray) -> np.ndarray:
     """One more row, of zeros, that index -1 finds."""
     return np.vstack([prob, np.zeros((1, prob.shape[1]))])
@@ -178,7 +218,16 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return found.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
-def fit(docs: DataFrame, vocabulary: str, rounds: int = 2, floor: float = 0.01, most_langs: int = 1000) -> Model:
+def smoothed(n: np.ndarray, floor: float, share: float) -> np.ndarray:
+    """Probabilities from the expected uses ``n`` of pieces by language: each
+    gets ``floor`` uses more, or, in a large language, its part of ``share`` of
+    all uses, so that no piece's probability shrinks to nothing."""
+    more = np.maximum(floor, share * n.sum(axis=0) / len(n))
+    return (n + more) / (n + more).sum(axis=0)
+
+
+def fit(docs: DataFrame, vocabulary: str, rounds: int = 2, floor: float = 0.01,
+        share: float = 1e-6, most_langs: int = 1000) -> Model:
     """Piece probabilities of every language of ``docs`` (text, lang), by
     ``rounds`` of expectation maximisation from equal probabilities."""
     counts = saved(word_counts(docs), "language-words")
@@ -208,7 +257,7 @@ def fit(docs: DataFrame, vocabulary: str, rounds: int = 2, floor: float = 0.01,
                 .groupBy("piece", "lang").agg(F.sum("n").alias("n")).toPandas())
         n = np.zeros_like(prob)
         n[rows["piece"], rows["lang"]] = rows["n"]
-        prob = (n + floor) / (n + floor).sum(axis=0)
+        prob = smoothed(n, floor, share)
     return Model(langs, held.value, prob)
 
 

@@ -42,6 +42,26 @@ def test_forward_sums_all_segmentations():
     assert np.allclose(langid.expected(words, langs, counts, pieces, prob), want)
 
 
+def test_long_unseen_runs_in_a_large_language():
+    """30 letters that no language has, after 1e10 pieces each of two: finite,
+    alike in both, and as the plain sum for a word short enough for it."""
+    pieces = langid.Pieces(NAMES)
+    n = np.zeros((9, 2))
+    n[:3] = [[6e9, 1e9], [1e9, 6e9], [3e9, 3e9]]
+    for share in (0.0, 1e-6):
+        prob = langid.padded(langid.smoothed(n, 0.01, share))
+        run, short, mixed = langid.word_scores(["z" * 30, "zz", "a" + "z" * 29], pieces, prob)
+        assert np.isfinite([run, short, mixed]).all() and abs(run[0] - run[1]) < 3
+        # only the mark and the run's letters: a product
+        assert np.allclose(run, np.log(prob[0]) + 30 * np.log(prob[8]))
+        assert np.allclose(short, np.log(brute("zz", prob)[0]))
+        uses = langid.expected(["z" * 30, "ab"], np.array([0, 1]), np.array([5, 2]), pieces, prob)
+        assert np.allclose(uses[8], [150, 0]) and np.allclose(uses[0, 0], 5)
+    assert langid.smoothed(n, 0.01, 1e-6)[8, 0] > 1e-8
+    few = np.ones((9, 2))
+    assert np.allclose(langid.smoothed(few, 0.01, 1e-6), 1.01 / 9.09)
+
+
 def test_held_out_accuracy(spark):
     lang = {r.doc_id: r.lang for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang").collect()}
     rows = queries.op8_langid(spark, SF).collect()
