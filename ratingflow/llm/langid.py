@@ -7,8 +7,9 @@ learned by expectation maximisation: word counts of each language are gathered
 from all labelled rows outside the held-out fold, and forward-backward passes
 over them count each piece as often as it is expected in a segmentation.
 
-A word is a run of letters (and signs that count as such), lower-cased, with the vocabulary's word-start mark
-before it; more than ``LONGEST`` letters on end are taken in stretches.
+A word is a run of letters and combining marks, lower-cased, with the
+vocabulary's word-start mark before it; more than ``LONGEST`` of them on end
+are taken in stretches.
 
 Inputs: a text that is null or has no letter is ``und`` with score 0, as is
 every text if no row has a language; equally likely languages are taken in
@@ -36,7 +37,8 @@ FOLDS = 4
 LONGEST = 30
 UNKNOWN = "und"
 MARK = "▁"
-_WORD = re.compile(r"[^\W\d_]{1,%d}" % LONGEST)
+_WORD = regex.compile(r"[\p{L}\p{M}]{1,%d}" % LONGEST)
+_ASCII_WORD = re.compile("[a-z]{1,%d}" % LONGEST)
 _LETTER = regex.compile(r"\p{L}")
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SLOTS = 1 << 20
@@ -53,6 +55,11 @@ def vocabulary_pieces(path: str) -> list[str]:
                   and (p == MARK or regex.fullmatch(r"[\p{L}\p{M}]+", p.lstrip(MARK))) and p == p.lower())
 
 
+def words_of(text: str) -> list[str]:
+    text = text.lower()
+    return _ASCII_WORD.findall(text) if text.isascii() else _WORD.findall(text)
+
+
 class Pieces:
     """Look-up of pieces by their code points; the last row, ``len(keys)``,
     stands for a single letter outside the vocabulary."""
@@ -209,7 +216,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
     def block(batch: pa.RecordBatch) -> pa.RecordBatch:
         bags: dict[str, Counter] = {}
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-            bags.setdefault(lang, Counter()).update(_WORD.findall(text.lower()))
+            bags.setdefault(lang, Counter()).update(words_of(text))
         rows = [(lang, w, n) for lang, bag in bags.items() for w, n in bag.items()]
         lang, word, n = zip(*rows) if rows else ((), (), ())
         return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(word, pa.string()),
@@ -270,7 +277,7 @@ def predict(docs: DataFrame, model: Model, cache: int = 200_000) -> DataFrame:
 
     def block(batch: pa.RecordBatch) -> pa.RecordBatch:
         m = shared.value
-        found = [Counter(_WORD.findall(t.lower())) if t and _LETTER.search(t) else Counter()
+        found = [Counter(words_of(t)) if t and _LETTER.search(t) else Counter()
                  for t in batch.column("text").to_pylist()]
         pred, score = [UNKNOWN] * len(found), np.zeros(len(found))
         if m.langs and any(found):

@@ -62,6 +62,14 @@ def test_long_unseen_runs_in_a_large_language():
     assert np.allclose(langid.smoothed(few, 0.01, 1e-6), 1.01 / 9.09)
 
 
+def test_words_keep_their_marks(spark):
+    hindi, decomposed = "\u0939\u093f\u0928\u094d\u0926\u0940", "cafe\u0301"
+    assert langid.words_of(f"{hindi}, {decomposed.upper()}2x a_b") == [hindi, decomposed, "x", "a", "b"]
+    assert langid.words_of("Ab1 " + "y" * 31) == ["ab", "y" * 30, "y"]
+    rows = frame(spark, [(1, f"{hindi} {hindi}", "hi")]).selectExpr("lang", "text")
+    assert [(r.lang, r.word, r.n) for r in langid.word_counts(rows).collect()] == [("hi", hindi, 2)]
+
+
 def test_held_out_accuracy(spark):
     lang = {r.doc_id: r.lang for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang").collect()}
     rows = queries.op8_langid(spark, SF).collect()
