@@ -31,13 +31,19 @@ def byte_symbols(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return _BYTE[data], offsets
 
 
-def repeated_bytes(docs: DataFrame, length: int = 200, gram: int = 64) -> DataFrame:
+def widest_gram(length: int) -> int:
+    """The widest gram, up to 64 bytes, that has another beside it in a string
+    of ``length`` bytes wherever it stands."""
+    return max(1, min(64, (length + 1) // 3))
+
+
+def repeated_bytes(docs: DataFrame, length: int = 200, gram: int | None = None) -> DataFrame:
     """(doc_id, a, b): byte stretches covered by strings found elsewhere; no two
     rows of ``docs`` share a doc_id."""
-    return repeated(docs, byte_symbols, length, gram, later=False)
+    return repeated(docs, byte_symbols, length, gram or widest_gram(length), later=False)
 
 
-def dedup(docs: DataFrame, length: int = 200, gram: int = 64) -> DataFrame:
+def dedup(docs: DataFrame, length: int = 200, gram: int | None = None) -> DataFrame:
     """(doc_id, kept binary, n_bytes, n_removed, n_spans) of every row;
     ``kept`` are the remaining bytes in their order."""
     docs = with_row_keys(id_text(docs))

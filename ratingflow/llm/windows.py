@@ -137,8 +137,9 @@ def windows_of(docs: DataFrame, symbols: Callable[[pa.Array], tuple[np.ndarray,
                length: int, gram: int) -> DataFrame:
     """(key, span, ext, doc_id, loc) for every run of every document; ``loc``
     packs the first window, the number of windows and the anchor's offset."""
-    if not 2 * gram <= length < 1 << 10:
-        raise ValueError("a window holds two grams at least and 1023 symbols at most")
+    # wherever the anchor is, a whole gram must stand after or before it
+    if not 3 * gram - 1 <= length < 1 << 10:
+        raise ValueError("a window holds three grams less a symbol at least and 1023 symbols at most")
 
     def block(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         data, offsets = symbols(batch.column("text"))

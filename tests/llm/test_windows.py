@@ -90,6 +90,22 @@ def test_words_with_few_symbols(spark, seed, alphabet):
     assert got == reference_words(rows, 8)
 
 
+def test_lengths_between_two_and_three_grams(spark):
+    rng = random.Random(10)
+    part = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    rows = []
+    for i in range(0, 60, 2):
+        shared = part(150)
+        rows += [(i, part(90) + shared + part(90)), (i + 1, part(70) + shared + part(80))]
+    got = {r.doc_id: (bytes(r.kept), r.n_removed, r.n_spans)
+           for r in suffix_dedup.dedup(frame(spark, rows), length=150).collect()}
+    assert got == reference_bytes(rows, 150) and all(v[1] >= 150 for v in got.values())
+    assert suffix_dedup.widest_gram(200) == 64
+    for gram, length in ((64, 190), (64, 128), (10, 28)):
+        with pytest.raises(ValueError):
+            suffix_dedup.dedup(frame(spark, rows), length=length, gram=gram)
+
+
 def test_slices_of_long_texts_agree(spark, monkeypatch):
     rows = copied(8, "abc ", (0, 900), 40)
     monkeypatch.setattr(windows, "SLICE", 64)
