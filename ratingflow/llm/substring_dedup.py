@@ -1,10 +1,11 @@
-"""Removal of word windows that occur earlier, by level-wise doubling.
-
-A window is ``length`` consecutive words.  Windows repeated at a quarter of
-that length are extended to half, those repeated there to the whole, and each
-word covered by a window that also starts earlier (smaller doc_id, of equal
-ids the smaller text, or further left in the same document) goes.  ``windows.py`` says how the first level is
-thinned without loss.
+"""Removal of word windows that occur earlier, by hashes at anchors.
+
+A window is ``length`` consecutive words.  Windows whose anchor, a gram of a
+quarter of that length, is repeated are filtered by the gram beside it, those
+left are hashed whole, and each word covered by a window that also starts
+earlier (smaller doc_id, of equal ids the smaller text, or further left in the
+same document) goes.  ``windows.py`` says how the first level is thinned
+without loss.
 
 Inputs: words are runs of bytes other than space and tab to carriage return;
 a null or empty text has none; documents shorter than a window lose nothing;

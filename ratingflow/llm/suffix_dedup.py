@@ -1,11 +1,11 @@
-"""Removal of byte strings that occur elsewhere: suffix ranks by doubling.
+"""Removal of byte strings that occur elsewhere, by hashes at anchors.
 
 Every byte covered by a string of ``length`` bytes that also starts anywhere
-else, in the same document or another, goes.  Suffixes are ranked by growing
-prefixes: a position's rank at one length is paired with the rank where that
-prefix ends, positions with a unique pair are done, and past ``length``
+else, in the same document or another, goes.  Instead of ranking suffixes by
+doubling, grams at anchors are hashed, the gram beside one filters its runs,
+and the whole strings that are left are hashed directly; past ``length``
 nothing is compared any more.  ``windows.py`` says how positions are thinned
-so that the ranks that Spark sorts are a few hundredths of the bytes.
+without loss.
 
 Inputs: a null text is empty; texts shorter than ``length`` lose nothing;
 strings are judged on the input and may overlap each other and themselves;
