@@ -1,7 +1,8 @@
 """Operators for preparing training text at scale.
 
-Ten operators over ``documents``, ``pages`` and ``benchmark`` tables, the
-queries that apply them (``queries.py``) and shared helpers (``common.py``).
+Thirteen operators over ``documents``, ``pages``, ``embeddings`` and
+``benchmark`` tables, the queries that apply them (``queries.py``) and shared
+helpers (``common.py``).
 Nothing outside this package imports it.
 
 The functions that run in Python workers are shipped by value, so executors
