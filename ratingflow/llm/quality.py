@@ -30,7 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratingflow.llm.common import fold, id_text, labelled_sample, map_blocks, text_bytes
-from ratingflow.llm.substring_dedup import word_bounds, word_ranks
+from ratingflow.llm.substring_dedup import PIECE, word_bounds, word_names
+from ratingflow.llm.windows import Names
 
 HELD_OUT = 1
 FOLDS = 3
@@ -63,6 +64,10 @@ _CLASS[ord("0"):ord("9") + 1] = 3
 _CLASS[[ord(c) for c in ".,;:'-"]] = 4
 
 
+#: Names by which the words of a line are compared.
+_WORDS = Names((1_000_003, 998_244_353), PIECE)
+
+
 def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Text number, length and feature bins (one column a feature) of all lines."""
     breaks = np.flatnonzero(data == 10)
@@ -83,7 +88,7 @@ def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     letters = np.maximum(count[1] + count[2], 1)
 
     w_start, w_end, _ = word_bounds(data, offsets)
-    rank = word_ranks(data, w_start, w_end)
+    rank = word_names(data, w_start, w_end, _WORDS)
     lo, hi = np.searchsorted(w_start, start), np.searchsorted(w_start, end)
     words = hi - lo
     line = np.repeat(np.arange(len(start)), words)

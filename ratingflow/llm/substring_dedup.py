@@ -1,11 +1,11 @@
-"""Removal of word windows that occur earlier, by hashes at anchors.
+"""Removal of word windows that occur earlier, by level-wise doubling.
 
-A window is ``length`` consecutive words.  Windows whose anchor, a gram of a
-quarter of that length, is repeated are filtered by the gram beside it, those
-left are hashed whole, and each word covered by a window that also starts
-earlier (smaller doc_id, of equal ids the smaller text, or further left in the
-same document) goes.  ``windows.py`` says how the first level is thinned
-without loss.
+A window is ``length`` consecutive words.  Windows of a quarter of that length
+that are repeated are extended to half of it, those repeated then to all of it
+(5, 10, 20 words), each time by the pair of ranks of its halves.  Each word
+covered by a window that also starts earlier (smaller doc_id, of equal ids the
+smaller text, or further left in the same document) goes.  ``windows.py`` says
+how the first level is thinned without loss.
 
 Inputs: words are runs of bytes other than space and tab to carriage return;
 a null or empty text has none; documents shorter than a window lose nothing;
@@ -21,10 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratingflow.llm.common import ROW, id_text, map_blocks, mix, text_bytes, with_row_keys
-from ratingflow.llm.windows import SPANS, Ranks, covered_mask, repeated, span_arrays, with_stretches
+from ratingflow.llm.common import ROW, id_text, map_blocks, text_bytes, with_row_keys
+from ratingflow.llm.windows import PRIME, SPANS, Names, covered_mask, new_points, repeated, span_arrays, with_stretches
 
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
+#: A byte's name has the byte and one at both points.
+_BYTE = np.arange(1, 257, dtype=np.uint64) * np.uint64((1 << 31) + 1)
+#: Bytes whose words are named at once.
+PIECE = 1 << 18
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -40,33 +43,52 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_ranks(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit rank for each word."""
-    ranks = np.zeros(len(starts), np.uint64)
-    step = 1 << 20
+def word_names(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, names: Names) -> np.ndarray:
+    """A name for each word; ``names`` has powers for ``PIECE`` bytes."""
+    out = np.zeros(len(starts), np.uint64)
     at = 0
     while at < len(starts):      # long texts in pieces, to bound the arrays
-        stop = max(at + 1, int(np.searchsorted(ends, starts[at] + step, "right")))
-        base = starts[at]
-        part = data[base:ends[stop - 1]]
-        r = Ranks(len(part))
-        s, e = starts[at:stop] - base, ends[at:stop] - base
-        ranks[at:stop] = mix(r.of(r.prefix(_BYTE[part]), s, e) + (e - s).astype(np.uint64))
+        stop = int(np.searchsorted(ends, starts[at] + PIECE, "right"))
+        if stop > at:
+            base = starts[at]
+            prefix = names.prefix(_BYTE[data[base:ends[stop - 1]]])
+            out[at:stop] = names.of(prefix, starts[at:stop] - base, ends[at:stop] - base)
+        else:
+            stop = at + 1
+            out[at] = long_name(data[starts[at]:ends[at]], names)
         at = stop
-    return ranks
+    return out
 
 
-def word_symbols(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The ranks of the texts' words end to end, and the word offsets."""
-    data, offsets = text_bytes(column)
-    starts, ends, words = word_bounds(data, offsets)
-    return word_ranks(data, starts, ends), words
+def long_name(word: np.ndarray, names: Names) -> np.uint64:
+    """The name of a word of more than a piece, from those of its pieces."""
+    total = [0, 0]
+    for at in range(0, len(word), PIECE):
+        part = word[at:at + PIECE]
+        name = int(names.of(names.prefix(_BYTE[part]), np.array([0]), np.array([len(part)]))[0])
+        for k, value in enumerate((name >> 31, name & PRIME)):
+            total[k] = (total[k] + value * pow(names.points[k], at, PRIME)) % PRIME
+    return np.uint64(total[0] << 31 | total[1])
+
+
+def word_symbols(points: tuple[int, int]):
+    """A function that gives the names of the texts' words end to end, and the
+    word offsets."""
+    held: list[Names] = []
+
+    def symbols(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        if not held:
+            held.append(Names(points, PIECE))
+        data, offsets = text_bytes(column)
+        starts, ends, words = word_bounds(data, offsets)
+        return word_names(data, starts, ends, held[0]), words
+    return symbols
 
 
 def repeated_words(docs: DataFrame, length: int = 20) -> DataFrame:
     """(doc_id, a, b): word stretches covered by windows that start earlier; no
     two rows of ``docs`` share a doc_id."""
-    return repeated(docs, word_symbols, length, max(1, length // 4), later=True)
+    return repeated(docs, word_symbols(new_points()), length, max(1, length // 4), later=True)
 
 
 def dedup(docs: DataFrame, length: int = 20) -> DataFrame:

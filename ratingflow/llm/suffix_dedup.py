@@ -1,11 +1,10 @@
-"""Removal of byte strings that occur elsewhere, by hashes at anchors.
+"""Removal of byte strings that occur elsewhere, by prefix doubling.
 
 Every byte covered by a string of ``length`` bytes that also starts anywhere
-else, in the same document or another, goes.  Instead of ranking suffixes by
-doubling, grams at anchors are hashed, the gram beside one filters its runs,
-and the whole strings that are left are hashed directly; past ``length``
-nothing is compared any more.  ``windows.py`` says how positions are thinned
-without loss.
+else, in the same document or another, goes.  Spark sorts pairs of position
+ranks at growing offsets and numbers those that occur twice, until a position
+is unique or past ``length``.  ``windows.py`` says how positions are thinned
+first, without loss, and how ranks grow.
 
 Inputs: a null text is empty; texts shorter than ``length`` lose nothing;
 strings are judged on the input and may overlap each other and themselves;
@@ -20,10 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratingflow.llm.common import ROW, id_text, map_blocks, mix, text_bytes, with_row_keys
-from ratingflow.llm.windows import SPANS, covered_mask, repeated, span_arrays, with_stretches
+from ratingflow.llm.common import ROW, id_text, map_blocks, text_bytes, with_row_keys
+from ratingflow.llm.windows import SPANS, cell_width, covered_mask, repeated, span_arrays, with_stretches
 
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
+#: A byte's name has the byte and one at both points.
+_BYTE = np.arange(1, 257, dtype=np.uint64) * np.uint64((1 << 31) + 1)
 
 
 def byte_symbols(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -40,7 +40,8 @@ def widest_gram(length: int) -> int:
 def repeated_bytes(docs: DataFrame, length: int = 200, gram: int | None = None) -> DataFrame:
     """(doc_id, a, b): byte stretches covered by strings found elsewhere; no two
     rows of ``docs`` share a doc_id."""
-    return repeated(docs, byte_symbols, length, gram or widest_gram(length), later=False)
+    gram = gram or widest_gram(length)
+    return repeated(docs, byte_symbols, length, gram, later=False, wide=cell_width(length, gram))
 
 
 def dedup(docs: DataFrame, length: int = 200, gram: int | None = None) -> DataFrame:

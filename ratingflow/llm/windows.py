@@ -1,4 +1,4 @@
-"""Repeated windows of a corpus, found through sampled positions.
+"""Repeated windows of a corpus: doubling over sampled positions.
 
 A window is ``length`` consecutive symbols (bytes or words) of one document.
 Sorting all positions of the corpus would shuffle several times its size, so
@@ -6,26 +6,32 @@ positions are thinned first, without loss: the ``gram`` symbols with the
 smallest hash inside a window are its anchor (leftmost of equals).  Equal
 windows have the same anchor at the same place, hence only windows whose
 anchor is repeated can be.  Consecutive windows share their anchor and form
-a run, and a run is one row.  Then, each step on what the last one left:
-
-1. ``gram`` symbols: runs whose anchor's rank is unique are done.
-2. Twice that: the anchor is paired with the gram after it, or before it for
-   windows that end too soon; sides whose pair of ranks is unique are done.
-3. Runs whose whole span has an equal elsewhere are repeated as a whole, and
-   one of them stands for all.
-4. The spans that are left are cut into cells of neighbouring windows, and
-   the same is done with these: cells whose shared core is unique are done,
-   those with an equal elsewhere are repeated as a whole.
-5. ``length``: the windows of the cells that are left are ranked one by one.
-
-Ranks are 64-bit polynomial hashes over a random byte table; steps 3 to 5
-compare the anchor's rank (later half of it) and the stretch's together.  Work is
-spread by rank; groups are counted by partial aggregates, so a passage found
-in a third of all documents costs one row a task.
+a run, and a run is one row; runs whose whole stretches are equal collapse to
+one, with the number of its copies.  Ranks then grow in Spark, each step on
+what the last one left:
+
+1. ``gram`` symbols: runs whose anchor is unique are done.
+2. Twice that: the ranks at the anchor and ``gram`` symbols after it (before
+   it for windows that end too soon) make a pair; sides whose pair is unique
+   are done.
+3. The runs that are left are cut into cells of ``wide`` neighbouring windows;
+   what the windows of a cell share is its core.  The places of a core have
+   ranks of ``gram`` symbols; pairs of them at growing offsets (once, twice,
+   four times ``gram``, until the core is covered) are sorted and numbered, and
+   the numbers are the ranks of the next step.  Cells with a unique rank are
+   done.  With ``wide`` 1 the core is the window, and so is the result.
+4. ``length``: the rank of its core and the symbols around it make a window.
+
+The ranks of step 1 are names: a stretch's symbols as a polynomial at two
+points modulo 2^31 - 1.  The points are drawn for each run of the operator, so
+that no text can be written to collide.  Work is spread by rank; groups are
+counted by partial aggregates, so a passage found in a third of all documents
+costs one row a task.
 """
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -42,8 +48,64 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _STEP = 20          # bits of a packed field
 
 
-class Ranks:
-    """Hashes of any stretch of a symbol sequence, from prefix sums."""
+PRIME = (1 << 31) - 1
+_P = np.uint64(PRIME)
+_31 = np.uint64(31)
+
+
+def _folded(x: np.ndarray) -> np.ndarray:
+    """Below 2^33, and equal modulo 2^31 - 1."""
+    return (x & _P) + (x >> _31)
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """Modulo 2^31 - 1, of numbers below 2^63."""
+    x = _folded(_folded(x))
+    return x - (x >= _P) * _P
+
+
+def new_points() -> tuple[int, int]:
+    """Two points for ``Names``, drawn at random."""
+    return tuple(256 + secrets.randbelow(PRIME - 512) for _ in range(2))
+
+
+class Names:
+    """Names of any stretch of a symbol sequence, from prefix sums.  A symbol
+    is itself a name (two numbers below 2^31 - 1, the first shifted by 31)."""
+
+    def __init__(self, points: tuple[int, int], size: int):
+        self.points, self.size = points, size
+        self.powers = [(self._powers(p, size), self._powers(pow(p, -1, PRIME), size)) for p in points]
+
+    def __reduce__(self):
+        return Names, (self.points, self.size)
+
+    @staticmethod
+    def _powers(point: int, size: int) -> np.ndarray:
+        out = np.ones(1, np.uint64)
+        while len(out) <= size:
+            out = np.concatenate((out, _reduced(out * np.uint64(pow(point, len(out), PRIME)))))
+        return out[:size + 1]
+
+    def prefix(self, symbols: np.ndarray) -> tuple[np.ndarray, ...]:
+        """For each point; a sum of 2^20 folded terms stays below 2^53."""
+        out = []
+        for part, (up, _) in zip((symbols >> _31, symbols & _P), self.powers):
+            sums = np.zeros(len(symbols) + 1, np.uint64)
+            np.cumsum(_folded(part * up[:len(symbols)]), out=sums[1:])
+            out.append(sums)
+        return tuple(out)
+
+    def of(self, prefix: tuple[np.ndarray, ...], start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """Names of [start, stop), below 2^62."""
+        first, second = (_reduced(_reduced(sums[stop] - sums[start]) * down[start])
+                         for sums, (_, down) in zip(prefix, self.powers))
+        return (first << _31) | second
+
+
+class Order:
+    """A cheap hash of every gram, by which anchors are chosen.  Equal grams
+    hash alike; that different ones may, too, does no harm."""
 
     def __init__(self, size: int):
         up = np.full(size + 1, _BASE, np.uint64)
@@ -51,15 +113,9 @@ class Ranks:
         up[0] = down[0] = 1
         self.up, self.down = np.multiply.accumulate(up), np.multiply.accumulate(down)
 
-    def prefix(self, symbols: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(symbols) + 1, np.uint64)
-        np.cumsum(symbols * self.up[:len(symbols)], out=out[1:])
-        return out
-
-    def of(self, prefix: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-        return mix((prefix[stop] - prefix[start]) * self.down[start])
-
-    def grams(self, prefix: np.ndarray, size: int) -> np.ndarray:
+    def grams(self, symbols: np.ndarray, size: int) -> np.ndarray:
+        prefix = np.zeros(len(symbols) + 1, np.uint64)
+        np.cumsum(mix(symbols) * self.up[:len(symbols)], out=prefix[1:])
         n = len(prefix) - size
         return mix((prefix[size:] - prefix[:n]) * self.down[:n])
 
@@ -101,11 +157,11 @@ def stretch(symbols: np.ndarray, offsets: np.ndarray, group: list) -> tuple[np.n
     return data, np.concatenate(([0], np.cumsum(sizes)))
 
 
-def runs(data: np.ndarray, begins: np.ndarray, length: int, gram: int, ranks: Ranks):
+def runs(data: np.ndarray, begins: np.ndarray, length: int, gram: int, order: Order, names: Names):
     """The runs of one group: slice number, first window, windows, anchor
-    offset in the first window, and the ranks of anchor, span and doublings."""
-    prefix = ranks.prefix(data)
-    g = ranks.grams(prefix, gram)
+    offset in the first window, and the names of the anchor, the whole stretch
+    and the grams after and before the anchor (0: no window has that side)."""
+    g = order.grams(data, gram)
     low = np.uint64((1 << 22) - 1)
     packed = (g & ~low) | np.arange(len(g), dtype=np.uint64)
     least = (sliding_min(packed, length - gram + 1) & low).astype(np.int64)
@@ -117,26 +173,20 @@ def runs(data: np.ndarray, begins: np.ndarray, length: int, gram: int, ranks: Ra
     first, a = starts[head], anchor[head]
     deep = a - first                       # the anchor's offset in the first window
     shallow = deep - count + 1             # and in the last
-    # key 0: no window of the run has that side
     after = (shallow <= length - 2 * gram)
     before = (deep > length - 2 * gram)
-    n = len(data)
-    # with the anchor's own rank, the rank beside it ranks twice the length
-    right = g[np.minimum(a + gram, n - gram)]
-    left = g[np.maximum(a - gram, 0)]
-    span = ranks.of(prefix, first, first + count + length - 1)
+    prefix = names.prefix(data)
+    beside = [np.where(has, names.of(prefix, at, at + gram) + np.uint64(1), np.uint64(0))
+              for has, at in ((after, np.minimum(a + gram, len(data) - gram)), (before, np.maximum(a - gram, 0)))]
+    span = names.of(prefix, first, first + count + length - 1)
     span = mix(span ^ (deep * 2048 + count).astype(np.uint64) * np.uint64(_BASE))
-    half = np.uint64(32)
-    right = np.where(after, (right >> half) | np.uint64(1), np.uint64(0))
-    left = np.where(before, (left >> half) | np.uint64(1), np.uint64(0))
-    ext = (right << half) | left
-    return np.searchsorted(begins, first, "right") - 1, first, count, deep, g[a], span, ext
+    return np.searchsorted(begins, first, "right") - 1, first, count, deep, names.of(prefix, a, a + gram), span, *beside
 
 
 def windows_of(docs: DataFrame, symbols: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]],
-               length: int, gram: int) -> DataFrame:
-    """(key, span, ext, doc_id, loc) for every run of every document; ``loc``
-    packs the first window, the number of windows and the anchor's offset."""
+               length: int, gram: int, points: tuple[int, int]) -> DataFrame:
+    """(key, span, right, left, doc_id, loc) for every run of every document;
+    ``loc`` packs the first window, the number of windows and the anchor's offset."""
     # wherever the anchor is, a whole gram must stand after or before it
     if not 3 * gram - 1 <= length < 1 << 10:
         raise ValueError("a window holds three grams less a symbol at least and 1023 symbols at most")
@@ -147,29 +197,29 @@ def windows_of(docs: DataFrame, symbols: Callable[[pa.Array], tuple[np.ndarray,
         ids = np.arange(batch.num_rows)
         for group in slices(offsets, length):
             part, begins = stretch(data, offsets, group)
-            which, first, count, deep, key, span, ext = runs(part, begins, length, gram, ranks_for(len(part)))
+            which, first, count, deep, *ranks = runs(part, begins, length, gram, order_for(len(part)), names_for(len(part)))
             doc = np.array([g[0] for g in group])[which]
             at = first - begins[which] + np.array([g[1] for g in group])[which]
-            out.append((key.view(np.int64), span.view(np.int64), ext.view(np.int64), ids[doc],
-                        (at << _STEP) | (count << 10) | deep))
+            out.append((*(r.view(np.int64) for r in ranks), ids[doc], (at << _STEP) | (count << 10) | deep))
         if not out:
             return None
-        key, span, ext, doc, loc = (np.concatenate(x) for x in zip(*out))
+        *ranks, doc, loc = (np.concatenate(x) for x in zip(*out))
         return pa.RecordBatch.from_arrays(
-            [pa.array(key), pa.array(span), pa.array(ext), batch.column("doc_id").take(pa.array(doc)), pa.array(loc)],
-            ["key", "span", "ext", "doc_id", "loc"])
+            [*map(pa.array, ranks), batch.column("doc_id").take(pa.array(doc)), pa.array(loc)],
+            ["key", "span", "right", "left", "doc_id", "loc"])
 
-    ranks_for = _ranks_cache()
-    return map_blocks(docs, block, "key long, span long, ext long, doc_id long, loc long")
+    order_for, names_for = _made_for(Order), _made_for(lambda size: Names(points, size))
+    return map_blocks(docs, block, "key long, span long, right long, left long, doc_id long, loc long")
 
 
-def _ranks_cache() -> Callable[[int], Ranks]:
-    held: dict[str, Ranks] = {}
+def _made_for(make: Callable) -> Callable:
+    """``make`` of the largest size asked for so far."""
+    held: list = [0, None]
 
-    def get(size: int) -> Ranks:
-        if "r" not in held or len(held["r"].up) <= size:
-            held["r"] = Ranks(max(size, SLICE))
-        return held["r"]
+    def get(size: int):
+        if held[0] < size:
+            held[:] = max(size, SLICE), make(max(size, SLICE))
+        return held[1]
     return get
 
 
@@ -182,24 +232,23 @@ def last_window():
 
 
 def repeated(docs: DataFrame, symbols: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]],
-             length: int, gram: int, later: bool) -> DataFrame:
+             length: int, gram: int, later: bool, wide: int = 1) -> DataFrame:
     """(doc_id, a, b): stretches [a, b) of symbols covered by repeated windows.
 
     ``later``: only windows that also start earlier (smaller doc_id, or the
     same document further left) count; otherwise all that start elsewhere
     too.  No two rows of ``docs`` share a doc_id; stretches may overlap."""
-    found = windows_of(docs, symbols, length, gram)
+    points = new_points()
+    found = windows_of(docs, symbols, length, gram, points)
     # written on its own, so that both sides of the join are plain exchanges
     # and Spark can split a key's runs over tasks, however many they are
     keys = saved(found.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "anchor-keys")
     found = saved(found.join(keys, "key", "left_semi"), "anchors")
     discard(keys)
     # so are the other tables that joins read below
-    spans = kept = saved(found.groupBy("key", "span").agg(
-        F.count(F.lit(1)).alias("copies"), F.first("ext").alias("ext"),
+    spans = saved(found.groupBy("key", "span").agg(
+        F.count(F.lit(1)).alias("copies"), F.first("right").alias("right"), F.first("left").alias("left"),
         F.min(F.struct("doc_id", "loc")).alias("own")), "spans")
-    spans = spans.withColumn("right", F.shiftrightunsigned("ext", 32)) \
-        .withColumn("left", F.col("ext").bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))).drop("ext")
     levels = _several(spans, ["key"], later, "several-spans")
     beside = [saved(levels.where(F.col(side) != 0).groupBy("key", side).agg(F.sum("copies").alias("n"))
                     .where("n > 1").select("key", side, F.lit(True).alias(f"go_{side}")), f"beside-{side}")
@@ -212,38 +261,87 @@ def repeated(docs: DataFrame, symbols: Callable[[pa.Array], tuple[np.ndarray, np
 
     # cells of the spans that are left, one span for all its copies
     open_ = levels.join(beside[0], ["key", "right"], "left").join(beside[1], ["key", "left"], "left").select(
-        "key", "own", *(F.coalesce(f"go_{side}", F.lit(False)).alias(f"go_{side}") for side in ("right", "left")))
+        "own", *(F.coalesce(f"go_{side}", F.lit(False)).alias(f"go_{side}") for side in ("right", "left")))
     open_ = open_.where("go_right or go_left")
-    lists = (open_.select("own.doc_id", F.struct("key", "own.loc", "go_right", "go_left").alias("run"))
+    lists = (open_.select("own.doc_id", F.struct("own.loc", "go_right", "go_left").alias("run"))
              .groupBy(F.col("doc_id").alias("run_doc")).agg(F.collect_list("run").alias("runs")))
     joined = docs.select("doc_id", "text").join(lists, F.col("doc_id").eqNullSafe(F.col("run_doc")))
-    cells = saved(_cells(joined.select("doc_id", "text", "runs"), symbols, length, gram), "cells")
+    cells = saved(_cells(joined.select("doc_id", "text", "runs"), symbols, length, gram, wide, points), "cells")
     whole = saved(covered, "whole-runs")
-    discard(found, kept, levels, *beside)
+    discard(found, spans, levels, *beside)
 
-    kinds = saved(cells.groupBy("tag", "core", "span").agg(
-        F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "at")).alias("own")), "cell-kinds")
     at = F.struct("doc_id", "at")
-    covered = _covered(cells.drop("ranks").join(kinds.where("copies > 1"), ["tag", "core", "span"]), at, later,
+    cores = doubled(cells.select("doc_id", "at", "names"), len(core_places(0, length - wide + 1, gram)))
+    if wide == 1:
+        # a cell is a window
+        kinds = saved(cores.groupBy("core").agg(F.min(at).alias("own")), "window-kinds")
+        singles = saved(_covered(cores.join(kinds, "core"), at, later, F.col("at"), F.col("at") + length), "whole-windows")
+        discard(cells, cores, kinds)
+        return whole.union(singles)
+
+    own_core = cores.withColumnsRenamed({"doc_id": "core_doc", "at": "core_at"})
+    same = F.col("doc_id").eqNullSafe(F.col("core_doc")) & (F.col("at") == F.col("core_at"))
+    known = saved(cells.drop("names").join(own_core, same).drop("core_doc", "core_at"), "known-cells")
+    discard(cells, cores)
+    kinds = saved(known.groupBy("core", "span").agg(F.count(F.lit(1)).alias("copies"), F.min(at).alias("own")), "cell-kinds")
+    covered = _covered(known.drop("around").join(kinds.where("copies > 1"), ["core", "span"]), at, later,
                        F.col("at"), F.col("at") + F.col("count") - 1 + length)
-    several = _several(kinds, ["tag", "core"], later, "several-cells")
-    open_ = cells.join(several, ["tag", "core", "span"]).where(at.eqNullSafe(F.col("own")))
-    wins = open_.select("tag", "doc_id", F.posexplode("ranks").alias("step", "win"), "at")
-    wins = saved(wins.select("tag", "win", "doc_id", (F.col("at") + F.col("step")).alias("at")), "windows")
+    several = _several(kinds, ["core"], later, "several-cells")
+    open_ = known.join(several, ["core", "span"]).where(at.eqNullSafe(F.col("own")))
+    wins = open_.select("core", "doc_id", F.posexplode("around").alias("step", "win"), "at")
+    wins = saved(wins.select("core", "win", "doc_id", (F.col("at") + F.col("step")).alias("at")), "windows")
     cells_whole = saved(covered, "whole-cells")
-    discard(cells, kinds, several)
+    discard(known, kinds, several)
 
     # single windows
     found_twice = [F.count(F.lit(1)).alias("n")]
     if later:
         found_twice.append(F.min(at).alias("own"))
-    twice = saved(wins.groupBy("win", "tag").agg(*found_twice).where("n > 1").drop("n"), "window-kinds")
-    singles = saved(_covered(wins.join(twice, ["win", "tag"]), at, later, F.col("at"), F.col("at") + length),
+    twice = saved(wins.groupBy("win", "core").agg(*found_twice).where("n > 1").drop("n"), "window-kinds")
+    singles = saved(_covered(wins.join(twice, ["win", "core"]), at, later, F.col("at"), F.col("at") + length),
                     "whole-windows")
     discard(wins, twice)
     return whole.union(cells_whole).union(singles)
 
 
+def core_places(start, size: int, gram: int) -> list:
+    """Where the grams are whose ranks, paired again and again, make the rank
+    of [start, start + size): neighbours, then pairs of neighbours, and so on."""
+    if size <= 2 * gram:
+        return [start, start + size - gram]
+    half = gram
+    while 2 * half < size:
+        half *= 2
+    return core_places(start, half, gram) + core_places(start + size - half, half, gram)
+
+
+def doubled(cells: DataFrame, n: int) -> DataFrame:
+    """(doc_id, at, core): of cells with ``n`` names the rank of all, without
+    those that differ from all others.  At each step the pairs of ranks that
+    occur twice are sorted and numbered, and cells with another pair go."""
+    ranks = [f"r{i}" for i in range(n)]
+    rows = cells.select("doc_id", "at", *(F.get("names", i).alias(r) for i, r in enumerate(ranks)))
+    made = []
+    while len(ranks) > 1:
+        pairs = list(zip(ranks[::2], ranks[1::2]))
+        every = rows.select(F.explode(F.array(*(F.struct(F.col(a).alias("a"), F.col(b).alias("b")) for a, b in pairs))).alias("p"))
+        twice = saved(every.select("p.a", "p.b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"),
+                      "rank-pairs")
+        tasks = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        number = saved(twice.repartitionByRange(tasks, "a", "b").sortWithinPartitions("a", "b")
+                       .withColumn("rank", F.monotonically_increasing_id()), "ranks")
+        discard(twice)
+        for a, b in pairs:
+            rows = rows.join(number.withColumnsRenamed({"a": a, "b": b, "rank": f"{a}_"}), [a, b]).drop(a, b)
+        rows = saved(rows.withColumnsRenamed({f"{a}_": a for a, _ in pairs}), "ranked-cells")
+        discard(number, *made)
+        made = [rows]
+        ranks = [a for a, _ in pairs]
+    out = rows.withColumnRenamed(ranks[0], "core")
+    out._saved_at = rows._saved_at
+    return out
+
+
 def _several(kinds: DataFrame, by: list[str], later: bool, name: str) -> DataFrame:
     """The rows, one for each kind of stretch, whose key ``by`` has several
     kinds; unless ``later``, only if one of them has no copy, as all are known
@@ -263,25 +361,23 @@ def _covered(rows: DataFrame, place: Column, later: bool, a: Column, b: Column)
 
 
 def cell_width(length: int, gram: int) -> int:
+    """Windows of a cell, an eighth of those that can share an anchor."""
     return max(4, -(-(length - gram + 1) // 8))
 
 
-def _cells(joined: DataFrame, symbols: Callable, length: int, gram: int) -> DataFrame:
+def _cells(joined: DataFrame, symbols: Callable, length: int, gram: int, wide: int, points: tuple[int, int]) -> DataFrame:
     """The listed runs cut into cells, whose windows' offsets to the anchor
-    divided by ``cell_width`` are the same: (tag, core, span, doc_id, at,
-    count, ranks).  ``tag`` is half of the anchor's rank; ``core`` ranks what
-    all windows of such a cell share; ``span`` ranks the whole cell; ``ranks``
-    has those of its windows."""
-    ranks_for = _ranks_cache()
-    wide = cell_width(length, gram)
+    divided by ``wide`` are the same: (doc_id, at, count, names, span, around).
+    ``names`` are those of the core's grams, ``span`` names all that is around
+    the core, ``around`` what is in each window."""
+    names_for = _made_for(lambda size: Names(points, size))
 
     def block(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         data, offsets = symbols(batch.column("text"))
         lists = batch.column("runs")
         values = lists.flatten()
         owner = np.repeat(np.arange(batch.num_rows), np.asarray(lists.value_lengths().fill_null(0)))
-        key, loc, go_right, go_left = (values.field(f).to_numpy(zero_copy_only=False)
-                                       for f in ("key", "loc", "go_right", "go_left"))
+        loc, go_right, go_left = (values.field(f).to_numpy(zero_copy_only=False) for f in ("loc", "go_right", "go_left"))
         at, count, deep = loc >> _STEP, (loc >> 10) & 1023, loc & 1023
         # a run's cells: offsets fall from deep to deep - count + 1
         top, low = deep // wide, (deep - count + 1) // wide
@@ -301,8 +397,8 @@ def _cells(joined: DataFrame, symbols: Callable, length: int, gram: int) -> Data
         out = []
         for group in slices(offsets, length):
             part, begins = stretch(data, offsets, group)
-            ranks = ranks_for(len(part))
-            prefix = ranks.prefix(part)
+            names = names_for(len(part))
+            prefix = names.prefix(part)
             for (own, shift, _), begin in zip(group, begins):
                 lo, hi = np.searchsorted(doc, [own, own + 1])
                 lo, hi = lo + np.searchsorted(first[lo:hi], [shift, shift + SLICE])
@@ -312,23 +408,34 @@ def _cells(joined: DataFrame, symbols: Callable, length: int, gram: int) -> Data
                 pos = first[c] - shift + begin
                 size = upper[c] - lower[c] + 1
                 anchor = pos + upper[c]
-                core = ranks.of(prefix, anchor - cell[c] * wide,
-                                anchor + length - np.minimum((cell[c] + 1) * wide - 1, length - gram))
-                span = ranks.of(prefix, pos, pos + size + length - 1)
-                span = mix(span ^ (upper[c] * 2048 + size).astype(np.uint64) * np.uint64(_BASE))
-                ends = np.cumsum(size)
-                each = np.repeat(pos - (ends - size), size) + np.arange(ends[-1])
-                out.append(((key[run[c]] >> 32).astype(np.int32), mix(core + cell[c].astype(np.uint64)).view(np.int64),
-                            span.view(np.int64), doc[c], first[c], size, ranks.of(prefix, each, each + length).view(np.int64)))
+                # all windows whose anchor's offset is in the cell's range hold the core
+                a = anchor - cell[c] * wide
+                b = a + length - wide + 1
+                grams = np.stack([names.of(prefix, p, p + gram) for p in core_places(a, length - wide + 1, gram)], axis=1)
+                if wide == 1:
+                    span, each = np.zeros(len(pos), np.uint64), np.zeros(len(pos), np.uint64)
+                else:
+                    def around(x, y, of):
+                        """Of the stretches [x, y), which hold the cores numbered ``of``."""
+                        left, right = names.of(prefix, x, a[of]), names.of(prefix, b[of], y)
+                        return mix(mix(left ^ (a[of] - x).astype(np.uint64) * np.uint64(_BASE)) + right)
+                    span = around(pos, pos + size + length - 1, np.arange(len(pos)))
+                    span = mix(span ^ size.astype(np.uint64))
+                    ends = np.cumsum(size)
+                    each = np.repeat(pos - (ends - size), size) + np.arange(ends[-1])
+                    each = around(each, each + length, np.repeat(np.arange(len(pos)), size))
+                out.append((doc[c], first[c], size, grams, span.view(np.int64), each.view(np.int64)))
         if not out:
             return None
-        tag, core, span, who, start, size, each = (np.concatenate(x) for x in zip(*out))
+        who, start, size, grams, span, each = (np.concatenate(x) for x in zip(*out))
+        per = np.arange(len(grams) + 1, dtype=np.int32) * grams.shape[1]
         return pa.RecordBatch.from_arrays(
-            [pa.array(tag), pa.array(core), pa.array(span), batch.column("doc_id").take(pa.array(who)), pa.array(start),
-             pa.array(size), pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)).astype(np.int32)), pa.array(each))],
-            ["tag", "core", "span", "doc_id", "at", "count", "ranks"])
+            [batch.column("doc_id").take(pa.array(who)), pa.array(start), pa.array(size),
+             pa.ListArray.from_arrays(pa.array(per), pa.array(grams.ravel().view(np.int64))), pa.array(span),
+             pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)).astype(np.int32)), pa.array(each))],
+            ["doc_id", "at", "count", "names", "span", "around"])
 
-    return map_blocks(joined, block, "tag int, core long, span long, doc_id long, at long, count long, ranks array<long>")
+    return map_blocks(joined, block, "doc_id long, at long, count long, names array<long>, span long, around array<long>")
 
 
 def covered_mask(size: int, spans: list | None) -> np.ndarray:

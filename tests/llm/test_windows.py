@@ -169,3 +169,49 @@ def test_sliding_min_is_the_minimum_of_each_window():
     x = np.random.default_rng(2).integers(0, 50, 300).astype(np.uint64)
     for width in (1, 2, 3, 16, 17, 137, 300):
         assert windows.sliding_min(x, width).tolist() == [int(x[i:i + width].min()) for i in range(300 - width + 1)]
+
+
+def thue_morse(letters, n=1024):
+    return "".join(letters[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_words_built_to_collide_are_told_apart(spark):
+    """A hash modulo 2^64 takes the Thue-Morse word for its complement."""
+    tail = " " + " ".join(f"w{i}" for i in range(19))
+    rows = [(1, thue_morse("ab") + tail), (2, thue_morse("ba") + tail)]
+    docs = frame(spark, rows)
+    assert {r.doc_id: r.n_removed for r in substring_dedup.dedup(docs).collect()} == {1: 0, 2: 0}
+    assert {r.doc_id: r.text for r in substring_dedup.rewrite(docs).collect()} == dict(rows)
+    strings = [(1, thue_morse("ab", 4096) + "x" * 300), (2, thue_morse("ba", 4096) + "y" * 300)]
+    got = {r.doc_id: (bytes(r.kept), r.n_removed, r.n_spans) for r in suffix_dedup.dedup(frame(spark, strings)).collect()}
+    assert got == reference_bytes(strings, 200)
+
+
+def test_names_are_polynomials(monkeypatch):
+    import numpy as np
+    rng = np.random.default_rng(4)
+    points = windows.new_points()
+    names = windows.Names(points, 2000)
+    data = rng.integers(0, 256, 2000).astype(np.uint8)
+    prefix = names.prefix(suffix_dedup._BYTE[data])
+    for a, b in [(0, 2000), (5, 5), (1999, 2000), *map(sorted, rng.integers(0, 2001, (20, 2)).tolist())]:
+        want = [sum((int(x) + 1) * pow(p, i, windows.PRIME) for i, x in enumerate(data[a:b])) % windows.PRIME for p in points]
+        assert int(names.of(prefix, np.array([a]), np.array([b]))[0]) == want[0] << 31 | want[1]
+    whole = int(names.of(prefix, np.array([0]), np.array([2000]))[0])
+    monkeypatch.setattr(substring_dedup, "PIECE", 300)
+    assert int(substring_dedup.long_name(data, names)) == whole
+
+
+def test_places_of_a_core_cover_it():
+    for size, gram in ((183, 64), (20, 5), (8, 2), (37, 10), (100, 1), (257, 64), (64, 64)):
+        places = windows.core_places(0, size, gram)
+        assert len(places) & (len(places) - 1) == 0 and len(places) > 1
+        assert {i for p in places for i in range(p, p + gram)} == set(range(size))
+
+
+@pytest.mark.parametrize("length,gram", [(257, 64), (200, 10), (41, 3)])
+def test_several_doublings(spark, length, gram):
+    rows = [(i, t * 3) for i, t in copied(11, "abcdefgh", (0, 300), 40)]
+    got = {r.doc_id: (bytes(r.kept), r.n_removed, r.n_spans)
+           for r in suffix_dedup.dedup(frame(spark, rows), length=length, gram=gram).collect()}
+    assert got == reference_bytes(rows, length)
