@@ -16,8 +16,8 @@ of the Jaccard likeness of their names (exact for short texts).
 
 Inputs: a null text is empty and has an empty fingerprint; two empty
 fingerprints are alike (1), an empty one and another are not (0); rows that
-repeat a doc_id are ordered by text and kept one by one; null ids come first;
-other columns are not read.
+repeat a doc_id are ordered by a hash of their texts and kept one by one; null
+ids come first; other columns are not read.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -137,31 +138,72 @@ def fingerprints(docs: DataFrame, size: int = SIZE) -> DataFrame:
     return map_blocks(id_text(docs), block, "doc_id long, fingerprint string")
 
 
+_PLACE = np.dtype([("some", "i1"), ("doc_id", "i8"), ("hash", "i8")])
+#: Sample points of a range: its bytes are even within about a tenth.
+_POINTS = 100
+
+
+def _places(doc_id: pd.Series, hash_: pd.Series) -> np.ndarray:
+    """Rows as places in the order of documents: null ids, then by id, then hash."""
+    out = np.zeros(len(doc_id), _PLACE)
+    known = doc_id.notna().to_numpy()
+    out["some"] = known
+    out["doc_id"][known] = doc_id[known].to_numpy().astype(np.int64)
+    out["hash"] = hash_.to_numpy()
+    return out
+
+
+def _borders(rows: DataFrame, ranges: int) -> np.ndarray:
+    """Places that cut the documents in ``ranges`` of about equal bytes, from
+    some ``_POINTS`` sample points a range, more for longer texts."""
+    total = rows.agg(F.sum(F.col("n") + 1)).first()[0] or 0
+    unit = max(1, total // (ranges * _POINTS))
+    # a text of n bytes is n / unit points, the rest by chance of its own hash
+    chance = F.pmod(F.xxhash64("hash", "row"), F.lit(unit))
+    points = rows.select("doc_id", "hash", F.floor((F.col("n") + 1 + chance) / unit).alias("points")).where("points > 0")
+    points = points.toPandas()
+    if not len(points):
+        return np.zeros(0, _PLACE)
+    places = _places(points["doc_id"], points["hash"])
+    order = np.argsort(places, order=_PLACE.names)
+    ends = np.cumsum(points["points"].to_numpy()[order])
+    return places[order][np.searchsorted(ends, ends[-1] * np.arange(1, ranges) / ranges, "left")]
+
+
 def with_next_document(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     """(target, guest, doc_id, text) dealt out so that each document meets the
-    one after it: rows of one ``target`` are a range of ids in order, then (as
-    guest) the first row of the next range; the last range gets the first."""
+    one after it: rows of one ``target`` are a range of documents in order,
+    then (as guest) the first row of the next range; the last range gets the
+    first.  Rows with the same id and text may be dealt to several ranges."""
     spark = docs.sparkSession
     ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = id_text(docs)
-    points = [i / ranges for i in range(1, ranges)] or [0.5]
-    bounds = rows.agg(F.percentile_approx("doc_id", points, max(10_000, 20 * ranges)).alias("b")).first().b
-    bounds = sorted(set(bounds or []))
-    here = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= F.col("doc_id"))) if bounds else F.lit(0)
-    rows = rows.withColumn("target", F.when(F.col("doc_id").isNull(), 0).otherwise(here))
-    # one row a range: its number and its first id
-    first = sorted((r.target, r.first.doc_id) for r in
-                   rows.groupBy("target").agg(F.min(F.struct("doc_id")).alias("first")).collect())
+    rows = id_text(docs).select("doc_id", "text", F.xxhash64("text").alias("hash"), F.octet_length("text").alias("n"),
+                                F.monotonically_increasing_id().alias("row"))
+    borders = _borders(rows.drop("text"), ranges)
+
+    @F.pandas_udf("int")
+    def target(doc_id: pd.Series, hash_: pd.Series, row: pd.Series) -> pd.Series:
+        place = _places(doc_id, hash_)
+        low, high = np.searchsorted(borders, place, "left"), np.searchsorted(borders, place, "right")
+        # what equals several borders fills all ranges between them
+        some = mix(row.to_numpy().astype(np.uint64)) % np.maximum(high - low, 1).astype(np.uint64)
+        return pd.Series((low + np.where(high > low, 1 + some.astype(np.int64), 0)).astype(np.int32))
+
+    dealt = rows.select("doc_id", "text", "hash", target("doc_id", "hash", "row").alias("target"))
+    # one row a range: its number and the place of its first document
+    first = sorted((r.target, r.own) for r in dealt.groupBy("target").agg(F.min(F.struct("doc_id", "hash")).alias("own")).collect())
     if not first:
-        return rows.withColumn("guest", F.lit(0))
-    before = [(n, first[i - 1][0], first_id) for i, (n, first_id) in enumerate(first)]
-    small = spark.createDataFrame(before, "target int, before int, first_id long")
-    own = F.struct(F.col("target").alias("target"), F.lit(0).alias("guest"))
-    guest = F.struct(F.col("before").alias("target"), F.lit(1).alias("guest"))
-    places = F.when(F.col("doc_id").eqNullSafe(F.col("first_id")), F.array(own, guest)).otherwise(F.array(own))
-    return (rows.join(F.broadcast(small), "target")
-            .select(F.explode(places).alias("place"), "doc_id", "text").select("place.*", "doc_id", "text")
-            .repartition(ranges, "target").sortWithinPartitions("target", "guest", "doc_id", "text"))
+        return dealt.select("target", F.lit(0).alias("guest"), "doc_id", "text")
+    table = [(n, first[i - 1][0], own.doc_id, own.hash) for i, (n, own) in enumerate(first)]
+    table = F.broadcast(spark.createDataFrame(table, "target int, before int, first_id long, first_hash long"))
+    is_first = F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("hash") == F.col("first_hash"))
+    # one of the rows that are the first place of a range, as guest of the range before
+    guests = (dealt.join(table, "target").where(is_first).groupBy("before")
+              .agg(F.min(F.struct("hash", "doc_id", "text")).alias("g"))
+              .select(F.col("before").alias("target"), F.lit(1).alias("guest"), "g.doc_id", "g.text", "g.hash"))
+    own = dealt.select("target", F.lit(0).alias("guest"), "doc_id", "text", "hash")
+    return (own.union(guests).repartitionById(ranges, F.col("target"))
+            .sortWithinPartitions("target", "guest", "doc_id", "hash", "text").drop("hash"))
 
 
 def edit(text: str, following: str) -> str:

@@ -108,3 +108,33 @@ def test_awkward_rows_and_range_borders(spark):
     assert len(phrases.edited_fingerprints(frame(spark, rows[:1])).collect()) == 1
     assert phrases.edited_fingerprints(frame(spark, [])).collect() == []
     assert phrases.fingerprints(frame(spark, [])).collect() == []
+
+
+def test_one_id_on_a_third_of_all_rows(spark):
+    """Even ranges, and each document compared with the one after it."""
+    from pyspark.sql import functions as F
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcde ") for _ in range(rng.randrange(20, 200)))
+    rows = [(i, word()) for i in range(400)] + [(150, word()) for _ in range(100)] + [(150, "the same text " * 8)] * 100
+    rows += [(77, "long " * 4000)]
+    ranges = 12
+    dealt = phrases.with_next_document(frame(spark, rows).repartition(5), ranges)
+    sizes = {r.target: (r.n, r.bytes) for r in dealt.where("guest = 0").groupBy("target").agg(
+        F.count(F.lit(1)).alias("n"), (F.sum(F.octet_length("text")) - F.max(F.octet_length("text"))).alias("bytes")).collect()}
+    total = sum(len(t) for _, t in rows)
+    assert sum(n for n, _ in sizes.values()) == len(rows)
+    # besides its longest text, which can't be split
+    assert all(b < 2 * total / ranges for _, b in sizes.values())
+    assert dealt.where("guest = 1").count() == len(sizes)
+    # the order: ids, and within an id any, equal texts together
+    parts = {}
+    for r in dealt.rdd.mapPartitionsWithIndex(lambda p, it: ((p, r.target, r.guest, r.doc_id, r.text) for r in it)).collect():
+        parts.setdefault(r[1], []).append(r[2:])
+    order = [r for t in sorted(parts) for r in parts[t] if r[0] == 0]
+    assert sorted(order) == sorted((0, *r) for r in rows) and [r[1] for r in order] == sorted(r[0] for r in rows)
+    chain = [p for t in sorted(parts) for p in parts[t]]
+    assert all(chain[i][1:] == chain[i + 1][1:] for i in range(len(chain) - 1) if chain[i][0] == 1)
+    got = sorted((r.doc_id, r.edited_sha256) for r in phrases.edited_fingerprints(frame(spark, rows), ranges=ranges).collect())
+    texts_ = [r[2] for r in order]
+    assert got == sorted((r[1], hashlib.sha256(phrases.edit(t, n).encode()).hexdigest())
+                         for r, t, n in zip(order, texts_, texts_[1:] + texts_[:1]))
