@@ -9,12 +9,13 @@ number are aligned, within the band, and kept if at most k edits are needed.
 
 The budget k is ``share`` of the item's length, or less where an item is so
 short that the count would be zero: at most m / q - 1.  Items shorter than q
-characters are too short to tell a leak and match nothing.  Items are sent to
-the executors in chunks of at most ``chunk_chars`` characters, one pass over
-the documents each.
+characters have no q-gram; they are searched for as they are, by an automaton
+over all of them, and match whole words only.  Items are sent to the executors
+in chunks of at most ``chunk_chars`` characters, one pass over the documents
+each.
 
-Inputs: a null or empty text holds nothing, a null or empty item matches
-nothing; rows that repeat a doc_id or an item are matched one by one; null ids
+Inputs: a null or empty text holds nothing, a null item or one without any
+character but white space matches nothing; rows that repeat a doc_id or an item are matched one by one; null ids
 are carried along; other columns are not read.
 """
 
@@ -23,6 +24,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -85,11 +87,13 @@ class Index:
     item: np.ndarray                # entries: item and position
     place: np.ndarray
     maybe: np.ndarray
+    short: ahocorasick.Automaton | None     # items without a q-gram, by their numbers
 
     @staticmethod
     def of(items: list[tuple[int, str]], q: int = Q, share: float = SHARE) -> Index:
-        kept = [(i, normal(t or "")) for i, t in items]
-        kept = [(i, t) for i, t in kept if len(t) >= q]
+        forms = [(i, normal(t or "")) for i, t in items]
+        kept = [(i, t) for i, t in forms if len(t) >= q]
+        brief = [(i, t) for i, t in forms if 0 < len(t) < q]
         points = [np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32) for _, t in kept]
         size = np.array([len(p) for p in points], dtype=np.int64)
         budget = np.minimum((size * share).astype(np.int64), size // q - 1)
@@ -101,8 +105,32 @@ class Index:
         distinct, first = np.unique(flat[order], return_index=True)
         maybe = np.zeros(_TABLE, bool)
         maybe[distinct & np.uint64(_TABLE - 1)] = True
-        return Index([i for i, _ in kept], points, budget, size + 1 - q * (budget + 1), distinct,
-                     np.append(first, len(flat)), item[order], place[order], maybe)
+        short: dict[str, list[int]] = {}
+        for number, (_, t) in enumerate(brief, len(kept)):
+            short.setdefault(t, []).append(number)
+        machine = None
+        if short:
+            machine = ahocorasick.Automaton()
+            for t, numbers in short.items():
+                machine.add_word(t, (len(t), numbers))
+            machine.make_automaton()
+        return Index([i for i, _ in kept + brief], points, budget, size + 1 - q * (budget + 1), distinct,
+                     np.append(first, len(flat)), item[order], place[order], maybe, machine)
+
+    def words(self, form: str) -> Iterator[tuple[int, int, int]]:
+        """(item, start, end) where a short item stands in a normal form, not
+        within a word and not over an occurrence of the same item."""
+        last: dict[int, int] = {}
+        for at, (size, numbers) in self.short.iter(form) if self.short else ():
+            start, end = at + 1 - size, at + 1
+            if start and form[start - 1].isalnum() and form[start].isalnum():
+                continue
+            if end < len(form) and form[end].isalnum() and form[at].isalnum():
+                continue
+            for item in numbers:
+                if last.get(item, 0) <= start:
+                    last[item] = end
+                    yield item, start, end
 
     def bands(self, points: np.ndarray, q: int = Q) -> list[tuple[int, int]]:
         """(item, band) where enough q-grams of the item meet the text."""
@@ -182,8 +210,9 @@ def occurrences(texts: list[str], index: Index) -> list[tuple[int, int, int, int
     size = np.array([len(f) + 1 for f in forms])
     begin = np.cumsum(size) - size
     points = np.frombuffer(("\0".join(forms) + "\0").encode("utf-32-le", "surrogatepass"), np.uint32)
+    out = [(text, item, 0, a, b) for text, form in enumerate(forms) for item, a, b in index.words(form)]
     if not len(index.keys):
-        return []
+        return sorted(out)
     tasks, owner = [], []
     for item, band in index.bands(points):
         k = int(index.budget[item])
@@ -199,7 +228,6 @@ def occurrences(texts: list[str], index: Index) -> list[tuple[int, int, int, int
     for where, hit in zip(owner, index.align(points, tasks)):
         if hit:
             found.setdefault(where, []).append(hit)
-    out = []
     for (text, item), hits in found.items():
         taken: list[tuple[int, int, int]] = []
         for edits, start, end in sorted(set(hits)):
@@ -263,7 +291,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, chunk_cha
 
     def keeper(held):
         def block(batch: pa.RecordBatch) -> pa.RecordBatch:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
+            texts = [t or "" for t in batch.column("text").cast(pa.string()).to_pylist()]
             bad = {h[0] for h in occurrences(texts, held.value)}
             return batch.filter(pa.array([i not in bad for i in range(batch.num_rows)]))
         return block

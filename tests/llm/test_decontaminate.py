@@ -81,7 +81,7 @@ def test_awkward_rows(spark):
     bench = spark.createDataFrame([(1, passage, 5), (2, None, 5), (3, "", 5), (4, "short", 5), (None, passage, 5),
                                    (1, passage, 6)], "item_id long, text string, doc_id long")
     got = [(r.doc_id, r.item_id, r.edits) for r in dc.leaks(docs, bench).collect()]
-    once = [(i, j, 0) for i in (3, None, 6) for j in (1, 1, None)]
+    once = [(i, j, 0) for i in (3, None, 6) for j in (1, 1, None)]      # none of the texts has the word "short"
     assert sorted(map(str, got)) == sorted(map(str, once + [(4, j, 0) for j in (1, 1, None)] * 2))
     span = [r for r in dc.leaks(docs, bench).collect() if r.doc_id == 3 and r.item_id == 1][0]
     assert (span.start, span.end) == (0, len(rows[2][1]))
@@ -90,3 +90,23 @@ def test_awkward_rows(spark):
     assert dc.leaks(frame(spark, []), bench).collect() == []
     assert dc.leaks(docs, bench.where("item_id < 0")).collect() == []
     assert dc.clean(docs, bench.where("item_id < 0")).count() == len(rows)
+
+
+def test_items_without_a_q_gram(spark):
+    """Exactly, as whole words, overlapping ones of an item once."""
+    bench = spark.createDataFrame([(1, "short"), (2, "E = mc2"), (3, "go go"), (4, "  "), (5, "SHORT "), (6, "=")],
+                                  "item_id long, text string")
+    rows = [(1, "a Short\ttext, in short."), (2, "shorter, resort"), (3, "so e =\n mc2!"), (4, "e = mc23"),
+            (5, "go go go go go"), (6, "nothing"), (None, "(short)")]
+    got = [(r.doc_id, r.item_id, r.edits, r.start, r.end) for r in dc.leaks(frame(spark, rows), bench).collect()]
+    want = [(1, j, 0, *span) for j in (1, 5) for span in ((2, 7), (17, 22))]
+    want += [(3, 2, 0, 3, 11), (3, 6, 0, 5, 6), (4, 6, 0, 2, 3), (5, 3, 0, 0, 5), (5, 3, 0, 6, 11)]
+    want += [(None, j, 0, 1, 6) for j in (1, 5)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert sorted(r.doc_id for r in dc.clean(frame(spark, rows), bench).collect()) == [2, 6]
+
+
+def test_short_and_long_items_together(spark):
+    passage = "The quick brown fox jumps over the lazy dog and runs home again."
+    index = dc.Index.of([(7, passage), (8, "fox"), (9, None)])
+    assert [(index.ids[h[1]], *h[2:]) for h in dc.occurrences(["x " + passage], index)] == [(7, 0, 2, 66), (8, 0, 18, 21)]
