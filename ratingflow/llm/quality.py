@@ -198,18 +198,74 @@ def fit_lines(features: np.ndarray, good: np.ndarray, weight: np.ndarray, steps:
     return _adam(np.zeros(WIDTH + 1), gradient, steps, 0.1)
 
 
-def fit_field(features: np.ndarray, good: np.ndarray, chains: np.ndarray, weight: np.ndarray,
-              steps: int = 200) -> tuple[np.ndarray, np.ndarray]:
-    """Feature weights (and last the bias) and pair weights of the random field
-    by conditional likelihood; ``chains`` numbers the lines' chains in order."""
-    cut = np.flatnonzero(np.append(True, chains[1:] != chains[:-1]))
-    size = np.diff(np.append(cut, len(chains)))
-    order = np.argsort(-size, kind="stable")
-    longest = int(size.max())
-    # line of chain c at step t, longest chains first
-    at = [cut[order[:int((size > t).sum())]] + t for t in range(longest)]
+def _joined(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Log-weights of all paths through x[..., a, b], then y[..., b, c]."""
+    return np.logaddexp.reduce(x[..., :, :, None] + y[..., None, :, :], axis=-2)
+
+
+class Passes:
+    """Forward and backward sums over chains of lines, for all chains at once.
+
+    Chains are walked in segments: a segment's lines are first multiplied to
+    one 2 x 2 table, the tables are walked along the chain, and then the lines
+    of all segments with what enters them.  So a chain of n lines takes some
+    n / segment + 3 * segment steps."""
+
+    def __init__(self, chains: np.ndarray, segment: int = 64):
+        """``chains`` numbers the lines' chains in order."""
+        head = np.append(True, chains[1:] != chains[:-1])
+        begin = np.flatnonzero(head)
+        step = np.arange(len(chains)) - np.repeat(begin, np.diff(np.append(begin, len(chains))))
+        first = np.flatnonzero(step % segment == 0)
+        size = np.diff(np.append(first, len(chains)))
+        self.tied = ~head[1:]
+        self.last = first + size - 1
+        number = step[first] // segment           # of the segment in its chain
+        self.inner = number > 0
+        self.more = np.append(self.inner[1:], False)      # another segment follows
+        self.levels = [np.flatnonzero(number == k) for k in range(1, int(number.max()) + 1)]
+        self.order = np.argsort(-size, kind="stable")
+        # line of each segment at step t, longest segments first
+        sizes = size[self.order]
+        self.at = [first[self.order[:int(np.searchsorted(-sizes, -t, "left"))]] + t for t in range(int(sizes[0]))]
+
+    def run(self, e: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Log-sums over all labels of the lines up to each (itself included),
+        and of those after it, by its label; ``e`` are the lines' own weights."""
+        table = pairs + e[self.at[0]][:, None, :]
+        fresh = e[self.at[0]].copy()                # a chain's first segment has nothing before it
+        for rows in self.at[1:]:
+            n = len(rows)
+            table[:n] = _joined(table[:n], pairs[None] + e[rows][:, None, :])
+            fresh[:n] = _joined(fresh[:n, None, :], pairs[None] + e[rows][:, None, :])[:, 0]
+        tables, leave = np.empty_like(table), np.empty_like(fresh)
+        tables[self.order], leave[self.order] = table, fresh
+        for own in self.levels:
+            leave[own] = _joined(leave[own - 1][:, None, :], tables[own])[:, 0]
+        beyond = np.zeros_like(leave)
+        for own in reversed(self.levels):
+            beyond[own - 1] = np.logaddexp.reduce(tables[own] + beyond[own][:, None, :], axis=2)
+        onward, back = np.empty_like(e), np.zeros_like(e)
+        start = self.at[0]
+        onward[start] = e[start]
+        enters = self.inner[self.order]
+        rows, before = start[enters], self.order[enters] - 1
+        onward[rows] += np.logaddexp.reduce(leave[before][:, :, None] + pairs, axis=1)
+        for rows, after in zip(self.at, self.at[1:]):
+            onward[after] = e[after] + np.logaddexp.reduce(onward[rows[:len(after)]][:, :, None] + pairs, axis=1)
+        back[self.last] = beyond
+        for rows, after in zip(self.at[-2::-1], self.at[:0:-1]):
+            back[rows[:len(after)]] = np.logaddexp.reduce(pairs + (e[after] + back[after])[:, None, :], axis=2)
+        return onward, back
+
+
+def field_gradient(features: np.ndarray, good: np.ndarray, chains: np.ndarray, weight: np.ndarray, segment: int = 64):
+    """The gradient of the negative log-likelihood by the weights of the
+    features, the bias and the four pairs (a small quadratic penalty added);
+    a line and the pair that it ends weigh ``weight``."""
+    passes = Passes(chains, segment)
     y = good.astype(np.int64)
-    tied = chains[1:] == chains[:-1]
+    tied = passes.tied
     pair_weight = weight[1:][tied]
     seen = np.zeros((2, 2))
     np.add.at(seen, (y[:-1][tied], y[1:][tied]), pair_weight)
@@ -218,14 +274,7 @@ def fit_field(features: np.ndarray, good: np.ndarray, chains: np.ndarray, weight
         pairs = w[WIDTH + 1:].reshape(2, 2)
         e = np.zeros((len(y), 2))
         e[:, 1] = w[features].sum(axis=1) + w[WIDTH]
-        onward, back = np.zeros((len(y), 2)), np.zeros((len(y), 2))
-        onward[at[0]] = e[at[0]]
-        for t in range(1, longest):
-            before = at[t - 1][:len(at[t])]
-            onward[at[t]] = e[at[t]] + np.logaddexp.reduce(onward[before][:, :, None] + pairs, axis=1)
-        for t in range(longest - 2, -1, -1):
-            after = at[t + 1]
-            back[at[t][:len(after)]] = np.logaddexp.reduce(pairs + (e[after] + back[after])[:, None, :], axis=2)
+        onward, back = passes.run(e, pairs)
         joint = onward + back
         p = np.exp(joint - np.logaddexp.reduce(joint, axis=1)[:, None])
         d = (p[:, 1] - good) * weight
@@ -236,8 +285,14 @@ def fit_field(features: np.ndarray, good: np.ndarray, chains: np.ndarray, weight
         two = np.exp(two - np.logaddexp.reduce(two, axis=(1, 2))[:, None, None])
         g[WIDTH + 1:] += ((two * pair_weight[:, None, None]).sum(axis=0) - seen).ravel()
         return g
+    return gradient
+
 
-    w = _adam(np.zeros(WIDTH + 5), gradient, steps, 0.1)
+def fit_field(features: np.ndarray, good: np.ndarray, chains: np.ndarray, weight: np.ndarray,
+              steps: int = 200) -> tuple[np.ndarray, np.ndarray]:
+    """Feature weights (and last the bias) and pair weights of the random field
+    by conditional likelihood; ``chains`` numbers the lines' chains in order."""
+    w = _adam(np.zeros(WIDTH + 5), field_gradient(features, good, chains, weight), steps, 0.1)
     return w[:WIDTH + 1], w[WIDTH + 1:].reshape(2, 2)
 
 
@@ -254,11 +309,9 @@ def fit_curve(mean: np.ndarray, label: np.ndarray, steps: int = 400) -> tuple[fl
     return float(max(slope, 0.05)), float(shift)
 
 
-def train(texts: list[tuple[np.ndarray, np.ndarray, int]], chain: int = 64) -> Model:
-    """A model from (line sizes, line bins, label) of the labelled texts.
-
-    Training chains are cut after ``chain`` lines to bound the passes' length;
-    every line still takes part."""
+def train(texts: list[tuple[np.ndarray, np.ndarray, int]]) -> Model:
+    """A model from (line sizes, line bins, label) of the labelled texts; a
+    text is one chain, whatever its length."""
     label = np.array([t[2] for t in texts])
     if len(set(label.tolist())) < 2:
         p = float(np.clip(label.mean() if len(label) else 0.5, 0.01, 0.99))
@@ -279,8 +332,7 @@ def train(texts: list[tuple[np.ndarray, np.ndarray, int]], chain: int = 64) -> M
     worst = np.full(len(texts), np.inf)
     np.minimum.at(worst, text, odds)
     good = np.where(label[text] == 1, 1.0, (odds > 0) & (odds > worst[text]))
-    chains = np.cumsum(np.append(0, (text[1:] != text[:-1]) | (_step(text)[1:] % chain == 0)))
-    w, pairs = fit_field(features, good, chains, weight * len(texts))
+    w, pairs = fit_field(features, good, text, weight * len(texts))
     model = Model(w[:-1], float(w[-1]), pairs, 1.0, 0.0)
     odds = features_odds(model, features)
     cut = np.searchsorted(text, np.arange(len(texts) + 1))
@@ -296,12 +348,6 @@ def features_odds(model: Model, features: np.ndarray) -> np.ndarray:
     return model.weights[features].sum(axis=1) + model.bias
 
 
-def _step(text: np.ndarray) -> np.ndarray:
-    """Number of each line within its text."""
-    first = np.flatnonzero(np.append(True, text[1:] != text[:-1]))
-    return np.arange(len(text)) - np.repeat(first, np.diff(np.append(first, len(text))))
-
-
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1500) -> Model:
     """A model from at most ``per_class`` labelled documents of each class,
     none of them from the held-out fold."""
@@ -344,7 +390,7 @@ def accepted(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def block(batch: pa.RecordBatch) -> pa.RecordBatch:
-        keep = held.value.scores(*text_bytes(batch.column("text"))) >= threshold
+        keep = held.value.scores(*text_bytes(batch.column("text").cast(pa.string()))) >= threshold
         return batch.filter(pa.array(keep))
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
