@@ -6,7 +6,8 @@ one from all that they block.  The longest context seen ``least`` times counts,
 blended down to shorter ones by Witten-Bell smoothing.  A URL's score is the
 difference of its log-likelihoods by its length; the threshold is the one that
 tells allowed from blocked URLs best, both weighing the same, among a fifth of
-the rule-decided URLs that the models have not seen.
+the rule-decided URLs that the models have not seen; then that fifth is counted,
+too.
 
 A model is a Spark table with one row for each context and for each context
 with a character, named by 64-bit hashes; it grows with the input.  URLs are
@@ -157,17 +158,14 @@ def pair_counts(labelled: DataFrame) -> DataFrame:
             .groupBy("context", "pair").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
 
 
-def count(labelled: DataFrame) -> tuple[DataFrame]:
-    """The models' counts over all rows of (text, side)."""
-    pairs = saved(pair_counts(labelled), "url-pairs")
+def counts_of(pairs: DataFrame) -> DataFrame:
+    """The models' counts from those of contexts with a character."""
     by_context = pairs.groupBy(F.col("context").alias("key")).agg(
         F.sum("n0").alias("n0"), F.sum("n1").alias("n1"),
         F.count_if(F.col("n0") > 0).alias("kinds0"), F.count_if(F.col("n1") > 0).alias("kinds1"))
     none = F.lit(0).cast("long")
     by_pair = pairs.select(F.col("pair").alias("key"), "n0", "n1", none.alias("kinds0"), none.alias("kinds1"))
-    counts = saved(by_context.union(by_pair), "url-counts")
-    discard(pairs)
-    return (counts,)
+    return saved(by_context.union(by_pair), "url-counts")
 
 
 def best_threshold(histogram: list[tuple[int, int, int]]) -> float:
@@ -197,10 +195,15 @@ def fit(labelled: DataFrame) -> Model | None:
     if sides != {0, 1}:
         return None
     held_out = F.crc32(F.col("text").cast("binary")) % F.lit(CALIBRATION_FOLDS) == 0
-    model = Model(*count(labelled.where(~held_out)), 0.0)
+    learned, rest = (saved(pair_counts(labelled.where(part)), "url-pairs") for part in (~held_out, held_out))
+    model = Model(counts_of(learned), 0.0)
+    first = model.counts
     scored = score(labelled.where(held_out), model, ["side"])
     histogram = (scored.groupBy(F.floor(F.col("score") / _BIN).cast("int").alias("bin"), "side").count().collect())
-    model.threshold = best_threshold([(r["bin"], r["side"], r["count"]) for r in histogram])
+    every = learned.union(rest).groupBy("context", "pair").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    every = saved(every, "url-pairs")
+    model = Model(counts_of(every), best_threshold([(r["bin"], r["side"], r["count"]) for r in histogram]))
+    discard(learned, rest, every, first)
     return model
 
 
@@ -237,7 +240,8 @@ def score(rows: DataFrame, model: Model, keep: list[str]) -> DataFrame:
 
 def judge(pages: DataFrame, rules: dict[str, str]) -> DataFrame:
     """(page_id, host, path, rule, verdict, score) of every row of (page_id,
-    url); ``rules`` maps ``host/path`` to allow or block."""
+    url); ``rules`` maps ``host/path`` to allow or block; where a rule fits
+    there is no score."""
     url = F.col("url").cast("string")
     rows = pages.select("page_id", F.coalesce(url, F.lit("")).alias("text"),
                         host_of(url).alias("host"), path_of(url).alias("path"))
@@ -251,6 +255,8 @@ def judge(pages: DataFrame, rules: dict[str, str]) -> DataFrame:
     if model is None:
         return rows.select("page_id", "host", "path", "rule", F.coalesce("ruled", F.lit("allow")).alias("verdict"),
                            F.lit(None).cast("double").alias("score"))
-    found = score(rows, model, ["page_id", "host", "path", "rule", "ruled"])
+    judged = ["page_id", "host", "path", "rule"]
+    found = score(rows.where("ruled is null"), model, judged)
     by_model = F.when(F.col("score") >= model.threshold, "allow").otherwise("block")
-    return found.select("page_id", "host", "path", "rule", F.coalesce("ruled", by_model).alias("verdict"), "score")
+    by_rule = rows.where("ruled is not null").select(*judged, F.col("ruled").alias("verdict"), F.lit(None).cast("double").alias("score"))
+    return by_rule.union(found.select(*judged, by_model.alias("verdict"), "score"))
