@@ -99,6 +99,20 @@ class Model:
     bias: float
 
 
+def gradients(bag: np.ndarray, rows: np.ndarray, soft: np.ndarray, bias: np.ndarray, label: np.ndarray, cost: np.ndarray,
+              decay: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the weighted log-loss, and half ``decay`` times the squared weights,
+    by the embedding rows, the softmax weights and the bias; ``bag`` has a
+    document's shares of the rows."""
+    mean = bag @ rows
+    logit = mean @ soft + bias
+    p = np.exp(logit - logit.max(axis=1, keepdims=True))
+    p /= p.sum(axis=1, keepdims=True)
+    p[np.arange(len(label)), label] -= 1
+    p = (p * cost[:, None]).astype(bag.dtype)
+    return bag.T @ (p @ soft.T) + decay * rows, mean.T @ p + decay * soft, p.sum(axis=0)
+
+
 def train(rows: list[tuple[np.ndarray, np.ndarray, int]], dim: int = 8, epochs: int = 8, batch: int = 32,
           rate: float = 0.02, decay: float = 3e-4, scale: float = 32.0, min_docs: int = 4, least_steps: int = 700, seed: int = 7) -> Model:
     """Embedding table and softmax from (buckets, shares, label) rows.
@@ -145,16 +159,10 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], dim: int = 8, epochs:
             bag = np.zeros((len(pick), len(used)), np.float32)
             bag[own, slot] = share_of
             rowsv = table[used]
-            mean = bag @ rowsv
-            logit = mean @ soft + bias
-            p = np.exp(logit - logit.max(axis=1, keepdims=True))
-            p /= p.sum(axis=1, keepdims=True)
-            p[np.arange(len(pick)), labels[pick]] -= 1
-            p *= (cost[pick] / len(pick))[:, None]
-            p = p.astype(np.float32)
-            adam("table", table, bag.T @ (p @ soft.T) + decay * rowsv, used)
-            adam("soft", soft, mean.T @ p + decay * soft)
-            adam("bias", bias, p.sum(axis=0))
+            by_row, by_soft, by_bias = gradients(bag, rowsv, soft, bias, labels[pick], cost[pick] / len(pick), decay)
+            adam("table", table, by_row, used)
+            adam("soft", soft, by_soft)
+            adam("bias", bias, by_bias)
     return Model((scale * (table @ (soft[:, 1] - soft[:, 0]))).astype(np.float32), float(bias[1] - bias[0]))
 
 

@@ -56,7 +56,41 @@ def test_forward_backward_equals_all_label_sequences():
         assert np.allclose(model.marginals(odds), slow_marginals(model, odds))
 
 
-def test_random_field_gradient_is_that_of_the_likelihood():
+def field_loss(features, good, chains, weight, w):
+    """Negative log-likelihood, every label sequence weighed one by one."""
+    pairs = w[quality.WIDTH + 1:].reshape(2, 2)
+    own = w[features].sum(axis=1) + w[quality.WIDTH]
+    loss = 0.5e-3 * (w @ w)
+    for c in set(chains.tolist()):
+        at = np.flatnonzero(chains == c)
+
+        def score(y):
+            return sum(own[i] * k for i, k in zip(at, y)) + sum(pairs[a][b] for a, b in zip(y, y[1:]))
+        every = [score([code >> i & 1 for i in range(len(at))]) for code in range(2 ** len(at))]
+        loss += weight[at[0]] * (np.logaddexp.reduce(every) - score(good[at].astype(int).tolist()))
+    return loss
+
+
+@pytest.mark.parametrize("segment", [1, 2, 3, 64])
+def test_random_field_gradient_is_that_of_the_likelihood(segment):
+    """Numeric differences; chains of one to nine lines, longer than a segment."""
+    rng = np.random.default_rng(9)
+    chains = np.repeat(np.arange(8), [1, 9, 2, 7, 3, 1, 4, 6])
+    bins = rng.integers(0, quality.OWN, (len(chains), len(quality.BINS)))
+    features = quality.with_neighbours(chains, bins)
+    good = rng.integers(0, 2, len(chains)).astype(float)
+    weight = rng.random(8)[chains]
+    w = rng.normal(0, 0.5, quality.WIDTH + 5)
+    got = quality.field_gradient(features, good, chains, weight, segment)(w)
+    some = [*rng.choice(features.ravel(), 12).tolist(), *range(quality.WIDTH, quality.WIDTH + 5)]
+    for i in some:
+        step = np.zeros_like(w)
+        step[i] = 1e-5
+        want = (field_loss(features, good, chains, weight, w + step) - field_loss(features, good, chains, weight, w - step)) / 2e-5
+        assert abs(got[i] - want) < 1e-6
+
+
+def test_random_field_learns_from_neighbours():
     """The fitted field predicts planted labels that depend on the neighbour."""
     rng = np.random.default_rng(7)
     lines = 600
@@ -133,3 +167,23 @@ def test_features_do_not_depend_on_the_block():
     weights = np.random.default_rng(8).normal(size=toxicity.BUCKETS)
     want = [sum(weights[b] * s) for b, s in alone]
     assert np.allclose(toxicity.averages(texts, weights), want)
+
+
+def test_embedding_gradients_are_those_of_the_loss():
+    """Numeric differences of all three sets of weights."""
+    rng = np.random.default_rng(10)
+    bag, rows = rng.random((5, 7)), rng.normal(size=(7, 3))
+    soft, bias = rng.normal(size=(3, 2)), rng.normal(size=2)
+    label, cost, decay = np.array([0, 1, 1, 0, 1]), rng.random(5), 0.1
+
+    def loss(rows, soft, bias):
+        logit = bag @ rows @ soft + bias
+        log_p = logit - np.logaddexp.reduce(logit, axis=1)[:, None]
+        return -(cost * log_p[np.arange(5), label]).sum() + decay / 2 * ((rows ** 2).sum() + (soft ** 2).sum())
+    values = [rows, soft, bias]
+    for k, got in enumerate(toxicity.gradients(bag, rows, soft, bias, label, cost, decay)):
+        for at in np.ndindex(values[k].shape):
+            up, down = ([v.copy() for v in values] for _ in range(2))
+            up[k][at] += 1e-6
+            down[k][at] -= 1e-6
+            assert abs(got[at] - (loss(*up) - loss(*down)) / 2e-6) < 1e-7
