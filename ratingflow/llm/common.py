@@ -50,8 +50,27 @@ def id_text(docs: DataFrame) -> DataFrame:
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
-#: The column that tells rows apart, a name that no input column has.
+#: The column that tells rows apart, and other columns that helpers add.
 ROW = "__row"
+_HELPERS = (ROW, "__spans", "__doc", "__drop")
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def set_aside(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``docs`` without columns of a helper's name, which are renamed, and the
+    names of its columns now; ``toDF`` with the old ones undoes it."""
+    out = docs
+    for c in docs.columns:
+        if c.lower() in _HELPERS:
+            out = out.withColumnRenamed(c, free_name(out, f"{c}_input"))
+    return out, out.columns
 
 
 def with_row_keys(docs: DataFrame, null_last: bool = False) -> DataFrame:

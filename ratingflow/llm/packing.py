@@ -31,7 +31,7 @@ import tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratingflow.llm.common import id_text, map_blocks, saved
+from ratingflow.llm.common import free_name, id_text, map_blocks, saved
 
 # Fixed value: the word pattern of the byte-level vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -140,18 +140,19 @@ def pack(rows: DataFrame, size: int = 2048, group_rows: int = 1 << 16, rounds: i
     """The pieces with ``sequence_id`` and ``offset``; ``rows`` has a column
     ``length`` of 1 to ``size`` and any others."""
     keep = rows.columns
+    own_group, own_fill = free_name(rows, "__group"), free_name(rows, "__fill")
     whole = rows.where(F.col("length") >= size).select(
         "*", (F.monotonically_increasing_id() + F.lit(1 << 61)).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    schema += ", __fill long, sequence_id long, offset long"
+    schema += f", `{own_fill}` long, sequence_id long, offset long"
 
     def group_packer(turn: int):
         def run(part: pd.DataFrame) -> pd.DataFrame:
             part = part.sort_values("length", ascending=False, kind="stable")
             seq, offset = place(part["length"].to_numpy(), size)
             fill = np.bincount(seq, weights=part["length"].to_numpy()).astype(np.int64)
-            first = (turn << 56) | (int(part["__group"].iloc[0]) << 24)
-            return part.drop(columns="__group").assign(__fill=fill[seq], sequence_id=first + seq, offset=offset)
+            first = (turn << 56) | (int(part[own_group].iloc[0]) << 24)
+            return part.drop(columns=own_group).assign(**{own_fill: fill[seq], "sequence_id": first + seq, "offset": offset})
         return run
 
     todo, done, before = rows.where(F.col("length") < size), whole, None
@@ -160,11 +161,11 @@ def pack(rows: DataFrame, size: int = 2048, group_rows: int = 1 << 16, rounds: i
         if not n:
             break
         groups = -(-n // group_rows)
-        dealt = todo.withColumn("__group", F.pmod(F.monotonically_increasing_id(), F.lit(groups)))
-        packed = saved(dealt.groupBy("__group").applyInPandas(group_packer(turn), schema), "packed")
+        dealt = todo.withColumn(own_group, F.pmod(F.monotonically_increasing_id(), F.lit(groups)))
+        packed = saved(dealt.groupBy(own_group).applyInPandas(group_packer(turn), schema), "packed")
         last = groups == 1 or turn == rounds - 1 or (before is not None and n > before // 2)
-        good = F.lit(True) if last else F.col("__fill") >= size - size // 8
-        done = done.unionByName(packed.where(good).drop("__fill"))
+        good = F.lit(True) if last else F.col(own_fill) >= size - size // 8
+        done = done.unionByName(packed.where(good).drop(own_fill))
         if last:
             break
         todo, before = packed.where(~good).select(keep), n

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratingflow.llm.common import ROW, discard, id_text, map_blocks, saved, with_row_keys
+from ratingflow.llm.common import ROW, discard, id_text, map_blocks, saved, set_aside, with_row_keys
 
 SEED = 42
 BITS = 64
@@ -250,7 +250,9 @@ def representatives(docs: DataFrame, words: int = 4, bits: int = 4) -> DataFrame
     """The rows of ``docs``, unchanged, that stand for their near-duplicate
     group: the one with the smallest doc_id, of equal ids that with the
     smallest text; a null doc_id comes last."""
+    names = docs.columns
+    docs, columns = set_aside(docs)
     keyed = with_row_keys(docs, null_last=True)
     groups = near_duplicates(keyed.withColumn("doc_id", F.col(ROW)), words, bits)
     drop = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__drop"))
-    return keyed.join(drop, F.col(ROW).eqNullSafe(F.col("__drop")), "left_anti").select(*docs.columns)
+    return keyed.join(drop, F.col(ROW).eqNullSafe(F.col("__drop")), "left_anti").select(*columns).toDF(*names)

@@ -21,13 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratingflow.llm.common import ROW, id_text, map_blocks, text_bytes, with_row_keys
+from ratingflow.llm.common import ROW, id_text, map_blocks, set_aside, text_bytes, with_row_keys
 from ratingflow.llm.windows import PRIME, SPANS, Names, covered_mask, new_points, repeated, span_arrays, with_stretches
 
 #: A byte's name has the byte and one at both points.
 _BYTE = np.arange(1, 257, dtype=np.uint64) * np.uint64((1 << 31) + 1)
 #: Bytes whose words are named at once.
-PIECE = 1 << 18
+PIECE = 1 << 16
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -121,7 +121,8 @@ def rewrite(docs: DataFrame, length: int = 20) -> DataFrame:
     """``docs`` with the repeated words taken out of their texts, and ``n_chars``
     made to fit if there is such a column.  A text that loses no word stays as
     it is, spacing included; a document that loses all its words goes."""
-    columns = docs.columns
+    names = docs.columns
+    docs, columns = set_aside(docs)
     keyed = with_row_keys(docs)
     rows = with_stretches(keyed, repeated_words(id_text(keyed.withColumn("doc_id", F.col(ROW))), length))
 
@@ -136,11 +137,11 @@ def rewrite(docs: DataFrame, length: int = 20) -> DataFrame:
             gone = covered_mask(len(words), spans).tolist()
             keep[i] = not all(gone)
             text[i] = b" ".join(w for w, g in zip(words, gone) if not g).decode()
-            if chars:
+            if chars is not None:
                 chars[i] = len(text[i])
         new = {"text": text, "n_chars": chars}
         out = [pa.array(new[c], batch.column(c).type) if new.get(c) is not None else batch.column(c) for c in columns]
         return pa.RecordBatch.from_arrays(out, columns).filter(pa.array(keep))
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return map_blocks(rows, block, schema)
+    return map_blocks(rows, block, schema).toDF(*names)

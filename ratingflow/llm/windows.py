@@ -43,7 +43,7 @@ from ratingflow.llm.common import ROW, discard, map_blocks, mix, saved
 
 #: Symbols of one document handled at once; longer documents go in slices
 #: that overlap by a window.
-SLICE = 1 << 19
+SLICE = 1 << 17
 _BASE = 0x9E3779B97F4A7C15 | 1
 _STEP = 20          # bits of a packed field
 
@@ -448,7 +448,7 @@ def covered_mask(size: int, spans: list | None) -> np.ndarray:
     return np.cumsum(mask[:-1]) > 0
 
 
-SPANS = "__spans"       # a name that no input column has
+SPANS = "__spans"
 
 
 def with_stretches(docs: DataFrame, stretches: DataFrame) -> DataFrame:

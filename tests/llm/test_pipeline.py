@@ -1,3 +1,5 @@
+import random
+
 import corpus_pipeline as cp
 from ratingflow.llm import decontaminate, packing, quality, simhash
 from tests.llm import test_simhash, test_windows
@@ -45,3 +47,39 @@ def test_near_duplicate_stage_keeps_one_of_each_group(spark):
     kept = {r.doc_id for r in cp.without_near_duplicates(spark, docs, SF).select("doc_id").collect()}
     groups = simhash.near_duplicates(docs, 4, 4).collect()
     assert kept == {r.component_id for r in groups}
+
+
+def test_awkward_rows_through_all_stages(spark, tmp_path):
+    """Null and repeated ids, null and empty and long texts, copies, columns
+    with the helpers' names; every stage keeps the columns and the clean rows."""
+    from pyspark.sql import functions as F
+    passage = "Alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon phi."
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abdefgilmnorstu") for _ in range(rng.randrange(3, 9)))
+    calm = [f"This text has {' '.join(word() for _ in range(25))}.\nIt ends {' '.join(word() for _ in range(10))} well." for _ in range(40)]
+    rows = [(i, t) for i, t in enumerate(calm)] + [(100 + i, f"BUY%%% NOW&&& {i} ###\n$$$ {i} ^^^ MORON") for i in range(40)]
+    rows += [(None, "A text without an id, calm and long enough to stay as it is."), (None, None), (201, ""), (202, None),
+             (5, "Another text that has the id five, which is its own."), (203, calm[3]), (204, "Before. " + passage + " After."),
+             (205, " ".join(f"word{i % 997}x{i}" for i in range(30_000)) + ".")]
+    docs = frame(spark, rows)
+    for c in ("__row", "__spans", "__Doc", "__drop", "__group", "__fill"):
+        docs = docs.withColumn(c, F.lit(77))
+    labels(spark, [(i, 1, 0) for i in range(40)] + [(100 + i, 0, 1) for i in range(40)]).write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, passage), (2, None), (None, "")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    columns = docs.columns
+    for name, stage in cp.STAGES[:-1]:
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns == columns, name
+        path = f"{tmp_path}/{name}"
+        docs.write.parquet(path)
+        docs = spark.read.parquet(path)
+        assert docs.where("__row != 77 or __spans != 77 or __group != 77").isEmpty(), name
+        ids = sorted((r.doc_id is not None, r.doc_id or 0) for r in docs.select("doc_id").collect())
+        assert ids.count((True, 5)) == 2, name
+        assert (True, 205) in ids and not [i for _, i in ids if 100 <= i < 140], name
+    kept = {r.text for r in docs.select("text").collect()}
+    # copy 203 of text 3 goes, the passage goes, all other calm texts stay
+    assert set(calm) <= kept and "Before. " + passage + " After." not in kept
+    assert "Another text that has the id five, which is its own." in kept
+    packed = cp.STAGES[-1][1](spark, docs, str(tmp_path))
+    assert packed.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
