@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,13 +10,18 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingflow.session import scratch_path
+from ratingflow.session import remove_scratch, scratch_path
 
 #: Text bytes that one call of a block function sees at most (one document
 #: may exceed it; the functions cut such a document into slices themselves).
 BLOCK_BYTES = 1 << 19
 
 
+#: Spark then drops a query's shuffle files when it ends, not when the driver
+#: happens to collect its garbage; large steps follow each other here.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write a derived table to the shared checkpoint folder and read it back.
 
@@ -25,12 +29,12 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     a table that several steps read is made once."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
-    # Spark drops the shuffle files of a finished step once the driver's
-    # collector has seen that nothing refers to them; large steps follow each
-    # other here, so don't wait until it happens to run
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before) if before is not None else spark.conf.unset(_CLEANUP)
     out = spark.read.schema(df.schema).parquet(path)
     out._saved_at = path
     return out
@@ -39,9 +43,7 @@ def saved(df: DataFrame, name: str) -> DataFrame:
 def discard(*tables: DataFrame) -> None:
     """Delete ``saved`` tables that no later step reads."""
     for table_ in tables:
-        context = table_.sparkSession.sparkContext
-        path = context._jvm.org.apache.hadoop.fs.Path(table_._saved_at)
-        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        remove_scratch(table_.sparkSession, table_._saved_at)
 
 
 def id_text(docs: DataFrame) -> DataFrame:
