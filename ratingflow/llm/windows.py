@@ -275,7 +275,7 @@ def repeated(docs: DataFrame, symbols: Callable[[pa.Array], tuple[np.ndarray, np
     if wide == 1:
         # a cell is a window
         kinds = saved(cores.groupBy("core").agg(F.min(at).alias("own")), "window-kinds")
-        singles = saved(_covered(cores.join(kinds, "core"), at, later, F.col("at"), F.col("at") + length), "whole-windows")
+        singles = saved(_merged(cores.join(kinds, "core"), at, later, length), "whole-windows")
         discard(cells, cores, kinds)
         return whole.union(singles)
 
@@ -298,8 +298,7 @@ def repeated(docs: DataFrame, symbols: Callable[[pa.Array], tuple[np.ndarray, np
     if later:
         found_twice.append(F.min(at).alias("own"))
     twice = saved(wins.groupBy("win", "core").agg(*found_twice).where("n > 1").drop("n"), "window-kinds")
-    singles = saved(_covered(wins.join(twice, ["win", "core"]), at, later, F.col("at"), F.col("at") + length),
-                    "whole-windows")
+    singles = saved(_merged(wins.join(twice, ["win", "core"]), at, later, length), "whole-windows")
     discard(wins, twice)
     return whole.union(cells_whole).union(singles)
 
@@ -360,6 +359,29 @@ def _covered(rows: DataFrame, place: Column, later: bool, a: Column, b: Column)
     return rows.select("doc_id", a.alias("a"), b.alias("b"))
 
 
+def _merged(rows: DataFrame, place: Column, later: bool, length: int) -> DataFrame:
+    """As ``_covered`` for the single windows at (doc_id, at): 64 neighbouring
+    places come together as bits, and windows that follow each other make one
+    stretch, so that a document's list stays short."""
+    if later:
+        rows = rows.where(~place.eqNullSafe(F.col("own")))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at").bitwiseAND(F.lit(63).cast("long")).cast("int"))
+    blocks = rows.groupBy("doc_id", F.shiftright("at", 6).alias("block")).agg(F.bit_or(bit).alias("bits"))
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = batch.column("bits").to_numpy().astype("<i8").view(np.uint8).reshape(-1, 8)
+            on = np.zeros((len(bits), 66), np.int8)
+            on[:, 1:-1] = np.unpackbits(bits, axis=1, bitorder="little")
+            turn = np.diff(on, axis=1)
+            row, first = np.nonzero(turn == 1)
+            _, end = np.nonzero(turn == -1)
+            base = batch.column("block").to_numpy()[row] * 64
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(row)), pa.array(base + first),
+                                              pa.array(base + end - 1 + length)], ["doc_id", "a", "b"])
+    return blocks.mapInArrow(spread, "doc_id long, a long, b long")
+
+
 def cell_width(length: int, gram: int) -> int:
     """Windows of a cell, an eighth of those that can share an anchor."""
     return max(4, -(-(length - gram + 1) // 8))
