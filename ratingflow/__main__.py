@@ -49,7 +49,7 @@ def _parser() -> argparse.ArgumentParser:
     sp.add_argument("--sep", default=",")
     sp.add_argument("--mode", default="strict", choices=["strict", "drop", "quoted"])
     sp.add_argument("--history-buckets", type=int,
-                    help="partition Rating by hash(uid) bucket for the stream")
+                    help="also write the ratings by user, in so many buckets, for the stream")
 
     sp = sub.add_parser("statistics")
     store_args(sp)
@@ -83,7 +83,7 @@ def _parser() -> argparse.ArgumentParser:
     sp.add_argument("--sink", required=True, help="folder of the StreamRecs keyed log")
     sp.add_argument("--checkpoint", required=True)
     sp.add_argument("--threshold", type=float, default=Params.score_threshold)
-    sp.add_argument("--history-buckets", type=int)
+    sp.add_argument("--history-buckets", type=int, help="read the ratings by user, as load wrote them")
     sp.add_argument("--compact-every", type=int, help="snapshot the recs every N batches")
     sp.add_argument("--recent-k", type=int, default=Params.recent_k)
     sp.add_argument("--cand-k", type=int, default=Params.cand_k)
@@ -139,7 +139,10 @@ def main(argv=None) -> int:
         source = spark.readStream.format(args.source_format).options(**_kv(args.source_option)).load()
         if "value" in source.columns:
             source = source.selectExpr("CAST(value AS STRING) AS value")
-        q = jobs.rescoring_job(spark, source, lambda: store.read(spark, jobs.RATING),
+        history = lambda: store.read(spark, jobs.RATING)
+        if args.history_buckets:
+            history = jobs.UserHistory(store.path(jobs.RATING_BY_USER), args.history_buckets)
+        q = jobs.rescoring_job(spark, source, history,
                                store.read(spark, jobs.MOVIE_RECS), args.sink, args.checkpoint,
                                params, available_now=args.available_now)
         q.awaitTermination()

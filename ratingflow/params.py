@@ -64,8 +64,9 @@ class Params:
     # streaming
     trigger_seconds: int = 2
     append_history: bool = False
-    history_buckets: int | None = None  # history partitioned by hash(uid) bucket
-    compact_every: int | None = None    # snapshot the stream recs every N batches
+    spread_hubs: bool = True    # look for movies that very many messages of a batch name
+    history_buckets: int | None = None  # buckets of the ratings by user (UserHistory)
+    compact_every: int | None = None    # fold recs and own history every N batches
 
     def __post_init__(self) -> None:
         for name in ("recent_k", "cand_k", "user_k", "genre_k", "rank", "max_iter",

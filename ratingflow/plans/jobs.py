@@ -27,9 +27,8 @@ from ratingflow.operators import documents, model, similarity, stats
 from ratingflow.operators.topk import nest
 from ratingflow.params import Params
 from ratingflow.session import set_time_zone
-from ratingflow.sinks.tables import (
-    KeyedLog, write_bucketed_history, write_search_documents, write_table,
-)
+from ratingflow.sinks.history import UserHistory
+from ratingflow.sinks.tables import KeyedLog, write_search_documents, write_table
 from ratingflow.sources.lines import read_lines
 from ratingflow.sources.tables import read_table, to_edges
 from ratingflow.streaming.log_cleaner import start_log_cleaner
@@ -61,6 +60,7 @@ class Store:
 
 # fixed values: table names of the store
 MOVIE, RATING, TAG = "Movie", "Rating", "Tag"
+RATING_BY_USER = "RatingByUser"     # our own: the ratings with point access
 RATE_COUNT, RATE_COUNT_MONTH, AVG_SCORE, GENRE_TOP = (
     "rateNumbersMovie", "rateNumberRecentMovie", "averageScoreMovies", "genresTopMovies")
 USER_RECS, MOVIE_RECS, STREAM_RECS = "UserRecommandation", "MovieRecommandation", "StreamRecs"
@@ -71,17 +71,16 @@ def load_job(spark: SparkSession, movie_path: str, rating_path: str, tag_path: s
              mode: str = "strict", history_buckets: int | None = None) -> None:
     """Parse the three text files, overwrite the three tables, and build
     the search documents (movies with their '|'-joined distinct tags).
-    With ``history_buckets`` the Rating table is partitioned by user bucket
-    (``write_bucketed_history``) for the stream's per-batch pruning."""
+    With ``history_buckets`` the ratings are also written by user
+    (``UserHistory``) for the stream's point reads."""
     movies = read_lines(spark, movie_path, "movie", sep, mode)
     ratings = read_lines(spark, rating_path, "rating", sep, mode)
     tags = read_lines(spark, tag_path, "tag", sep, mode)
     store.write(movies, MOVIE)
-    if history_buckets and store.path(RATING):
-        write_bucketed_history(ratings, store.path(RATING), history_buckets, store.fmt)
-    else:
-        store.write(ratings, RATING)
+    store.write(ratings, RATING)
     store.write(tags, TAG)
+    if history_buckets and store.path(RATING_BY_USER):
+        UserHistory(store.path(RATING_BY_USER), history_buckets).load(store.read(spark, RATING, schemas.RATING))
     # documents from the written tables: the text is parsed once
     m = store.read(spark, MOVIE, schemas.MOVIE)
     t = store.read(spark, TAG, schemas.TAG)
@@ -149,18 +148,15 @@ def log_cleaning_job(spark: SparkSession, source_format: str, source_options: di
                              checkpoint, trigger_seconds=params.trigger_seconds)
 
 
-def rescoring_job(spark: SparkSession, messages: DataFrame, history: DataFrame | Callable[[], DataFrame],
+def rescoring_job(spark: SparkSession, messages: DataFrame,
+                  history: UserHistory | DataFrame | Callable[[], DataFrame],
                   movie_recs: DataFrame, sink_path: str, checkpoint: str,
                   params: Params = Params(), available_now: bool = False) -> StreamingQuery:
     """Structured Streaming job: ``messages`` is the streaming DataFrame
     of the rating topic (column ``value``), ``movie_recs`` the nested
-    similarity table written by ``offline_job``; ``history`` as a function
-    is read anew for each batch."""
-    keep = ["uid", "mid", "score", "timestamp"] + (["ub"] if params.history_buckets else [])
-    read = (lambda: history().select(*keep)) if callable(history) else history.select(*keep)
-    handler = RescoreHandler(read, to_edges(movie_recs),
-                             KeyedLog(sink_path, "uid"), params, with_string=True,
-                             history_buckets=params.history_buckets)
+    similarity table written by ``offline_job``; ``history`` as a
+    ``UserHistory`` is read by user, as a function anew for each batch."""
+    handler = RescoreHandler(history, to_edges(movie_recs), KeyedLog(sink_path, "uid"), params, with_string=True)
     return start_rescoring(spark, messages, handler, checkpoint, available_now,
                            params.trigger_seconds)
 

@@ -77,9 +77,25 @@ def remove_scratch(spark: SparkSession, path: str) -> None:
     """Delete a folder made by ``scratch_path`` once nothing reads it."""
     if f"{ensure_checkpoint_dir(spark).rstrip('/')}/ratingflow/" not in path:
         raise ValueError(f"not a scratch folder: {path}")
+    remove(spark, path)
+
+
+def _file_system(spark: SparkSession, path: str) -> tuple:
     sc = spark.sparkContext
     target = sc._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
+    return target.getFileSystem(sc._jsc.hadoopConfiguration()), target
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of any file system Spark knows; none if it is missing."""
+    fs, target = _file_system(spark, path)
+    return sorted(x.getPath().getName() for x in fs.listStatus(target)) if fs.exists(target) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if there is one."""
+    fs, target = _file_system(spark, path)
+    fs.delete(target, True)
 
 
 def set_time_zone(spark: SparkSession, tz: str) -> None:
@@ -87,5 +103,5 @@ def set_time_zone(spark: SparkSession, tz: str) -> None:
         spark.conf.set("spark.sql.session.timeZone", tz)
 
 
-__all__ = ["local_session", "ensure_checkpoint_dir", "remove_scratch", "scratch_path",
+__all__ = ["local_session", "children", "ensure_checkpoint_dir", "remove", "remove_scratch", "scratch_path",
            "set_time_zone"]

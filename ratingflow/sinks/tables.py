@@ -20,6 +20,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ratingflow.session import children, remove
+
 
 def write_table(df: DataFrame, path: str | None = None, fmt: str = "parquet",
                 mode: str = "overwrite", partition_by: Sequence[str] = (),
@@ -45,22 +47,10 @@ def write_search_documents(docs: DataFrame, path: str | None = None, fmt: str =
 
 
 def user_bucket(uid_col: str, n_buckets: int):
-    """Hash bucket of a user id (the partition column of bucketed history)."""
+    """Hash bucket of a user id (the partition column of ``UserHistory``)."""
     return F.pmod(F.xxhash64(F.col(uid_col)), F.lit(int(n_buckets))).cast("int")
 
 
-def write_bucketed_history(history: DataFrame, path: str, n_buckets: int = 1024,
-                           fmt: str = "parquet") -> None:
-    """Write ratings partitioned by ``ub = hash(uid) mod n_buckets`` so the
-    stream can read only the buckets of a micro-batch's users (partition
-    pruning at the scan) instead of the whole history.  Rows are clustered
-    by the partition column first so each task writes few files; the
-    REBALANCE hint lets AQE split a bucket that holds a hot user (and
-    merge small ones) instead of sending a whole bucket to one task."""
-    out = history.withColumn("ub", user_bucket("uid", n_buckets))
-    out.hint("rebalance", "ub").write.format(fmt).mode("overwrite").partitionBy("ub").save(path)
-
-
 class KeyedLog:
     """Append-only keyed table: newest ``batch_id`` wins per key.
 
@@ -68,11 +58,17 @@ class KeyedLog:
     ``{path}_snapshots/upto=N/`` written by ``compact``.  Readers take the
     newest snapshot plus only the batch partitions after it (partition
     pruning), so read cost stays bounded as the stream ages.
+
+    A batch that writes several logs ends with ``commit``: a record of one
+    row, ``{path}_commits/batch_id=N``.  A log opened with ``committed`` shows
+    no batch later than the last record.
     """
 
-    def __init__(self, path: str, key: str | Sequence[str] = "uid", fmt: str = "parquet"):
+    def __init__(self, path: str, key: str | Sequence[str] = "uid", fmt: str = "parquet", committed: bool = False):
         self.path = path.rstrip("/")
         self.snapshots = self.path + "_snapshots"
+        self.commits = self.path + "_commits"
+        self.committed = committed
         self.keys = [key] if isinstance(key, str) else list(key)
         self.fmt = fmt
 
@@ -82,20 +78,36 @@ class KeyedLog:
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").save(self.path))
 
+    def commit(self, spark: SparkSession, batch_id: int) -> None:
+        """Record that all parts of the batch are written.  One small file; of
+        the records before it the newest stays, for readers that hold it."""
+        before = self._numbers(spark, self.commits, "batch_id")
+        spark.range(1).coalesce(1).write.format(self.fmt).mode("overwrite").save(f"{self.commits}/batch_id={int(batch_id)}")
+        for n in before[:-1]:
+            if n != batch_id:
+                remove(spark, f"{self.commits}/batch_id={n}")
+
+    def last_commit(self, spark: SparkSession) -> int | None:
+        return max(self._numbers(spark, self.commits, "batch_id"), default=None)
+
     def read_log(self, spark: SparkSession) -> DataFrame:
-        return spark.read.format(self.fmt).load(self.path)
+        log = spark.read.format(self.fmt).load(self.path)
+        if self.committed:
+            last = self.last_commit(spark)
+            return log.where(F.col("batch_id") <= F.lit(-1 if last is None else last))
+        return log
+
+    def _numbers(self, spark: SparkSession, folder: str, name: str, done: bool = True) -> list[int]:
+        """The n of the folders ``name=n`` whose jobs have committed."""
+        found = [x for x in children(spark, folder) if x.startswith(f"{name}=")]
+        return sorted(int(x.partition("=")[2]) for x in found if not done or "_SUCCESS" in children(spark, f"{folder}/{x}"))
 
     def _snapshot(self, spark: SparkSession):
         """(upto, rows) of the newest snapshot, or (None, None)."""
-        try:
-            snaps = spark.read.format(self.fmt).load(self.snapshots)
-        except AnalysisException:
-            return None, None
-        upto = snaps.agg(F.max("upto")).first()[0]
+        upto = max(self._numbers(spark, self.snapshots, "upto"), default=None)
         if upto is None:
             return None, None
-        rows = snaps.where(F.col("upto") == upto).drop("upto")
-        return int(upto), rows
+        return upto, spark.read.format(self.fmt).load(f"{self.snapshots}/upto={upto}")
 
     def _live_rows(self, spark: SparkSession) -> DataFrame:
         """Snapshot rows (carrying their own batch_id) + newer batches."""
@@ -127,15 +139,20 @@ class KeyedLog:
         """Fold the log into a snapshot tagged with the last folded batch id
         and return that id.  The snapshot keeps every row of each key's
         newest batch, so keys of several rows read back the same.
-        Idempotent: re-running writes the same snapshot.  Old batch
-        partitions are no longer read and can be expired by the storage's
-        retention rules."""
+        Re-running changes nothing.  Batches up to the snapshot before are
+        deleted, as no reader can need them."""
         upto = self.read_log(spark).agg(F.max("batch_id")).first()[0]
         if upto is None:
             return None
         state = self.current_rows(spark).where(F.col("batch_id") <= upto)
-        (state.withColumn("upto", F.lit(int(upto)).cast("long"))
-         .write.format(self.fmt).mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic")
-         .partitionBy("upto").save(self.snapshots))
+        before = self._numbers(spark, self.snapshots, "upto")
+        if upto in before:
+            return int(upto)
+        state.write.format(self.fmt).mode("overwrite").save(f"{self.snapshots}/upto={int(upto)}")
+        # the snapshot before stays, with the batches after it, for readers that hold it
+        for n in before[:-1]:
+            remove(spark, f"{self.snapshots}/upto={n}")
+        for n in self._numbers(spark, self.path, "batch_id", done=False):
+            if before and n <= before[-1]:
+                remove(spark, f"{self.path}/batch_id={n}")
         return int(upto)

@@ -5,17 +5,19 @@ Every micro-batch of ``UID|MID|SCORE|TIMESTAMP`` messages goes through
 unseen similar candidates, scores) inside ``foreachBatch``, and the users'
 rec rows are replaced in a ``KeyedLog``.
 
-History: read anew for each batch if it is given as a function, so ratings
-written meanwhile count.  With ``Params.append_history`` the stream's own
-messages join it: each batch is appended to a log under its ``batch_id``, and
-a batch sees the log up to itself.
+History: a ``UserHistory`` (point access: a batch opens its users' buckets
+only), a table, or a function that reads a table anew for each batch.  With
+``Params.append_history`` the stream's own messages join it, and a batch sees
+them up to itself: they go to the same buckets of a ``UserHistory``, or to one
+beside the sink.
 
 Bad messages are dropped and counted in a table beside the sink, by batch
 (``RescoreHandler.message_counts``).
 
-Recovery: the streaming checkpoint records offsets; a replayed batch
-recomputes the same rows and overwrites only its own ``batch_id``
-partitions, so sink, history log and counts are idempotent.
+Recovery: a batch writes its counts, its history and its recs, each under its
+own ``batch_id``, and last of all a commit record (``KeyedLog.commit``), which
+``committed`` readers wait for.  The streaming checkpoint records offsets; a
+replayed batch recomputes the same rows and overwrites its own parts.
 """
 
 from __future__ import annotations
@@ -30,7 +32,8 @@ from pyspark.sql.streaming import StreamingQuery
 from ratingflow.functions.scalar import parse_message_fields, recs_to_string
 from ratingflow.operators.recommend import ranked_edges, rescore
 from ratingflow.params import Params
-from ratingflow.sinks.tables import KeyedLog, user_bucket
+from ratingflow.sinks.history import UserHistory
+from ratingflow.sinks.tables import KeyedLog
 
 
 def parse_messages(df: DataFrame, value_col: str = "value", strict: bool = False) -> DataFrame:
@@ -45,21 +48,18 @@ class RescoreHandler:
 
     COLUMNS = ("uid", "mid", "score", "timestamp")
 
-    def __init__(self, history: DataFrame | Callable[[], DataFrame], edges: DataFrame, sink: KeyedLog,
-                 params: Params = Params(), with_string: bool = False,
-                 history_buckets: int | None = None):
-        """``history``: a table, or a function that reads it anew per batch.
-        ``history_buckets``: the history is partitioned by
-        ``ub = user_bucket(uid, history_buckets)`` (``write_bucketed_history``);
-        each batch then reads only its users' partitions."""
+    def __init__(self, history: UserHistory | DataFrame | Callable[[], DataFrame], edges: DataFrame, sink: KeyedLog,
+                 params: Params = Params(), with_string: bool = False):
+        """``history``: ratings with point access, a table, or a function that
+        reads a table anew per batch."""
         self.history = history
-        self.history_buckets = history_buckets
         # the similarity table is a lookup (one value per movie pair, copies
         # collapse), ranked per movie and static: keep it across batches
         # (lineage is a table scan, so a lost block is simply re-read)
         self.edges = ranked_edges(edges).persist(StorageLevel.MEMORY_AND_DISK)
         self.sink = sink
-        self.own = KeyedLog(f"{sink.path}_history", key="uid", fmt=sink.fmt)
+        self.own = history if isinstance(history, UserHistory) else \
+            UserHistory(f"{sink.path}_history", params.history_buckets or 64)
         self.counts = KeyedLog(f"{sink.path}_counts", key="n", fmt=sink.fmt)
         self.params = params
         self.with_string = with_string
@@ -75,40 +75,39 @@ class RescoreHandler:
                                                (F.count(F.lit(1)) - F.count_if(ok)).alias("n_bad")), batch_id)
             msgs = parsed.where(ok)
             if msgs.isEmpty():
+                self.sink.commit(raw.sparkSession, batch_id)
                 return
             if p.append_history:
-                self.own.write_batch(msgs, batch_id)
+                self.own.append(msgs, batch_id)
             # the batch users' history is read once and reused for the
             # recent lists and the rated-movie exclusion
-            users = msgs.select("uid").distinct()
-            mine = self._history_for(msgs, batch_id).join(users, "uid", "left_semi").persist(
-                StorageLevel.MEMORY_AND_DISK)
+            mine = self._history_for(msgs, batch_id).persist(StorageLevel.MEMORY_AND_DISK)
             try:
                 recs = rescore(msgs, mine, self.edges, recent_k=p.recent_k,
                                cand_k=p.cand_k, threshold=p.score_threshold,
-                               like_above=p.like_above, own_history=True)
+                               like_above=p.like_above, own_history=True, spread=p.spread_hubs)
                 if self.with_string:
                     recs = recs.withColumn("recs_string", recs_to_string("recs"))
                 self.sink.write_batch(recs, batch_id)
+                self.sink.commit(recs.sparkSession, batch_id)
                 if p.compact_every and batch_id > 0 and batch_id % p.compact_every == 0:
                     self.sink.compact(recs.sparkSession)
+                    if p.append_history:
+                        self.own.compact(recs.sparkSession, batch_id)
             finally:
                 mine.unpersist()
         finally:
             raw.unpersist()
 
     def _history_for(self, msgs: DataFrame, batch_id: int | None = None) -> DataFrame:
+        """The ratings of the batch's users, this batch's included."""
+        users = msgs.select("uid").distinct()
+        if isinstance(self.history, UserHistory):
+            return self.history.of_users(users, batch_id)
         base = self.history() if callable(self.history) else self.history
-        if self.history_buckets:
-            # the set of buckets is bounded by history_buckets: a small list
-            # to the driver that becomes a partition filter at the scan
-            buckets = sorted(r[0] for r in msgs.select(
-                user_bucket("uid", self.history_buckets).alias("ub")).distinct().collect())
-            base = base.where(F.col("ub").isin(buckets))
-        base = base.select(*self.COLUMNS)
+        base = base.select(*self.COLUMNS).join(users, "uid", "left_semi")
         if self.params.append_history and batch_id is not None:
-            grown = self.own.read_log(msgs.sparkSession).where(F.col("batch_id") <= batch_id)
-            base = base.unionByName(grown.select(*self.COLUMNS))
+            base = base.unionByName(self.own.of_users(users, batch_id))
         return base
 
     def message_counts(self, spark: SparkSession) -> DataFrame:

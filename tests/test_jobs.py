@@ -112,7 +112,9 @@ def test_command_line_jobs(spark, tmp_path):
     db = str(tmp_path / "db")
     assert main(["load", "--db", db, "--movies", str(text / "m"), "--ratings", str(text / "r"),
                  "--tags", str(text / "t"), "--history-buckets", "8"]) == 0
-    assert "ub" in spark.read.parquet(db + "/" + jobs.RATING).columns
+    assert "ub" not in spark.read.parquet(db + "/" + jobs.RATING).columns
+    by_user = jobs.UserHistory(db + "/" + jobs.RATING_BY_USER, 8).rows(spark).select("uid", "mid", "score", "timestamp")
+    assert _same(by_user, spark.read.parquet(db + "/" + jobs.RATING).select("uid", "mid", "score", "timestamp"))
     assert main(["statistics", "--db", db, "--genres", "red,small"]) == 0
     assert main(["offline", "--db", db, "--rank", "4", "--iter", "2", "--threshold", "0.9"]) == 0
     top = spark.read.parquet(db + "/" + jobs.GENRE_TOP)

@@ -1,0 +1,215 @@
+"""Keyed state of the recent lists, point access to the history, commit records."""
+
+import contextlib
+import io
+
+import pytest
+
+from ratingflow.params import Params
+from ratingflow.sinks.history import UserHistory
+from ratingflow.sinks.tables import KeyedLog
+from ratingflow.sources import fixtures as fx
+from ratingflow.streaming.recent_state import RecentLists, cut_to_newest, stored_lists
+from ratingflow.streaming.recommender import RescoreHandler, parse_messages
+
+SF = "/root/testdata/sf0.001"
+SCHEMA = "uid int, mid int, score double, timestamp int"
+
+
+def newest(rows, k):
+    out = []
+    for u in sorted({r[0] for r in rows}):
+        mine = sorted((r for r in rows if r[0] == u), key=lambda t: (-t[3], t[1], t[2]))[:k]
+        out += [(u, i + 1, *t[1:]) for i, t in enumerate(mine)]
+    return out
+
+
+def feed(spark, path, rows):
+    spark.createDataFrame([("|".join(map(str, r)),) for r in rows], "value string").write.mode("append").text(path)
+
+
+def run(spark, lists, base, initial=None):
+    stream = parse_messages(spark.readStream.format("text").load(f"{base}/in"))
+    q = lists.start(stream, f"{base}/checkpoint", initial=initial, available_now=True)
+    q.awaitTermination()
+    return q
+
+
+def test_lists_of_a_flooding_user_over_restarts(spark, tmp_path):
+    base = str(tmp_path)
+    rows = [(7, m, float(1 + m % 5), 1000 + (m * 37) % 50) for m in range(300)]      # one hot user
+    rows += [(8, 1, 2.0, 5), (8, 2, 3.0, 5), (8, 2, 3.0, 5), (9, 4, 1.0, 7)]
+    lists = RecentLists(KeyedLog(f"{base}/recent", key="uid"), k=20, compact_every=1)
+    for part in (rows[:100], rows[100:303], rows[303:]):
+        feed(spark, f"{base}/in", part)
+        run(spark, lists, base)
+    got = sorted(map(tuple, lists.read(spark).collect()))
+    assert got == newest(rows, 20)
+    # the state itself holds the same
+    state = sorted((r.uid, r.mid, r.score, r.timestamp) for r in stored_lists(spark, f"{base}/checkpoint").collect())
+    assert state == sorted((u, m, s, t) for u, _, m, s, t in got)
+
+
+def test_a_batch_touches_its_own_users_only(spark, tmp_path):
+    base = str(tmp_path)
+    lists = RecentLists(KeyedLog(f"{base}/recent", key="uid"), k=3)
+    feed(spark, f"{base}/in", [(u, 1, 1.0, 1) for u in range(500)])
+    run(spark, lists, base)
+    feed(spark, f"{base}/in", [(3, 2, 2.0, 2), (400, 2, 2.0, 2)])
+    q = run(spark, lists, base)
+    (state,) = [p.stateOperators[0] for p in q.recentProgress if p.numInputRows]
+    # lists hold several rows; a user outside the batch is not even looked up
+    reads = {k: int(v) for k, v in state.customMetrics.items() if k in ("rocksdbGetCount", "rocksdbPutCount")}
+    assert 0 < reads["rocksdbGetCount"] < 40 and 0 < reads["rocksdbPutCount"] < 40
+    # and only their rows are written
+    assert {r.uid for r in lists.sink.read_log(spark).where("batch_id = 1").collect()} == {3, 400}
+
+
+def test_lists_begin_with_the_history(spark, tmp_path):
+    base = str(tmp_path)
+    history = [(1, m, 1.0, m) for m in range(30)] + [(2, 5, 2.0, 9)]
+    lists = RecentLists(KeyedLog(f"{base}/recent", key="uid"), k=4)
+    feed(spark, f"{base}/in", [(1, 99, 5.0, 28), (3, 1, 1.0, 1)])
+    run(spark, lists, base, initial=spark.createDataFrame(history, SCHEMA))
+    got = sorted(map(tuple, lists.read(spark).collect()))
+    every = newest(history + [(1, 99, 5.0, 28), (3, 1, 1.0, 1)], 4)
+    assert got == [r for r in every if r[0] != 2]           # user 2 sent nothing
+    assert stored_lists(spark, f"{base}/checkpoint").where("uid = 2").count() == 1
+
+
+def test_a_replayed_batch_after_compaction_changes_nothing(spark, tmp_path):
+    """The batch is written and folded, then the driver dies before Spark
+    commits it: the replay finds the lists as they were before."""
+    from pyspark.errors import PySparkException
+
+    class DiesOnce(RecentLists):
+        died = False
+
+        def _write(self, lists, batch_id):
+            super()._write(lists, batch_id)
+            if batch_id == 1 and not DiesOnce.died:
+                DiesOnce.died = True
+                raise RuntimeError("lost")
+    base = str(tmp_path)
+    rows = [(1, 1, 1.0, 1), (1, 2, 1.0, 2)], [(1, 3, 1.0, 3), (2, 1, 1.0, 1)]
+    lists = DiesOnce(KeyedLog(f"{base}/recent", key="uid"), k=2, compact_every=1)
+    feed(spark, f"{base}/in", rows[0])
+    run(spark, lists, base)
+    feed(spark, f"{base}/in", rows[1])
+    with pytest.raises(PySparkException):
+        run(spark, lists, base)
+    run(spark, lists, base)
+    assert DiesOnce.died and sorted(map(tuple, lists.read(spark).collect())) == newest(rows[0] + rows[1], 2)
+    assert lists.sink.read_log(spark).where("batch_id = 1").count() == 3
+
+
+def test_rows_are_cut_before_the_shuffle(spark):
+    rows = spark.range(100_000).selectExpr("1 AS uid", "CAST(id AS INT) AS mid", "1.0D AS score", "CAST(id % 77 AS INT) AS timestamp")
+    assert cut_to_newest(rows, 20).count() <= 20 * (100_000 // 10_000 + rows.rdd.getNumPartitions())
+
+
+# ---- history by user
+
+def plan(df):
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    return buf.getvalue()
+
+
+def scanned(df):
+    """Rows that the scans of a plan without shuffles gave out, after its row groups were chosen."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+def test_a_batch_opens_its_buckets_and_row_groups_only(spark, tmp_path):
+    ratings = spark.range(400_000).selectExpr("CAST(id % 5000 AS INT) AS uid", "CAST(id AS INT) AS mid",
+                                              "CAST(id % 10 AS DOUBLE) / 2 AS score", "CAST(id AS INT) AS timestamp")
+    history = UserHistory(str(tmp_path / "h"), buckets=4, row_group_bytes=64 << 10)
+    history.load(ratings)
+    added = ratings.where("mid < 40000").withColumn("mid", ratings.mid + 1_000_000)
+    history.append(added, 0)
+    history.append(added.where("uid < 10"), 1)
+    users = spark.createDataFrame([(17,), (4000,), (17,)], "uid int")
+    mine = history.of_users(users, upto=0)
+    every = ratings.unionByName(added)
+    want = sorted(map(tuple, every.where("uid in (17, 4000)").collect()))
+    assert sorted(map(tuple, mine.collect())) == want and len(want) == 2 * 88
+    tree = plan(mine)
+    assert tree.count("PartitionFilters: [ub") + tree.count("PartitionFilters: [isnotnull(ub") == 2     # base and own log
+    assert tree.count("In(uid, [17,4000])") == 2
+    # far fewer rows are decoded than the buckets hold
+    assert scanned(mine) < every.count() / 20
+    # a batch sees no later batch, and more users than are pushed as literals are found by a join
+    assert history.of_users(spark.createDataFrame([(5,)], "uid int"), 0).count() == 88
+    assert history.of_users(spark.createDataFrame([(5,)], "uid int"), 1).count() == 96
+    few = UserHistory(str(tmp_path / "h"), buckets=4, max_users=1)
+    assert sorted(map(tuple, few.of_users(users, upto=0).collect())) == want
+    assert history.of_users(spark.createDataFrame([], "uid int")).count() == 0
+
+
+def test_history_folds_and_replays(spark, tmp_path):
+    history = UserHistory(str(tmp_path / "h"), buckets=3)
+    rows = lambda *r: spark.createDataFrame(list(r), SCHEMA)
+    all_ = lambda upto=None: sorted(map(tuple, history.rows(spark, upto).drop("ub").collect()))
+    assert all_() == []
+    history.load(rows((1, 1, 1.0, 1), (2, 2, 2.0, 2), (1, 1, 1.0, 1)))
+    history.append(rows((1, 3, 3.0, 3)), 0)
+    history.append(rows((1, 3, 3.0, 3)), 0)                     # a replay
+    history.append(rows((3, 4, 4.0, 4)), 1)
+    base, one, both = [(1, 1, 1.0, 1)] * 2 + [(2, 2, 2.0, 2)], (1, 3, 3.0, 3), (3, 4, 4.0, 4)
+    assert all_(-1) == base and all_(0) == sorted(base + [one]) and all_() == sorted(base + [one, both])
+    history.compact(spark, 0)
+    history.compact(spark, 0)
+    assert all_(-1) == base and all_(0) == sorted(base + [one]) and all_(1) == sorted(base + [one, both])
+    history.compact(spark, 1)
+    history.append(rows((3, 4, 4.0, 4)), 1)                     # a replay of a folded batch
+    assert all_(0) == sorted(base + [one]) and all_() == sorted(base + [one, both])
+    assert history._bases(spark) == [0, 1]
+    # a fold that died leaves no mark of success, and the base before counts
+    history.append(rows((9, 9, 9.0, 9)), 2)
+    (tmp_path / "h" / "base=2" / "ub=0").mkdir(parents=True)
+    assert all_() == sorted(base + [one, both, (9, 9, 9.0, 9)])
+    history.load(rows((5, 5, 5.0, 5)))
+    assert all_() == [(5, 5, 5.0, 5)]
+
+
+def test_handler_reads_by_user_what_it_reads_from_a_table(spark, tmp_path):
+    from ratingflow.operators.similarity import item_similarity
+    ratings = fx.ratings(spark, SF)
+    edges = item_similarity(fx.item_vectors(spark, SF), 0.2)
+    history = UserHistory(str(tmp_path / "hist"), buckets=16)
+    history.load(ratings)
+    msgs = spark.createDataFrame([("1|10|4.0|100",), ("2|11|3.0|100",), ("77777|1|3.0|1",)], "value string")
+    out = {}
+    for name, source in (("plain", ratings), ("by_user", history)):
+        sink = KeyedLog(str(tmp_path / name), "uid")
+        handler = RescoreHandler(source, edges, sink, Params(score_threshold=0.2))
+        handler(msgs, 0)
+        handler.close()
+        out[name] = sorted(map(str, sink.current(spark).drop("batch_id").collect()))
+    assert out["plain"] == out["by_user"] and len(out["plain"]) == 3
+
+
+# ---- commit records
+
+def test_readers_wait_for_the_commit(spark, tmp_path):
+    log = KeyedLog(str(tmp_path / "recs"), "uid", committed=True)
+    rows = lambda *r: spark.createDataFrame(list(r), "uid int, v string")
+    seen = lambda: sorted((r.uid, r.v) for r in log.current(spark).collect())
+    log.write_batch(rows((1, "a")), 0)
+    assert seen() == [] and log.last_commit(spark) is None
+    log.commit(spark, 0)
+    log.write_batch(rows((1, "b"), (2, "c")), 1)
+    assert seen() == [(1, "a")]
+    log.commit(spark, 1)
+    log.commit(spark, 1)
+    assert seen() == [(1, "b"), (2, "c")] and log.last_commit(spark) == 1
+    log.compact(spark)
+    for n in (2, 3):
+        log.write_batch(rows((n, "d")), n)
+        log.commit(spark, n)
+    assert seen() == [(1, "b"), (2, "c"), (2, "d"), (3, "d")][:1] + [(2, "d"), (3, "d")]
+    assert len(list((tmp_path / "recs_commits").iterdir())) == 2        # records don't pile up

@@ -5,6 +5,7 @@ from pyspark.errors import PySparkException
 
 from ratingflow.operators import stats
 from ratingflow.params import Params
+from ratingflow.sinks.history import UserHistory
 from ratingflow.sinks.tables import KeyedLog
 from ratingflow.sources import fixtures as fx
 from ratingflow.streaming.recommender import RescoreHandler, start_rescoring
@@ -66,6 +67,7 @@ def test_replayed_batch_is_idempotent(spark, tmp_path_factory):
     b = crashed.current(spark).drop("batch_id")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     assert {r.uid for r in a.collect()} == {1, 2, 3}
+    assert clean.last_commit(spark) == crashed.last_commit(spark) == 1
     # the replay overwrote its own partition: no duplicate rows for batch 1
     log = crashed.read_log(spark)
     assert log.where("batch_id = 1").count() == log.where("batch_id = 1").select("uid").distinct().count()
@@ -86,50 +88,8 @@ def test_log_cleaning_job_runs_and_stops(spark, tmp_path):
     assert [(r.key, r.value) for r in out] == [("logProcessor", "1|2|3.0|4")]
 
 
-def test_bucketed_history_prunes_and_matches(spark, tmp_path):
-    from ratingflow.operators.similarity import item_similarity
-    from ratingflow.sinks.tables import write_bucketed_history
-    hist = fx.ratings(spark, SF)
-    write_bucketed_history(hist, str(tmp_path / "hist"), n_buckets=16)
-    bucketed = spark.read.parquet(str(tmp_path / "hist"))
-    edges = item_similarity(fx.item_vectors(spark, SF), 0.2)
-    msgs = spark.createDataFrame([("1|10|4.0|100",), ("2|11|3.0|100",)], "value string")
-    out = {}
-    for name, h, nb in (("plain", hist, None), ("bucketed", bucketed, 16)):
-        sink = KeyedLog(str(tmp_path / name), "uid")
-        handler = RescoreHandler(h, edges, sink, Params(score_threshold=0.2), history_buckets=nb)
-        if nb:
-            plan = handler._history_for(spark.createDataFrame([(1, 10, 4.0, 100)],
-                                                              "uid int, mid int, score double, timestamp int"))
-            import contextlib
-            import io
-            buf = io.StringIO()
-            with contextlib.redirect_stdout(buf):
-                plan.explain()
-            assert "PartitionFilters: [isnotnull(ub" in buf.getvalue()
-        handler(msgs, 0)
-        handler.close()
-        out[name] = sorted(map(tuple, sink.current(spark).drop("batch_id").collect()))
-    assert out["plain"] == out["bucketed"] and len(out["plain"]) == 2
-
-
-def test_recent_lists_flooding_user_and_replay(spark, tmp_path):
-    from ratingflow.streaming.recent_state import RecentLists
-    rows = [(7, m, float(1 + m % 5), 1000 + (m * 37) % 50) for m in range(300)]  # one hot user
-    rows += [(8, 1, 2.0, 5), (8, 2, 3.0, 5)]
-    lists = RecentLists(KeyedLog(str(tmp_path / "state"), key="uid"), k=20, compact_every=2)
-    schema = "uid int, mid int, score double, timestamp int"
-    for batch_id, part in enumerate((rows[:100], rows[100:250], rows[250:])):
-        lists(spark.createDataFrame(part, schema), batch_id)
-        lists(spark.createDataFrame(part, schema), batch_id)        # a replay changes nothing
-    want = []
-    for u in (7, 8):
-        mine = sorted((r for r in rows if r[0] == u), key=lambda t: (-t[3], t[1], t[2]))[:20]
-        want += [(u, i + 1, t[1]) for i, t in enumerate(mine)]
-    assert sorted((r.uid, r.pos, r.mid) for r in lists.read(spark).collect()) == sorted(want)
-
-
-def test_appended_history_is_seen_by_the_next_batch(spark, tmp_path):
+@pytest.mark.parametrize("by_user", [False, True])
+def test_appended_history_is_seen_by_the_next_batch(spark, tmp_path, by_user):
     """User 1 rates movie 20 in batch 0: batch 1 must not recommend it."""
     edges = spark.createDataFrame([(30, 20, 0.9), (20, 30, 0.9), (30, 40, 0.8), (40, 30, 0.8), (20, 40, 0.7),
                                    (40, 20, 0.7), (10, 20, 0.9), (20, 10, 0.9)], "mid int, rid int, r double")
@@ -140,12 +100,14 @@ def test_appended_history_is_seen_by_the_next_batch(spark, tmp_path):
     def read():
         reads.append(1)
         return history
-    handler = RescoreHandler(read, edges, sink, Params(append_history=True))
+    kept = UserHistory(str(tmp_path / "history"), buckets=4)
+    kept.load(history)
+    handler = RescoreHandler(kept if by_user else read, edges, sink, Params(append_history=True))
     handler(spark.createDataFrame([("1|20|5.0|100",), ("broken",)], "value string"), 0)
     handler(spark.createDataFrame([("1|30|5.0|200",)], "value string"), 1)
     handler.close()
     recs = sink.current(spark).first()
     assert recs.batch_id == 1 and [r.rid for r in recs.recs] == [40]
-    assert len(reads) == 2      # read anew for each batch
+    assert len(reads) == (0 if by_user else 2)      # a function is read anew for each batch
     counts = sorted((r.batch_id, r.n, r.n_bad) for r in handler.message_counts(spark).collect())
     assert counts == [(0, 2, 1), (1, 1, 0)]
