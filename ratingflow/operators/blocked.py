@@ -1,8 +1,8 @@
 """Blocked all-pairs vector products.
 
 Exact all-pairs work (cosine similarity above a threshold, best-k dot
-products per row) cannot be pruned for dense vectors, so it is spread over
-*block pairs*, as in a 2-D partitioned matrix product:
+products per row) is spread over *block pairs*, as in a 2-D partitioned matrix
+product:
 
 * each side is split into hash blocks (``pmod(xxhash64(id), nb)``: even
   sizes whatever the id distribution);
@@ -19,6 +19,9 @@ should be about TASKS_PER_SLOT groups per task slot.  The volume is least
 for nl = sqrt(P*N_left/N_right), nr = P/nl; a block never exceeds
 ``max_rows`` (memory of a group) and, when the count comes from the
 parallelism target, never drops below MIN_BLOCK_ROWS rows.
+
+From PRUNE_FROM rows on, block pairs that cannot hold a result are not shipped
+(``pruned.py``); the results are the same.
 """
 
 from __future__ import annotations
@@ -46,6 +49,7 @@ MAX_BLOCK_ROWS = 1 << 16     # rows of one side in a group (64 MB at 128 doubles
 # Both sides of a self product are held by one task, hence the lower cap.
 MAX_SELF_BLOCK_ROWS = 1 << 14
 CHUNK_CELLS = 1 << 22        # score-matrix cells per GEMM chunk (32 MB of doubles)
+PRUNE_FROM = 1 << 15         # rows from which looking for prunable blocks pays
 
 
 def _slots(df: DataFrame) -> int:
@@ -146,7 +150,8 @@ def _cosine_pairs_fn(threshold: float):
     def fn(key, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         (lid, lm, _), (rid, rm, _) = _sides(frames)
         if len(lid) and len(rid):
-            same_block = int(key[0]) == int(key[1])
+            half = len(key) // 2
+            same_block = tuple(map(int, key[:half])) == tuple(map(int, key[half:]))
             # one frame a chunk: a group's output is never held whole
             for lo, hi in _chunks(len(lid), len(rid)):
                 s = lm[lo:hi] @ rm.T
@@ -174,13 +179,19 @@ def _settled(df: DataFrame) -> DataFrame:
 
 def cosine_edges(vectors: DataFrame, threshold: float, id_col: str = "mid",
                  vec_col: str = "features", block_rows: int = MAX_BLOCK_ROWS,
-                 nb: int | None = None, unique_ids: bool = False) -> DataFrame:
+                 nb: int | None = None, unique_ids: bool = False, prune: bool | None = None) -> DataFrame:
     """(mid, rid, r): every ordered pair of distinct ids whose cosine
     similarity is strictly above ``threshold`` (both directions).
     ``block_rows`` caps the rows of one block (never above
-    MAX_SELF_BLOCK_ROWS)."""
+    MAX_SELF_BLOCK_ROWS).  ``prune`` (default: by size) leaves out block pairs
+    that are too far apart."""
     unit = _settled(unit_vectors(vectors, id_col, vec_col, unique_ids))
-    nb = nb or plan_self_blocks(unit.count(), _slots(unit), min(block_rows, MAX_SELF_BLOCK_ROWS))
+    n = unit.count()
+    nb = nb or plan_self_blocks(n, _slots(unit), min(block_rows, MAX_SELF_BLOCK_ROWS))
+    if n >= PRUNE_FROM if prune is None else prune:
+        from ratingflow.operators.pruned import near_clusters
+        rows = near_clusters(unit, threshold, nb, n).rows()
+        return rows.groupBy("bi", "si", "bj", "sj").applyInPandas(_cosine_pairs_fn(threshold), "mid int, rid int, r double")
     b = unit.withColumn("b", block_of("id", nb))
     # a row of block b is the left side of pairs (b, j>=b) and the right
     # side of pairs (i<=b, b)
@@ -234,13 +245,15 @@ def _topk_fn(k: int, extra_col: str | None):
 
 def top_k_candidates(left: DataFrame, right: DataFrame, k: int, block_rows: int = MAX_BLOCK_ROWS,
                      left_id: str = "id", right_id: str = "id", vec_col: str = "features",
-                     extra_k: str | None = None, unique_ids: bool = False) -> DataFrame:
+                     extra_k: str | None = None, unique_ids: bool = False, prune: bool | None = None) -> DataFrame:
     """(uid, rid, r): a superset of each left row's ``k`` best right rows by
     dot product - exactly the best k of every block pair (r desc, rid asc),
     so at most k rows per left row and right block.
 
     ``extra_k`` names an optional left column holding a per-row number of
-    additional rows to keep (exact over-fetch before an exclusion).
+    additional rows to keep (exact over-fetch before an exclusion).  ``prune``
+    (default: by the right side's size) ships a left row only to the blocks
+    whose largest norm may still give it a better score.
     """
     lv = left.select(F.col(left_id).alias("id"), F.col(vec_col).alias("v"))
     rv = right.select(F.col(right_id).alias("id_r"), F.col(vec_col).alias("v_r"))
@@ -250,30 +263,39 @@ def top_k_candidates(left: DataFrame, right: DataFrame, k: int, block_rows: int
         extra = left.groupBy(F.col(left_id).alias("id")).agg(F.max(extra_k).alias(extra_k))
         lv = lv.join(extra, "id")
     lv, rv = _settled(lv), _settled(rv)
-    nbl, nbr = plan_pair_blocks(lv.count(), rv.count(), _slots(lv), block_rows)
+    n_left, n_right = lv.count(), rv.count()
+    nbl, nbr = plan_pair_blocks(n_left, n_right, _slots(lv), block_rows)
+    if n_right >= PRUNE_FROM if prune is None else prune:
+        from ratingflow.operators.pruned import falling_norms
+        return falling_norms(lv, rv, k, extra_k, nbl, nbr, block_rows, n_right).candidates()
     lb = lv.select(block_of("id", nbl).alias("bl"),
                    F.explode(F.sequence(F.lit(0), F.lit(nbr - 1))).alias("br"), "*")
-    rb = rv.select(F.explode(F.sequence(F.lit(0), F.lit(nbl - 1))).alias("bl"),
-                   block_of("id_r", nbr).alias("br"), "*")
-    return (lb.groupBy("bl", "br").cogroup(rb.groupBy("bl", "br"))
+    return best_of_blocks(lb, rv.withColumn("br", block_of("id_r", nbr)), nbl, k, extra_k)
+
+
+def best_of_blocks(left: DataFrame, right: DataFrame, nbl: int, k: int, extra_k: str | None = None) -> DataFrame:
+    """(uid, rid, r): the best ``k`` of every block pair; ``left`` (bl, br, id,
+    v) is dealt out already, ``right`` (br, id_r, v_r) goes to all ``nbl`` left blocks."""
+    right = right.withColumn("bl", F.explode(F.sequence(F.lit(0), F.lit(nbl - 1))))
+    return (left.groupBy("bl", "br").cogroup(right.groupBy("bl", "br"))
             .applyInPandas(_topk_fn(k, extra_k), "uid int, rid int, r double"))
 
 
 def top_k_products(left: DataFrame, right: DataFrame, k: int, block_rows: int = MAX_BLOCK_ROWS,
                    left_id: str = "id", right_id: str = "id",
-                   vec_col: str = "features", unique_ids: bool = False) -> DataFrame:
+                   vec_col: str = "features", unique_ids: bool = False, prune: bool | None = None) -> DataFrame:
     """(uid, rid, r, pos): for every left row the ``k`` right rows with the
     largest dot product (r desc, rid asc).  At most nr * k candidates per
     row reach the final ranking (none to merge when nr = 1)."""
     cand = top_k_candidates(left, right, k, block_rows, left_id, right_id, vec_col,
-                            unique_ids=unique_ids)
+                            unique_ids=unique_ids, prune=prune)
     return top_k(cand, ["uid"], [F.col("r").desc(), F.col("rid").asc()], k)
 
 
 def top_k_products_excluding(left: DataFrame, right: DataFrame, exclude: DataFrame, k: int,
                              block_rows: int = MAX_BLOCK_ROWS, left_id: str = "id",
                              right_id: str = "id", vec_col: str = "features",
-                             unique_ids: bool = False) -> DataFrame:
+                             unique_ids: bool = False, prune: bool | None = None) -> DataFrame:
     """As ``top_k_products`` but skipping (uid, rid) pairs in ``exclude``.
 
     Exact: a row with c excluded partners keeps its best k + c per block
@@ -287,6 +309,6 @@ def top_k_products_excluding(left: DataFrame, right: DataFrame, exclude: DataFra
     lx = left.join(counts, left[left_id] == counts["_cuid"], "left").drop("_cuid") \
         .fillna(0, subset=["_extra"])
     cand = top_k_candidates(lx, right, k, block_rows, left_id, right_id, vec_col, extra_k="_extra",
-                            unique_ids=unique_ids)
+                            unique_ids=unique_ids, prune=prune)
     kept = cand.join(ex, ["uid", "rid"], "left_anti")
     return top_k(kept, ["uid"], [F.col("r").desc(), F.col("rid").asc()], k)

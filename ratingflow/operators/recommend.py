@@ -21,11 +21,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratingflow import schemas
 from ratingflow.functions.scalar import bounded_log2
+from ratingflow.operators.hubs import hub_join
+from ratingflow.operators.places import placed
 from ratingflow.operators.topk import collect_sorted, nest, top_k
 
 
@@ -55,47 +57,63 @@ def latest_per_user(batch: DataFrame) -> DataFrame:
     return batch.groupBy("uid").agg(best).select("uid", "m.mid", "m.score", "m.timestamp")
 
 
-def rated_pairs(history: DataFrame, users: DataFrame) -> DataFrame:
-    """(uid, rid): movies already rated by the users in ``users``.
+def rated_bitmaps(history: DataFrame, users: DataFrame | None = None) -> DataFrame:
+    """(uid, n, seen): how many movies a user has rated, and which, as a map
+    from the movie's bucket of 32,768 ids to a bitmap of 4 KB.
 
-    The semi join first cuts history to the batch's users (the batch side
-    is small; Spark broadcasts it when its size estimate allows), so the
-    following anti join shuffles only those users' ratings."""
-    return rated_by(history.join(users.select("uid").distinct(), "uid", "left_semi"))
+    The semi join first cuts the history to ``users``, if given.  The first
+    aggregate is partial: whatever a user has rated, a task ships a bitmap a
+    bucket at most.  A user's row is bounded by the catalogue, a bit a movie."""
+    if users is not None:
+        history = history.join(users.select("uid").distinct(), "uid", "left_semi")
+    bits = (history.where("mid is not null").groupBy("uid", F.bitmap_bucket_number("mid").alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("mid")).alias("bits")))
+    return bits.groupBy("uid").agg(F.sum(F.bitmap_count("bits")).alias("n"),
+                                   F.map_from_entries(F.collect_list(F.struct("bucket", "bits"))).alias("seen"))
 
 
-def rated_by(user_history: DataFrame) -> DataFrame:
-    """(uid, rid), each pair once, of a history already cut to its users."""
-    return user_history.select("uid", F.col("mid").alias("rid")).distinct()
+def in_bitmaps(seen: Column | str, mid: Column | str) -> Column:
+    """Whether the movie's bit is set; false for users without bitmaps."""
+    place = F.bitmap_bit_position(mid)
+    bits = F.try_element_at(F.col(seen) if isinstance(seen, str) else seen, F.bitmap_bucket_number(mid))
+    byte = F.conv(F.hex(F.substring(bits, F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.call_function("shiftright", byte, (place % 8).cast("int"))
+    return F.coalesce(bit.bitwiseAND(F.lit(1)) != 0, F.lit(False))
 
 
-def ranked_edges(edges: DataFrame) -> DataFrame:
+def ranked_edges(edges: DataFrame, spread: bool = False) -> DataFrame:
     """(mid, rid, r, pos): one edge a pair (the largest ``r`` of copies), with
-    its place among the movie's edges (r desc, rid asc)."""
+    its place among the movie's edges (r desc, rid asc).  ``spread``: a movie's
+    edges may be too many for one task (see ``places.placed``)."""
     one = edges.groupBy("mid", "rid").agg(F.max("r").alias("r"))
+    if spread:
+        return placed(one, ["mid"], [F.col("r").desc(), F.col("rid").asc()])
     w = Window.partitionBy("mid").orderBy(F.col("r").desc(), F.col("rid").asc())
     return one.withColumn("pos", F.row_number().over(w))
 
 
 def candidates(batch: DataFrame, history: DataFrame | None, edges: DataFrame, k: int = 20,
-               rated: DataFrame | None = None) -> DataFrame:
+               rated: DataFrame | None = None, spread: bool = False) -> DataFrame:
     """(uid, mid, pos, rid, r): for each (uid, mid) of ``batch``, the ``k``
     most similar movies to ``mid`` not rated by ``uid`` (r desc, rid asc).
     A movie without edges yields no candidates.
 
-    ``rated`` is ``rated_pairs`` if the caller has it; ``edges`` may come
+    ``rated`` is ``rated_bitmaps`` if the caller has it; ``edges`` may come
     ranked (``ranked_edges``), else the batch's movies' edges are ranked here.
-    A user with c rated movies needs a movie's best k + c edges at most, so
-    no more than that meet the anti join."""
+    A user with n rated movies needs a movie's best k + n edges at most; of
+    these the join itself drops the rated ones, by their bits, so that pairs
+    are not shuffled before the ranking.  ``spread``: a few movies may be named
+    by very many messages, or have very many edges."""
     src = batch.select("uid", "mid").distinct()
     if rated is None:
-        rated = rated_pairs(history, src)
+        rated = rated_bitmaps(history, src)
     if "pos" not in edges.columns:
-        edges = ranked_edges(edges.join(src.select("mid").distinct(), "mid", "left_semi"))
-    need = src.join(rated.groupBy("uid").agg(F.count(F.lit(1)).alias("_c")), "uid", "left")
-    pairs = (need.join(edges.select("mid", "rid", "r", F.col("pos").alias("_place")), "mid")
-             .where(F.col("_place") <= F.lit(k) + F.coalesce("_c", F.lit(0))).drop("_c", "_place"))
-    unseen = pairs.join(rated, ["uid", "rid"], "left_anti")
+        edges = ranked_edges(edges.join(src.select("mid").distinct(), "mid", "left_semi"), spread)
+    need = src.join(rated, "uid", "left")
+    places = edges.select("mid", "rid", "r", F.col("pos").alias("_place"))
+    joined = hub_join(need, places, "mid", "uid", counted=src) if spread else need.join(places, "mid")
+    unseen = (joined.where(F.col("_place") <= F.lit(k) + F.coalesce("n", F.lit(0)))
+              .where(~in_bitmaps("seen", "rid")).select("uid", "mid", "rid", "r"))
     ranked = top_k(unseen, ["uid", "mid"], [F.col("r").desc(), F.col("rid").asc()], k)
     return ranked.select("uid", "mid", "pos", "rid", "r")
 
@@ -153,11 +171,12 @@ def replace_by_key(old: DataFrame, new: DataFrame, key: str | Sequence[str] = "u
 
 def rescore(batch: DataFrame, history: DataFrame, edges: DataFrame, *, recent_k: int = 20,
             cand_k: int = 20, threshold: float = 0.6, like_above: float = 3.0,
-            own_history: bool = False) -> DataFrame:
+            own_history: bool = False, spread: bool = False) -> DataFrame:
     """Steps 1-4 for one batch of messages: (uid, recs).
 
     ``own_history``: the caller has cut ``history`` to the batch's users
     already; otherwise one semi join does.  ``edges`` may come ranked.
+    ``spread``: see ``candidates``.
     """
     latest = latest_per_user(batch)
     if not own_history:
@@ -165,6 +184,6 @@ def rescore(batch: DataFrame, history: DataFrame, edges: DataFrame, *, recent_k:
     if "pos" not in edges.columns:
         edges = ranked_edges(edges)
     recent = recent_ratings(history, recent_k)
-    cands = candidates(latest, None, edges, cand_k, rated=rated_by(history))
+    cands = candidates(latest, None, edges, cand_k, rated=rated_bitmaps(history), spread=spread)
     scored = scores(cands, recent, edges, threshold, like_above).select("uid", "rid", "score")
     return to_recs(latest, scored)
