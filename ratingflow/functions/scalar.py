@@ -91,8 +91,8 @@ def parse_message_fields(msg: Column | str, strict: bool = True,
     return out
 
 
-def parse_list_item(item: Column | str, sep: str = ":") -> list[Column]:
-    """One item ``mid<sep>score`` of a stored list -> [mid INT, score DOUBLE];
+def parse_list_item(item: Column | str, sep: str = MESSAGE_SEP) -> list[Column]:
+    """One item ``mid|score`` of a stored list -> [mid INT, score DOUBLE];
     both fields are trimmed; a short or bad item gives nulls."""
     parts = split_on(item, sep)
     return [java_trim(F.get(parts, 0)).try_cast("int").alias("mid"),

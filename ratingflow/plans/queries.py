@@ -227,17 +227,39 @@ def item_similarity(spark, sf):
     return edges(spark, sf, SIM_T).select("mid", "rid", F.round("r", 6).alias("r"))
 
 
-@register("similar_items_per_movie", with_(VECTORS, _EDGES.format(t=SIM_T)) + """
+_LISTS = """
 SELECT mid, CAST(count(*) AS INTEGER) AS n_similar, first(rid ORDER BY r DESC, rid ASC) AS top_rid,
        round(max(r), 6) AS max_r, round(min(r), 6) AS min_r
-FROM edges GROUP BY mid""")
+FROM {edges} GROUP BY mid"""
+
+
+def list_facts(pages: DataFrame) -> DataFrame:
+    """(mid, n_similar, top_rid, max_r, min_r) of paged lists."""
+    first, last = F.get("recs", 0), F.element_at("recs", -1)
+    return pages.groupBy("mid").agg(
+        F.sum(F.size("recs")).cast("int").alias("n_similar"), F.min_by(first["rid"], "page").alias("top_rid"),
+        F.round(F.min_by(first["r"], "page"), 6).alias("max_r"), F.round(F.max_by(last["r"], "page"), 6).alias("min_r"))
+
+
+@register("similar_items_per_movie", with_(VECTORS, _EDGES.format(t=SIM_T)) + _LISTS.format(edges="edges"))
 def similar_items_per_movie(spark, sf):
+    """Every similar movie of a movie, in lists of bounded size."""
+    from ratingflow.operators.similarity import nest_edges
+    return list_facts(nest_edges(edges(spark, sf, SIM_T), page_rows=10_000))
+
+
+@register("similar_items_hub", with_(VECTORS, _EDGES.format(t=SIM_T), """hub AS (
+  SELECT * FROM edges UNION ALL
+  SELECT -1 AS mid, mid * 100000 + rid AS rid, r / 2 AS r FROM edges WHERE (mid + rid) % 2 = 0)""")
+          + _LISTS.format(edges="hub"))
+def similar_items_hub(spark, sf):
+    """As ``similar_items_per_movie``, with one movie that holds about a third
+    of all edges, and short pages."""
     from ratingflow.operators.similarity import nest_edges
-    nested = nest_edges(edges(spark, sf, SIM_T))
-    n = F.size("recs")
-    return nested.select("mid", n.alias("n_similar"), F.col("recs")[0]["rid"].alias("top_rid"),
-                         F.round(F.col("recs")[0]["r"], 6).alias("max_r"),
-                         F.round(F.element_at("recs", -1)["r"], 6).alias("min_r"))
+    e = edges(spark, sf, SIM_T).checkpoint()
+    hub = e.where((F.col("mid") + F.col("rid")) % 2 == 0).select(
+        F.lit(-1).alias("mid"), (F.col("mid") * 100000 + F.col("rid")).alias("rid"), (F.col("r") / 2).alias("r"))
+    return list_facts(nest_edges(e.union(hub), page_rows=50))
 
 
 # ---------------------------------------------------------------- factor top-k
@@ -266,6 +288,83 @@ def factor_user_topk(spark, sf):
     return out.select("uid", "pos", "rid", F.round("r", 6).alias("r"))
 
 
+# ---------------------------------------------------------------- pruned products
+
+_CLUSTERED = """vectors AS (
+  SELECT CAST(vec_id AS INTEGER) AS mid, list_concat(embedding::DOUBLE[],
+         list_transform(range(0, 10), lambda i: CASE WHEN label = i THEN 4.0::DOUBLE ELSE 0.0::DOUBLE END)) AS features
+  FROM embeddings)"""
+CLUSTERED_T = 0.96
+
+
+def clustered_vectors(spark, sf: str) -> DataFrame:
+    """(mid, features): the item vectors with ten components more, which tell
+    their labels, so that labels are far apart."""
+    e = spark.read.parquet(f"{sf.rstrip('/')}/embeddings.parquet")
+    mark = F.array(*(F.when(F.col("label") == i, F.lit(4.0)).otherwise(F.lit(0.0)) for i in range(10)))
+    return e.select(F.col("vec_id").cast("int").alias("mid"),
+                    F.concat(F.col("embedding").cast("array<double>"), mark).alias("features"))
+
+
+@register("item_similarity_clustered", with_(_CLUSTERED, _EDGES.format(t=CLUSTERED_T)) + """
+SELECT mid, rid, round(r, 6) AS r FROM edges""")
+def item_similarity_clustered(spark, sf):
+    """Cosine edges of clustered vectors, with block pairs left out."""
+    from ratingflow.operators.blocked import cosine_edges
+    e = cosine_edges(clustered_vectors(spark, sf), CLUSTERED_T, prune=True, nb=20)
+    return e.select("mid", "rid", F.round("r", 6).alias("r"))
+
+
+@register("item_similarity_pruning", """
+SELECT CAST(count(*) * (count(*) - 1) // 2 AS BIGINT) AS cells, true AS most_skipped FROM embeddings""")
+def item_similarity_pruning(spark, sf):
+    """How many products of two vectors there are, and that most are left out."""
+    from ratingflow.operators.blocked import unit_vectors
+    from ratingflow.operators.pruned import near_clusters
+    unit = unit_vectors(clustered_vectors(spark, sf), "mid", "features").checkpoint()
+    report = near_clusters(unit, CLUSTERED_T, nb=20, n=unit.count()).report()
+    return report.select("cells", (F.col("cells_skipped") * 2 > F.col("cells")).alias("most_skipped"))
+
+
+_FALLING = """falling AS (
+  SELECT mid, list_transform(features, lambda x: x / ((1 + mid) * (1 + mid))) AS features FROM vectors)"""
+
+
+def falling_vectors(spark, sf: str) -> DataFrame:
+    """(mid, features): item vectors whose norms fall with the square of the id."""
+    return fx.item_vectors(spark, sf).select(
+        "mid", F.transform("features", lambda x: x / ((1 + F.col("mid")) * (1 + F.col("mid")))).alias("features"))
+
+
+@register("factor_topk_falling", with_(RATINGS, VECTORS, _PROFILE, _FALLING) + """
+SELECT uid, pos, rid, round(r, 6) AS r FROM (
+  SELECT p.uid, v.mid AS rid, list_dot_product(p.features, v.features) AS r,
+         CAST(row_number() OVER (PARTITION BY p.uid
+              ORDER BY list_dot_product(p.features, v.features) DESC, v.mid ASC) AS INTEGER) AS pos
+  FROM prof p, falling v)
+WHERE pos <= 20""")
+def factor_topk_falling(spark, sf):
+    """Best movies per user among vectors of falling norms, users shipped only
+    to the blocks that may still better their lists."""
+    from ratingflow.operators.blocked import top_k_products
+    users = fx.profile_vectors(fx.ratings(spark, sf), fx.item_vectors(spark, sf))
+    out = top_k_products(users, falling_vectors(spark, sf), 20, left_id="uid", right_id="mid", prune=True)
+    return out.select("uid", "pos", "rid", F.round("r", 6).alias("r"))
+
+
+@register("factor_topk_pruning", with_(RATINGS, VECTORS, _PROFILE) + """
+SELECT CAST((SELECT count(*) FROM prof) * (SELECT count(*) FROM vectors) AS BIGINT) AS cells, true AS most_skipped""")
+def factor_topk_pruning(spark, sf):
+    """How many products of a user and a movie there are, and that most of
+    them are left out."""
+    from ratingflow.operators.pruned import falling_norms
+    users = fx.profile_vectors(fx.ratings(spark, sf), fx.item_vectors(spark, sf)).select("uid", "features")
+    left = users.toDF("id", "v").checkpoint()
+    right = falling_vectors(spark, sf).toDF("id_r", "v_r").checkpoint()
+    report = falling_norms(left, right, 20, None, 2, 8, 1 << 16, right.count()).report()
+    return report.select("cells", (F.col("cells_multiplied") * 2 < F.col("cells")).alias("most_skipped"))
+
+
 # ---------------------------------------------------------------- stream scoring
 
 _BATCH = """batch AS (SELECT DISTINCT uid, mid FROM messages)"""
@@ -309,6 +408,17 @@ def stream_candidates(spark, sf):
     return c.select("uid", "mid", "pos", "rid", F.round("r", 6).alias("r"))
 
 
+@register("stream_candidates_hub", with_(RATINGS, MESSAGES, VECTORS, _EDGES.format(t=STREAM_T), """batch AS (
+  SELECT DISTINCT uid, CASE WHEN uid % 3 = 0 THEN 7 ELSE mid END AS mid FROM messages)""", _CANDS.format(src="batch")) + """
+SELECT uid, mid, pos, rid, round(r, 6) AS r FROM cands""")
+def stream_candidates_hub(spark, sf):
+    """As ``stream_candidates``, a third of the users naming one movie."""
+    from ratingflow.operators.recommend import candidates
+    msgs, hist, e = _stream_inputs(spark, sf, reuse_edges=False)
+    hub = msgs.withColumn("mid", F.when(F.col("uid") % 3 == 0, F.lit(7)).otherwise(F.col("mid")))
+    return candidates(hub, hist, e, k=20, spread=True).select("uid", "mid", "pos", "rid", F.round("r", 6).alias("r"))
+
+
 @register("stream_scores", with_(RATINGS, MESSAGES, VECTORS, _EDGES.format(t=STREAM_T), _BATCH,
                                  _CANDS.format(src="batch"), _RECENT, _SCORED.format(t=STREAM_T)) + """
 SELECT uid, mid, rid, round(score, 6) AS score FROM scored""")
@@ -458,40 +568,92 @@ def _als_params():
 ALS_CHECK = _als_params()
 
 
+def in_blocks(slice_: DataFrame, rows: DataFrame, blocks: int = 16) -> DataFrame:
+    """Every row of a slice (named by id) with every row of a table, as an
+    equi join on the table's blocks."""
+    dealt = rows.withColumn("_b", F.pmod(F.xxhash64(*rows.columns[:1]), F.lit(blocks)).cast("int"))
+    copies = slice_.withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    return copies.join(dealt, "_b").drop("_b")
+
+
+def dot(a: str, b: str):
+    """Plain inner product of two array columns."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
+
+
+def missed_recs(top: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
+    """(uid, n_missed) of the users whose id is divisible by 50: movies that
+    score above the last one of their list and aren't in it, by plain products
+    with the whole catalogue."""
+    last = top.groupBy("uid").agg(F.min("r").alias("least"))
+    asked = users.where("uid % 50 = 0").select("uid", F.col("features").alias("u")).join(last, "uid")
+    better = F.col("score") > F.col("least") + 1e-6
+    every = in_blocks(asked, items.select("mid", F.col("features").alias("v"))) \
+        .select("uid", "mid", "least", dot("u", "v").alias("score")).where(better)
+    missed = every.join(top.select("uid", F.col("rid").alias("mid")), ["uid", "mid"], "left_anti")
+    counts = missed.groupBy("uid").agg(F.count(F.lit(1)).alias("n"))
+    return asked.select("uid").join(counts, "uid", "left").select("uid", F.coalesce("n", F.lit(0)).alias("n_missed"))
+
+
 @register("als_user_topk", with_(RATINGS) + """
 SELECT DISTINCT uid, CAST(20 AS BIGINT) AS n_recs, CAST(20 AS BIGINT) AS n_distinct,
-       CAST(20 AS BIGINT) AS n_known, true AS descending FROM ratings""")
+       CAST(20 AS BIGINT) AS n_known, true AS descending,
+       CASE WHEN uid % 50 = 0 THEN CAST(0 AS BIGINT) END AS n_missed FROM ratings""")
 def als_user_topk(spark, sf):
-    """Per user: 20 distinct movies of the catalogue, best first."""
-    from ratingflow.operators.model import fit, model_user_top_k
+    """Per user: 20 distinct movies of the catalogue, best first, and for the
+    users named by ``missed_recs`` none left out that scores above the last."""
+    from ratingflow.operators.model import fit, item_factors, model_user_top_k, user_factors
     r, movies = fx.ratings(spark, sf), fx.movies(spark, sf)
-    top = model_user_top_k(fit(r, **ALS_CHECK), movies, k=20)
+    model = fit(r, **ALS_CHECK)
+    top = model_user_top_k(model, movies, k=20).checkpoint()
+    known_items = item_factors(model).join(movies.select("mid"), "mid", "left_semi")
+    missed = missed_recs(top, user_factors(model), known_items)
     known = movies.select(F.col("mid").alias("rid"), F.lit(1).alias("known"))
     scores_in_order = F.transform(F.array_sort(F.collect_list(F.struct("pos", "r"))), lambda x: x["r"])
     facts = top.join(known, "rid", "left").groupBy("uid").agg(
         F.count(F.lit(1)).alias("n_recs"), F.countDistinct("rid").alias("n_distinct"),
         F.count("known").alias("n_known"), scores_in_order.alias("_r"))
-    return facts.select("uid", "n_recs", "n_distinct", "n_known",
-                        (F.col("_r") == F.reverse(F.array_sort("_r"))).alias("descending"))
+    return facts.join(missed, "uid", "left").select(
+        "uid", "n_recs", "n_distinct", "n_known",
+        (F.col("_r") == F.reverse(F.array_sort("_r"))).alias("descending"), "n_missed")
+
+
+def missed_edges(edges_: DataFrame, items: DataFrame, threshold: float) -> DataFrame:
+    """One row (n_missed, n_extra): pairs of a movie whose id is divisible by 50
+    and any other whose plain cosine is above ``threshold`` and which aren't
+    edges, and edges of these movies that no such pair has."""
+    unit = items.withColumn("n", F.sqrt(dot("features", "features"))).where("n > 0") \
+        .select("mid", F.transform("features", lambda x: x / F.col("n")).alias("v"))
+    asked = unit.where("mid % 50 = 0").select(F.col("mid").alias("a"), F.col("v").alias("u"))
+    pairs = in_blocks(asked, unit).where("a != mid").select("a", "mid", dot("u", "v").alias("cos"))
+    own = edges_.where("mid % 50 = 0").select(F.col("mid").alias("a"), F.col("rid").alias("mid"), "r")
+    both = pairs.where(F.col("cos") > threshold - 1e-9).join(own, ["a", "mid"], "full")
+    # rounding may put a pair at the threshold itself on either side
+    return both.agg(F.count_if(F.col("r").isNull() & (F.col("cos") > threshold + 1e-9)).alias("n_missed"),
+                    F.count_if(F.col("cos").isNull()).alias("n_extra"))
 
 
 @register("als_item_similarity", """
 SELECT CAST(0 AS BIGINT) AS one_way, CAST(0 AS BIGINT) AS below, CAST(0 AS BIGINT) AS self_edges,
-       CAST(0 AS BIGINT) AS unknown, true AS some""")
+       CAST(0 AS BIGINT) AS unknown, true AS some, CAST(0 AS BIGINT) AS n_missed, CAST(0 AS BIGINT) AS n_extra""")
 def als_item_similarity(spark, sf):
     """The learned edges: both ways with one value, above the threshold, no
-    self edges, rated movies only."""
-    from ratingflow.operators.model import fit, model_item_similarity
+    self edges, rated movies only, and complete for the movies that
+    ``missed_edges`` names."""
+    from ratingflow.operators.model import fit, item_factors, model_item_similarity
     r = fx.ratings(spark, sf)
-    e = model_item_similarity(fit(r, **ALS_CHECK), threshold=0.6).checkpoint()
+    model = fit(r, **ALS_CHECK)
+    e = model_item_similarity(model, threshold=0.6).checkpoint()
     back = e.select(F.col("rid").alias("mid"), F.col("mid").alias("rid"), F.round("r", 9).alias("back"))
     one_way = e.withColumn("r", F.round("r", 9)).join(back, ["mid", "rid"], "left") \
         .agg(F.count_if(F.col("back").isNull() | (F.abs(F.col("back") - F.col("r")) > 1e-6)).alias("one_way"))
     rest = e.agg(F.count_if(F.col("r") <= 0.6).alias("below"), F.count_if(F.col("mid") == F.col("rid")).alias("self_edges"),
                  (F.count(F.lit(1)) > 0).alias("some"))
     unknown = e.join(r.select("mid").distinct(), "mid", "left_anti").agg(F.count(F.lit(1)).alias("unknown"))
-    parts = one_way.unionByName(rest, allowMissingColumns=True).unionByName(unknown, allowMissingColumns=True)
-    return parts.agg(*[F.max(c).alias(c) for c in ("one_way", "below", "self_edges", "unknown", "some")])
+    parts = one_way
+    for more in (rest, unknown, missed_edges(e, item_factors(model), 0.6)):
+        parts = parts.unionByName(more, allowMissingColumns=True)
+    return parts.agg(*[F.max(c).alias(c) for c in ("one_way", "below", "self_edges", "unknown", "some", "n_missed", "n_extra")])
 
 
 @register("als_rmse", with_(RATINGS) + """
@@ -537,7 +699,7 @@ SELECT uid, pos, mid, score, "timestamp" FROM (
               AS INTEGER) AS pos
   FROM messages) WHERE pos <= 20""")
 def stream_recent_state(spark, sf):
-    """Recent lists kept by the stream over two micro-batches of the rating
+    """Recent lists kept as keyed state over two micro-batches of the rating
     messages (restart from the checkpoint in between)."""
     from ratingflow.session import scratch_path
     from ratingflow.sinks.tables import KeyedLog
@@ -553,10 +715,7 @@ def stream_recent_state(spark, sf):
     for part in (F.col("timestamp") < split, F.col("timestamp") >= split):
         text.where(part).select("value").write.mode("append").text(f"{base}/in")
         stream = parse_messages(spark.readStream.format("text").load(f"{base}/in"))
-        q = (stream.writeStream.foreachBatch(lists)
-             .option("checkpointLocation", f"{base}/checkpoint")
-             .trigger(availableNow=True).start())
-        q.awaitTermination()
+        lists.start(stream, f"{base}/checkpoint", available_now=True).awaitTermination()
     return lists.read(spark)
 
 
@@ -606,10 +765,10 @@ def line_reject_counts(spark, sf):
 @register("recent_item_parse", with_(RATINGS) + """
 SELECT uid, mid, score FROM ratings""")
 def recent_item_parse(spark, sf):
-    """List items ``mid:score`` with blanks around both fields."""
+    """List items ``mid|score`` with blanks around both fields."""
     from ratingflow.functions.scalar import parse_list_item
     r = fx.ratings(spark, sf)
-    item = F.concat(F.lit(" "), "mid", F.lit(" :\t"), "score", F.lit("\n"))
+    item = F.concat(F.lit(" "), "mid", F.lit(" |\t"), "score", F.lit("\n"))
     return r.select("uid", item.alias("item")).select("uid", *parse_list_item("item"))
 
 
@@ -623,17 +782,25 @@ def rating_month_sql(spark, sf):
     return spark.sql("SELECT mid, count(mid) AS count, yearmonth FROM ratingCountByMonth GROUP BY yearmonth, mid")
 
 
-@register("store_round_trip", with_(RATINGS, MOVIES, TAGS) + """
-SELECT 'Rating' AS name, count(*) AS n, CAST(sum(mid) AS BIGINT) AS checksum FROM ratings
-UNION ALL SELECT 'Movie', count(*), CAST(sum(mid + length(name) + length(genres)) AS BIGINT) FROM movies
-UNION ALL SELECT 'Tag', count(*), CAST(sum(mid + length(tag)) AS BIGINT) FROM tags
-UNION ALL SELECT 'documents', count(*), CAST(sum(m.mid + coalesce(length(t.tags), 0)) AS BIGINT)
-FROM movies m LEFT JOIN (
-  SELECT mid, string_agg(DISTINCT tag, '|' ORDER BY tag) AS tags
-  FROM tags WHERE tag IS NOT NULL GROUP BY mid) t ON m.mid = t.mid""")
+#: Columns of the loader's tables; a row's text is all of them.
+_STORED = {"Rating": ("uid", "mid", "score", "timestamp"), "Movie": ("mid", "name", "genres"),
+           "Tag": ("uid", "mid", "tag", "timestamp"), "documents": ("mid", "name", "genres", "tags")}
+
+
+def _stored_sql(name: str, source: str) -> str:
+    text = ", ".join(f"""coalesce(CAST("{c}" AS VARCHAR), '~')""" for c in _STORED[name])
+    return (f"SELECT '{name}' AS name, count(*) AS n, "
+            f"CAST(sum(CAST('0x' || substr(md5(concat_ws('|', {text})), 1, 8) AS BIGINT)) AS BIGINT) AS checksum FROM {source}")
+
+
+@register("store_round_trip", with_(RATINGS, MOVIES, TAGS, """docs AS (
+  SELECT m.*, t.tags FROM movies m LEFT JOIN (
+    SELECT mid, string_agg(DISTINCT tag, '|' ORDER BY tag) AS tags
+    FROM tags WHERE tag IS NOT NULL GROUP BY mid) t ON m.mid = t.mid)""") + "\nUNION ALL ".join(
+    _stored_sql(n, src) for n, src in (("Rating", "ratings"), ("Movie", "movies"), ("Tag", "tags"), ("documents", "docs"))))
 def store_round_trip(spark, sf):
-    """The loader's tables and search documents, overwritten twice, read
-    back through the typed scans."""
+    """The loader's tables and search documents, overwritten twice, read back
+    through the typed scans: rows, and a sum of hashes over all columns."""
     from ratingflow import schemas
     from ratingflow.session import scratch_path
     from ratingflow.sinks.tables import write_search_documents, write_table
@@ -646,21 +813,21 @@ def store_round_trip(spark, sf):
         write_table(movies, f"{base}/Movie")
         write_table(tags, f"{base}/Tag")
         write_search_documents(docs.union(docs), f"{base}/documents")
-    sums = {
-        "Rating": (schemas.RATING, F.col("mid")),
-        "Movie": (schemas.MOVIE, F.col("mid") + F.length("name") + F.length("genres")),
-        "Tag": (schemas.TAG, F.col("mid") + F.length("tag")),
-        "documents": (None, F.col("mid") + F.coalesce(F.length("tags"), F.lit(0))),
-    }
+    kinds = {"Rating": schemas.RATING, "Movie": schemas.MOVIE, "Tag": schemas.TAG}
     out = None
-    for name, (schema, value) in sums.items():
-        rows = read_table(spark, f"{base}/{name}", schema)
-        one = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(value).cast("long").alias("checksum")) \
-            .select(F.lit(name).alias("name"), "n", "checksum")
+    for name in _STORED:
+        one = stored_checksum(read_table(spark, f"{base}/{name}", kinds.get(name)), name)
         out = one if out is None else out.union(one)
     return out
 
 
+def stored_checksum(rows: DataFrame, name: str) -> DataFrame:
+    """(name, n, checksum): rows, and the sum of 32 bits of each row's MD5."""
+    text = F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in _STORED[name]))
+    part = F.conv(F.substring(F.md5(F.encode(text, "UTF-8")), 1, 8), 16, 10).cast("long")
+    return rows.agg(F.count(F.lit(1)).alias("n"), F.sum(part).alias("checksum")).select(F.lit(name).alias("name"), "n", "checksum")
+
+
 @register("edges_round_trip", with_(VECTORS, _EDGES.format(t=SIM_T)) + """
 SELECT mid, rid, round(r, 6) AS r FROM edges""")
 def edges_round_trip(spark, sf):
@@ -741,10 +908,12 @@ WHERE uid NOT IN (SELECT uid FROM recs1)"""
 
 @register("stream_rescoring_live", _live_sql())
 def stream_rescoring_live(spark, sf):
-    """The rating stream whose messages join the history: each batch's recents
-    and exclusion hold its own and the earlier batches' ratings."""
+    """The rating stream whose messages join the history, which is read by
+    user: each batch's recents and exclusion hold its own and the earlier
+    batches' ratings."""
     from ratingflow.params import Params
     from ratingflow.session import scratch_path
+    from ratingflow.sinks.history import UserHistory
     from ratingflow.sinks.tables import KeyedLog
     from ratingflow.streaming.recommender import RescoreHandler, start_rescoring
 
@@ -752,9 +921,11 @@ def stream_rescoring_live(spark, sf):
     msgs = messages(spark, sf)
     split = _split_ts(msgs)
     text = msgs.select(F.concat_ws("|", "uid", "mid", "score", "timestamp").alias("value"), "timestamp")
-    sink = KeyedLog(f"{base}/recs", key="uid")
-    params = Params(recent_k=20, cand_k=20, score_threshold=STREAM_T, like_above=3.0, append_history=True)
-    handler = RescoreHandler(lambda: fx.ratings(spark, sf), edges(spark, sf, STREAM_T), sink, params)
+    sink = KeyedLog(f"{base}/recs", key="uid", committed=True)
+    params = Params(recent_k=20, cand_k=20, score_threshold=STREAM_T, like_above=3.0, append_history=True, compact_every=1)
+    history = UserHistory(f"{base}/history", buckets=16)
+    history.load(fx.ratings(spark, sf))
+    handler = RescoreHandler(history, edges(spark, sf, STREAM_T), sink, params)
     try:
         for part in (F.col("timestamp") < split, F.col("timestamp") >= split):
             text.where(part).select("value").write.mode("append").text(f"{base}/in")
