@@ -19,7 +19,7 @@ stream (``streaming.recommender``).  Inputs:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -169,21 +169,29 @@ def replace_by_key(old: DataFrame, new: DataFrame, key: str | Sequence[str] = "u
     return old.join(new.select(*keys).distinct(), keys, "left_anti").unionByName(new)
 
 
-def rescore(batch: DataFrame, history: DataFrame, edges: DataFrame, *, recent_k: int = 20,
+def rescore(batch: DataFrame, history: DataFrame, edges: DataFrame | None, *, recent_k: int = 20,
             cand_k: int = 20, threshold: float = 0.6, like_above: float = 3.0,
-            own_history: bool = False, spread: bool = False) -> DataFrame:
+            own_history: bool = False, spread: bool = False,
+            edges_of: Callable[[DataFrame], DataFrame] | None = None,
+            hold: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """Steps 1-4 for one batch of messages: (uid, recs).
 
     ``own_history``: the caller has cut ``history`` to the batch's users
     already; otherwise one semi join does.  ``edges`` may come ranked.
-    ``spread``: see ``candidates``.
+    ``spread``: see ``candidates``.  ``edges_of`` gives the ranked edges of a
+    table of movies (mid), in place of ``edges``: those of the messages' movies,
+    then those of the candidates, which are read twice and go through ``hold``.
     """
     latest = latest_per_user(batch)
     if not own_history:
         history = history.join(latest.select("uid"), "uid", "left_semi")
-    if "pos" not in edges.columns:
+    if edges_of is None and "pos" not in edges.columns:
         edges = ranked_edges(edges)
     recent = recent_ratings(history, recent_k)
-    cands = candidates(latest, None, edges, cand_k, rated=rated_bitmaps(history), spread=spread)
+    near = edges_of(latest) if edges_of else edges
+    cands = candidates(latest, None, near, cand_k, rated=rated_bitmaps(history), spread=spread)
+    if edges_of:
+        cands = hold(cands)
+        edges = edges_of(cands.select(F.col("rid").alias("mid")))
     scored = scores(cands, recent, edges, threshold, like_above).select("uid", "rid", "score")
     return to_recs(latest, scored)

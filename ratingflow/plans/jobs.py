@@ -27,7 +27,7 @@ from ratingflow.operators import documents, model, similarity, stats
 from ratingflow.operators.topk import nest
 from ratingflow.params import Params
 from ratingflow.session import set_time_zone
-from ratingflow.sinks.history import UserHistory
+from ratingflow.sinks.history import EdgeTable, UserHistory
 from ratingflow.sinks.tables import KeyedLog, write_search_documents, write_table
 from ratingflow.sources.lines import read_lines
 from ratingflow.sources.tables import read_table, to_edges
@@ -155,8 +155,14 @@ def rescoring_job(spark: SparkSession, messages: DataFrame,
     """Structured Streaming job: ``messages`` is the streaming DataFrame
     of the rating topic (column ``value``), ``movie_recs`` the nested
     similarity table written by ``offline_job``; ``history`` as a
-    ``UserHistory`` is read by user, as a function anew for each batch."""
-    handler = RescoreHandler(history, to_edges(movie_recs), KeyedLog(sink_path, "uid"), params, with_string=True)
+    ``UserHistory`` is read by user (and then the edges by movie, from a table
+    written beside the sink first), as a function anew for each batch."""
+    edges = to_edges(movie_recs)
+    if isinstance(history, UserHistory):
+        by_movie = EdgeTable(f"{sink_path.rstrip('/')}_edges", history.files.buckets)
+        by_movie.load(edges)
+        edges = by_movie
+    handler = RescoreHandler(history, edges, KeyedLog(sink_path, "uid"), params, with_string=True)
     return start_rescoring(spark, messages, handler, checkpoint, available_now,
                            params.trigger_seconds)
 

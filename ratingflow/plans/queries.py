@@ -909,11 +909,11 @@ WHERE uid NOT IN (SELECT uid FROM recs1)"""
 @register("stream_rescoring_live", _live_sql())
 def stream_rescoring_live(spark, sf):
     """The rating stream whose messages join the history, which is read by
-    user: each batch's recents and exclusion hold its own and the earlier
-    batches' ratings."""
+    user, and the edges by movie: each batch's recents and exclusion hold its
+    own and the earlier batches' ratings."""
     from ratingflow.params import Params
     from ratingflow.session import scratch_path
-    from ratingflow.sinks.history import UserHistory
+    from ratingflow.sinks.history import EdgeTable, UserHistory
     from ratingflow.sinks.tables import KeyedLog
     from ratingflow.streaming.recommender import RescoreHandler, start_rescoring
 
@@ -925,7 +925,9 @@ def stream_rescoring_live(spark, sf):
     params = Params(recent_k=20, cand_k=20, score_threshold=STREAM_T, like_above=3.0, append_history=True, compact_every=1)
     history = UserHistory(f"{base}/history", buckets=16)
     history.load(fx.ratings(spark, sf))
-    handler = RescoreHandler(history, edges(spark, sf, STREAM_T), sink, params)
+    by_movie = EdgeTable(f"{base}/edges", buckets=16)
+    by_movie.load(edges(spark, sf, STREAM_T))
+    handler = RescoreHandler(history, by_movie, sink, params)
     try:
         for part in (F.col("timestamp") < split, F.col("timestamp") >= split):
             text.where(part).select("value").write.mode("append").text(f"{base}/in")

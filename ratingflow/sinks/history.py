@@ -1,57 +1,41 @@
-"""Ratings by user with point access, which a stream reads and extends.
-
-``UserHistory`` buckets ratings by a hash of the user.  Inside a bucket the
-files are sorted by user and carry Parquet bloom filters on ``uid``.  A batch
-reads the buckets of its users only, and of these only the row groups that its
-users' ids may be in.
-
-Layout: ``{path}/base=<n>/ub=<bucket>`` is the table with all batches up to n
-(-1: as loaded), ``{path}/log/batch_id=<n>/ub=<bucket>`` what batch n added, in
-the same buckets.  A base counts once its job has committed (``_SUCCESS``), so
-a ``compact`` that dies leaves the one before in place.  A replayed batch
-overwrites its own folder.
+"""Ratings by user with point access, which a stream reads and extends, and
+similarity edges by movie.
+
+Layout of ``UserHistory``: ``{path}/base=<n>/ub=<bucket>`` is the table with all
+batches up to n (-1: as loaded), ``{path}/log/batch_id=<n>/ub=<bucket>`` what
+batch n added, in the same buckets.  A base counts once its job has committed
+(``_SUCCESS``), so a ``compact`` that dies leaves the one before in place.  A
+replayed batch overwrites its own folder.
 """
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ratingflow.session import children, remove
-from ratingflow.sinks.tables import user_bucket
+from ratingflow.sinks.point import PointFiles
 
-COLUMNS = ("uid", "mid", "score", "timestamp")
-_SCHEMA = "uid int, mid int, score double, timestamp int, ub int"
+COLUMNS = {"uid": "int", "mid": "int", "score": "double", "timestamp": "int"}
+EDGES = {"mid": "int", "rid": "int", "r": "double", "pos": "int"}
 
 
 class UserHistory:
-    """``buckets`` should follow the cluster (a bucket is a file or a few);
-    ``row_group_bytes`` bounds what one user's read decodes; up to ``max_users``
-    ids of a batch are pushed into the scan, beyond it a semi join finds the
-    users within their buckets."""
+    """See ``PointFiles`` for the parameters; a key is a user."""
 
     def __init__(self, path: str, buckets: int = 1024, row_group_bytes: int = 1 << 20, max_users: int = 1000):
         self.path = path.rstrip("/")
-        self.buckets, self.row_group_bytes, self.max_users = buckets, row_group_bytes, max_users
-
-    def _write(self, rows: DataFrame, path: str) -> None:
-        rows = rows.select(*COLUMNS).withColumn("ub", user_bucket("uid", self.buckets))
-        # the hint splits a bucket that holds a hot user over several tasks
-        (rows.hint("rebalance", "ub").sortWithinPartitions("ub", "uid").write.mode("overwrite")
-         .option("parquet.bloom.filter.enabled#uid", "true")
-         .option("parquet.block.size", self.row_group_bytes)
-         .partitionBy("ub").parquet(path))
+        self.files = PointFiles("uid", COLUMNS, buckets, row_group_bytes, max_users)
 
     def load(self, ratings: DataFrame) -> None:
         """Start anew from a table of ratings."""
         remove(ratings.sparkSession, self.path)
-        self._write(ratings, f"{self.path}/base=-1")
+        self.files.write(ratings, f"{self.path}/base=-1")
 
     def append(self, rows: DataFrame, batch_id: int) -> None:
         """Add a batch's ratings; the same batch again replaces them."""
-        self._write(rows, f"{self.path}/log/batch_id={int(batch_id)}")
+        self.files.write(rows, f"{self.path}/log/batch_id={int(batch_id)}")
 
     def _numbers(self, spark: SparkSession, folder: str, name: str) -> list[int]:
         found = (re.fullmatch(f"{name}=(-?[0-9]+)", x) for x in children(spark, folder))
@@ -64,41 +48,25 @@ class UserHistory:
     def _batches(self, spark: SparkSession) -> list[int]:
         return self._numbers(spark, f"{self.path}/log", "batch_id")
 
-    def rows(self, spark: SparkSession, upto: int | None = None, where: Column | None = None) -> DataFrame:
+    def rows(self, spark: SparkSession, upto: int | None = None) -> DataFrame:
         """(uid, mid, score, timestamp, ub): the ratings with all batches up to
         ``upto`` (default: all)."""
         bases = [n for n in self._bases(spark) if upto is None or n <= upto]
         base = bases[-1] if bases else None
         batches = [n for n in self._batches(spark) if (base is None or n > base) and (upto is None or n <= upto)]
-        read = spark.read.schema(_SCHEMA)
-        out = None
-        if base is not None:
-            out = read.parquet(f"{self.path}/base={base}")
+        read = spark.read.schema(self.files.schema)
+        parts = [read.parquet(f"{self.path}/base={base}")] if base is not None else []
         if batches:
             log = f"{self.path}/log"
-            added = read.option("basePath", log).parquet(*(f"{log}/batch_id={n}" for n in batches)).select(*COLUMNS, "ub")
-            out = added if out is None else out.unionByName(added)
-        if out is None:
-            out = spark.createDataFrame([], _SCHEMA)
-        return out if where is None else out.where(where)
+            added = read.option("basePath", log).parquet(*(f"{log}/batch_id={n}" for n in batches))
+            parts.append(added.drop("batch_id"))
+        if not parts:
+            return spark.createDataFrame([], self.files.schema)
+        return parts[0].unionByName(parts[1]) if len(parts) > 1 else parts[0]
 
     def of_users(self, users: DataFrame, upto: int | None = None) -> DataFrame:
         """(uid, mid, score, timestamp) of the users in ``users`` (uid)."""
-        spark = users.sparkSession
-        users = users.select("uid").where("uid is not null").distinct()
-        keyed = users.select("uid", user_bucket("uid", self.buckets).alias("ub"))
-        few = keyed.limit(self.max_users + 1).collect()
-        if len(few) <= self.max_users:
-            # ids as literals: the scan skips row groups by statistics and bloom
-            # filters, which needs the list to be pushed as it is
-            spark.conf.set("spark.sql.parquet.pushdown.inFilterThreshold", str(self.max_users))
-            if not few:
-                return self.rows(spark, upto, F.lit(False)).select(*COLUMNS)
-            mine = F.col("ub").isin(sorted({r.ub for r in few})) & F.col("uid").isin(sorted(r.uid for r in few))
-            return self.rows(spark, upto, mine).select(*COLUMNS)
-        # a bounded list, whatever the batch
-        buckets = sorted(r.ub for r in keyed.select("ub").distinct().collect())
-        return self.rows(spark, upto, F.col("ub").isin(buckets)).select(*COLUMNS).join(users, "uid", "left_semi")
+        return self.files.of_keys(self.rows(users.sparkSession, upto), users)
 
     def compact(self, spark: SparkSession, upto: int) -> None:
         """Fold all batches up to ``upto`` into a new base.  The base before
@@ -106,9 +74,27 @@ class UserHistory:
         before = self._bases(spark)
         if before and before[-1] >= upto:
             return
-        self._write(self.rows(spark, upto), f"{self.path}/base={int(upto)}")
+        self.files.write(self.rows(spark, upto), f"{self.path}/base={int(upto)}")
         for n in before[:-1]:
             remove(spark, f"{self.path}/base={n}")
         for n in self._batches(spark):
             if before and n <= before[-1]:
                 remove(spark, f"{self.path}/log/batch_id={n}")
+
+
+class EdgeTable:
+    """Similarity edges by movie, ranked and written once; a batch reads those
+    of its movies.  See ``PointFiles`` for the parameters."""
+
+    def __init__(self, path: str, buckets: int = 1024, row_group_bytes: int = 1 << 20, max_movies: int = 10_000):
+        self.path = path.rstrip("/")
+        self.files = PointFiles("mid", EDGES, buckets, row_group_bytes, max_movies)
+
+    def load(self, edges: DataFrame, spread: bool = True) -> None:
+        """Replace the table by ``edges`` (mid, rid, r)."""
+        from ratingflow.operators.recommend import ranked_edges
+        self.files.write(ranked_edges(edges, spread), self.path)
+
+    def of_movies(self, movies: DataFrame) -> DataFrame:
+        """(mid, rid, r, pos) of the movies in ``movies`` (mid)."""
+        return self.files.of_keys(movies.sparkSession.read.schema(self.files.schema).parquet(self.path), movies)

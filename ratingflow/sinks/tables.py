@@ -46,11 +46,6 @@ def write_search_documents(docs: DataFrame, path: str | None = None, fmt: str =
     write_table(one, path, fmt, options=options)
 
 
-def user_bucket(uid_col: str, n_buckets: int):
-    """Hash bucket of a user id (the partition column of ``UserHistory``)."""
-    return F.pmod(F.xxhash64(F.col(uid_col)), F.lit(int(n_buckets))).cast("int")
-
-
 class KeyedLog:
     """Append-only keyed table: newest ``batch_id`` wins per key.
 

@@ -14,7 +14,7 @@ beside the sink.
 Bad messages are dropped and counted in a table beside the sink, by batch
 (``RescoreHandler.message_counts``).
 
-Recovery: a batch writes its counts, its history and its recs, each under its
+Recovery: a batch writes its history, its recs and its counts, each under its
 own ``batch_id``, and last of all a commit record (``KeyedLog.commit``), which
 ``committed`` readers wait for.  The streaming checkpoint records offsets; a
 replayed batch recomputes the same rows and overwrites its own parts.
@@ -24,15 +24,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ratingflow.functions.scalar import parse_message_fields, recs_to_string
 from ratingflow.operators.recommend import ranked_edges, rescore
 from ratingflow.params import Params
-from ratingflow.sinks.history import UserHistory
+from ratingflow.sinks.history import EdgeTable, UserHistory
 from ratingflow.sinks.tables import KeyedLog
 
 
@@ -48,15 +49,17 @@ class RescoreHandler:
 
     COLUMNS = ("uid", "mid", "score", "timestamp")
 
-    def __init__(self, history: UserHistory | DataFrame | Callable[[], DataFrame], edges: DataFrame, sink: KeyedLog,
-                 params: Params = Params(), with_string: bool = False):
+    def __init__(self, history: UserHistory | DataFrame | Callable[[], DataFrame], edges: EdgeTable | DataFrame,
+                 sink: KeyedLog, params: Params = Params(), with_string: bool = False):
         """``history``: ratings with point access, a table, or a function that
-        reads a table anew per batch."""
+        reads a table anew per batch.  ``edges``: with point access, or a table,
+        which is then held whole."""
         self.history = history
         # the similarity table is a lookup (one value per movie pair, copies
         # collapse), ranked per movie and static: keep it across batches
         # (lineage is a table scan, so a lost block is simply re-read)
-        self.edges = ranked_edges(edges).persist(StorageLevel.MEMORY_AND_DISK)
+        self.edges = edges if isinstance(edges, EdgeTable) else \
+            ranked_edges(edges, params.spread_hubs).persist(StorageLevel.MEMORY_AND_DISK)
         self.sink = sink
         self.own = history if isinstance(history, UserHistory) else \
             UserHistory(f"{sink.path}_history", params.history_buckets or 64)
@@ -66,38 +69,52 @@ class RescoreHandler:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         p = self.params
-        raw = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        spark = batch.sparkSession
+        parsed = batch.select(*parse_message_fields(F.col("value").cast("string"), strict=False))
+        ok = F.col("uid").isNotNull() & F.col("mid").isNotNull() & F.col("score").isNotNull() & F.col("timestamp").isNotNull()
+        # counted in the pass that parses the messages, whichever job runs it
+        counted = Observation(f"messages-{batch_id}")
+        msgs = (parsed.observe(counted, F.count(F.lit(1)).alias("n"), F.count_if(ok).alias("n_ok"))
+                .where(ok).persist(StorageLevel.MEMORY_AND_DISK))
+        held = [msgs]
+
+        def hold(df: DataFrame) -> DataFrame:
+            held.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+            return df
         try:
-            parsed = raw.select(*parse_message_fields(F.col("value").cast("string"), strict=False))
-            ok = F.col("uid").isNotNull() & F.col("mid").isNotNull() & \
-                F.col("score").isNotNull() & F.col("timestamp").isNotNull()
-            self.counts.write_batch(parsed.agg(F.count(F.lit(1)).alias("n"),
-                                               (F.count(F.lit(1)) - F.count_if(ok)).alias("n_bad")), batch_id)
-            msgs = parsed.where(ok)
-            if msgs.isEmpty():
-                self.sink.commit(raw.sparkSession, batch_id)
-                return
             if p.append_history:
                 self.own.append(msgs, batch_id)
             # the batch users' history is read once and reused for the
             # recent lists and the rated-movie exclusion
-            mine = self._history_for(msgs, batch_id).persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                recs = rescore(msgs, mine, self.edges, recent_k=p.recent_k,
-                               cand_k=p.cand_k, threshold=p.score_threshold,
-                               like_above=p.like_above, own_history=True, spread=p.spread_hubs)
-                if self.with_string:
-                    recs = recs.withColumn("recs_string", recs_to_string("recs"))
-                self.sink.write_batch(recs, batch_id)
-                self.sink.commit(recs.sparkSession, batch_id)
-                if p.compact_every and batch_id > 0 and batch_id % p.compact_every == 0:
-                    self.sink.compact(recs.sparkSession)
-                    if p.append_history:
-                        self.own.compact(recs.sparkSession, batch_id)
-            finally:
-                mine.unpersist()
+            mine = hold(self._history_for(msgs, batch_id))
+            by_movie = isinstance(self.edges, EdgeTable)
+            recs = rescore(msgs, mine, None if by_movie else self.edges, hold=hold,
+                           edges_of=self.edges.of_movies if by_movie else None, recent_k=p.recent_k,
+                           cand_k=p.cand_k, threshold=p.score_threshold,
+                           like_above=p.like_above, own_history=True, spread=p.spread_hubs)
+            if self.with_string:
+                recs = recs.withColumn("recs_string", recs_to_string("recs"))
+            self.sink.write_batch(recs, batch_id)
+            self.counts.write_batch(spark.createDataFrame([self._numbers(counted, parsed)], "n long, n_bad long"), batch_id)
+            self.sink.commit(spark, batch_id)
+            if p.compact_every and batch_id > 0 and batch_id % p.compact_every == 0:
+                self.sink.compact(spark)
+                if p.append_history:
+                    self.own.compact(spark, batch_id)
         finally:
-            raw.unpersist()
+            for df in held:
+                df.unpersist()
+
+    @staticmethod
+    def _numbers(counted: Observation, parsed: DataFrame) -> tuple[int, int]:
+        """Messages, and bad ones among them."""
+        try:
+            seen = counted.get
+        except Py4JJavaError:
+            # without a good message Spark drops the observed step from the plan
+            n = parsed.count()
+            return n, n
+        return seen["n"], seen["n"] - seen["n_ok"]
 
     def _history_for(self, msgs: DataFrame, batch_id: int | None = None) -> DataFrame:
         """The ratings of the batch's users, this batch's included."""
@@ -115,7 +132,8 @@ class RescoreHandler:
         return self.counts.read_log(spark).select("batch_id", "n", "n_bad")
 
     def close(self) -> None:
-        self.edges.unpersist()
+        if not isinstance(self.edges, EdgeTable):
+            self.edges.unpersist()
 
 
 def start_rescoring(spark: SparkSession, source: DataFrame, handler: RescoreHandler,

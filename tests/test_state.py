@@ -6,7 +6,7 @@ import io
 import pytest
 
 from ratingflow.params import Params
-from ratingflow.sinks.history import UserHistory
+from ratingflow.sinks.history import EdgeTable, UserHistory
 from ratingflow.sinks.tables import KeyedLog
 from ratingflow.sources import fixtures as fx
 from ratingflow.streaming.recent_state import RecentLists, cut_to_newest, stored_lists
@@ -183,16 +183,47 @@ def test_handler_reads_by_user_what_it_reads_from_a_table(spark, tmp_path):
     history = UserHistory(str(tmp_path / "hist"), buckets=16)
     history.load(ratings)
     msgs = spark.createDataFrame([("1|10|4.0|100",), ("2|11|3.0|100",), ("77777|1|3.0|1",)], "value string")
+    by_movie = EdgeTable(str(tmp_path / "edges"), buckets=8)
+    by_movie.load(edges)
     out = {}
-    for name, source in (("plain", ratings), ("by_user", history)):
+    for name, source, table in (("plain", ratings, edges), ("by_user", history, by_movie)):
         sink = KeyedLog(str(tmp_path / name), "uid")
-        handler = RescoreHandler(source, edges, sink, Params(score_threshold=0.2))
+        handler = RescoreHandler(source, table, sink, Params(score_threshold=0.2))
         handler(msgs, 0)
         handler.close()
         out[name] = sorted(map(str, sink.current(spark).drop("batch_id").collect()))
     assert out["plain"] == out["by_user"] and len(out["plain"]) == 3
 
 
+def test_edges_of_a_few_movies(spark, tmp_path):
+    edges = spark.range(200_000).selectExpr("CAST(id % 2000 AS INT) AS mid", "CAST(id AS INT) AS rid", "CAST(id % 7 AS DOUBLE) / 7 AS r")
+    table = EdgeTable(str(tmp_path / "edges"), buckets=4, row_group_bytes=64 << 10)
+    table.load(edges.union(edges.limit(10)))
+    mine = table.of_movies(spark.createDataFrame([(3,), (1999,)], "mid int"))
+    got = sorted(map(tuple, mine.collect()))
+    want = []
+    for m in (3, 1999):
+        own = sorted((-(i % 7) / 7, i) for i in range(m, 200_000, 2000))
+        want += [(m, i, -r, p) for p, (r, i) in enumerate(own, 1)]
+    assert got == sorted(want) and scanned(mine) < 200_000 / 10
+
+
+@pytest.mark.parametrize("append", [False, True])
+def test_messages_are_counted_in_the_pass_itself(spark, tmp_path, append):
+    """Also of a batch without a good message; no job counts them or looks for
+    emptiness."""
+    edges = spark.createDataFrame([(1, 2, 0.9), (2, 1, 0.9)], "mid int, rid int, r double")
+    sink = KeyedLog(str(tmp_path / "recs"), "uid", committed=True)
+    handler = RescoreHandler(spark.createDataFrame([(1, 2, 4.0, 1)], SCHEMA), edges, sink, Params(append_history=append))
+    batches = [["1|1|5.0|10", "bad", "2|1|x|3"], ["worse"], [], ["7|1|5.0|10"] * 50 + ["|"] * 9]
+    for i, batch in enumerate(batches):
+        handler(spark.createDataFrame([(m,) for m in batch], "value string").repartition(3), i)
+    handler.close()
+    counts = sorted(map(tuple, handler.message_counts(spark).collect()))
+    assert counts == [(0, 3, 2), (1, 1, 1), (2, 0, 0), (3, 59, 9)]
+    assert sorted(r.uid for r in sink.current(spark).collect()) == [1, 7] and sink.last_commit(spark) == 3
+
+
 # ---- commit records
 
 def test_readers_wait_for_the_commit(spark, tmp_path):
