@@ -67,10 +67,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 _CHOSEN: dict[str, tuple[str, str]] = {}
 
 
+#: application folders that are deleted when the driver ends
+_REGISTERED: set[str] = set()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint dir for derived tables."""
+    """A fresh folder under the shared checkpoint dir for derived tables.  What
+    is left in this application's folder goes when the driver ends."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/ratingflow/{name}-{uuid.uuid4().hex[:12]}"
+    own = f"{base}/ratingflow/{spark.sparkContext.applicationId}"
+    if own not in _REGISTERED:
+        fs, target = _file_system(spark, own)
+        fs.mkdirs(target)
+        fs.deleteOnExit(target)
+        _REGISTERED.add(own)
+    return f"{own}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def remove_scratch(spark: SparkSession, path: str) -> None:

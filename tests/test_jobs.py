@@ -1,5 +1,7 @@
 """The jobs end to end on sf0.001, chained through a parquet Store."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -228,3 +230,28 @@ def test_scratch_folders_can_be_removed(spark):
     assert not os.path.isdir(local)
     with pytest.raises(ValueError):
         remove_scratch(spark, "/tmp/elsewhere")
+
+
+def test_scratch_goes_when_the_driver_ends(tmp_path):
+    """What a query leaves under the shared folder is deleted; the folder and
+    what others keep there stay."""
+    import subprocess
+    import sys
+    from tests.conftest import ROOT
+    code = f"""
+import sys
+sys.path.insert(0, {ROOT!r})
+from pyspark.sql import SparkSession
+from ratingflow.session import scratch_path
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false") \\
+    .config("spark.checkpoint.dir", {str(tmp_path / "shared")!r}).getOrCreate()
+spark.range(3).write.parquet(scratch_path(spark, "left"))
+spark.range(3).write.parquet({str(tmp_path / "shared" / "kept")!r})
+print(scratch_path(spark, "x"))
+spark.stop()
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0 and "/ratingflow/" in done.stdout
+    assert (tmp_path / "shared" / "kept").is_dir()
+    own = done.stdout.strip().splitlines()[-1].removeprefix("file:").rsplit("/", 1)[0]
+    assert own.startswith(str(tmp_path / "shared")) and not os.path.exists(own)
