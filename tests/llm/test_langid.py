@@ -93,3 +93,64 @@ def test_awkward_rows(spark):
     unlabelled = frame(spark, [(1, "text", None)])
     assert [(r.lang_pred, r.score) for r in langid.identify(unlabelled, PATH).collect()] == [("und", 0.0)]
     assert langid.identify(frame(spark, []), PATH).collect() == []
+
+
+def slow_model(rows, names, rounds=2, floor=0.01, share=1e-6):
+    """Piece probabilities by dictionaries, word by word: {lang: {piece: p}}."""
+    rare = object()
+    langs = sorted({lang for lang, _ in rows})
+    prob = {lang: {k: 1 / (len(names) + 1) for k in [*names, rare]} for lang in langs}
+    for _ in range(rounds):
+        uses = {lang: dict.fromkeys([*names, rare], 0.0) for lang in langs}
+        for lang, text in rows:
+            for word in langid.words_of(text):
+                edges = slow_edges(word, names, rare)
+                total, ends = slow_sum(word, edges, prob[lang])
+                back = [0.0] * (len(word) + 1) + [1.0]
+                for a, b, k in sorted(edges, key=lambda e: -e[0]):
+                    back[a] += prob[lang][k] * back[b]
+                for a, b, k in edges:
+                    uses[lang][k] += ends[a] * prob[lang][k] * back[b] / total
+        for lang in langs:
+            more = max(floor, share * sum(uses[lang].values()) / (len(names) + 1))
+            whole = sum(uses[lang].values()) + more * (len(names) + 1)
+            prob[lang] = {k: (n + more) / whole for k, n in uses[lang].items()}
+    return prob, rare
+
+
+def slow_edges(word, names, rare):
+    text = "▁" + word
+    out = [(a, b, text[a:b]) for a in range(len(text)) for b in range(a + 1, len(text) + 1) if text[a:b] in names]
+    return out + [(a, a + 1, rare) for a, c in enumerate(text) if c not in names]
+
+
+def slow_sum(word, edges, prob):
+    ends = [1.0] + [0.0] * (len(word) + 1)
+    for a, b, k in sorted(edges, key=lambda e: e[1]):
+        ends[b] += ends[a] * prob[k]
+    return ends[-1], ends
+
+
+def test_predictions_equal_plain_training_and_scoring(spark):
+    """The whole way, from labelled documents to scores, without arrays."""
+    import zlib
+    some = [("de", "Der Hund läuft über die Straße nach Hause."), ("fr", "Le chien court dans la rue à côté."),
+            ("en", "The dog runs over the street to its house."), ("en", "A house is near the street, it's big."),
+            ("de", "Das Haus ist groß und der Hund klein."), ("fr", "La maison est grande et le chien petit."),
+            (None, "un chien"), ("en", None), ("fr", "12 34 !"), ("de", "日本 ok")]
+    docs = [(i, t, lang) for i, (lang, t) in enumerate(some * 3)]
+    asked = [(100, "the dog of the house"), (101, "der große hund"), (102, "la petite maison"), (103, "ox"), (104, "日本語 é")]
+    rows = frame(spark, docs + [(i, t, None) for i, t in asked])
+    got = {r.doc_id: r for r in langid.identify(rows, PATH).collect()}
+    names = set(langid.vocabulary_pieces(PATH))
+    learn = [(lang, t) for i, t, lang in docs if lang and t and zlib.crc32(str(i).encode()) % 4 != 2]
+    prob, rare = slow_model(learn, names)
+    for i, t in [*asked, *((i, t) for i, t, _ in docs if t)]:
+        words = langid.words_of(t)
+        if not words:
+            assert got[i].lang_pred == "und"
+            continue
+        logs = {lang: sum(np.log(slow_sum(w, slow_edges(w, names, rare), p)[0]) for w in words) for lang, p in prob.items()}
+        best = max(logs, key=logs.get)
+        assert got[i].lang_pred == best
+        assert abs(got[i].score - 1 / sum(np.exp(x - logs[best]) for x in logs.values())) < 1e-6
