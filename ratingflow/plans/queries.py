@@ -398,6 +398,12 @@ def _stream_inputs(spark, sf, reuse_edges: bool = True):
     return messages(spark, sf), fx.ratings(spark, sf), (e.checkpoint() if reuse_edges else e)
 
 
+def _history_of(hist: DataFrame, msgs: DataFrame) -> DataFrame:
+    """The ratings of the messages' users, cut once for all that read them, as
+    the stream's handler does."""
+    return hist.join(msgs.select("uid").distinct(), "uid", "left_semi").checkpoint()
+
+
 @register("stream_candidates", with_(RATINGS, MESSAGES, VECTORS,
                                      _EDGES.format(t=STREAM_T), _BATCH, _CANDS.format(src="batch")) + """
 SELECT uid, mid, pos, rid, round(r, 6) AS r FROM cands""")
@@ -423,11 +429,11 @@ def stream_candidates_hub(spark, sf):
                                  _CANDS.format(src="batch"), _RECENT, _SCORED.format(t=STREAM_T)) + """
 SELECT uid, mid, rid, round(score, 6) AS score FROM scored""")
 def stream_scores(spark, sf):
-    from ratingflow.operators.recommend import candidates, recent_ratings, scores
+    from ratingflow.operators.recommend import candidates, rated_bitmaps, recent_ratings, scores
     msgs, hist, e = _stream_inputs(spark, sf)
-    c = candidates(msgs, hist, e, k=20)
-    users = msgs.select("uid").distinct()
-    rec = recent_ratings(hist.join(users, "uid", "left_semi"), k=20)
+    mine = _history_of(hist, msgs)
+    c = candidates(msgs, mine, e, k=20, rated=rated_bitmaps(mine))
+    rec = recent_ratings(mine, k=20)
     s = scores(c, rec, e, threshold=STREAM_T, like_above=3.0)
     return s.select("uid", "mid", "rid", F.round("score", 6).alias("score"))
 
@@ -456,7 +462,8 @@ FROM {latest} l LEFT JOIN {scored} s ON l.uid = s.uid GROUP BY l.uid"""
 def stream_recs(spark, sf):
     from ratingflow.operators.recommend import rescore
     msgs, hist, e = _stream_inputs(spark, sf)
-    recs = rescore(msgs, hist, e, recent_k=20, cand_k=20, threshold=STREAM_T, like_above=3.0)
+    recs = rescore(msgs, _history_of(hist, msgs), e, recent_k=20, cand_k=20, threshold=STREAM_T, like_above=3.0,
+                   own_history=True)
     return recs_summary(recs)
 
 
@@ -496,10 +503,11 @@ def keyed_replace(spark, sf):
     msgs, hist, e = _stream_inputs(spark, sf)
     msgs = msgs.checkpoint()  # read by the split and by both batches
     split = _split_ts(msgs)
+    hist = _history_of(hist, msgs)
     out = None
     for b, part in enumerate((msgs.where(F.col("timestamp") < split),
                               msgs.where(F.col("timestamp") >= split))):
-        recs = rescore(part, hist, e, recent_k=20, cand_k=20, threshold=STREAM_T, like_above=3.0)
+        recs = rescore(part, hist, e, recent_k=20, cand_k=20, threshold=STREAM_T, like_above=3.0, own_history=True)
         rows = recs_summary(recs).withColumn("batch_id", F.lit(b).cast("long"))
         out = rows if out is None else replace_by_key(out, rows, "uid")
     return out.select("uid", "batch_id", "n_recs", "best_rid", "best_r")
@@ -568,31 +576,34 @@ def _als_params():
 ALS_CHECK = _als_params()
 
 
-def in_blocks(slice_: DataFrame, rows: DataFrame, blocks: int = 16) -> DataFrame:
-    """Every row of a slice (named by id) with every row of a table, as an
-    equi join on the table's blocks."""
-    dealt = rows.withColumn("_b", F.pmod(F.xxhash64(*rows.columns[:1]), F.lit(blocks)).cast("int"))
-    copies = slice_.withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    return copies.join(dealt, "_b").drop("_b")
+def plain_products(slice_: DataFrame, rows: DataFrame, blocks: int = 16) -> DataFrame:
+    """(a, mid, score): inner products above ``least`` of a slice of rows named
+    by id (a, u, least) with all of a table (mid, v), block by block."""
+    import numpy as np
+    import pandas as pd
 
+    def products(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left) or not len(right):
+            return pd.DataFrame({"a": [], "mid": [], "score": []})
+        score = np.vstack(left["u"].to_numpy()) @ np.vstack(right["v"].to_numpy()).T
+        i, j = np.nonzero(score > left["least"].to_numpy()[:, None])
+        return pd.DataFrame({"a": left["a"].to_numpy()[i], "mid": right["mid"].to_numpy()[j], "score": score[i, j]})
 
-def dot(a: str, b: str):
-    """Plain inner product of two array columns."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
+    dealt = rows.withColumn("b", F.pmod(F.xxhash64("mid"), F.lit(blocks)).cast("int"))
+    copies = slice_.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    return copies.groupBy("b").cogroup(dealt.groupBy("b")).applyInPandas(products, "a int, mid int, score double")
 
 
 def missed_recs(top: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
     """(uid, n_missed) of the users whose id is divisible by 50: movies that
     score above the last one of their list and aren't in it, by plain products
     with the whole catalogue."""
-    last = top.groupBy("uid").agg(F.min("r").alias("least"))
-    asked = users.where("uid % 50 = 0").select("uid", F.col("features").alias("u")).join(last, "uid")
-    better = F.col("score") > F.col("least") + 1e-6
-    every = in_blocks(asked, items.select("mid", F.col("features").alias("v"))) \
-        .select("uid", "mid", "least", dot("u", "v").alias("score")).where(better)
-    missed = every.join(top.select("uid", F.col("rid").alias("mid")), ["uid", "mid"], "left_anti")
-    counts = missed.groupBy("uid").agg(F.count(F.lit(1)).alias("n"))
-    return asked.select("uid").join(counts, "uid", "left").select("uid", F.coalesce("n", F.lit(0)).alias("n_missed"))
+    last = top.groupBy("uid").agg((F.min("r") + 1e-6).alias("least"))
+    asked = users.where("uid % 50 = 0").join(last, "uid").select(F.col("uid").alias("a"), F.col("features").alias("u"), "least")
+    better = plain_products(asked, items.select("mid", F.col("features").alias("v")))
+    missed = better.join(top.select(F.col("uid").alias("a"), F.col("rid").alias("mid")), ["a", "mid"], "left_anti")
+    counts = missed.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
+    return asked.join(counts, "a", "left").select(F.col("a").alias("uid"), F.coalesce("n", F.lit(0)).alias("n_missed"))
 
 
 @register("als_user_topk", with_(RATINGS) + """
@@ -622,15 +633,15 @@ def missed_edges(edges_: DataFrame, items: DataFrame, threshold: float) -> DataF
     """One row (n_missed, n_extra): pairs of a movie whose id is divisible by 50
     and any other whose plain cosine is above ``threshold`` and which aren't
     edges, and edges of these movies that no such pair has."""
-    unit = items.withColumn("n", F.sqrt(dot("features", "features"))).where("n > 0") \
-        .select("mid", F.transform("features", lambda x: x / F.col("n")).alias("v"))
-    asked = unit.where("mid % 50 = 0").select(F.col("mid").alias("a"), F.col("v").alias("u"))
-    pairs = in_blocks(asked, unit).where("a != mid").select("a", "mid", dot("u", "v").alias("cos"))
+    size = F.sqrt(F.aggregate("features", F.lit(0.0), lambda acc, x: acc + x * x))
+    unit = items.withColumn("n", size).where("n > 0").select("mid", F.transform("features", lambda x: x / F.col("n")).alias("v"))
+    asked = unit.where("mid % 50 = 0").select(F.col("mid").alias("a"), F.col("v").alias("u"), F.lit(threshold - 1e-9).alias("least"))
+    pairs = plain_products(asked, unit).where("a != mid")
     own = edges_.where("mid % 50 = 0").select(F.col("mid").alias("a"), F.col("rid").alias("mid"), "r")
-    both = pairs.where(F.col("cos") > threshold - 1e-9).join(own, ["a", "mid"], "full")
+    both = pairs.join(own, ["a", "mid"], "full")
     # rounding may put a pair at the threshold itself on either side
-    return both.agg(F.count_if(F.col("r").isNull() & (F.col("cos") > threshold + 1e-9)).alias("n_missed"),
-                    F.count_if(F.col("cos").isNull()).alias("n_extra"))
+    return both.agg(F.count_if(F.col("r").isNull() & (F.col("score") > threshold + 1e-9)).alias("n_missed"),
+                    F.count_if(F.col("score").isNull()).alias("n_extra"))
 
 
 @register("als_item_similarity", """
