@@ -730,6 +730,34 @@ def stream_recent_state(spark, sf):
     return lists.read(spark)
 
 
+@register("stream_triggered", ORACLE["stream_recent_state"])
+def stream_triggered(spark, sf):
+    """One running stream with the two-second trigger: the second part of the
+    messages arrives while it runs, and it is stopped after its batches."""
+    from ratingflow.params import Params
+    from ratingflow.session import scratch_path
+    from ratingflow.sinks.tables import KeyedLog
+    from ratingflow.streaming.recent_state import RecentLists
+    from ratingflow.streaming.recommender import parse_messages
+
+    base = scratch_path(spark, "triggered")
+    msgs = messages(spark, sf)
+    split = _split_ts(msgs)
+    text = msgs.select(F.concat_ws("|", "uid", "mid", "score", "timestamp").alias("value"), "timestamp")
+    early, late = (text.where(part).select("value") for part in (F.col("timestamp") < split, F.col("timestamp") >= split))
+    early.write.text(f"{base}/in")
+    lists = RecentLists(KeyedLog(f"{base}/recent", key="uid"), k=Params().recent_k)
+    stream = lists.start(parse_messages(spark.readStream.format("text").load(f"{base}/in")), f"{base}/checkpoint",
+                         trigger_seconds=Params().trigger_seconds)
+    try:
+        stream.processAllAvailable()
+        late.write.mode("append").text(f"{base}/in")
+        stream.processAllAvailable()
+    finally:
+        stream.stop()
+    return lists.read(spark)
+
+
 # ---------------------------------------------------------------- tables kept in order
 
 _SPLIT = """split AS (SELECT CAST(min("timestamp") AS BIGINT)
@@ -947,3 +975,63 @@ def stream_rescoring_live(spark, sf):
     finally:
         handler.close()
     return recs_summary(sink.current(spark), "batch_id")
+
+
+def _replay_sql() -> str:
+    first, both = _two_batch_sql().rsplit("SELECT uid, CAST(1 AS BIGINT)", 1)
+    return first + """
+SELECT 'died' AS phase, uid, CAST(0 AS BIGINT) AS batch_id, n_recs, best_rid, best_r FROM recs0
+UNION ALL
+SELECT 'replayed' AS phase, uid, CAST(1 AS BIGINT)""" + both.replace(
+        "SELECT uid, CAST(0", "SELECT 'replayed' AS phase, uid, CAST(0")
+
+
+@register("stream_commit_replay", _replay_sql())
+def stream_commit_replay(spark, sf):
+    """A stream that dies in its second batch, after the recs and before the
+    commit record: a reader sees the first batch only; after the restart, what
+    an unbroken run gives."""
+    from pyspark.errors import PySparkException
+
+    from ratingflow.params import Params
+    from ratingflow.session import scratch_path
+    from ratingflow.sinks.tables import KeyedLog
+    from ratingflow.streaming.recommender import RescoreHandler, start_rescoring
+
+    class DiesOnce(KeyedLog):
+        died = False
+
+        def commit(self, spark, batch_id):
+            if batch_id == 1 and not self.died:
+                self.died = True
+                raise RuntimeError("the driver is lost here")
+            super().commit(spark, batch_id)
+
+    base = scratch_path(spark, "commit-replay")
+    msgs = messages(spark, sf)
+    split = _split_ts(msgs)
+    text = msgs.select(F.concat_ws("|", "uid", "mid", "score", "timestamp").alias("value"), "timestamp")
+    sink = DiesOnce(f"{base}/recs", key="uid", committed=True)
+    params = Params(recent_k=20, cand_k=20, score_threshold=STREAM_T, like_above=3.0)
+    handler = RescoreHandler(fx.ratings(spark, sf), edges(spark, sf, STREAM_T), sink, params)
+    seen = []
+
+    def run():
+        source = spark.readStream.format("text").load(f"{base}/in")
+        start_rescoring(spark, source, handler, f"{base}/checkpoint", available_now=True).awaitTermination()
+    try:
+        text.where(F.col("timestamp") < split).select("value").write.text(f"{base}/in")
+        run()
+        text.where(F.col("timestamp") >= split).select("value").write.mode("append").text(f"{base}/in")
+        try:
+            run()
+        except PySparkException:
+            seen.append(sink.current(spark).withColumn("phase", F.lit("died")).checkpoint())
+            run()
+        seen.append(sink.current(spark).withColumn("phase", F.lit("replayed")))
+    finally:
+        handler.close()
+    out = seen[0]
+    for more in seen[1:]:
+        out = out.unionByName(more)
+    return recs_summary(out, "phase", "batch_id")
