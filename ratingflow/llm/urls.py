@@ -233,7 +233,9 @@ def score(rows: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     blocks = saved(map_blocks(rows.select("text", *keep), tag, f"block long, text string, {columns}", block_bytes=BLOCK),
                    "url-blocks")
     asked = map_blocks(blocks.select("block", "text"), ask, "block long, key long", block_bytes=BLOCK)
-    found = asked.join(model.counts, "key")
+    # a URL has some hundred names: their table is far larger than Spark takes it
+    # for, so it must not be broadcast
+    found = asked.join(model.counts.hint("merge"), "key")
     return (blocks.groupBy("block").cogroup(found.groupBy("block"))
             .applyInArrow(answer, columns + ", score double"))
 
