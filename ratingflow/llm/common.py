@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +49,19 @@ def discard(*tables: DataFrame) -> None:
         remove_scratch(table_.sparkSession, table_._saved_at)
 
 
+def shared(spark: SparkSession, value: Any) -> Callable[[], Any]:
+    """A function that gives ``value`` in any task.  It travels as a broadcast
+    of bytes, classes by value, so executors need not have this package."""
+    held = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    loaded: list = []
+
+    def get() -> Any:
+        if not loaded:
+            loaded.append(pickle.loads(held.value))
+        return loaded[0]
+    return get
+
+
 def id_text(docs: DataFrame) -> DataFrame:
     """(doc_id long, text string); a null text is an empty one."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratingflow.llm.common import id_text, map_blocks, mix
+from ratingflow.llm.common import id_text, map_blocks, mix, shared
 
 Q = 8
 SHARE = 0.1
@@ -261,7 +261,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, chunk_cha
     rows = id_text(docs)
     found = spark.createDataFrame([], SCHEMA)
     for part in chunks(benchmark, chunk_chars):
-        held = spark.sparkContext.broadcast(Index.of(part, share=share))
+        held = shared(spark, Index.of(part, share=share))
         found = found.union(map_blocks(rows, _finder(held), SCHEMA))
     return found
 
@@ -269,7 +269,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, chunk_cha
 def _finder(held):
     def block(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         texts = batch.column("text").to_pylist()
-        hits = occurrences(texts, held.value)
+        index = held()
+        hits = occurrences(texts, index)
         if not hits:
             return None
         places: dict[int, np.ndarray] = {}
@@ -277,7 +278,7 @@ def _finder(held):
             places[text] = origin(texts[text])
         return pa.RecordBatch.from_arrays(
             [batch.column("doc_id").take(pa.array([h[0] for h in hits])),
-             pa.array([held.value.ids[h[1]] for h in hits], pa.int64()), pa.array([h[2] for h in hits], pa.int32()),
+             pa.array([index.ids[h[1]] for h in hits], pa.int64()), pa.array([h[2] for h in hits], pa.int32()),
              pa.array([int(places[h[0]][h[3]]) for h in hits], pa.int64()),
              pa.array([int(places[h[0]][h[4] - 1]) + 1 for h in hits], pa.int64())],
             ["doc_id", "item_id", "edits", "start", "end"])
@@ -292,10 +293,10 @@ def clean(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, chunk_cha
     def keeper(held):
         def block(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = [t or "" for t in batch.column("text").cast(pa.string()).to_pylist()]
-            bad = {h[0] for h in occurrences(texts, held.value)}
+            bad = {h[0] for h in occurrences(texts, held())}
             return batch.filter(pa.array([i not in bad for i in range(batch.num_rows)]))
         return block
 
     for part in chunks(benchmark, chunk_chars):
-        docs = map_blocks(docs, keeper(spark.sparkContext.broadcast(Index.of(part, share=share))), schema)
+        docs = map_blocks(docs, keeper(shared(spark, Index.of(part, share=share))), schema)
     return docs

@@ -30,7 +30,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratingflow.llm.common import fold, map_blocks, mix, saved, small_rows
+from ratingflow.llm.common import fold, map_blocks, mix, saved, shared, small_rows
 
 HELD_OUT = 2
 FOLDS = 4
@@ -241,8 +241,9 @@ def fit(docs: DataFrame, vocabulary: str, rounds: int = 2, floor: float = 0.01,
     langs = sorted(r.lang for r in small_rows(counts.select("lang").distinct(), most_langs, "languages"))
     if not langs:
         return Model([], None, None)
-    held = docs.sparkSession.sparkContext.broadcast(Pieces(vocabulary_pieces(vocabulary)))
-    size = held.value.size
+    pieces = Pieces(vocabulary_pieces(vocabulary))
+    held = shared(docs.sparkSession, pieces)
+    size = pieces.size
     prob = np.full((size + 1, len(langs)), 1 / (size + 1))
 
     def round_of(prob_now: np.ndarray):
@@ -251,7 +252,7 @@ def fit(docs: DataFrame, vocabulary: str, rounds: int = 2, floor: float = 0.01,
             at = {x: i for i, x in enumerate(langs)}
             for batch in batches:
                 lang = np.array([at[x] for x in batch.column("lang").to_pylist()], dtype=np.int64)
-                total += expected(batch.column("word").to_pylist(), lang, batch.column("n").to_numpy(), held.value,
+                total += expected(batch.column("word").to_pylist(), lang, batch.column("n").to_numpy(), held(),
                                   padded(prob_now))
             piece, lang = np.nonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(piece), pa.array(lang), pa.array(total[piece, lang])],
@@ -265,18 +266,18 @@ def fit(docs: DataFrame, vocabulary: str, rounds: int = 2, floor: float = 0.01,
         n = np.zeros_like(prob)
         n[rows["piece"], rows["lang"]] = rows["n"]
         prob = smoothed(n, floor, share)
-    return Model(langs, held.value, prob)
+    return Model(langs, pieces, prob)
 
 
 def predict(docs: DataFrame, model: Model, cache: int = 200_000) -> DataFrame:
     """(doc_id, lang_pred, score) of every row; score is the probability of
     the predicted language among those learned."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    learned = shared(docs.sparkSession, model)
     held: dict[str, int] = {}
     scores: list[np.ndarray] = []
 
     def block(batch: pa.RecordBatch) -> pa.RecordBatch:
-        m = shared.value
+        m = learned()
         found = [Counter(words_of(t)) if t and _LETTER.search(t) else Counter()
                  for t in batch.column("text").to_pylist()]
         pred, score = [UNKNOWN] * len(found), np.zeros(len(found))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratingflow.llm.common import fold, id_text, labelled_sample, map_blocks, text_bytes
+from ratingflow.llm.common import fold, id_text, labelled_sample, map_blocks, shared, text_bytes
 from ratingflow.llm.substring_dedup import PIECE, word_bounds, word_names
 from ratingflow.llm.windows import Names
 
@@ -369,10 +369,10 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1500) -> Model:
 
 def scores(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, score) of every row."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    held = shared(docs.sparkSession, model)
 
     def block(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = held.value.scores(*text_bytes(batch.column("text")))
+        found = held().scores(*text_bytes(batch.column("text")))
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found)], ["doc_id", "score"])
 
     return map_blocks(id_text(docs), block, "doc_id long, score double")
@@ -387,10 +387,10 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, per_cla
 
 def accepted(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` whose text scores at least ``threshold``, unchanged."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    held = shared(docs.sparkSession, model)
 
     def block(batch: pa.RecordBatch) -> pa.RecordBatch:
-        keep = held.value.scores(*text_bytes(batch.column("text").cast(pa.string()))) >= threshold
+        keep = held().scores(*text_bytes(batch.column("text").cast(pa.string()))) >= threshold
         return batch.filter(pa.array(keep))
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)

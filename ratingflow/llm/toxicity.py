@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratingflow.llm.common import fold, id_text, labelled_sample, map_blocks, mix
+from ratingflow.llm.common import fold, id_text, labelled_sample, map_blocks, mix, shared
 
 BUCKETS = 1 << 19
 SIZES = (3, 4, 5, 6)
@@ -186,10 +186,10 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1200, **options) ->
 
 def scores(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, score) of every row: the softmax probability of toxic."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    held = shared(docs.sparkSession, model)
 
     def block(batch: pa.RecordBatch) -> pa.RecordBatch:
-        odds = averages(batch.column("text").to_pylist(), held.value.weights) + held.value.bias
+        odds = averages(batch.column("text").to_pylist(), held().weights) + held().bias
         score = 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score)], ["doc_id", "score"])
 
