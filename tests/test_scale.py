@@ -19,3 +19,10 @@ def test_falling_norms_of_large_ids(spark, tmp_path):
     from ratingflow.plans.queries import falling_vectors
     rows = falling_vectors(spark, embeddings(spark, tmp_path, [1, 46_340, 2_000_000_000])).collect()
     assert {r.mid for r in rows if 0 < max(map(abs, r.features)) < 4} == {1, 46_340, 2_000_000_000}
+
+
+def test_hub_of_large_ids(spark, tmp_path):
+    from ratingflow.plans.queries import similar_items_hub
+    sf = embeddings(spark, tmp_path, range(30_000, 30_060))
+    got = {r.mid: r for r in similar_items_hub(spark, sf).collect()}
+    assert got[-1].top_rid > 30_000 * 100_000 and got[-1].n_similar > 0
