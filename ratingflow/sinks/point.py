@@ -8,10 +8,15 @@ in.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BUCKET = "ub"
+#: keys a scan is given: Parquet's reader takes them as nested ORs, one call deep a
+#: key, and runs out of stack at some thousands
+KEYS_A_SCAN = 500
 
 
 def bucket_of(key: str, n_buckets: int) -> Column:
@@ -22,7 +27,7 @@ def bucket_of(key: str, n_buckets: int) -> Column:
 class PointFiles:
     """``buckets`` should follow the cluster (a bucket is a file or a few);
     ``row_group_bytes`` bounds what one key's read decodes; up to ``max_keys``
-    keys are pushed into the scan, beyond it a semi join finds them within
+    keys are pushed into scans of a few hundred each, beyond it a semi join finds them within
     their buckets."""
 
     def __init__(self, key: str, columns: dict[str, str], buckets: int, row_group_bytes: int, max_keys: int):
@@ -50,9 +55,14 @@ class PointFiles:
         if len(few) <= self.max_keys:
             # keys as literals: the scan skips row groups by statistics and bloom
             # filters, which needs the list to be pushed as it is
-            spark.conf.set("spark.sql.parquet.pushdown.inFilterThreshold", str(self.max_keys))
-            mine = F.col(BUCKET).isin(sorted({r[1] for r in few})) & F.col(self.key).isin(sorted(r[0] for r in few))
-            return rows.where(mine).select(*self.columns)
+            spark.conf.set("spark.sql.parquet.pushdown.inFilterThreshold", str(KEYS_A_SCAN))
+            few = sorted((r[1], r[0]) for r in few)
+            scans = []
+            for at in range(0, len(few), KEYS_A_SCAN):
+                part = few[at:at + KEYS_A_SCAN]
+                mine = F.col(BUCKET).isin(sorted({b for b, _ in part})) & F.col(self.key).isin(sorted(k for _, k in part))
+                scans.append(rows.where(mine).select(*self.columns))
+            return reduce(lambda a, b: a.unionByName(b), scans)
         # a bounded list, whatever the keys
         buckets = sorted(r[0] for r in keyed.select(BUCKET).distinct().collect())
         return rows.where(F.col(BUCKET).isin(buckets)).select(*self.columns).join(keys, self.key, "left_semi")

@@ -26,3 +26,12 @@ def test_hub_of_large_ids(spark, tmp_path):
     sf = embeddings(spark, tmp_path, range(30_000, 30_060))
     got = {r.mid: r for r in similar_items_hub(spark, sf).collect()}
     assert got[-1].top_rid > 30_000 * 100_000 and got[-1].n_similar > 0
+
+
+def test_many_keys_of_a_point_table(spark, tmp_path):
+    from ratingflow.sinks.history import EdgeTable
+    table = EdgeTable(str(tmp_path / "edges"), buckets=4)
+    table.load(spark.range(9000).selectExpr("CAST(id AS INT) AS mid", "CAST(id + 1 AS INT) AS rid", "0.5D AS r"))
+    asked = spark.range(0, 9000).where("id % 9 != 0").selectExpr("CAST(id AS INT) AS mid")
+    got = table.of_movies(asked).collect()      # one scan of so many keys ran out of stack
+    assert sorted(r.mid for r in got) == [m for m in range(9000) if m % 9]
