@@ -37,4 +37,5 @@ def hub_join(left: DataFrame, right: DataFrame, key: str, spread_by: str, tasks:
         .withColumn("_salt", F.pmod(F.xxhash64(spread_by), salts).cast("int")).drop("_salts")
     copied = right.join(F.broadcast(heavy), key, "left") \
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
-    return spread.join(copied, [key, "_salt"]).drop("_salt")
+    # never broadcast on the size of compressed rows
+    return spread.hint("merge").join(copied, [key, "_salt"]).drop("_salt")

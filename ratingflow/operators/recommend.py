@@ -57,26 +57,38 @@ def latest_per_user(batch: DataFrame) -> DataFrame:
     return batch.groupBy("uid").agg(best).select("uid", "m.mid", "m.score", "m.timestamp")
 
 
+SLICE = 32      # bytes of a bitmap's slice: 256 movies
+
+
 def rated_bitmaps(history: DataFrame, users: DataFrame | None = None) -> DataFrame:
     """(uid, n, seen): how many movies a user has rated, and which, as a map
-    from the movie's bucket of 32,768 ids to a bitmap of 4 KB.
+    from the movie's bucket of 32,768 ids to the slices of its bitmap.
 
-    The semi join first cuts the history to ``users``, if given.  The first
-    aggregate is partial: whatever a user has rated, a task ships a bitmap a
-    bucket at most.  A user's row is bounded by the catalogue, a bit a movie."""
+    Of a bitmap only the slices that hold a bit are kept, by number, so that a
+    user's row follows what they have rated, not the catalogue; a bit a movie
+    and some is its bound.  The semi join first cuts the history to ``users``,
+    if given.  Repeats go first, then a user's movies come to one task, where
+    the bitmaps are made and cut: none is shipped whole."""
     if users is not None:
         history = history.join(users.select("uid").distinct(), "uid", "left_semi")
-    bits = (history.where("mid is not null").groupBy("uid", F.bitmap_bucket_number("mid").alias("bucket"))
+    pairs = history.where("mid is not null").select("uid", "mid").distinct().repartition("uid")
+    bits = (pairs.groupBy("uid", F.bitmap_bucket_number("mid").alias("bucket"))
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("mid")).alias("bits")))
-    return bits.groupBy("uid").agg(F.sum(F.bitmap_count("bits")).alias("n"),
-                                   F.map_from_entries(F.collect_list(F.struct("bucket", "bits"))).alias("seen"))
+    cut = F.transform(F.sequence(F.lit(0), F.lit(4096 // SLICE - 1)), lambda i: F.struct(
+        i.alias("slice"), F.substring("bits", i * SLICE + 1, F.lit(SLICE)).alias("bits")))
+    some = F.map_from_entries(F.filter(cut, lambda x: x["bits"] != F.lit(bytes(SLICE))))
+    kept = bits.select("uid", "bucket", F.bitmap_count("bits").alias("n"), some.alias("slices"))
+    return kept.groupBy("uid").agg(F.sum("n").alias("n"),
+                                   F.map_from_entries(F.collect_list(F.struct("bucket", "slices"))).alias("seen"))
 
 
 def in_bitmaps(seen: Column | str, mid: Column | str) -> Column:
     """Whether the movie's bit is set; false for users without bitmaps."""
     place = F.bitmap_bit_position(mid)
-    bits = F.try_element_at(F.col(seen) if isinstance(seen, str) else seen, F.bitmap_bucket_number(mid))
-    byte = F.conv(F.hex(F.substring(bits, F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    slices = F.try_element_at(F.col(seen) if isinstance(seen, str) else seen, F.bitmap_bucket_number(mid))
+    bits = F.try_element_at(slices, F.floor(place / (8 * SLICE)).cast("int"))
+    at = F.floor(place % (8 * SLICE) / 8).cast("int")
+    byte = F.conv(F.hex(F.substring(bits, at + 1, F.lit(1))), 16, 10).cast("int")
     bit = F.call_function("shiftright", byte, (place % 8).cast("int"))
     return F.coalesce(bit.bitwiseAND(F.lit(1)) != 0, F.lit(False))
 
@@ -109,9 +121,11 @@ def candidates(batch: DataFrame, history: DataFrame | None, edges: DataFrame, k:
         rated = rated_bitmaps(history, src)
     if "pos" not in edges.columns:
         edges = ranked_edges(edges.join(src.select("mid").distinct(), "mid", "left_semi"), spread)
-    need = src.join(rated, "uid", "left")
+    # sorted, not broadcast: shuffled bitmaps tell a fraction of their size, and
+    # the driver would hold them whole
+    need = src.join(rated.hint("merge"), "uid", "left")
     places = edges.select("mid", "rid", "r", F.col("pos").alias("_place"))
-    joined = hub_join(need, places, "mid", "uid", counted=src) if spread else need.join(places, "mid")
+    joined = hub_join(need, places, "mid", "uid", counted=src) if spread else need.hint("merge").join(places, "mid")
     unseen = (joined.where(F.col("_place") <= F.lit(k) + F.coalesce("n", F.lit(0)))
               .where(~in_bitmaps("seen", "rid")).select("uid", "mid", "rid", "r"))
     ranked = top_k(unseen, ["uid", "mid"], [F.col("r").desc(), F.col("rid").asc()], k)
@@ -139,7 +153,9 @@ def scores(cands: DataFrame, recent: DataFrame, edges: DataFrame, threshold: flo
         raise ValueError("threshold must be >= 0")
     e = edges.select(F.col("mid").alias("rid"), F.col("rid").alias("rmid"),
                      F.col("r").alias("sim")).where(F.col("sim") > threshold)
-    j = score_pairs(cands, recent).join(e, ["rid", "rmid"])
+    # a rated movie that no edge leads to would only be paired and dropped
+    known = recent.join(e.select(F.col("rmid").alias("mid")).distinct(), "mid", "left_semi")
+    j = score_pairs(cands, known).join(e, ["rid", "rmid"])
     s = F.col("score")
     agg = j.groupBy("uid", "mid", "rid").agg(
         F.avg(F.col("sim") * s).alias("base"),
@@ -173,6 +189,7 @@ def rescore(batch: DataFrame, history: DataFrame, edges: DataFrame | None, *, re
             cand_k: int = 20, threshold: float = 0.6, like_above: float = 3.0,
             own_history: bool = False, spread: bool = False,
             edges_of: Callable[[DataFrame], DataFrame] | None = None,
+            pairs_of: Callable[[DataFrame], DataFrame] | None = None,
             hold: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """Steps 1-4 for one batch of messages: (uid, recs).
 
@@ -180,7 +197,8 @@ def rescore(batch: DataFrame, history: DataFrame, edges: DataFrame | None, *, re
     already; otherwise one semi join does.  ``edges`` may come ranked.
     ``spread``: see ``candidates``.  ``edges_of`` gives the ranked edges of a
     table of movies (mid), in place of ``edges``: those of the messages' movies,
-    then those of the candidates, which are read twice and go through ``hold``.
+    then those of the candidates, which are read twice and go through ``hold``;
+    ``pairs_of`` may give the latter without their ranks.
     """
     latest = latest_per_user(batch)
     if not own_history:
@@ -192,6 +210,6 @@ def rescore(batch: DataFrame, history: DataFrame, edges: DataFrame | None, *, re
     cands = candidates(latest, None, near, cand_k, rated=rated_bitmaps(history), spread=spread)
     if edges_of:
         cands = hold(cands)
-        edges = edges_of(cands.select(F.col("rid").alias("mid")))
+        edges = (pairs_of or edges_of)(cands.select(F.col("rid").alias("mid")))
     scored = scores(cands, recent, edges, threshold, like_above).select("uid", "rid", "score")
     return to_recs(latest, scored)

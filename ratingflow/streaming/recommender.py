@@ -32,6 +32,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ratingflow.functions.scalar import parse_message_fields, recs_to_string
 from ratingflow.operators.recommend import ranked_edges, rescore
+from ratingflow.operators.similarity import SimilarMovies
 from ratingflow.params import Params
 from ratingflow.sinks.history import EdgeTable, UserHistory
 from ratingflow.sinks.tables import KeyedLog
@@ -49,16 +50,17 @@ class RescoreHandler:
 
     COLUMNS = ("uid", "mid", "score", "timestamp")
 
-    def __init__(self, history: UserHistory | DataFrame | Callable[[], DataFrame], edges: EdgeTable | DataFrame,
+    def __init__(self, history: UserHistory | DataFrame | Callable[[], DataFrame],
+                 edges: EdgeTable | SimilarMovies | DataFrame,
                  sink: KeyedLog, params: Params = Params(), with_string: bool = False):
         """``history``: ratings with point access, a table, or a function that
-        reads a table anew per batch.  ``edges``: with point access, or a table,
-        which is then held whole."""
+        reads a table anew per batch.  ``edges``: with point access, or worked
+        out per batch, or a table, which is then held whole."""
         self.history = history
         # the similarity table is a lookup (one value per movie pair, copies
         # collapse), ranked per movie and static: keep it across batches
         # (lineage is a table scan, so a lost block is simply re-read)
-        self.edges = edges if isinstance(edges, EdgeTable) else \
+        self.edges = edges if isinstance(edges, (EdgeTable, SimilarMovies)) else \
             ranked_edges(edges, params.spread_hubs).persist(StorageLevel.MEMORY_AND_DISK)
         self.sink = sink
         self.own = history if isinstance(history, UserHistory) else \
@@ -87,9 +89,10 @@ class RescoreHandler:
             # the batch users' history is read once and reused for the
             # recent lists and the rated-movie exclusion
             mine = hold(self._history_for(msgs, batch_id))
-            by_movie = isinstance(self.edges, EdgeTable)
+            by_movie = isinstance(self.edges, (EdgeTable, SimilarMovies))
             recs = rescore(msgs, mine, None if by_movie else self.edges, hold=hold,
-                           edges_of=self.edges.of_movies if by_movie else None, recent_k=p.recent_k,
+                           edges_of=self.edges.of_movies if by_movie else None,
+                           pairs_of=self.edges.edges_of if isinstance(self.edges, SimilarMovies) else None, recent_k=p.recent_k,
                            cand_k=p.cand_k, threshold=p.score_threshold,
                            like_above=p.like_above, own_history=True, spread=p.spread_hubs)
             if self.with_string:
@@ -132,7 +135,7 @@ class RescoreHandler:
         return self.counts.read_log(spark).select("batch_id", "n", "n_bad")
 
     def close(self) -> None:
-        if not isinstance(self.edges, EdgeTable):
+        if not isinstance(self.edges, (EdgeTable, SimilarMovies)):
             self.edges.unpersist()
 
 

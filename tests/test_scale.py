@@ -28,6 +28,31 @@ def test_hub_of_large_ids(spark, tmp_path):
     assert got[-1].top_rid > 30_000 * 100_000 and got[-1].n_similar > 0
 
 
+def test_edges_of_asked_movies_are_those_of_the_whole_table(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(300)] + [(300, [0.0] * 4), (301, None)]
+    v = spark.createDataFrame(rows + rows[:20], "mid int, features array<double>")
+    similar = SimilarMovies(v, 0.6)
+    asked = spark.createDataFrame([(m,) for m in (3, 3, 17, 299, 300, 999, None)], "mid int")
+    whole = item_similarity(v, 0.6).where("mid in (3, 17, 299)")
+    key = lambda r: (r.mid, r.rid, round(r.r, 9))
+    want = sorted(map(key, whole.collect()))
+    assert want and sorted(map(key, similar.edges_of(asked).collect())) == want
+    ranked = similar.of_movies(asked).where("mid = 3").orderBy("pos").collect()
+    assert [r.pos for r in ranked] == list(range(1, len(ranked) + 1)) and [r.r for r in ranked] == sorted((r.r for r in ranked), reverse=True)
+    assert similar.edges_of(asked.where("mid = 999")).count() == 0
+
+
+def test_a_users_bits_follow_what_they_rated(spark):
+    mids = [i * 30_011 for i in range(40)]
+    rows = spark.createDataFrame([(1, m) for m in mids], "uid int, mid int")
+    bits = rated_bitmaps(rows)
+    assert len(bits.selectExpr("CAST(to_json(seen) AS STRING) AS s").first().s) < 40 * 100     # was 4 KB a bucket
+    ask = spark.createDataFrame([(1, m + d) for m in mids for d in (0, 1)], "uid int, rid int")
+    got = ask.join(bits, "uid").where(in_bitmaps("seen", "rid")).collect()
+    assert sorted(r.rid for r in got) == mids
+
+
 def test_many_keys_of_a_point_table(spark, tmp_path):
     from ratingflow.sinks.history import EdgeTable
     table = EdgeTable(str(tmp_path / "edges"), buckets=4)
