@@ -60,3 +60,15 @@ def test_many_keys_of_a_point_table(spark, tmp_path):
     asked = spark.range(0, 9000).where("id % 9 != 0").selectExpr("CAST(id AS INT) AS mid")
     got = table.of_movies(asked).collect()      # one scan of so many keys ran out of stack
     assert sorted(r.mid for r in got) == [m for m in range(9000) if m % 9]
+
+
+def test_zero_users_go_no_further_than_the_smallest_ids(spark):
+    rng = np.random.default_rng(9)
+    right = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(1000, 4)))], "id_r int, v_r array<double>")
+    left = spark.createDataFrame([(u, [0.0] * 4) for u in range(20)], "id int, v array<double>")
+    found = pruned.falling_norms(left, right, 5, None, 2, 4, 1 << 16, 1000)
+    report = found.report().first()
+    assert report.cells == 20_000 and report.cells_multiplied < report.cells / 10
+    named = left.toDF("uid", "features"), right.toDF("mid", "features")
+    got = blocked.top_k_products(*named, 5, left_id="uid", right_id="mid", prune=True).collect()
+    assert sorted((r.uid, r.pos, r.rid) for r in got) == [(u, p + 1, p) for u in range(20) for p in range(5)]
