@@ -72,3 +72,17 @@ def test_zero_users_go_no_further_than_the_smallest_ids(spark):
     named = left.toDF("uid", "features"), right.toDF("mid", "features")
     got = blocked.top_k_products(*named, 5, left_id="uid", right_id="mid", prune=True).collect()
     assert sorted((r.uid, r.pos, r.rid) for r in got) == [(u, p + 1, p) for u in range(20) for p in range(5)]
+
+
+def test_shuffled_factors_go_with_each_iteration(spark):
+    from ratingflow.operators.model import als
+    assert als().getCheckpointInterval() == 1
+
+
+def test_plain_products_of_many_rows(spark):
+    """More products than are made at a time."""
+    from ratingflow.plans.queries import plain_products
+    asked = spark.range(3000).selectExpr("CAST(id AS INT) AS a", "array(CAST(id AS DOUBLE)) AS u", "2999.5D AS least")
+    rows = spark.range(4000).selectExpr("CAST(id AS INT) AS mid", "array(IF(id = 7, 1.001D, 0.0D)) AS v")
+    got = plain_products(asked, rows, blocks=1).collect()
+    assert sorted((r.a, r.mid) for r in got) == [(a, 7) for a in range(3000) if a * 1.001 > 2999.5]
