@@ -86,3 +86,43 @@ def test_plain_products_of_many_rows(spark):
     rows = spark.range(4000).selectExpr("CAST(id AS INT) AS mid", "array(IF(id = 7, 1.001D, 0.0D)) AS v")
     got = plain_products(asked, rows, blocks=1).collect()
     assert sorted((r.a, r.mid) for r in got) == [(a, 7) for a in range(3000) if a * 1.001 > 2999.5]
+
+
+def test_products_are_sieved_in_single_precision(monkeypatch):
+    """All but the rows that allow no sieve go through it, with the results of doubles."""
+    rng = np.random.default_rng(12)
+    right = rng.normal(size=(6000, 16)) * rng.choice([1e-3, 1.0, 50.0], (6000, 1))
+    right[3000:3400] = right[7]                        # copies: the smallest ids first
+    left = np.concatenate([rng.normal(size=(700, 16)), right[7:8] * 2, np.zeros((2, 16)), np.full((1, 16), np.nan)])
+    kk = rng.integers(1, 30, len(left))
+    plain, seen = blocked._plain_best, []
+    monkeypatch.setattr(blocked, "_plain_best", lambda lm, *rest: (seen.append(len(lm)), plain(lm, *rest))[1])
+    scores = left @ right.T
+    for floor in (np.full(len(left), -np.inf), np.where(np.arange(len(left)) % 2, -np.inf, np.sort(scores, axis=1)[:, -15] - 1e-9)):
+        got = {}
+        for li, ri, s in blocked._best_products(left, right, kk, floor):
+            for a, b, c in zip(li.tolist(), ri.tolist(), s.tolist()):
+                got.setdefault(a, []).append((b, c))
+        for u in range(len(left) - 1):
+            s = np.einsum("ij,ij->i", np.broadcast_to(left[u], right.shape), right)
+            want = [i for i in np.lexsort((np.arange(6000), -s))[:kk[u]] if s[i] >= floor[u]]
+            assert sorted(b for b, _ in got[u]) == sorted(want) and all(abs(s[b] - c) < 1e-9 for b, c in got[u])
+        assert len(left) - 1 not in got
+    assert seen == [3, 3]
+    monkeypatch.setattr(blocked, "SIEVE_MOST", 0)      # too many equal scores: doubles for that tile
+    many = np.ones((5000, 2))
+    li, ri, s = next(blocked._best_products(np.ones((1, 2)), many, np.array([3]), np.array([-np.inf])))
+    assert ri.tolist() == [0, 1, 2] and seen[-1] == 1
+
+
+def test_later_blocks_hand_on_only_what_betters_a_list(spark):
+    rng = np.random.default_rng(10)
+    items = rng.normal(size=(2000, 4))
+    items /= np.linalg.norm(items, axis=1, keepdims=True)
+    items[:100] *= 1.0001
+    left = spark.createDataFrame([(u, v.tolist()) for u, v in enumerate(rng.normal(size=(40, 4)))], "id int, v array<double>")
+    right = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(items)], "id_r int, v_r array<double>")
+    found = pruned.falling_norms(left, right, 20, None, 1, 10, 1 << 16, 2000)
+    floors = {r.id: r.reach for r in found.left.collect()}
+    more = found.candidates().exceptAll(found.first).collect()
+    assert more and all(r.r >= floors[r.uid] for r in more)      # was 20 of each block, 8,000 in all
