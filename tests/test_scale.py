@@ -126,3 +126,60 @@ def test_later_blocks_hand_on_only_what_betters_a_list(spark):
     floors = {r.id: r.reach for r in found.left.collect()}
     more = found.candidates().exceptAll(found.first).collect()
     assert more and all(r.r >= floors[r.uid] for r in more)      # was 20 of each block, 8,000 in all
+
+
+def test_packed_edges_are_nested_as_rows_are(spark):
+    from ratingflow.operators.similarity import nest_edges, packed_item_similarity
+    rng = np.random.default_rng(14)
+    m = rng.normal(size=(300, 4))
+    m[:40] = m[0]                                      # equal scores, by id
+    ids = [int(i) for i in np.concatenate([rng.permutation(298), [2_000_000_000, -2_000_000_000]])]
+    rows = [(i, v.tolist()) for i, v in zip(ids, m)] + [(5000, [0.0] * 4), (5001, None)]
+    v = spark.createDataFrame(rows + rows[:9], "mid int, features array<double>")
+    key = lambda r: (r.mid, [(x.rid, round(x.r, 9)) for x in r.recs])
+    want = sorted(map(key, nest_edges(item_similarity(v, 0.5)).collect()))
+    got = sorted(map(key, nest_edges(packed_item_similarity(v, 0.5)).collect()))
+    assert len(want) > 200 and got == want
+    pages = sorted(nest_edges(packed_item_similarity(v, 0.5), page_rows=7).collect(), key=lambda p: (p.mid, p.page))
+    lists = {}
+    for p in pages:
+        assert len(lists.setdefault(p.mid, [])) == 7 * p.page and 0 < len(p.recs) <= 7
+        lists[p.mid] += [(x.rid, round(x.r, 9)) for x in p.recs]
+    assert sorted(lists.items()) == [(a, b) for a, b in want]
+    none = packed_item_similarity(v.where("mid > 4999 AND mid < 6000"), 0.5)
+    assert nest_edges(none).count() == 0 and nest_edges(none, page_rows=5).count() == 0
+
+
+def test_runs_take_a_fraction_of_rows_and_merge_in_any_batches():
+    import zlib
+
+    import pyarrow as pa
+
+    from ratingflow.operators import runs
+    rng = np.random.default_rng(15)
+    mid = np.repeat(np.arange(50), 400).astype(np.int32)
+    rid = np.concatenate([rng.choice(100_000, 400, replace=False) for _ in range(50)]).astype(np.int32)
+    r = rng.uniform(0.3, 0.6, len(mid))
+    packed = [runs.pack(mid[part], rid[part], r[part]) for part in np.array_split(rng.permutation(len(mid)), 3)]
+    sent = sorted(((int(a), b) for p in packed for a, b in zip(p["mid"], p["run"])), key=lambda x: x[0])
+    assert len(zlib.compress(b"".join(b for _, b in sent), 1)) < 10.5 * len(mid)      # a row takes 32 before compression
+    want = {(int(a), int(b)): c for a, b, c in zip(mid, rid, r)}
+    for size, most in ((1, 1), (7, 900), (1000, 1 << 21)):
+        runs.MERGE_EDGES = most
+        batches = [pa.RecordBatch.from_pydict({"mid": pa.array([a for a, _ in sent[i:i + size]], pa.int32()),
+                                               "run": pa.array([b for _, b in sent[i:i + size]], pa.binary())})
+                   for i in range(0, len(sent), size)]
+        out = [row for b in runs._merge_fn(None)(iter(batches)) for row in b.to_pylist()]
+        assert [row["mid"] for row in out] == list(range(50))
+        assert {(row["mid"], x["rid"]): x["r"] for row in out for x in row["recs"]} == want
+        assert all(row["recs"] == sorted(row["recs"], key=lambda x: (-x["r"], x["rid"])) for row in out)
+    runs.MERGE_EDGES = 1 << 21
+
+
+def test_vectors_that_cannot_be_pruned_go_to_even_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(16)
+    monkeypatch.setattr(blocked, "PRUNE_FROM", 100)
+    v = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(rng.normal(size=(300, 16)))], "mid int, features array<double>")
+    groups, n = blocked._block_pairs(v, 0.3, "mid", "features", 1 << 16, 5, False, None)
+    assert n == 300 and groups.count().columns == ["bi", "bj", "count"]
+    assert groups.count().agg({"count": "sum"}).first()[0] == 300 * 6       # was more, by the clusters' sizes
