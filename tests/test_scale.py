@@ -183,3 +183,31 @@ def test_vectors_that_cannot_be_pruned_go_to_even_blocks(spark, monkeypatch):
     groups, n = blocked._block_pairs(v, 0.3, "mid", "features", 1 << 16, 5, False, None)
     assert n == 300 and groups.count().columns == ["bi", "bj", "count"]
     assert groups.count().agg({"count": "sum"}).first()[0] == 300 * 6       # was more, by the clusters' sizes
+
+
+def shuffle_files(spark) -> int:
+    import os
+    import time
+    time.sleep(1)       # they are removed beside the run
+    dirs = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString()
+    return sum(x.startswith("shuffle_") for d in dirs for _, _, names in os.walk(d) for x in names)
+
+
+def test_shuffle_files_go_as_a_run_ends(spark):
+    from ratingflow.session import freed_shuffles
+    before, rows = shuffle_files(spark), spark.range(1000)
+    with freed_shuffles(spark):
+        counts = rows.repartition(3).groupBy("id").count()
+        assert len(counts.collect()) == 1000 and shuffle_files(spark) <= before
+    assert len(counts.collect()) == 1000        # made again
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) in (None, "false")
+
+
+def test_blocks_of_a_best_k_product_follow_their_bytes(spark):
+    """The larger the blocks, the fewer copies of rows are shuffled."""
+    wide = lambda d, n: spark.range(n).selectExpr("id", f"array_repeat(1.0D, {d}) AS v")
+    n_left, n_right, rows = blocked._block_rows(wide(64, 9), wide(64, 5).toDF("id_r", "v_r"))
+    assert (n_left, n_right, rows) == (9, 5, 1 << 18)
+    nl, nr = blocked.plan_pair_blocks(5_400_000, 720_000, 12, rows)
+    assert 5_400_000 * nr + 720_000 * nl < 32_000_000       # was 119 million
+    assert blocked._block_rows(wide(1024, 9), wide(64, 0).toDF("id_r", "v_r"))[2] == 1 << 14
