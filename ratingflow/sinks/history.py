@@ -13,12 +13,15 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ratingflow.operators.runs import PackedEdges, nest_runs
 from ratingflow.session import children, remove
-from ratingflow.sinks.point import PointFiles
+from ratingflow.sinks.point import PointFiles, bucket_of
 
 COLUMNS = {"uid": "int", "mid": "int", "score": "double", "timestamp": "int"}
-EDGES = {"mid": "int", "rid": "int", "r": "double", "pos": "int"}
+EDGES = {"mid": "int", "page": "int", "rid": "array<int>", "r": "array<double>"}
+PAGE_EDGES = 512        # edges of a row of the table of edges (6 KB)
 
 
 class UserHistory:
@@ -84,17 +87,26 @@ class UserHistory:
 
 class EdgeTable:
     """Similarity edges by movie, ranked and written once; a batch reads those
-    of its movies.  See ``PointFiles`` for the parameters."""
+    of its movies.  A row is a page of a movie's edges, whose places follow from
+    the page's number.  See ``PointFiles`` for the parameters."""
 
     def __init__(self, path: str, buckets: int = 1024, row_group_bytes: int = 1 << 20, max_movies: int = 10_000):
         self.path = path.rstrip("/")
         self.files = PointFiles("mid", EDGES, buckets, row_group_bytes, max_movies)
 
-    def load(self, edges: DataFrame, spread: bool = True) -> None:
-        """Replace the table by ``edges`` (mid, rid, r)."""
-        from ratingflow.operators.recommend import ranked_edges
-        self.files.write(ranked_edges(edges, spread), self.path)
+    def load(self, edges: DataFrame | PackedEdges) -> None:
+        """Replace the table by ``edges`` (mid, rid, r): of copies of a pair the
+        largest ``r`` counts.  Packed ones are shuffled once, to their buckets."""
+        from ratingflow.operators.similarity import nest_edges
+        if isinstance(edges, PackedEdges):
+            pages = nest_runs(edges, PAGE_EDGES, bucket_of("mid", self.files.buckets), self.files.buckets)
+        else:
+            pages = nest_edges(edges.groupBy("mid", "rid").agg(F.max("r").alias("r")), page_rows=PAGE_EDGES)
+        rows = pages.select("mid", "page", F.col("recs.rid").alias("rid"), F.col("recs.r").alias("r"))
+        self.files.write(rows, self.path, dealt=isinstance(edges, PackedEdges))
 
     def of_movies(self, movies: DataFrame) -> DataFrame:
         """(mid, rid, r, pos) of the movies in ``movies`` (mid)."""
-        return self.files.of_keys(movies.sparkSession.read.schema(self.files.schema).parquet(self.path), movies)
+        pages = self.files.of_keys(movies.sparkSession.read.schema(self.files.schema).parquet(self.path), movies)
+        one = pages.select("mid", "page", F.posexplode(F.arrays_zip("rid", "r")).alias("_at", "e"))
+        return one.select("mid", "e.rid", "e.r", (F.col("page") * PAGE_EDGES + F.col("_at") + 1).alias("pos"))

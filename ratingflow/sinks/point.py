@@ -35,11 +35,12 @@ class PointFiles:
         self.row_group_bytes, self.max_keys = row_group_bytes, max_keys
         self.schema = ", ".join(f"{c} {t}" for c, t in columns.items()) + f", {BUCKET} int"
 
-    def write(self, rows: DataFrame, path: str) -> None:
+    def write(self, rows: DataFrame, path: str, dealt: bool = False) -> None:
+        """``dealt``: a partition holds rows of one bucket or a few already."""
         rows = rows.select(*(F.col(c).cast(t).alias(c) for c, t in self.columns.items()))
         rows = rows.withColumn(BUCKET, bucket_of(self.key, self.buckets))
         # the hint splits a bucket that holds a hot key over several tasks
-        (rows.hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, self.key).write.mode("overwrite")
+        ((rows if dealt else rows.hint("rebalance", BUCKET)).sortWithinPartitions(BUCKET, self.key).write.mode("overwrite")
          .option(f"parquet.bloom.filter.enabled#{self.key}", "true")
          .option("parquet.block.size", self.row_group_bytes)
          .partitionBy(BUCKET).parquet(path))

@@ -211,3 +211,26 @@ def test_blocks_of_a_best_k_product_follow_their_bytes(spark):
     nl, nr = blocked.plan_pair_blocks(5_400_000, 720_000, 12, rows)
     assert 5_400_000 * nr + 720_000 * nl < 32_000_000       # was 119 million
     assert blocked._block_rows(wide(1024, 9), wide(64, 0).toDF("id_r", "v_r"))[2] == 1 << 14
+
+
+def test_edge_table_of_packed_edges(spark, tmp_path):
+    """One shuffle of packed edges, and a row a page; it was a row an edge, shuffled four times."""
+    from ratingflow.operators.similarity import packed_item_similarity
+    from ratingflow.sinks.history import PAGE_EDGES, EdgeTable
+    rng = np.random.default_rng(21)
+    v = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(rng.normal(size=(1500, 4)))], "mid int, features array<double>")
+    plain, packed = (EdgeTable(str(tmp_path / name), buckets=4) for name in ("plain", "packed"))
+    edges = item_similarity(v, 0.1).checkpoint()
+    plain.load(edges)
+    packed.load(packed_item_similarity(v, 0.1))
+    asked = spark.createDataFrame([(m,) for m in (0, 7, 1499, 5000)], "mid int")
+    key = lambda r: (r.mid, r.pos, r.rid, round(r.r, 9))
+    want = []
+    for m in (0, 7, 1499):
+        own = sorted(((-e.r, e.rid) for e in edges.where(f"mid = {m}").collect()))
+        assert len(own) > PAGE_EDGES
+        want += [(m, i, rid, round(-r, 9)) for i, (r, rid) in enumerate(own, 1)]
+    for table in (plain, packed):
+        assert sorted(map(key, table.of_movies(asked).collect())) == want
+    files = spark.read.parquet(packed.path)
+    assert files.count() < edges.count() / 300 and files.groupBy("ub").count().count() == 4
