@@ -234,3 +234,33 @@ def test_edge_table_of_packed_edges(spark, tmp_path):
         assert sorted(map(key, table.of_movies(asked).collect())) == want
     files = spark.read.parquet(packed.path)
     assert files.count() < edges.count() / 300 and files.groupBy("ub").count().count() == 4
+
+
+def test_edge_facts_tell_of_one_way_edges(spark):
+    from ratingflow.plans.queries import edge_facts, one_way_edges
+    rng = np.random.default_rng(5)
+    v = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(rng.normal(size=(200, 4)))], "mid int, features array<double>")
+    e = item_similarity(v, 0.5).checkpoint()
+    facts = edge_facts(e, 0.5)
+    own = facts.where("rid is not null")
+    assert facts.agg({"n": "sum"}).first()[0] == e.count() and own.count() == e.where("mid % 50 = 0").count()
+    assert own.join(e, ["mid", "rid", "r"]).count() == own.count() and facts.count() < e.count() / 4
+    assert one_way_edges(e, facts).first() == (0,)
+    gone = e.where("not (mid = 3 and rid < 50)")
+    n = e.where("mid = 3 and rid < 50").count()
+    assert n and one_way_edges(gone, edge_facts(gone, 0.5)).first() == (n,)
+    near = e.selectExpr("mid", "rid", "IF(mid < rid, r, r + 1e-8) AS r")        # another value, but close enough
+    assert one_way_edges(near, edge_facts(near, 0.5)).first() == (0,)
+
+
+def test_pairs_above_are_sieved_in_single_precision(monkeypatch):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(6000, 16))
+    x[50:60] = x[40:50]
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    for share in (1 / 32, 0, 1):            # few above a tile, too many, any number
+        monkeypatch.setattr(blocked, "SIEVE_SHARE", share)
+        got = {(i, j): s for a, b, z in blocked._above(x[:700], x, 0.6) for i, j, s in zip(a.tolist(), b.tolist(), z)}
+        want = x[:700] @ x.T
+        assert set(got) == set(zip(*(z.tolist() for z in np.nonzero(want > 0.6))))
+        assert max(abs(want[k] - s) for k, s in got.items()) < 1e-12
