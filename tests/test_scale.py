@@ -264,3 +264,31 @@ def test_pairs_above_are_sieved_in_single_precision(monkeypatch):
         want = x[:700] @ x.T
         assert set(got) == set(zip(*(z.tolist() for z in np.nonzero(want > 0.6))))
         assert max(abs(want[k] - s) for k, s in got.items()) < 1e-12
+
+
+def test_predictions_by_block(spark):
+    """The rows and values of Spark ML's; pairs were shuffled with their users' factors."""
+    from ratingflow.operators import model
+    rng = np.random.default_rng(3)
+    rows = [(int(u), int(m), float(rng.integers(1, 11)) / 2, f"t{u}") for u, m in rng.integers(0, 60, (900, 2))]
+    r = spark.createDataFrame(rows + rows[:30], "uid int, mid int, score double, tag string")
+    m = model.fit(r, rank=5, max_iter=2, reg=0.1)
+    asked = r.union(spark.createDataFrame([(999, 1, 1.0, None), (1, 999, 1.0, "x")], r.schema))
+    got = model.predict(m, asked)
+    assert got.columns == [*r.columns, "prediction"]
+    key = lambda x: (x.uid, x.mid, x.score, str(x.tag), x.prediction)
+    got, want = (sorted(map(key, x.collect())) for x in (got, m.transform(asked)))
+    assert [x[:4] for x in got] == [x[:4] for x in want] and len(got) == 930
+    assert max(abs(a[4] - b[4]) for a, b in zip(got, want)) < 1e-4
+    assert model.predict(m, asked.where("uid = 999")).count() == 0
+
+
+def test_training_leaves_no_shuffle_files(spark):
+    from ratingflow.operators import model
+    before = shuffle_files(spark)
+    r = spark.range(3000).selectExpr("CAST(id % 70 AS INT) AS uid", "CAST(id % 41 AS INT) AS mid", "CAST(id % 5 AS DOUBLE) AS score")
+    m = model.fit(r, rank=4, max_iter=3, reg=0.1)
+    assert shuffle_files(spark) <= before
+    n = m.userFactors.count()
+    model.release(m)
+    assert m.userFactors.count() == n == 70      # worked out again
