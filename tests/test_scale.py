@@ -292,3 +292,38 @@ def test_training_leaves_no_shuffle_files(spark):
     n = m.userFactors.count()
     model.release(m)
     assert m.userFactors.count() == n == 70      # worked out again
+
+
+def test_lists_of_hot_movies_come_in_parts(spark, monkeypatch):
+    """No task holds a hot movie's list, and its pages are those of one list; equal values too."""
+    from ratingflow.operators import runs
+    monkeypatch.setattr(runs, "HOT_EDGES", 500)
+    monkeypatch.setattr(runs, "HOT_SAMPLE", 50)
+    monkeypatch.setattr(runs, "PACK_ROWS", 700)
+    rng = np.random.default_rng(31)
+    rows = [(-1, int(i) * 10 ** 9 - 5, round(float(x), 3)) for i, x in enumerate(rng.random(4321))]
+    rows += [(7, i, 0.5) for i in range(1800)] + [(int(m), int(i), float(x)) for m, i, x in zip(rng.integers(8, 40, 900), rng.permutation(900), rng.random(900))]
+    rows += rows[:40]
+    edges = spark.createDataFrame(rows, "mid int, rid long, r double").repartition(5)
+    parts, seen = runs._pages, []
+    pages = runs.nest_rows(edges, 30).collect()
+    want = {}
+    for m, i, x in sorted(rows, key=lambda e: (e[0], -e[2], e[1])):
+        want.setdefault(m, []).append((i, x))
+    got = {(p.mid, p.page): [tuple(x) for x in p.recs] for p in pages}
+    assert len(got) == len(pages)
+    assert got == {(m, n): own[n * 30:n * 30 + 30] for m, own in want.items() for n in range(-(-len(own) // 30))}
+    # int ids without hot movies, and rows that go the old way
+    monkeypatch.setattr(runs, "HOT_EDGES", 1 << 21)
+    few = runs.nest_rows(edges.selectExpr("mid", "CAST(rid % 1000 AS INT) AS rid", "r"), 10_000).collect()
+    assert {p.mid: len(p.recs) for p in few} == {m: len(own) for m, own in want.items()}
+    assert runs.nest_rows(edges.selectExpr("mid", "IF(rid = 3, NULL, rid) AS rid", "r").where("mid = 7"), 30) is None
+
+
+def test_parts_of_an_edge():
+    from ratingflow.operators.runs import _parts
+    borders = {5: (np.array([-0.9, -0.5, -0.5, -0.1]), np.array([3, 2, 8, 0]))}
+    mid, rid = np.full(9, 5), np.array([9, 2, 3, 1, 2, 7, 8, 99, 0])
+    r = np.array([0.95, 0.9, 0.9, 0.5, 0.5, 0.5, 0.5, 0.3, 0.1])
+    assert _parts(mid, rid, r, borders).tolist() == [0, 0, 1, 1, 2, 2, 3, 3, 4]
+    assert _parts(mid + 1, rid, r, borders).tolist() == [0] * 9
