@@ -327,3 +327,15 @@ def test_parts_of_an_edge():
     r = np.array([0.95, 0.9, 0.9, 0.5, 0.5, 0.5, 0.5, 0.3, 0.1])
     assert _parts(mid, rid, r, borders).tolist() == [0, 0, 1, 1, 2, 2, 3, 3, 4]
     assert _parts(mid + 1, rid, r, borders).tolist() == [0] * 9
+
+
+def test_blocks_of_a_fit_hold_a_bounded_number_of_ratings(spark, monkeypatch):
+    from ratingflow.operators import model
+    assert [model.blocks_for(n) for n in (0, 36_000_000, 216_000_000)] == [10, 10, 26]     # was 10 at any size
+    made, als = [], model.als
+    monkeypatch.setattr(model, "als", lambda *a: (made.append(a[-1]), als(*a))[1])
+    monkeypatch.setattr(model, "RATINGS_A_BLOCK", 100)
+    r = spark.range(1300).selectExpr("CAST(id % 70 AS INT) AS uid", "CAST(id % 41 AS INT) AS mid", "CAST(id % 5 AS DOUBLE) AS score")
+    assert model.fit(r, rank=3, max_iter=2, reg=0.1).itemFactors.count() == 41
+    model.fit(r, rank=3, max_iter=1, blocks=4)
+    assert made == [13, 4]
